@@ -17,6 +17,7 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 IS_SPACE = np.isin(np.arange(256), list(SPACES))
 #: Bytes of text that one vectorised step handles at most (a longer text is a step of its own).
 STEP_BYTES = 1 << 20
+_own_folder: list[str] = []
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,8 +28,9 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        found = tempfile.mkdtemp(prefix="dosegrid-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        if not _own_folder:
+            _own_folder.append(tempfile.mkdtemp(prefix="dosegrid-"))
+        found = _own_folder[0]
     return found.rstrip("/")
 
 
