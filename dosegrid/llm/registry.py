@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from dosegrid.llm.packing import op5_min_slack_packing
 from dosegrid.llm.secrets import op2_secret_scan
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
+    "op5_min_slack_packing": op5_min_slack_packing,
 }
 ORACLE_SQL: dict[str, str] = {}
