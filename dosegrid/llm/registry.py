@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dosegrid.llm.media import op9_media_columns
 from dosegrid.llm.packing import op5_min_slack_packing
 from dosegrid.llm.secrets import op2_secret_scan
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op5_min_slack_packing": op5_min_slack_packing,
+    "op9_media_columns": op9_media_columns,
 }
 ORACLE_SQL: dict[str, str] = {}
