@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dosegrid.llm.attribution import op10_token_counts
 from dosegrid.llm.media import op9_media_columns
 from dosegrid.llm.packing import op5_min_slack_packing
 from dosegrid.llm.secrets import op2_secret_scan
@@ -10,5 +11,6 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op5_min_slack_packing": op5_min_slack_packing,
     "op9_media_columns": op9_media_columns,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLE_SQL: dict[str, str] = {}
