@@ -87,8 +87,8 @@ def token_counts(df: DataFrame, tokenizer: str, sections: str | None = None, tex
                 crossed = ~np.isin(bounds, np.append(ends, 0))
                 both = crossed.all(0) & (np.searchsorted(ends, bounds[0], "right") == np.searchsorted(ends, bounds[1], "right"))
                 place += [row] * len(names)
-                for column, values in zip(columns, (range(len(names)), names, start, end, np.where(known, n, -1).tolist(), np.where(known, crossed.sum(0) - both, -1).tolist(), [len(ids)] * len(names)), strict=True):
-                    column += values
+                for column, values in zip(columns, (range(len(names)), names, *(x.tolist() if isinstance(x, np.ndarray) else x for x in (start, end)), np.where(known, n, -1).tolist(), np.where(known, crossed.sum(0) - both, -1).tolist(), [len(ids)] * len(names)), strict=True):
+                    column += list(values)
             for k in (4, 5):
                 columns[k] = [None if x < 0 else x for x in columns[k]]
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64() if rule == "split" else pa.int64(), pa.int64(), pa.int64()]
