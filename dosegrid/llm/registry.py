@@ -5,6 +5,7 @@ from __future__ import annotations
 from dosegrid.llm.attribution import op10_token_counts
 from dosegrid.llm.media import op9_media_columns
 from dosegrid.llm.packing import op5_min_slack_packing
+from dosegrid.llm.quality import op7_quality_rules
 from dosegrid.llm.secrets import op2_secret_scan
 
 QUERIES = {
@@ -12,5 +13,6 @@ QUERIES = {
     "op5_min_slack_packing": op5_min_slack_packing,
     "op9_media_columns": op9_media_columns,
     "op10_token_counts": op10_token_counts,
+    "op7_quality_rules": op7_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
