@@ -138,7 +138,7 @@ def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.nd
         part = np.zeros(n, np.uint64)
         if j < n:
             part[: n - j] = words[j:]
-        part *= np.uint64(2 * j + 1) * np.uint64(0xD6E8FEB86659FD93)
+        part *= np.uint64((2 * j + 1) * 0xD6E8FEB86659FD93 & 0xFFFFFFFFFFFFFFFF)
         rolled += np.where(left > j, mix(part + np.uint64(j)), np.uint64(0))
     keep = (left >= k) | (place == 0)
     return mix(rolled[keep]), np.bincount(owner[keep], minlength=len(counts))

@@ -7,6 +7,7 @@ from dosegrid.llm.media import op9_media_columns
 from dosegrid.llm.packing import op5_min_slack_packing
 from dosegrid.llm.quality import op7_quality_rules
 from dosegrid.llm.secrets import op2_secret_scan
+from dosegrid.llm.toxicity import op4_toxic_segments
 
 QUERIES = {
     "op2_secret_scan": op2_secret_scan,
@@ -14,5 +15,6 @@ QUERIES = {
     "op9_media_columns": op9_media_columns,
     "op10_token_counts": op10_token_counts,
     "op7_quality_rules": op7_quality_rules,
+    "op4_toxic_segments": op4_toxic_segments,
 }
 ORACLE_SQL: dict[str, str] = {}
