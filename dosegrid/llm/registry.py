@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dosegrid.llm.attribution import op10_token_counts
+from dosegrid.llm.lm import op3_attention_scores
 from dosegrid.llm.media import op9_media_columns
 from dosegrid.llm.packing import op5_min_slack_packing
 from dosegrid.llm.quality import op7_quality_rules
@@ -16,5 +17,6 @@ QUERIES = {
     "op10_token_counts": op10_token_counts,
     "op7_quality_rules": op7_quality_rules,
     "op4_toxic_segments": op4_toxic_segments,
+    "op3_attention_scores": op3_attention_scores,
 }
 ORACLE_SQL: dict[str, str] = {}

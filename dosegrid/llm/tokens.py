@@ -39,7 +39,7 @@ class ByteBpe:
         special = {t["content"] for t in spec["added_tokens"]}
         letters = _byte_letters()
         ranks = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-        self.size = 1 + max(spec["model"]["vocab"].values())
+        self.size = 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
         self.n_bytes = np.zeros(self.size, np.int64)
         for token, i in ranks.items():
             self.n_bytes[i] = len(token)
