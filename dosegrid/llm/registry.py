@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dosegrid.llm.attribution import op10_token_counts
+from dosegrid.llm.chosen_path import op6_chosen_path_join
 from dosegrid.llm.lm import op3_attention_scores
 from dosegrid.llm.media import op9_media_columns
 from dosegrid.llm.packing import op5_min_slack_packing
@@ -18,5 +19,6 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op4_toxic_segments": op4_toxic_segments,
     "op3_attention_scores": op3_attention_scores,
+    "op6_chosen_path_join": op6_chosen_path_join,
 }
 ORACLE_SQL: dict[str, str] = {}
