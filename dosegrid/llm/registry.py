@@ -8,6 +8,7 @@ from dosegrid.llm.lm import op3_attention_scores
 from dosegrid.llm.media import op9_media_columns
 from dosegrid.llm.packing import op5_min_slack_packing
 from dosegrid.llm.quality import op7_quality_rules
+from dosegrid.llm.repeats import op8_suffix_dedup
 from dosegrid.llm.secrets import op2_secret_scan
 from dosegrid.llm.toxicity import op4_toxic_segments
 
@@ -20,5 +21,6 @@ QUERIES = {
     "op4_toxic_segments": op4_toxic_segments,
     "op3_attention_scores": op3_attention_scores,
     "op6_chosen_path_join": op6_chosen_path_join,
+    "op8_suffix_dedup": op8_suffix_dedup,
 }
 ORACLE_SQL: dict[str, str] = {}
