@@ -6,6 +6,7 @@ from dosegrid.llm.attribution import op10_token_counts
 from dosegrid.llm.chosen_path import op6_chosen_path_join
 from dosegrid.llm.lm import op3_attention_scores
 from dosegrid.llm.media import op9_media_columns
+from dosegrid.llm.mixing import op1_soft_mixing
 from dosegrid.llm.packing import op5_min_slack_packing
 from dosegrid.llm.quality import op7_quality_rules
 from dosegrid.llm.repeats import op8_suffix_dedup
@@ -22,5 +23,6 @@ QUERIES = {
     "op3_attention_scores": op3_attention_scores,
     "op6_chosen_path_join": op6_chosen_path_join,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op1_soft_mixing": op1_soft_mixing,
 }
 ORACLE_SQL: dict[str, str] = {}
