@@ -9,27 +9,27 @@ from pyspark.sql import functions as F
 
 from dosegrid.functions.columns import split_order
 
+#: Rows of one hash prefix that are looked at one by one.
+FEW = 1000
+
 
 def _cut(df: DataFrame, order: Column, key: Column, k: int) -> Column:
-    """Whether a row is among the first k by (order, key): the cut is found from counts by hash prefix, then within one prefix."""
+    """Whether a row is among the first k by (order, key). The cut is found from counts by hash prefix, of which there are 65,536 at a time, and then within one prefix."""
     if k <= 0:
         return F.lit(False)
-    for width in (4, 8, 12):
-        prefix = F.substring(order, 1, width)
-        counts = df if width == 4 else df.where(F.substring(order, 1, width - 4) == low)  # noqa: F821
-        rows = counts.groupBy(prefix.alias("p")).count().orderBy("p").collect()  # 65,536 prefixes at most
-        before = 0 if width == 4 else before  # noqa: F821
-        for r in rows:
+    prefix, before, n = "", 0, None
+    while n is None or n > FEW and len(prefix) < 32:
+        counts = df.where(order.startswith(prefix)).groupBy(F.substring(order, 1, len(prefix) + 4).alias("p")).count().orderBy("p").collect()
+        for r in counts:
             if before + r["count"] >= k:
-                low = r["p"]
+                prefix, n = r["p"], r["count"]
                 break
             before += r["count"]
         else:
             return F.lit(True)
-        if r["count"] <= 1000:
-            break
-    last = df.where(prefix == low).select(order.alias("o"), key.cast("string").alias("k")).orderBy("o", "k").limit(k - before).collect()[-1]
-    return (order < last["o"]) | ((order == last["o"]) & (key.cast("string") <= last["k"]))
+    text = key.cast("string")
+    last = df.where(order.startswith(prefix)).select(order.alias("o"), text.alias("k")).orderBy("o", "k").limit(k - before).collect()[-1]
+    return (order < last["o"]) | ((order == last["o"]) & (text <= last["k"]))
 
 
 def random_split(df: DataFrame, key: str, ratio: float, seed: str) -> DataFrame:

@@ -2,5 +2,686 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+import tempfile
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from dosegrid.functions import columns as C
+from dosegrid.operators import consensus, druglist, graphs, metrics, neighbours, omics, pairs, scoring, sequence, splits
+from dosegrid.plans import tables as S
+from dosegrid.plans.tables import table
+from dosegrid.streaming import ingest
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    """Register a function under its name, with its SQL if there is any."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+def _normal(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.normalised(S.predictions(spark, d), "drug", "cell", "value", F.col("method"))
+
+
+def _filled(spark: SparkSession, d: str) -> DataFrame:
+    return consensus.imputed(consensus.pivoted(_normal(spark, d), S.METHODS), S.METHODS)
+
+
+def _rounded(df: DataFrame, names: list[str], digits: int = 6) -> DataFrame:
+    return df.withColumns({n: F.round(n, digits) for n in names})
+
+
+_R = lambda names, digits=6: ", ".join(f"round({n}, {digits}) as {n}" for n in names)
+
+# --- consensus ---------------------------------------------------------------------------
+
+
+@query(f"with {S.IMPUTE_SQL}, s as (select cell_line, drug_name, round(({' + '.join(S.METHODS)}) / {len(S.METHODS)}, 6) as score from filled) select cell_line, drug_name, score, rank from (select *, row_number() over (partition by cell_line order by score, drug_name) as rank from s) where rank <= 5")
+def consensus_top_k(spark, d):
+    scores = _filled(spark, d).select("cell_line", "drug_name", F.round(consensus.mean_of(S.METHODS), 6).alias("score"))
+    return consensus.top_k(scores, 5)
+
+
+@query(f"with {S.PREDICTIONS_SQL} select * from norm")
+def normalise_predictions(spark, d):
+    return _normal(spark, d)
+
+
+@query(f"with {S.PIVOT_SQL} select cell_line, drug_name, {_R(S.METHODS)} from wide")
+def pivot_predictions(spark, d):
+    return _rounded(consensus.pivoted(_normal(spark, d), S.METHODS), S.METHODS)
+
+
+@query(f"with {S.IMPUTE_SQL} select cell_line, drug_name, {_R(S.METHODS)} from filled")
+def impute_median(spark, d):
+    return _rounded(_filled(spark, d), S.METHODS)
+
+
+@query(f"with {S.PREDICTIONS_SQL} select cell_line, drug_name, round(avg(m), 6) as mean_prediction from (select cell_line, drug_name, method, avg(prediction) as m from norm group by all) group by all")
+def model_mean(spark, d):
+    wide = consensus.pivoted(_normal(spark, d), S.METHODS)
+    return wide.select("cell_line", "drug_name", F.round(consensus.mean_of(S.METHODS), 6).alias("mean_prediction"))
+
+
+@query("select 'M' || l_linenumber as method, count(*) as n_rows, count(case when l_tax <> 0 then l_quantity end) as usable from lineitem group by 1")
+def usable_prediction_count(spark, d):
+    return S.predictions(spark, d).groupBy("method").agg(F.count("*").alias("n_rows"), F.count("value").alias("usable"))
+
+
+@query()
+def ensemble_score(spark, d):
+    wide = _filled(spark, d).withColumn("label", consensus.mean_of(S.METHODS))
+    return consensus.forest(wide, S.METHODS, "label").transform(wide).select("cell_line", "drug_name", "ensemble_score")
+
+
+# --- drug lists and names ----------------------------------------------------------------
+
+
+@query("select distinct p_name as drug_name, p_brand as smiles from part where regexp_matches(p_type, 'ECONOMY|PROMO')")
+def select_drugs_by_class(spark, d):
+    chosen = druglist.by_class(table(spark, d, "part"), "p_type", ["E", "P"], {"E": "ECONOMY", "P": "PROMO", "S": "SMALL"})
+    return druglist.distinct_drugs(chosen, "p_name", "p_brand")
+
+
+_SMILES = "case when p_size < 5 then null when p_size < 8 then '  ' when p_size < 12 then 'Error: ' || p_name else p_name end"
+
+
+def _listed(spark, d):
+    return table(spark, d, "part").select("p_partkey", F.concat(F.lit("D"), "p_partkey").alias("drug_name"), F.expr(_SMILES).alias("smiles"))
+
+
+@query(f"select p_partkey, smiles from (select p_partkey, {_SMILES} as smiles from part) where smiles is not null and length(trim(smiles)) > 0 and not starts_with(smiles, 'Error')")
+def valid_smiles(spark, d):
+    return _listed(spark, d).where(druglist.usable(F.col("smiles"))).select("p_partkey", "smiles")
+
+
+@query(f"select 'D' || p_partkey as drug_name, smiles, case when smiles is null then 'no smiles' when length(trim(smiles)) = 0 then 'blank smiles' else 'failed lookup' end as reason from (select p_partkey, {_SMILES} as smiles from part) where smiles is null or length(trim(smiles)) = 0 or starts_with(smiles, 'Error')")
+def reject_log(spark, d):
+    marked = _listed(spark, d).withColumn("reason", druglist.reject_reason(F.col("drug_name"), F.col("smiles")))
+    return marked.where("reason is not null").select("drug_name", "smiles", "reason")
+
+
+@query("select p_partkey, regexp_replace(lower(p_brand || ' (' || p_name || ') x'), '[^a-z0-9]', '', 'g') as compact, lower(trim(regexp_replace(p_brand || ' (' || p_name || ') x', '\\(.*\\)', ''))) as no_brackets, lower(trim(' ' || p_brand || ' ')) as plain from part")
+def clean_names(spark, d):
+    raw = F.concat("p_brand", F.lit(" ("), "p_name", F.lit(") x"))
+    return table(spark, d, "part").select("p_partkey", C.clean_compact(raw).alias("compact"), C.clean_brackets(raw).alias("no_brackets"), C.clean_plain(F.concat(F.lit(" "), "p_brand", F.lit(" "))).alias("plain"))
+
+
+@query("select p_partkey, unnest(string_split(lower(replace(p_name, ' ', '-')), '-')) as gene from part")
+def base_gene_names(spark, d):
+    feature = F.concat(F.translate("p_name", " ", "-"), F.when(F.col("p_size") % 2 == 0, "_mut").otherwise("_cnv"))
+    return table(spark, d, "part").select("p_partkey", F.explode(C.base_names(feature)).alias("gene"))
+
+
+@query("with p as (select p_partkey, p_name as name, case when p_size % 3 = 0 then p_brand || ', ' || p_type end as syn from part), e as (select p_partkey, 0 as turn, 0 as pos, name from p union all select p_partkey, 0, 1, string_split(syn, ', ')[1] from p where syn is not null union all select p_partkey, 0, 2, string_split(syn, ', ')[2] from p where syn is not null union all select p_partkey, 1, 0, name from p where syn is not null) select name, p_partkey from (select *, row_number() over (partition by name order by turn desc, p_partkey desc, pos desc) as k from e) where k = 1")
+def synonym_resolution(spark, d):
+    drugs = table(spark, d, "part").select("p_partkey", F.col("p_name").alias("main"), F.when(F.col("p_size") % 3 == 0, F.concat("p_brand", F.lit(", "), "p_type")).alias("syn"))
+    return pairs.synonyms(drugs, "p_partkey", "main", "syn")
+
+
+@query("select n_nationkey, case n_name when 'NATION_0' then 'Nation zero' when 'NATION_7' then 'Nation seven' else n_name end as name, replace(n_name, '_', '-') as translated, 'DATA.' || n_nationkey as keyed from nation")
+def name_correction(spark, d):
+    return table(spark, d, "nation").select("n_nationkey", C.corrected(F.col("n_name"), {"NATION_0": "Nation zero", "NATION_7": "Nation seven"}).alias("name"), F.translate("n_name", "_", "-").alias("translated"), F.concat(F.lit("DATA."), "n_nationkey").alias("keyed"))
+
+
+# --- pairs -------------------------------------------------------------------------------
+
+_GRID = "select p_partkey, s_suppkey from (select p_partkey from part where p_size <= 5), supplier"
+
+
+@query(_GRID)
+def pair_grid(spark, d):
+    return pairs.grid(table(spark, d, "part").where("p_size <= 5").select("p_partkey"), table(spark, d, "supplier").select("s_suppkey"))
+
+
+@query("with m as (select distinct l_returnflag || l_linenumber as drug, l_suppkey as cell from lineitem where l_quantity > 40) select a.drug, b.cell from (select distinct drug from m) a, (select distinct cell from m) b where not exists (select 1 from m where m.drug = a.drug and m.cell = b.cell)")
+def missing_pairs(spark, d):
+    rows = table(spark, d, "lineitem").where("l_quantity > 40").select(F.concat("l_returnflag", "l_linenumber").alias("drug"), F.col("l_suppkey").alias("cell"))
+    return pairs.missing_pairs(rows, "drug", "cell")
+
+
+@query("select l_partkey, l_suppkey, l_quantity from lineitem t where l_linestatus = 'O' and not exists (select 1 from lineitem v where v.l_linestatus = 'F' and v.l_partkey = t.l_partkey and v.l_suppkey = t.l_suppkey)")
+def leak_removal(spark, d):
+    rows = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_linestatus")
+    held = rows.where("l_linestatus = 'F'")
+    return pairs.without_held_out(rows.where("l_linestatus = 'O'"), held.where("l_quantity < 25"), held.where("l_quantity >= 25"), on=["l_partkey", "l_suppkey"]).select("l_partkey", "l_suppkey", "l_quantity")
+
+
+@query("select s_suppkey from supplier intersect select l_suppkey from lineitem where l_quantity > 49 intersect select c_custkey from customer")
+def common_samples(spark, d):
+    key = lambda df, c: df.select(F.col(c).alias("s_suppkey"))
+    return pairs.common_samples(key(table(spark, d, "supplier"), "s_suppkey"), key(table(spark, d, "lineitem").where("l_quantity > 49"), "l_suppkey"), key(table(spark, d, "customer"), "c_custkey"), key="s_suppkey")
+
+
+@query("select s_suppkey, s_name, n_nationkey as pos from supplier join nation on s_suppkey = n_nationkey * 3")
+def cell_subset(spark, d):
+    wanted = table(spark, d, "nation").select((F.col("n_nationkey") * 3).alias("s_suppkey"), F.col("n_nationkey").alias("pos"))
+    return pairs.cell_subset(table(spark, d, "supplier").select("s_suppkey", "s_name"), wanted, "s_suppkey")
+
+
+@query("select p_partkey, p_name, list_transform(range(length(p_name)), lambda i: p_name[i + 1]) as tokens from part")
+def encode_distinct(spark, d):
+    return pairs.encode_distinct(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", lambda u: u.withColumn("tokens", sequence.tokenised(F.col("p_name"))))
+
+
+@query("select l_partkey, l_suppkey, p_brand, round(embedding[1]::double, 6) as x0 from lineitem join part on l_partkey = p_partkey join embeddings on l_suppkey = vec_id where l_quantity > 45")
+def attach_features(spark, d):
+    rows = table(spark, d, "lineitem").where("l_quantity > 45").select("l_partkey", "l_suppkey")
+    drugs, cells = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), table(spark, d, "embeddings").select(F.col("vec_id").alias("l_suppkey"), F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("x0"))
+    return rows.join(drugs, "l_partkey").join(cells, "l_suppkey")
+
+
+@query("select c.c_custkey, p.p_partkey from (select c_custkey, row_number() over (order by c_name, c_custkey) as k from customer) c join (select p_partkey, row_number() over (order by p_brand, p_partkey) as k from part) p using (k)")
+def positional_relabel(spark, d):
+    return pairs.positional(table(spark, d, "part").select("p_partkey", "p_brand"), ["p_brand", "p_partkey"], table(spark, d, "customer").select("c_custkey", "c_name"), ["c_name", "c_custkey"], "c_custkey").select("c_custkey", "p_partkey")
+
+
+@query("select p_name, p_partkey, p_brand from (select *, row_number() over (partition by p_name order by p_partkey desc) as k from part) where k = 1")
+def keep_last(spark, d):
+    return pairs.keep_last(table(spark, d, "part").select("p_name", "p_partkey", "p_brand"), "p_name", "p_partkey")
+
+
+@query("select p_partkey, ((row_number() over (order by p_name, p_partkey) - 1) // 300)::bigint as chunk_id from part")
+def chunk_ids(spark, d):
+    return pairs.numbered(table(spark, d, "part").select("p_partkey", "p_name"), ["p_name", "p_partkey"]).select("p_partkey", F.expr("row_no div 300").alias("chunk_id"))
+
+
+@query("select n_drugs, n_cells, chunk_size, ((n_drugs + chunk_size - 1) // chunk_size)::bigint as chunks, n_drugs * n_cells as expected from (select n_drugs, n_cells, least(greatest(50000 // 2 // n_cells, 1), n_drugs)::bigint as chunk_size from (select count(*) as n_drugs from part), (select count(*) as n_cells from supplier))")
+def chunk_plan(spark, d):
+    n, m = table(spark, d, "part").count(), table(spark, d, "supplier").count()
+    size, chunks = pairs.chunk_plan(n, m, 50_000, 2)
+    return spark.createDataFrame([(n, m, size, chunks, n * m)], "n_drugs long, n_cells long, chunk_size long, chunks long, expected long")
+
+
+@query("select distinct l_partkey, l_suppkey, l_quantity from lineitem where l_linenumber <= 2")
+def consolidate_chunks(spark, d):
+    rows = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_linenumber")
+    chunk = lambda k: rows.where(F.col("l_linenumber") == k).drop("l_linenumber")
+    return ingest.consolidated(chunk(1).unionByName(chunk(2)).unionByName(chunk(1)))
+
+
+# --- response and labels -----------------------------------------------------------------
+
+
+@query("select cell, drug, ln_ic50 from (select l_suppkey as cell, unnest(['M1', 'M2', 'M3']) as drug, unnest([q1, q2, q3]) as ln_ic50 from (select l_suppkey, max(l_quantity) filter (where l_linenumber = 1 and l_tax > 0.07) as q1, max(l_quantity) filter (where l_linenumber = 2 and l_tax > 0.07) as q2, max(l_quantity) filter (where l_linenumber = 3 and l_tax > 0.07) as q3 from lineitem group by 1)) where ln_ic50 is not null")
+def unpivot_response(spark, d):
+    rows = table(spark, d, "lineitem").where("l_tax > 0.07").select(F.col("l_suppkey").alias("cell"), F.concat(F.lit("M"), "l_linenumber").alias("m"), "l_quantity")
+    wide = rows.groupBy("cell").pivot("m", ["M1", "M2", "M3"]).agg(F.max("l_quantity"))
+    return wide.unpivot(["cell"], ["M1", "M2", "M3"], "drug", "ln_ic50").where("ln_ic50 is not null")
+
+
+@query("select l_orderkey, l_linenumber, l_partkey, case when l_quantity > t.threshold then 1 else 0 end as binary_ic50 from lineitem join part on l_partkey = p_partkey join (select p_brand, avg(p_size) as threshold from part where p_brand <> 'Brand#2' group by 1) t using (p_brand)")
+def binarise_by_threshold(spark, d):
+    part = table(spark, d, "part")
+    thresholds = part.where("p_brand <> 'Brand#2'").groupBy("p_brand").agg(F.avg("p_size").alias("threshold"))
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity").join(part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey").join(thresholds, "p_brand")
+    return rows.select("l_orderkey", "l_linenumber", "l_partkey", F.when(F.col("l_quantity") > F.col("threshold"), 1).otherwise(0).alias("binary_ic50"))
+
+
+# --- omics -------------------------------------------------------------------------------
+
+_ALIGNED = f"{S.OMICS_SQL}, {S.CANONICAL_SQL}, al as (select s.sample_id, ca.pos, ca.feature, case when om.sample_id is not null then om.value else 0.0 end as value from (select distinct sample_id from om) s cross join ca left join om on om.sample_id = s.sample_id and om.feature = ca.feature)"
+
+
+@query(f"with {_ALIGNED} select * from al")
+def align_features(spark, d):
+    return omics.aligned(S.omics(spark, d), S.canonical(spark))
+
+
+@query(f"with {_ALIGNED} select sample_id, list(coalesce(value, 0.0) order by pos) as features from al group by 1")
+def align_zero_nulls(spark, d):
+    return omics.packed(omics.aligned(S.omics(spark, d), S.canonical(spark), "zero"))
+
+
+@query(f"with {_ALIGNED} select sample_id, pos, regexp_replace(lower(feature), '[^a-z0-9]', '', 'g') as feature, value from al")
+def align_clean_names(spark, d):
+    upper = S.omics(spark, d).withColumn("feature", F.upper("feature"))
+    return omics.aligned_by_clean_name(upper, S.canonical(spark))
+
+
+@query(f"with {S.OMICS_SQL}, {S.CANONICAL_SQL} select (select count(*) from ca where feature in (select feature from om)) as found, (select count(*) from ca where feature not in (select feature from om)) as missing, (select count(distinct feature) from om where feature not in (select feature from ca)) as extra")
+def alignment_report(spark, d):
+    return omics.alignment_report(S.omics(spark, d), S.canonical(spark))
+
+
+@query(f"with {_ALIGNED} select pos, feature, count(*) as bad from al where value is null group by 1, 2 order by pos limit 10")
+def quality_gate(spark, d):
+    return omics.quality_gate(omics.aligned(S.omics(spark, d), S.canonical(spark)))
+
+
+_STATS = f"{S.OMICS_SQL}, st as (select feature, avg(value) as mean, stddev_samp(value) as std, min(value) as lo, max(value) as hi from om group by 1)"
+
+
+def _with_parameters(spark, d):
+    cells = S.omics(spark, d)
+    return cells.join(cells.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("lo"), F.max("value").alias("hi")), "feature")
+
+
+@query(f"with {_STATS} select sample_id, feature, round((value - coalesce(mean, 0)) / case when abs(coalesce(std, 1)) < 1e-7 then 1e-7 else coalesce(std, 1) end, 6) as value from om join st using (feature)")
+def standardise(spark, d):
+    return _with_parameters(spark, d).select("sample_id", "feature", F.round(C.standardised(F.col("value"), F.col("mean"), F.col("std")), 6).alias("value"))
+
+
+@query(f"with {_STATS} select sample_id, feature, round((value - lo) / case when hi - lo < 1e-7 then 1e-7 else hi - lo end, 6) as value from om join st using (feature)")
+def min_max(spark, d):
+    return _with_parameters(spark, d).select("sample_id", "feature", F.round(C.min_max(F.col("value"), F.col("lo"), F.col("hi")), 6).alias("value"))
+
+
+@query(f"with {S.OMICS_SQL}, g as (select min(value) as lo from om) select sample_id, feature, round(least(greatest((least(value, 0.2) - lo) / (0.2 - lo), 0), 1), 6) as value from om, g where value is not null union all select sample_id, feature, null from om where value is null")
+def global_scale_clip(spark, d):
+    cells = S.omics(spark, d)
+    low = cells.agg(F.min("value").alias("lo"))
+    return cells.join(F.broadcast(low)).select("sample_id", "feature", F.round(C.clipped_scale(F.col("value"), F.col("lo"), 0.2), 6).alias("value"))
+
+
+@query("select vec_id, list_transform(embedding, lambda x: round(x::double / total, 4)) as v from (select vec_id, embedding, list_sum(list_transform(embedding, lambda y: y::double)) as total from embeddings)")
+def row_normalise(spark, d):
+    v = C.row_normalised(F.transform("embedding", lambda x: x.cast("double")))
+    return table(spark, d, "embeddings").select("vec_id", F.transform(v, lambda x: F.round(x, 4)).alias("v"))
+
+
+_MUT = "mu as (select p_brand as sample_id, case when p_size % 2 = 0 then upper(p_type) else p_type || '_cnv' end as feature, case when p_size > 40 then 0.0 when p_size < 3 then null else 1.0 end as value from part), ix as (select feature, row_number() over (order by first, feature) - 1 as idx from (select feature, min(k) as first from (select case when contains(feature, '_') then feature else feature || '_mut' end as feature, p_partkey as k from (select p_partkey, case when p_size % 2 = 0 then upper(p_type) else p_type || '_cnv' end as feature from part where p_type <> 'SMALL')) group by 1))"
+
+
+@query(f"with {_MUT} select distinct sample_id, idx from mu join ix on ix.feature = case when contains(mu.feature, '_') then mu.feature else mu.feature || '_mut' end where value is not null and value <> 0")
+def multi_hot(spark, d):
+    from dosegrid.sources.readers import feature_index
+
+    part = table(spark, d, "part")
+    feature = F.when(F.col("p_size") % 2 == 0, F.upper("p_type")).otherwise(F.concat("p_type", F.lit("_cnv")))
+    full = F.when(feature.contains("_"), feature).otherwise(F.concat(feature, F.lit("_mut")))
+    index = feature_index(part.where("p_type <> 'SMALL'").select(full.alias("f"), "p_partkey"), "f", "p_partkey")
+    matrix = part.select(F.col("p_brand").alias("sample_id"), feature.alias("feature"), F.expr("case when p_size > 40 then 0.0 when p_size < 3 then null else 1.0 end").alias("value"))
+    return omics.mutation_multi_hot(matrix, index)
+
+
+@query("select p_partkey, [(p_type = 'ECONOMY')::float, (p_type = 'PROMO')::float, (p_type not in ('ECONOMY', 'PROMO'))::float] as onehot, [(p_size <= 10)::float] || list_transform(range(11, 20), lambda k: (p_size = k)::float) || [(p_size >= 20)::float] as clamped from part")
+def one_hot_unknown(spark, d):
+    return table(spark, d, "part").select("p_partkey", C.one_hot(F.col("p_type"), ["ECONOMY", "PROMO", "OTHER"]).alias("onehot"), C.one_hot(F.col("p_size"), list(range(10, 21)), "clamp").alias("clamped"))
+
+
+@query("select a.vec_id, list_concat(a.embedding, b.embedding) as features from embeddings a join embeddings b on b.vec_id = a.vec_id + 1 where len(a.embedding) + len(b.embedding) = 128")
+def concat_blocks(spark, d):
+    a = table(spark, d, "embeddings").select("vec_id", "embedding")
+    b = a.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("other"))
+    return a.join(b, "vec_id").select("vec_id", F.concat("embedding", "other").alias("features")).where(F.size("features") == 128)
+
+
+@query("select a.vec_id as sample_id, a.embedding as expression, b.embedding as mutation, c.embedding as copies from embeddings a join embeddings b using (vec_id) join embeddings c using (vec_id) where a.vec_id % 2 = 0 and a.vec_id % 3 = 0")
+def assemble_omics(spark, d):
+    blocks = table(spark, d, "embeddings").select(F.col("vec_id").alias("sample_id"), F.col("embedding").alias("features"))
+    return omics.assembled(blocks.where("sample_id % 2 = 0"), blocks.where("sample_id % 3 = 0"), blocks)
+
+
+@query(f"with {S.OMICS_SQL}, t as (select * from (select *, row_number() over (partition by sample_id order by value desc nulls last, pos) as k from om where value is not null) where k <= 8), e as (select vec_id, embedding from embeddings where vec_id < 64 and vec_id % 5 <> 0), x as (select t.sample_id, d, avg(e.embedding[d + 1]::double) as x from t join e on e.vec_id = t.pos, (select unnest(range(4)) as d) group by 1, 2) select s.sample_id, coalesce((select list(round(x, 6) order by d) from x where x.sample_id = s.sample_id), [0.0, 0.0, 0.0, 0.0]) as vec from (select distinct sample_id from om) s")
+def top_features_mean_embedding(spark, d):
+    cells = S.omics(spark, d).where("value is not null")
+    vectors = table(spark, d, "embeddings").where("vec_id < 64 and vec_id % 5 <> 0").select(F.concat(F.lit("Gene-"), "vec_id").alias("key"), F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")).alias("vec"))
+    means = omics.mean_embedding(omics.top_features(cells, 8), S.omics(spark, d).select("sample_id").distinct(), vectors, 4)
+    return means.select("sample_id", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
+
+
+@query(f"with {S.OMICS_SQL} select s.s_suppkey, count(om.sample_id) > 0 as has_profile, count(om.value) as cells from supplier s left join om on om.sample_id = s.s_suppkey * 7 group by 1")
+def profile_selection(spark, d):
+    ids = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 7).alias("sample_id"))
+    found = S.omics(spark, d).join(ids, "sample_id", "left_semi").groupBy("sample_id").agg(F.count("value").alias("cells"))
+    return ids.join(found, "sample_id", "left").select("s_suppkey", F.col("cells").isNotNull().alias("has_profile"), F.coalesce("cells", F.lit(0)).alias("cells"))
+
+
+@query("with a as (select p_partkey, row_number() over (order by p_partkey) - 1 as k from part order by p_partkey limit 50), b as (select c_custkey, c_name, row_number() over (order by c_custkey) - 1 as k from customer order by c_custkey limit 50) select p_partkey as shared_id, c_name from a join b using (k)")
+def benchmark_subset(spark, d):
+    master = table(spark, d, "part").orderBy("p_partkey").limit(50).select("p_partkey")
+    other = table(spark, d, "customer").orderBy("c_custkey").limit(50).select("c_custkey", "c_name")
+    return pairs.positional(other, ["c_custkey"], master, ["p_partkey"], "p_partkey").select(F.col("p_partkey").alias("shared_id"), "c_name")
+
+
+# --- rescaling ---------------------------------------------------------------------------
+
+
+@query("select l_orderkey, l_linenumber, case when p is not null then round(-10 * ln((1 - y) / y), 6) end as ic50 from (select *, least(greatest(p, 1e-9), 1 - 1e-9) as y from (select l_orderkey, l_linenumber, case when l_tax <> 0 then l_discount * 10 end as p from lineitem))")
+def unsquash(spark, d):
+    rows = table(spark, d, "lineitem")
+    return rows.select("l_orderkey", "l_linenumber", F.round(C.unsquash(F.when(F.col("l_tax") != 0, F.col("l_discount") * 10)), 6).alias("ic50"))
+
+
+@query("select p_partkey, case when hi - lo >= 1e-7 then round(0.25 * (hi - lo) + lo, 6) else 0.25 end as value from (select p_partkey, case when p_size > 3 then p_size::double end as lo, case when p_size > 3 then 20.0 end as hi from part)")
+def denormalise(spark, d):
+    known = F.col("p_size") > 3
+    low, high = F.when(known, F.col("p_size").cast("double")), F.when(known, F.lit(20.0))
+    return table(spark, d, "part").select("p_partkey", F.round(C.denormalise(F.lit(0.25), low, high), 6).alias("value"))
+
+
+@query("select l_orderkey, l_linenumber, case when l_discount <> 0 then round(l_quantity / l_discount, 6) end as value from lineitem")
+def null_bad_outputs(spark, d):
+    ratio = F.when(F.col("l_discount") != 0, F.try_divide("l_quantity", "l_discount")).when(F.col("l_tax") > 0.04, F.lit(float("nan"))).otherwise(F.lit(float("inf")))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.round(C.finite(ratio), 6).alias("value"))
+
+
+# --- statistics and metrics --------------------------------------------------------------
+
+
+@query(" union all ".join(f"select '{k}' as by, count(*) as groups, min(n) as smallest, max(n) as largest, round(avg(n), 6) as mean_size from (select {k}, count(*) as n from lineitem group by 1)" for k in ("l_returnflag", "l_suppkey", "l_partkey")))
+def group_size_stats(spark, d):
+    return _rounded(metrics.group_sizes(table(spark, d, "lineitem"), ["l_returnflag", "l_suppkey", "l_partkey"]), ["mean_size"])
+
+
+@query(" union all ".join(f"select '{c}' as \"column\", count({c}) as present, count(distinct {c}) as distinct_values from part" for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size")))
+def column_profile(spark, d):
+    return metrics.column_profile(table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+
+
+@query("select o_orderstatus, count(*) as n, round(count(*) / (select count(*) from orders), 6) as share from orders group by 1")
+def class_share(spark, d):
+    return _rounded(metrics.shares(table(spark, d, "orders"), "o_orderstatus"), ["share"])
+
+
+_ERR = "count(*) as n, round(avg((y - f) * (y - f)), 6) as mse, round(sqrt(avg((y - f) * (y - f))), 6) as rmse, round(avg(abs(y - f)), 6) as mae, round(1 - sum((y - f) * (y - f)) / nullif(var_pop(y) * count(*), 0), 6) as r2, round(covar_pop(y, f) / nullif(stddev_pop(y) * stddev_pop(f), 0), 6) as pearson"
+
+
+@query(f"with {S.EVALUATION_SQL} select grp, {_ERR} from ev group by 1")
+def error_metrics(spark, d):
+    return _rounded(metrics.errors(S.evaluation(spark, d), ["grp"]), ["mse", "rmse", "mae", "r2", "pearson"])
+
+
+@query(f"with {S.EVALUATION_SQL} select cell, round(1 - pearson * pearson, 6) as cc_loss, round(mse + 1 - pearson * pearson, 6) as mse_cc_loss from (select cell, avg((y - f) * (y - f)) as mse, covar_pop(y, f) / nullif(stddev_pop(y) * stddev_pop(f), 0) as pearson from ev group by 1)")
+def combined_loss(spark, d):
+    r2 = F.col("pearson") * F.col("pearson")
+    return metrics.errors(S.evaluation(spark, d), ["cell"]).select("cell", F.round(1 - r2, 6).alias("cc_loss"), F.round(F.col("mse") + 1 - r2, 6).alias("mse_cc_loss"))
+
+
+@query(f"with {S.EVALUATION_SQL}, r as (select cell, rank() over (partition by cell order by y) + (count(*) over (partition by cell, y) - 1) / 2 as ry, rank() over (partition by cell order by f) + (count(*) over (partition by cell, f) - 1) / 2 as rf from ev) select cell, round(covar_pop(ry, rf) / nullif(stddev_pop(ry) * stddev_pop(rf), 0), 6) as spearman from r group by 1")
+def spearman(spark, d):
+    return _rounded(metrics.spearman(S.evaluation(spark, d), ["cell"]), ["spearman"])
+
+
+_CI = f"with {S.EVALUATION_SQL}, s as (select * from ev where y > 45) select a.cell, round(avg(case when a.f > b.f then 1.0 when a.f = b.f then 0.5 else 0.0 end), 6) as ci from s a join s b on a.cell = b.cell and a.y > b.y group by 1"
+
+
+@query(_CI)
+def concordance_index(spark, d):
+    return _rounded(metrics.concordance(S.evaluation(spark, d).where("y > 45"), "cell"), ["ci"])
+
+
+@query(_CI)
+def concordance_by_pairs(spark, d):
+    return _rounded(metrics.concordance_by_pairs(S.evaluation(spark, d).where("y > 45"), "cell"), ["ci"])
+
+
+@query()
+def correlation_p_values(spark, d):
+    return metrics.p_values(metrics.errors(S.evaluation(spark, d), ["cell"]).select("cell", "n", "pearson"), "pearson", "n")
+
+
+_LOG = "lg as (select user_id as run, row_number() over (partition by user_id order by ts, event_id) as epoch, value as mse from events)"
+
+
+def _log(spark, d):
+    from pyspark.sql import Window
+
+    epoch = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    return table(spark, d, "events").select(F.col("user_id").alias("run"), epoch.alias("epoch"), F.col("value").alias("mse"))
+
+
+@query(f"with {_LOG} select run, idx, round(c / nullif(sy * sf, 0), 6) as r from (select run, epoch - 1 as idx, covar_pop(mse, epoch) over w as c, stddev_pop(mse) over w as sy, stddev_pop(epoch) over w as sf from lg window w as (partition by run order by epoch rows unbounded preceding)) where idx % 10 = 0 and idx > 0")
+def running_correlation(spark, d):
+    return _rounded(metrics.running_correlation(_log(spark, d), "run", "epoch", "mse", "epoch", 10), ["r"])
+
+
+@query(f"with {_LOG} select run, epoch, mse from (select *, row_number() over (partition by run order by mse, epoch) as k from lg) where k = 1")
+def best_epoch(spark, d):
+    return metrics.best_epoch(_log(spark, d), "run", "epoch", "mse")
+
+
+@query(f"with {_LOG} select run, epoch, mse, coalesce(mse < min(mse) over (partition by run order by epoch rows between unbounded preceding and 1 preceding), true) as is_best from lg")
+def running_best(spark, d):
+    return metrics.running_best(_log(spark, d), "run", "epoch", "mse")
+
+
+@query("select user_id, row_number() over (order by user_id) - 1 as idx from (select distinct user_id from events)")
+def dense_index(spark, d):
+    return metrics.dense_index(table(spark, d, "events"), "user_id")
+
+
+@query("select user_id, event_type, round(m, 6) as mean, round(1 - s / 0.5, 6) as confidence, round(greatest(0, 1 - s / 0.5), 6) as confidence_cut from (select user_id, event_type, avg(value / 100) as m, coalesce(stddev_samp(value / 100), 0) as s from events group by 1, 2)")
+def confidence(spark, d):
+    rows = table(spark, d, "events").withColumn("p", F.col("value") / 100)
+    return _rounded(metrics.confidence(rows, ["user_id", "event_type"], "p"), ["mean", "confidence", "confidence_cut"])
+
+
+# --- splits ------------------------------------------------------------------------------
+
+_K = "md5('{seed}|' || {key})"
+
+
+def _split_sql(source: str, key: str, ratio: str, seed: str) -> str:
+    return f"case when row_number() over (order by {_K.format(seed=seed, key=key)}, {key}::varchar) <= ceil(round({ratio} * (select count(*) from {source}), 9)) then 'test' else 'train' end"
+
+
+@query(f"select o_orderkey, {_split_sql('orders', 'o_orderkey', '0.2', 's1')} as split from orders")
+def split_random(spark, d):
+    return splits.random_split(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", 0.2, "s1")
+
+
+@query(f"with k as (select distinct l_partkey from lineitem), s as (select l_partkey, {_split_sql('k', 'l_partkey', '0.2', 's2')} as split from k) select l_orderkey, l_linenumber, l_partkey, split from lineitem join s using (l_partkey)")
+def split_by_key(spark, d):
+    return splits.split_by_key(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey", 0.2, "s2")
+
+
+_THREE = f"k as (select distinct l_suppkey from lineitem), a as (select l_suppkey, {_split_sql('k', 'l_suppkey', '0.2', 's3')} as first from k), h as (select l_suppkey from a where first = 'test'), b as (select l_suppkey, {_split_sql('h', 'l_suppkey', '0.5', 's3-2')} as second from h), n as (select l_suppkey, case when first = 'train' then 'train' when second = 'test' then 'test' else 'validation' end as split from a left join b using (l_suppkey))"
+
+
+@query(f"with {_THREE} select l_orderkey, l_linenumber, split from lineitem join n using (l_suppkey)")
+def split_three_way(spark, d):
+    return splits.three_way(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey"), "l_suppkey", "s3").drop("l_suppkey")
+
+
+@query(f"with {_THREE} select split, count(*) as rows, count(distinct l_suppkey) as cells, count(distinct l_partkey) as drugs from lineitem join n using (l_suppkey) group by 1")
+def split_summary(spark, d):
+    rows = splits.three_way(table(spark, d, "lineitem").select("l_partkey", "l_suppkey"), "l_suppkey", "s3")
+    return rows.groupBy("split").agg(F.count("*").alias("rows"), F.countDistinct("l_suppkey").alias("cells"), F.countDistinct("l_partkey").alias("drugs"))
+
+
+@query("with p as (select l_partkey, row_number() over (order by l_partkey) - 1 as place, count(*) over () as n from (select distinct l_partkey from lineitem)) select l_orderkey, l_linenumber, (place >= n // 5)::int + (place >= n * 2 // 5)::int + (place >= n * 3 // 5)::int + (place >= n * 4 // 5)::int as fold from lineitem join p using (l_partkey)")
+def leave_out_fold(spark, d):
+    return splits.leave_out(table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey"), "l_partkey").drop("l_partkey")
+
+
+def _strata(source: str, seed: str) -> str:
+    return f"select doc_id, toxic, case when row_number() over (partition by toxic order by {_K.format(seed=seed, key='doc_id')}, doc_id::varchar) <= ceil(round(0.2 * count(*) over (partition by toxic), 9)) then 'test' else 'train' end as split from {source}"
+
+
+@query(_strata("labels", "s4"))
+def split_stratified(spark, d):
+    return splits.stratified(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "toxic", 0.2, "s4")
+
+
+@query(f"with b as (select doc_id, toxic from (select doc_id, toxic, row_number() over (partition by toxic order by {_K.format(seed='s5-balance', key='doc_id')}, doc_id::varchar) as k from labels) where k <= (select min(n) from (select count(*) as n from labels group by toxic))) " + _strata("b", "s5"))
+def balance_binary(spark, d):
+    return splits.balanced(table(spark, d, "labels").select("doc_id", "toxic"), "doc_id", "toxic", 0.2, "s5")
+
+
+# --- sequences ---------------------------------------------------------------------------
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+_IDS = f"list_transform(range(length(p_name)), lambda i: nullif(strpos('{_LETTERS} ', p_name[i + 1]), 0)::int)"
+
+
+def _ids(text="p_name"):
+    return sequence.token_ids(sequence.tokenised(F.col(text)), {c: k for k, c in enumerate(_LETTERS + " ", 1)})
+
+
+@query(f"select p_partkey, {_IDS} as ids from part")
+def tokenise(spark, d):
+    return table(spark, d, "part").select("p_partkey", _ids().alias("ids"))
+
+
+@query("select token, count(*) as n from (select unnest(string_split(replace(lower(text), chr(10), ' '), ' ')) as token from documents) group by 1")
+def token_counts(spark, d):
+    docs = table(spark, d, "documents").select(F.split(F.translate(F.lower("text"), "\n", " "), " ").alias("tokens"))
+    return sequence.token_counts(docs, "tokens")
+
+
+@query(f"with t as (select p_partkey, {_IDS} as ids from part) select p_partkey, list_slice(list_concat(ids, list_transform(range(12), lambda i: 0)), 1, 12) as ids, list_transform(range(1, 13), lambda k: (k <= len(ids))::int) as mask from t")
+def pad_mask(spark, d):
+    rows = table(spark, d, "part").select("p_partkey", _ids().alias("raw"))
+    return rows.select("p_partkey", C.padded(F.col("raw"), 12).alias("ids"), C.pad_mask(F.col("raw"), 12).alias("mask"))
+
+
+@query(f"select p_partkey, list_sort(list_distinct({_IDS})) as fingerprint from part")
+def subword_fingerprint(spark, d):
+    return table(spark, d, "part").select("p_partkey", sequence.fingerprint(_ids()).alias("fingerprint"))
+
+
+_MERGES = [("i", "n"), ("in", "g"), ("t", "h"), ("th", "e</w>"), ("e", "r"), ("o", "n"), ("a", "n"), ("r", "e"), ("s", "t"), ("l", "e")]
+
+
+@query()
+def subword_encode(spark, d):
+    words = table(spark, d, "documents").select("doc_id", F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    return sequence.subword_encoded(words, "word", _MERGES)
+
+
+@query("select p_partkey, case when length(p_name) >= 8 then list_transform(range(length(p_name) - 7), lambda i: substr(p_name, i + 1, 8)) else [rpad(p_name, 8, '_')] end as lingos from part")
+def lingo_windows(spark, d):
+    return table(spark, d, "part").select("p_partkey", sequence.lingos(F.col("p_name")).alias("lingos"))
+
+
+@query()
+def lingo_elements(spark, d):
+    return table(spark, d, "part").select("p_partkey", sequence.lingos(F.col("p_name"), 8, ("ing", "re", "th"), "123").alias("lingos"))
+
+
+_LV = "v as (select distinct substr(p_name, 1, 8) as key, [length(p_name)::double, p_size::double] as vec from part where p_partkey < 40 and length(p_name) >= 8 qualify row_number() over (partition by substr(p_name, 1, 8) order by p_partkey) = 1)"
+
+
+@query(f"with {_LV}, w as (select p_partkey, unnest(l) as part, len(l) as total from (select p_partkey, case when length(p_name) >= 8 then list_transform(range(length(p_name) - 7), lambda i: substr(p_name, i + 1, 8)) else [rpad(p_name, 8, '_')] end as l from part)) select p_partkey, [round(sum(coalesce(vec[1], 0)) / max(total), 6), round(sum(coalesce(vec[2], 0)) / max(total), 6)] as vec from w left join v on v.key = w.part group by 1")
+def lingo_mean_embedding(spark, d):
+    part = table(spark, d, "part")
+    vectors = part.where("p_partkey < 40 and length(p_name) >= 8").groupBy(F.substring("p_name", 1, 8).alias("key")).agg(F.min_by(F.array(F.length("p_name").cast("double"), F.col("p_size").cast("double")), "p_partkey").alias("vec"))
+    means = sequence.lingo_mean(part.select("p_partkey", sequence.lingos(F.col("p_name")).alias("lingos")), "p_partkey", "lingos", vectors, 2)
+    return means.select("p_partkey", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
+
+
+# --- neighbours --------------------------------------------------------------------------
+
+_CELLS = "ce as (select s_suppkey as cell, embedding as vec from supplier join embeddings on s_suppkey = vec_id)"
+
+
+def _cells(spark, d):
+    return table(spark, d, "supplier").select(F.col("s_suppkey").alias("vec_id")).join(table(spark, d, "embeddings"), "vec_id").select(F.col("vec_id").alias("cell"), F.col("embedding").alias("vec"))
+
+
+@query(f"with {_CELLS} select a.cell as a, b.cell as b, round(sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.vec[i]::double - b.vec[i]::double) ** 2))), 6) as dist from ce a, ce b")
+def euclid_pairs(spark, d):
+    return _rounded(neighbours.euclid_pairs(_cells(spark, d), "cell", "vec"), ["dist"])
+
+
+_BITS = "bi as (select p_brand as k, unnest(list_distinct(list(p_size * 7 % 31))) as bit from part group by 1), nb as (select k, count(*) as n from bi group by 1)"
+
+
+def _bits(spark, d):
+    return table(spark, d, "part").groupBy("p_brand").agg(F.collect_set(F.col("p_size") * 7 % 31).alias("bits"))
+
+
+@query(f"with {_BITS} select a.k as a, b.k as b, round(1 - count(*) / (max(x.n) + max(y.n) - count(*)), 6) as dist from bi a join bi b on a.bit = b.bit and a.k < b.k join nb x on x.k = a.k join nb y on y.k = b.k group by 1, 2")
+def tanimoto_pairs(spark, d):
+    return _rounded(neighbours.tanimoto_pairs(_bits(spark, d), "p_brand", "bits"), ["dist"])
+
+
+_KNN = f"with {_BITS}, {_CELLS}, dd as (select a.k as td, b.k as rd, 1 - coalesce((select count(*) from bi p join bi q using (bit) where p.k = a.k and q.k = b.k), 0) / (a.n + b.n - coalesce((select count(*) from bi p join bi q using (bit) where p.k = a.k and q.k = b.k), 0)) as dd from nb a, nb b), cd as (select a.cell as tc, b.cell as rc, sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.vec[i]::double - b.vec[i]::double) ** 2))) as cd from ce a, ce b where a.cell < 8 and b.cell < 8), r as (select row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_quantity) as id, p_brand as drug, l_suppkey as cell, l_quantity as label, l_linenumber from lineitem join part on l_partkey = p_partkey where l_suppkey < 8 and p_size <= 10), p as (select t.id as test_id, r.id as train_id, r.label, dd, cd, max(cd) over (partition by t.id) as lo, (select max(cd) from cd) as gl from r t join dd on dd.td = t.drug join r on r.drug = dd.rd and r.l_linenumber > 1 join cd on cd.tc = t.cell and cd.rc = r.cell where t.l_linenumber = 1), s as (select test_id, train_id, label, 'local' as scale, round(dd + coalesce(cd / nullif(lo, 0), 0), 9) as d from p union all select test_id, train_id, label, 'global', round(dd + coalesce(cd / nullif(gl, 0), 0), 9) from p), k as (select *, row_number() over (partition by test_id, scale order by d, train_id) as rank from s qualify rank <= 3)"
+
+
+def _knn(spark, d):
+    from pyspark.sql import Window
+
+    part = table(spark, d, "part").where("p_size <= 10").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("drug"))
+    rows = table(spark, d, "lineitem").where("l_suppkey < 8").join(part, "l_partkey")
+    rows = rows.withColumn("id", F.row_number().over(Window.orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"))).select("id", "drug", F.col("l_suppkey").alias("cell"), F.col("l_quantity").alias("label"), "l_linenumber")
+    sets = _bits(spark, d)
+    near = neighbours.tanimoto_pairs(sets, "p_brand", "bits")
+    keys = sets.select("p_brand")
+    both = near.union(near.select("b", "a", "dist"))
+    full = keys.toDF("a").crossJoin(keys.toDF("b")).join(both, ["a", "b"], "left").select("a", "b", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.coalesce("dist", F.lit(1.0))).alias("dist"))
+    cells = neighbours.euclid_pairs(_cells(spark, d).where("cell < 8"), "cell", "vec")
+    return neighbours.nearest(rows.where("l_linenumber = 1").withColumnRenamed("id", "test_id"), rows.where("l_linenumber > 1").withColumnRenamed("id", "train_id"), full, cells, 3)
+
+
+@query()
+def knn_neighbours(spark, d):
+    return _knn(spark, d)
+
+
+@query()
+def knn_predict(spark, d):
+    return _rounded(neighbours.predicted(_knn(spark, d)), ["prediction"])
+
+
+# --- scoring, graphs, ingestion ----------------------------------------------------------
+
+
+def _linear():
+    return lambda batch: batch["l_quantity"] * 0.5 + batch["l_discount"] * 2.0
+
+
+@query("select l_orderkey, l_linenumber, round(l_quantity * 0.5 + l_discount * 2.0, 6) as prediction from lineitem")
+def score_pairs(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount")
+    return _rounded(scoring.score_pairs(rows, _linear, ["l_orderkey", "l_linenumber"]), ["prediction"])
+
+
+def _edges(spark, d):
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("graph_id"), F.col("l_linenumber").cast("long").alias("src"), (F.col("l_suppkey") % 7).alias("dst"))
+
+
+@query("select distinct * from (select l_orderkey as graph_id, l_linenumber::bigint as src, l_suppkey % 7 as dst from lineitem union all select l_orderkey, l_suppkey % 7, l_linenumber::bigint from lineitem)")
+def directed_edges(spark, d):
+    return graphs.directed(_edges(spark, d))
+
+
+@query("select l_orderkey as graph_id, l_linenumber::bigint as src, l_suppkey % 7 as dst, [1, 2, 3, 4, 5] as attr from lineitem union all select o_orderkey, 0, 0, [0, 5, 8, 10, 12] from orders")
+def self_loops(spark, d):
+    edges = _edges(spark, d).withColumn("attr", F.array(*map(F.lit, (1, 2, 3, 4, 5))))
+    return graphs.with_self_loops(edges, table(spark, d, "orders").select(F.col("o_orderkey").alias("graph_id"), F.lit(0).cast("long").alias("node")))
+
+
+@query("select o_orderkey as graph_id, o_custkey as batch_id, o_orderkey % 9 + 1 as num_nodes, coalesce(sum(o_orderkey % 9 + 1) over (partition by o_custkey order by o_orderkey rows between unbounded preceding and 1 preceding), 0)::bigint as \"offset\" from orders")
+def batch_offsets(spark, d):
+    return graphs.batch_offsets(table(spark, d, "orders").select(F.col("o_orderkey").alias("graph_id"), F.col("o_custkey").alias("batch_id"), (F.col("o_orderkey") % 9 + 1).alias("num_nodes")))
+
+
+@query("select l_orderkey, l_linenumber as a, (l_suppkey % 5) + 8 as b, (l_partkey % 3) + 13 as c from lineitem")
+def category_offsets(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", F.col("l_linenumber").alias("a"), (F.col("l_suppkey") % 5).alias("b"), (F.col("l_partkey") % 3).alias("c"))
+    a, b, c = graphs.category_ids(["a", "b", "c"], [8, 5, 3])
+    return rows.select("l_orderkey", a.alias("a"), b.alias("b"), c.alias("c"))
+
+
+@query("select event_id, user_id, value from events where value >= 1")
+def incremental_ingest(spark, d):
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ingest-")
+    import uuid
+
+    work = f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    events = table(spark, d, "events").select("event_id", "user_id", "value")
+    for half in (0, 1):  # the folder grows between two runs of the job
+        events.where(F.col("event_id") % 2 == half).repartition(2).write.mode("append").parquet(f"{work}/in")
+        ingest.ingest(spark, f"{work}/in", "event_id long, user_id long, value double", f"{work}/out", f"{work}/state", F.when(F.col("value") < 1, "too small"), f"{work}/rejects", 2)
+    return spark.read.parquet(f"{work}/out")
+
+
+@query("select distinct 'D' || l_partkey as drug_name, 'C' || l_suppkey as cell_line from lineitem a where not exists (select 1 from lineitem b where b.l_linestatus = 'F' and a.l_partkey = b.l_partkey and a.l_suppkey = b.l_suppkey)")
+def resume_pairs(spark, d):
+    rows = table(spark, d, "lineitem").select(F.concat(F.lit("D"), "l_partkey").alias("drug_name"), F.concat(F.lit("C"), "l_suppkey").alias("cell_line"), "l_linestatus")
+    keys = ["drug_name", "cell_line"]
+    return ingest.not_done(rows.select(*keys).distinct(), rows.where("l_linestatus = 'F'"), keys)
