@@ -22,6 +22,25 @@ class Source:
     prediction: tuple[str, ...]
 
 
+#: Each method's file, drug, cell and prediction columns.
+STANDARD = (
+    ("BANDRP", "bandrp_predictions*", "DrugName", "CellLineID", ("PredictedValue",)),
+    ("DeepTTA", "DeepTTC_predictions*", "DrugName", "COSMIC_ID", ("Predicted_LN_IC50",)),
+    ("DIPK", "DIPK_predictions*", "drug_id", "cell_line_name", ("predicted_ic50",)),
+    ("GPDRP_GAT", "GPDRP_predictions_GAT*", "drug_name", "cell_line_name", ("predicted_ic50_original",)),
+    ("GPDRP_GCN", "GPDRP_predictions_GCN*", "drug_name", "cell_line_name", ("predicted_ic50_original",)),
+    ("GraphDRP_GAT_GCN", "GraphDRP_predictions_GAT_GCN*", "drug_name", "cell_line_name", ("IC50_original",)),
+    ("GraphDRP_GATNet", "GraphDRP_predictions_GATNet*", "drug_name", "cell_line_name", ("IC50_original",)),
+    ("paccmann", "paccmann_predictions*", "drug_name", "cell_line_name", ("predicted_value_denormalized",)),
+    ("Precily", "Precily_predictions*", "drug_name", "cell_line_name", ("predicted_ic50", "predicted_ic50_mean")),
+)
+
+
+def standard_sources(folder: str) -> list[Source]:
+    """The nine methods' files in a folder, by pattern, so that all parts of a file count."""
+    return [Source(m, f"{folder.rstrip('/')}/{f}", d, c, p) for m, f, d, c, p in STANDARD]
+
+
 def normalised(df: DataFrame, drug: str, cell: str, prediction: str, method: str | Column) -> DataFrame:
     """(drug_name, cell_line, prediction, method) without rows that lack a key or a number."""
     method = F.lit(method) if isinstance(method, str) else method

@@ -9,6 +9,17 @@ from dosegrid.functions.columns import strip
 
 #: Aliases of development phases.
 PHASES = {"PR": "Preclinical", "P2": "Phase 2", "AP": "Approved", "P3": "Phase 3", "P1": "Phase 1", "E1": "Early Phase 1"}
+#: Letters of natural-product pathways.
+PATHWAYS = {"a": "Shikimates and Phenylpropanoids", "b": "Polyketides", "c": "Terpenoids", "d": "Amino acids and Peptides", "e": "Carbohydrates", "f": "Alkaloids", "g": "Fatty acids"}
+#: The one code whose phrase leaves a letter out.
+SHORT_PATHWAYS = {"adfg": "Alkaloids, Amino acids and Peptides, Fatty acids"}
+#: Drug names of a threshold table and the names they stand for.
+NAME_CORRECTIONS = {
+    "VX-680": "Tozasertib", "Mitomycin C": "Mitomycin-C", "HG-6-64-1": "HG6-64-1", "BAY 61-3606": "BAY-61-3606", "Zibotentan, ZD4054": "Zibotentan", "PXD101, Belinostat": "Belinostat",
+    "NU-7441": "NU7441", "BIRB 0796": "BIRB-796", "Nutlin-3a": "Nutlin-3a (-)", "AZD6482.1": "AZD6482", "BMS-708163.1": "BMS-708163", "BMS-536924.1": "BMS-536924", "GSK269962A.1": "GSK269962A",
+    "SB-505124": "SB505124", "JQ1.1": "JQ1", "UNC0638.1": "UNC0638", "CHIR-99021.1": "CHIR-99021", "piperlongumine": "Piperlongumine", "PLX4720 (rescreen)": "PLX4720",
+    "Afatinib (rescreen)": "Afatinib", "Olaparib.1": "Olaparib", "AZD6244.1": "AZD6244", "Bicalutamide.1": "Bicalutamide", "RDEA119 (rescreen)": "RDEA119", "GDC0941 (rescreen)": "GDC0941", "MLN4924 ": "MLN4924",
+}
 
 
 def usable(smiles: Column) -> Column:
@@ -36,6 +47,23 @@ def letters_key(code: str) -> str:
     return "".join(sorted(code.lower()))
 
 
+def pathway_phrase(code: str) -> str | None:
+    """The class text of a set of pathway letters, its parts in alphabetical order; None for 'all'; an unknown code stands for itself."""
+    key = letters_key(code)
+    if key == letters_key("all"):
+        return None
+    if key in SHORT_PATHWAYS:
+        return SHORT_PATHWAYS[key]
+    known = key and set(key) <= set(PATHWAYS) and len(set(key)) == len(key)
+    return ", ".join(sorted(PATHWAYS[c] for c in key)) if known else code
+
+
+def by_pathway(df: DataFrame, column: str, code: str) -> DataFrame:
+    """Rows whose class is that of the code; 'all': rows with a class."""
+    phrase = pathway_phrase(code)
+    return df.where(F.col(column).isNotNull() if phrase is None else F.col(column) == phrase)
+
+
 def distinct_drugs(df: DataFrame, name: str, smiles: str, limit: int | None = None) -> DataFrame:
     found = df.select(F.col(name).alias("drug_name"), F.regexp_replace(smiles, "\r$", "").alias("smiles")).distinct()
     return found.orderBy("drug_name", "smiles").limit(limit) if limit is not None else found

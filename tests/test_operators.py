@@ -26,6 +26,9 @@ def test_read_sources_reports_missing(spark, tmp_path):
     found, report = consensus.read_sources(spark, sources)
     assert rows(found) == [("x", "y", 1.0, "A")]
     assert rows(report) == [("A", "read"), ("B", "lacks a column"), ("C", "absent")]
+    (tmp_path / "Precily_predictions_2.csv").write_text("drug_name,cell_line_name,predicted_ic50_mean\nd,c,4\n")
+    found, report = consensus.read_sources(spark, consensus.standard_sources(str(tmp_path)))
+    assert rows(found) == [("d", "c", 4.0, "Precily")] and report.where("status = 'absent'").count() == 8
 
 
 def test_pivot_impute_top_k(spark):
@@ -66,6 +69,8 @@ def test_drug_rules(spark):
     assert [r["n"] for r in df.where(druglist.usable(F.col("s"))).collect()] == ["a"]
     assert sorted(r["n"] for r in druglist.by_class(df, "p", ["P1"]).collect()) == ["a", "c"]
     assert druglist.letters_key("CaB") == "abc"
+    assert druglist.pathway_phrase("Ca") == "Shikimates and Phenylpropanoids, Terpenoids" and druglist.pathway_phrase("ALL") is None and druglist.pathway_phrase("xyz") == "xyz"
+    assert [r["n"] for r in druglist.by_pathway(df.withColumn("p", F.when(F.col("n") == "a", "Terpenoids")), "p", "c").collect()] == ["a"]
 
 
 def test_alignment_policies(spark):
