@@ -39,7 +39,7 @@ T, RUNS, SMALL = 64, 12, 128
 #: Places that two embeddings must agree in to be candidates: far below what similar sets have.
 AGREE = 32
 #: Classes, and shingles, that a verifying task holds of one block.
-BLOCK, BLOCK_SHINGLES = 512, 1_000_000
+BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
 _SEEDS = common.mix(np.arange(1, T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -268,7 +268,7 @@ def similarity_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -
 
     # null keys meet too: a class of rows without ids is found by its null
     wanted = member.select(F.col("doc_id").alias("_key"), "class", "id", "members")
-    found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_key"])).select("text", "class", "id", "members")
+    found = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["_key"])).select("text", "class", "id", "members")
     sets = common.kept(found.mapInArrow(with_sets, "id bigint, members bigint, set binary").dropDuplicates(["id"]), "sets")
     place = member.select("id", "cluster").join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"), (F.col("block") > k).cast("int").alias("side")))
