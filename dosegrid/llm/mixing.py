@@ -74,7 +74,7 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 
 def _evidence(docs: DataFrame, domains: DataFrame, text: str, key: str) -> np.ndarray:
-    """Naive Bayes weights of buckets for each domain, from all labelled rows; little evidence counts nothing."""
+    """Naive Bayes weights of buckets for each domain, from all labelled rows; little evidence and weak leanings count nothing."""
     k = len(DOMAINS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,13 +96,13 @@ def _evidence(docs: DataFrame, domains: DataFrame, text: str, key: str) -> np.nd
     size, n = n[-1], n[:-1]
     if not size.sum():
         return np.zeros((BUCKETS, k), np.float32)
-    share = size / size.sum()
+    share = (size + 0.5) / (size.sum() + 0.5 * k)
     total = n.sum(1, keepdims=True)
     expected = total * share
     with np.errstate(divide="ignore", invalid="ignore"):
         strength = 2 * np.where(n > 0, n * np.log(n / expected), 0).sum(1)
     ratio = np.log((n + 2 * share) / (expected + 2 * share))
-    return np.where(strength[:, None] > 30, np.clip(ratio, -3, 3), 0).astype(np.float32)
+    return np.where((strength[:, None] > 30) & (abs(ratio) > 1), np.clip(ratio, -3, 3), 0).astype(np.float32)
 
 
 def _softmax_fit(x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
