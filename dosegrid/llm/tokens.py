@@ -41,8 +41,10 @@ class ByteBpe:
         ranks = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
         self.size = 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
         self.n_bytes = np.zeros(self.size, np.int64)
+        self.spaced = np.zeros(self.size, bool)  # ids whose first byte is a space
         for token, i in ranks.items():
             self.n_bytes[i] = len(token)
+            self.spaced[i] = token[:1] == b" "
         self._fast = tiktoken.Encoding("local", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._full = Tokenizer.from_file(path)
         self._full.encode_special_tokens = True
@@ -54,6 +56,14 @@ class ByteBpe:
         return np.array(self._full.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
+    def word_ids(self, words: list[str]) -> list[np.ndarray]:
+        """Ids of each word, after a space. Words hold no ASCII white space, so plain ones are encoded together and parted at the spaces."""
+        plain = [bool(_PLAIN.fullmatch(w)) for w in words]
+        ids = self.ids("".join(" " + w for w, p in zip(words, plain, strict=True) if p))
+        parts = iter(np.split(ids, np.flatnonzero(self.spaced[ids])[1:]))
+        return [next(parts) if p else self.ids(" " + w) for w, p in zip(words, plain, strict=True)]
+
+
 @lru_cache(2)
 def byte_bpe(path: str) -> ByteBpe:
     """One for each worker process and file."""
