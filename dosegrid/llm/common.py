@@ -17,6 +17,7 @@ SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 IS_SPACE = np.isin(np.arange(256), list(SPACES))
 #: Bytes of text that one vectorised step handles at most (a longer text is a step of its own).
 STEP_BYTES = 1 << 20
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own_folder: list[str] = []
 
 
@@ -38,7 +39,12 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     """Write df as a table in the shared folder and read it back: lineage ends here, and lost executors lose nothing."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")  # shuffle files go as soon as the table is there
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

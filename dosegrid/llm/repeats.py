@@ -11,8 +11,9 @@ under a difference cover, but only one place in sixteen is sampled.
    strings). Of equal contexts in a task, all but those of the smallest id are repeats.
 2. The others are dealt by name and sorted. Where all contexts of a name are equal, they
    are repeats of the smallest id. Elsewhere the smallest id of each context stays open.
-3. Each string of an open place is named by its hash; by names, the smallest id is kept
-   and the others are repeats.
+3. Each string of an open place is named by its hash. Equal strings have places of one
+   name, so they are dealt by that name once more; the smallest id is kept and the
+   others are repeats.
 
 Names and contexts are 64-bit hashes. Nothing is sampled away or capped. Null texts are
 empty. Rows with one id never repeat each other; a null id counts as the largest. Rows
@@ -36,10 +37,9 @@ from dosegrid.llm.chosen_path import grouped
 LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM + 1  # places of a string
 NO_ID = (1 << 63) - 1
-#: Places that a task holds before it writes them out: 40 bytes each.
-HELD = 2_000_000
+#: Places that a task holds before it writes them out: 36 bytes each.
+HELD = 3_000_000
 _PLACE = np.dtype([("name", "<u8"), ("context", "<u8"), ("id", "<i8"), ("tag", "<u4"), ("first", "<i4"), ("last", "<i4")])
-_RANGE = np.dtype([("id", "<i8"), ("tag", "<u4"), ("first", "<i4"), ("last", "<i4")])
 
 
 def sampled_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,17 +95,39 @@ def settle(places: np.ndarray, whole: bool) -> tuple[np.ndarray, np.ndarray]:
     return places[repeat], places[is_open]
 
 
-def _ranges(places: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(places), _RANGE)
-    for k in _RANGE.names:
-        out[k] = places[k]
+def packed(places: np.ndarray) -> bytes:
+    """Places as columns of few bytes: texts as numbers into a table, names cut to 48 bits, ends as lengths."""
+    texts, number = np.unique(places[["id", "tag"]], return_inverse=True)
+    head = np.array([len(places), len(texts)], "<i8")
+    name = places["name"]
+    columns = (texts["id"], texts["tag"], number.astype("<u2" if len(texts) <= 1 << 16 else "<u4"), name.astype("<u4"), (name >> np.uint64(32)).astype("<u2"), places["context"], places["first"], (places["last"] - places["first"]).astype("u1"))
+    return b"".join([head.tobytes(), *(c.tobytes() for c in columns)])
+
+
+def unpacked(body: bytes) -> np.ndarray:
+    n, k = np.frombuffer(body, "<i8", 2).tolist()
+    at = 16
+
+    def take(kind: str, m: int) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(body, kind, m, at)
+        at += out.nbytes
+        return out
+
+    ids, tags = take("<i8", k), take("<u4", k)
+    number = take("<u2" if k <= 1 << 16 else "<u4", n)
+    out = np.zeros(n, _PLACE)
+    out["id"], out["tag"] = ids[number], tags[number]
+    low, high = take("<u4", n), take("<u2", n)
+    out["name"] = low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32)
+    out["context"], out["first"] = take("<u8", n), take("<i4", n)
+    out["last"] = out["first"] + take("u1", n)
     return out
 
 
 def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(_id, _tag, ranges) of all texts with repeats: ranges (first, last) of starts of repeated strings; _id: key, _tag: crc32 of the text."""
-    spark = df.sparkSession
-    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,14 +137,15 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
             done, rest = settle(np.concatenate(held), False)
             held.clear()
             rows, bodies, kinds = [], [], []
-            for part, kind, where in ((_ranges(done), 1, (done["id"] * 31 + done["first"]) % buckets), (rest, 0, (rest["name"] % np.uint64(buckets)).astype(np.int64))):
-                order = np.argsort(where, kind="stable")
+            for part, kind in ((done, 1), (rest, 0)):
+                where = (part["name"] % np.uint64(buckets)).astype(np.int64)
+                order = np.lexsort((part["first"], part["tag"], part["id"], where))
                 part, where = part[order], where[order]
                 found, first = np.unique(where, return_index=True)
                 for b, a, z in zip(found.tolist(), first.tolist(), np.append(first[1:], len(where)).tolist(), strict=True):
                     rows.append(b)
                     kinds.append(kind)
-                    bodies.append(b"".join(part[n][a:z].tobytes() for n in part.dtype.names))
+                    bodies.append(packed(part[a:z]))
             return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(kinds, pa.int64()), pa.array(bodies, pa.binary())], names=["bucket", "kind", "body"])
 
         for batch in batches:
@@ -131,6 +154,7 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                 places, owner = sampled_places(data, offsets)
                 tags = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)], np.uint32)
                 places["id"], places["tag"] = ids[row + owner], tags[owner]
+                places["name"] &= np.uint64((1 << 48) - 1)
                 held.append(places)
                 if sum(map(len, held)) >= HELD:
                     yield out()
@@ -138,28 +162,17 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
             yield out()
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def unpack(bodies: list[bytes], kind: np.dtype) -> np.ndarray:
-            parts = []
-            for body in bodies:
-                n = len(body) // kind.itemsize
-                part, at = np.zeros(n, kind), 0
-                for k in kind.names:
-                    part[k] = np.frombuffer(body, kind[k], n, at)
-                    at += n * kind[k].itemsize
-                parts.append(part)
-            return np.concatenate([np.zeros(0, kind), *parts])
-
         for _, kind, bodies in grouped(batches, 1):
-            done = unpack([b for b, k in zip(bodies, kind, strict=True) if k == 1], _RANGE)
-            more, left = settle(unpack([b for b, k in zip(bodies, kind, strict=True) if k == 0], _PLACE), True)
-            out = np.concatenate([done, _ranges(more), _ranges(left)])
-            state = np.repeat([False, True], [len(done) + len(more), len(left)])
-            yield pa.RecordBatch.from_arrays([pa.array(out["id"]), pa.array(out["tag"].astype(np.int64)), pa.array(out["first"]), pa.array(out["last"]), pa.array(state)], names=["_id", "_tag", "first", "last", "open"])
+            some = lambda want: np.concatenate([np.zeros(0, _PLACE), *(unpacked(b) for b, k in zip(bodies, kind, strict=True) if k == want)])  # noqa: E731, B023
+            more, left = settle(some(0), True)
+            out = np.concatenate([some(1), more, left])
+            state = np.arange(len(out)) >= len(out) - len(left)
+            name = pa.array(out["name"].astype(np.int64), mask=~state)
+            yield pa.RecordBatch.from_arrays([pa.array(out["id"]), pa.array(out["tag"].astype(np.int64)), pa.array(out["first"]), pa.array(out["last"]), name], names=["_id", "_tag", "first", "last", "name"])
 
     sampled = docs.mapInArrow(sample, "bucket bigint, kind bigint, body binary")
-    found = common.kept(sampled.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(resolve, "_id bigint, _tag bigint, first int, last int, open boolean"), "places")
+    found = common.kept(sampled.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(resolve, "_id bigint, _tag bigint, first int, last int, name bigint"), "places")
     tagged = docs.withColumn("_tag", F.crc32(F.col("_text").cast("binary")))
-    ranges = F.collect_list(F.struct("first", "last")).alias("ranges")
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,17 +183,34 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                 flat = spans.flatten()
                 first, last = (flat.field(k).to_numpy().astype(np.int64) for k in (0, 1))
                 n = last - first + 1
-                row_of = np.repeat(owner, n)
-                start = np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                at = start + offsets[row_of]
-                yield pa.RecordBatch.from_arrays([pa.array(common.span_hashes(data, at, at + LENGTH).view(np.int64)), part.column(0).take(pa.array(row_of)), part.column(1).take(pa.array(row_of)), pa.array(start.astype(np.int32))], names=["name", "_id", "_tag", "start"])
-
-    pending = found.where("open").groupBy("_id", "_tag").agg(ranges)
-    strings = tagged.join(pending, ["_id", "_tag"]).select("_id", "_tag", "_text", "ranges").dropDuplicates(["_id", "_tag"]).mapInArrow(names, "name bigint, _id bigint, _tag bigint, start int")
-    strings = common.kept(strings, "strings")
-    low = strings.groupBy("name").agg(F.min("_id").alias("low"), F.max("_id").alias("high")).where("low < high").select("name", "low")
-    more = strings.join(low, "name").where("_id > low").select("_id", "_tag", F.col("start").alias("first"), F.col("start").alias("last"))
-    return found.where("not open").select("_id", "_tag", "first", "last").union(more).groupBy("_id", "_tag").agg(ranges)
+                at = np.repeat(first + offsets[owner], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                hashes = common.span_hashes(data, at, at + LENGTH)
+                bodies = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(n * 8)]).astype(np.int32)), pa.py_buffer(hashes)])
+                yield pa.RecordBatch.from_arrays([flat.field(2), part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), flat.field(0), bodies], names=["name", "_id", "_tag", "first", "strings"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, ids, tags, first, bodies in grouped(batches, 1):
+            hashes = np.frombuffer(b"".join(bodies), np.uint64)
+            n = np.array([len(b) // 8 for b in bodies])
+            row = np.repeat(np.arange(len(n)), n)
+            start = np.repeat(first.astype(np.int64), n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            order = np.lexsort((ids[row], hashes))
+            lead = np.ones(len(order), bool)
+            lead[1:] = hashes[order][1:] != hashes[order][:-1]
+            low = ids[row[order]][np.flatnonzero(lead)][np.cumsum(lead) - 1]
+            again = np.sort(order[ids[row[order]] > low])
+            row, start = row[again], start[again]
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
+            begin = np.flatnonzero(new)
+            end = np.append(begin[1:], len(row)) - 1
+            yield pa.RecordBatch.from_arrays([pa.array(ids[row[begin]]), pa.array(tags[row[begin]]), pa.array(start[begin].astype(np.int32)), pa.array(start[end].astype(np.int32))] if len(begin) else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())], names=["_id", "_tag", "first", "last"])
+
+    pending = found.where("name is not null").groupBy("_id", "_tag").agg(F.collect_list(F.struct("first", "last", "name")).alias("ranges"))
+    strings = tagged.join(pending.hint("merge"), ["_id", "_tag"]).select("_id", "_tag", "_text", "ranges").mapInArrow(names, "name bigint, _id bigint, _tag bigint, first int, strings binary")
+    dealt = strings.select(F.pmod("name", F.lit(buckets)).alias("bucket"), "name", "_id", "_tag", "first", "strings").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    more = common.kept(dealt.mapInArrow(compare, "_id bigint, _tag bigint, first int, last int"), "strings")
+    return found.where("name is null").select("_id", "_tag", "first", "last").union(more).groupBy("_id", "_tag").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
 def without_repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -190,7 +220,7 @@ def without_repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
     others = df.columns
     place = others.index(text)
     keyed = df.withColumns({"_id": F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), "_tag": F.crc32(F.coalesce(text, F.lit("")).cast("binary"))})
-    joined = keyed.join(repeats(df, text, key), ["_id", "_tag"], "left").select(*others, "ranges")
+    joined = keyed.join(repeats(df, text, key).hint("merge"), ["_id", "_tag"], "left").select(*others, "ranges")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
