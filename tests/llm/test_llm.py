@@ -395,6 +395,33 @@ def test_lm_base_scores_and_growth(spark, docs, empty):
     assert lm.scored(docs.select("doc_id", "text"), lm.fit(empty, path)).count() == docs.count()
 
 
+def test_lm_trains_on_all_of_every_text_and_spelling(spark, monkeypatch):
+    path = tokens.default_path()
+    train = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(1800)))], "doc_id long, text string")
+
+    def moved(m, ids):
+        start, rows = attention.start(m.words), m.words.vector_of[np.array(ids)]
+        return (m.weights["vectors"][rows] != start["vectors"][rows]).any(1).all()
+
+    m = lm.fit(train, path).model
+    assert len(m.units) == 1801 and moved(m, list(m.units.values()))
+    monkeypatch.setattr(lm, "UNITS", 1)
+    long = "".join(random.Random(3).choices("bcdfghjklmnpqrstvwxz", k=200))
+    m = lm.fit(spark.createDataFrame([(1, f"a a a {' '.join(f'r{k}' for k in range(9))} {long}")], "doc_id long, text string"), path).model
+    for word in [b"r8", long.encode()]:
+        assert moved(m, m.spellings([word])[0][:-1])
+    assert len(m.spellings([long.encode()])[0]) > attention.WINDOW
+
+
+def test_lm_windows_learn_each_place_once():
+    ids = np.arange(200 * attention.STRIDE, dtype=np.int32)
+    step = lm.PIECE * attention.STRIDE
+    rows = [{"ids": ids[low : low + step - attention.STRIDE + attention.WINDOW + 1].tobytes(), "sizes": b"", "weights": b"", "kind": int(low > 0)} for low in range(0, len(ids), step)]
+    seen, length, first, _ = lm.training_sets(rows)[0]
+    learned = [x for row, n, k in zip(seen, length, first, strict=True) for x in row[k + 1 : n].tolist()]
+    assert sorted(learned) == list(range(1, len(ids)))
+
+
 def test_attention_is_a_distribution_and_its_gradient_is_right():
     r = np.random.default_rng(0)
     words = attention.vocabulary(r.integers(0, 50, 300).astype(float), r.integers(0, attention.GROUPS, 300))
