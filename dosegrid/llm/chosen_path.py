@@ -11,8 +11,12 @@ the value there; a bucket that is not small is split again, at places chosen by
 of its path. Small buckets are compared pair by pair in their embeddings. Before a
 large bucket is split, blocks of it are reduced to leaders: a class that is clearly
 similar to an earlier one of its block is linked to it and leaves. So a bucket shrinks
-whether its sets are alike or not. RUNS runs find a pair at the threshold with
-probability over 0.99 even if its bucket is split three times.
+whether its sets are alike or not. Of a pair at the threshold about one path goes on
+at each split, so the deeper the splits, the more pairs lose all paths: RUNS runs are
+the least, and runs with fresh places are added until there are as many as the deepest
+split asks for. Then recall is measured: of about QUERIES classes drawn by hash, all
+classes with embeddings alike in PROBE places are counted, and runs go on until TARGET
+of these pairs are in one cluster; pairs of the drawn classes are added as they are.
 
 Candidate links join classes to clusters, and within each cluster the exact similarity
 of every pair is counted from the whole sets, cluster by cluster or, for large ones,
@@ -24,6 +28,7 @@ other. Null ids are kept; a class's id is the smallest id among its documents.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +41,8 @@ from dosegrid.llm.components import components
 
 WORDS, THRESHOLD = 5, 0.8
 T, RUNS, SMALL = 64, 12, 128
+#: Share of pairs to be found, runs added when fewer are, classes drawn to measure it, and places in which their pairs agree (98% of pairs at the threshold do).
+TARGET, MORE, QUERIES, PROBE = 0.99, 6, 512, 45
 #: Places that two embeddings must agree in to be candidates: far below what similar sets have.
 AGREE = 32
 #: Classes, and shingles, that a verifying task holds of one block.
@@ -95,11 +102,19 @@ def chosen(path: np.ndarray) -> np.ndarray:
     return common.mix(path[:, None] ^ _SEEDS[None]) < np.uint64(int(2**64 / (THRESHOLD * T)))
 
 
-def root_places(seed: int = 1) -> list[tuple[int, int]]:
-    """(run, place) of the first splits; a run without a place gets one."""
-    r = np.random.default_rng(seed)
+def runs_for(depth: int) -> int:
+    """Runs that find TARGET of the pairs at the threshold after so many splits of the first buckets: one path goes on at each, on average."""
+    alive = 1.0
+    for _ in range(depth + 1):
+        alive = 1 - math.exp(-alive)
+    return math.ceil(math.log(1 - TARGET) / math.log(1 - alive))
+
+
+def root_places(first: int = 0, runs: int = RUNS) -> list[tuple[int, int]]:
+    """(run, place) of the first splits of runs from `first`; a run without a place gets one."""
+    r = np.random.default_rng(1 + first)
     out = []
-    for run in range(RUNS):
+    for run in range(first, first + runs):
         places = np.flatnonzero(r.random(T) < 1 / (THRESHOLD * T))
         out += [(run, int(p)) for p in (places if len(places) else [r.integers(T)])]
     return out
@@ -172,12 +187,12 @@ def _split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(new), batch.column(1).take(pa.array(i))], names=["path", "id"])
 
 
-def candidate_links(classes: DataFrame) -> DataFrame:
-    """(a, b): ids of classes (id, places) that a run has brought together and whose embeddings are alike."""
+def candidate_links(classes: DataFrame, first: int = 0, runs: int = RUNS) -> tuple[DataFrame, int]:
+    """(a, b): ids of classes (id, places) that one of the runs from `first` has brought together and whose embeddings are alike; and how often buckets were split."""
     places = classes.select("id", "places")
-    roots = F.array(*(F.xxhash64(F.lit(run), F.lit(p), F.substring("places", 4 * p + 1, 4)) for run, p in root_places()))
+    roots = F.array(*(F.xxhash64(F.lit(run), F.lit(p), F.substring("places", 4 * p + 1, 4)) for run, p in root_places(first, runs)))
     nodes = common.kept(classes.select(F.explode(roots).alias("path"), "id"), "nodes")
-    links = []
+    links, depth = [], 0
     while True:
         sizes = nodes.groupBy("path").agg(F.count("id").alias("size")).where("size > 1")
         full = common.kept(nodes.join(sizes, "path").join(places, "id").select("path", "id", "places", "size"), "buckets")
@@ -189,11 +204,60 @@ def candidate_links(classes: DataFrame) -> DataFrame:
         blocks = large.select("path", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / SMALL)).alias("block"), "id", "places")
         led = common.kept(blocks.repartition("path", "block").sortWithinPartitions("path", "block", "id").mapInArrow(_lead, "path bigint, id bigint, leader bigint"), "led")
         links.append(led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
+        depth += 1
         nodes = common.kept(led.where("id = leader").select("path", "id").join(places, "id").select("path", "id", "places").mapInArrow(_split, "path bigint, id bigint"), "nodes")
     out = links[0]
     for more in links[1:]:
         out = out.union(more)
-    return out.distinct()
+    return common.kept(out.distinct(), "links"), depth
+
+
+def probed(classes: DataFrame) -> DataFrame:
+    """(a, b): each of about QUERIES classes drawn by a hash, with every class whose embedding agrees with its own in PROBE places."""
+    draw = F.pmod(F.xxhash64("class"), F.lit(max(1, classes.count() // QUERIES)))
+    drawn = classes.where(draw == 0).select("id", "places").orderBy(F.xxhash64("class"), "id").limit(2 * QUERIES).collect()
+    ids = np.array([r["id"] for r in drawn], np.int64)
+    wanted = np.ascontiguousarray(np.frombuffer(b"".join(bytes(r["places"]) for r in drawn), np.uint32).reshape(-1, T).T)
+    shared = classes.sparkSession.sparkContext.broadcast((ids, wanted))
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, wanted = shared.value
+        for batch in batches:
+            other = batch.column(0).to_numpy()
+            p = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, T)
+            for low in range(0, len(p), 512):
+                part = p[low : low + 512]
+                same = np.zeros((len(part), len(ids)), np.uint8)
+                for k in range(T):
+                    same += part[:, k, None] == wanted[k]
+                i, j = np.nonzero(same >= PROBE)
+                keep = other[low + i] != ids[j]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[j[keep]]), pa.array(other[low + i[keep]])], names=["a", "b"])
+
+    return common.kept(classes.select("id", "places").mapInArrow(probe, "a bigint, b bigint"), "probed")
+
+
+def clustered(classes: DataFrame) -> tuple[DataFrame, float, int]:
+    """(id, root) of all classes with candidates, the share of probed pairs that the runs have put in one cluster, and the number of runs."""
+    pairs = probed(classes)
+    total = pairs.count()
+    links, runs, wanted, deepest = None, 0, RUNS, 0
+    while True:
+        found, depth = candidate_links(classes, runs, wanted - runs)
+        links = found if links is None else common.kept(links.union(found).distinct(), "links")
+        runs, deepest = wanted, max(deepest, depth)
+        if runs_for(deepest) > runs:
+            wanted = runs_for(deepest)
+            continue
+        clusters = components(links)
+        of = lambda k: clusters.select(F.col("id").alias(k), F.col("root").alias(f"root_{k}"))
+        met = pairs.join(of("a"), "a").join(of("b"), "b").where("root_a = root_b").count()
+        if met >= TARGET * total:
+            break
+        wanted = runs + MORE
+    if met < total:
+        clusters = components(links.union(pairs))
+    return clusters, met / total if total else 1.0, runs
 
 
 def pair_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -251,7 +315,7 @@ def similarity_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -
     rows = common.kept(described(docs, "text", "doc_id"), "described")
     full = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("members"), F.first("places").alias("places"), F.first("n").alias("n"))
     classes = common.kept(full.withColumn("id", F.monotonically_increasing_id()), "classes")
-    clusters = components(candidate_links(classes)).withColumnRenamed("root", "cluster")
+    clusters = clustered(classes)[0].withColumnRenamed("root", "cluster")
     member = common.kept(clusters.join(classes.select("id", "class", "doc_id", "members", "n"), "id"), "clusters")
     sizes = member.groupBy("cluster").agg(F.greatest(F.ceil(F.count("id") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
 

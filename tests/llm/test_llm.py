@@ -478,6 +478,21 @@ def test_mixing_meets_targets(spark, docs, empty):
     assert mixing.mixed(df, lab.limit(0)).where("rate is null").count() == 0
 
 
+def test_chosen_path_adds_runs_until_recall(spark, monkeypatch):
+    monkeypatch.setattr(chosen_path, "RUNS", 1)
+    rows = []
+    for k in range(150):
+        w = prose(160, 9000 + k).split()
+        rows += [(2 * k, " ".join(w)), (2 * k + 1, " ".join(w + [f"t{k}x{i}" for i in range(36)]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["class_id"] for r in chosen_path.similarity_classes(df).collect()}
+    assert sum(got[2 * k] == got[2 * k + 1] for k in range(150)) >= 0.98 * 150
+
+
+def test_runs_follow_the_deepest_split():
+    assert [chosen_path.runs_for(d) for d in (0, 3, 6)] == [5, 13, 20]
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline
 
