@@ -6,10 +6,13 @@ and unfolded to (sample_id, feature, value) rows; only their header is read firs
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dosegrid.functions.columns import number, strip
+from dosegrid.operators.pairs import numbered
 
 DRUGS = "drug_name string, smiles string"
 
@@ -30,13 +33,25 @@ def well_formed(spark: SparkSession, path: str, schema: str, sep: str = ",") ->
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").csv(path, sep=sep)
 
 
+def _lines(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
+    """The header, and the other lines of each file as a column `value`."""
+    lines = spark.read.option("header", True).option("sep", "\x01").option("quote", "").csv(path)  # no line holds that separator
+    return lines.columns[0] if lines.columns else "", lines.toDF("value") if lines.columns else spark.createDataFrame([], "value string")
+
+
+def cells_of(line: Column, sep: str) -> Column:
+    """A line's cells; where it has quotes, separators inside them do not count, and doubled quotes are one."""
+    literal = "\\Q" + sep + "\\E"
+    quoted = F.transform(F.regexp_extract_all(line, F.lit(f'("(?:[^"]|"")*"|(?:(?!{literal}).)*)(?:{literal}|$)'), F.lit(1)), lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, literal))
+
+
 def matrix(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """(sample_id, feature, pos, value) of a matrix with a header and an index column, however wide."""
-    lines = spark.read.text(path)
-    header = lines.limit(1).collect()
-    names = header[0][0].split(sep)[1:] if header else []
-    name = F.array(*(F.lit(n.strip().strip('"')) for n in names)) if names else F.array().cast("array<string>")
-    cells = lines.where(F.col("value") != (header[0][0] if header else "")).select(F.split("value", sep).alias("c"))
+    """(sample_id, feature, pos, value) of a matrix with a header and an index column, however wide. Cells may be quoted; each file's first line is its header."""
+    header, lines = _lines(spark, path)
+    names = next(csv.reader([header], delimiter=sep), [])[1:]
+    name = F.array(*(F.lit(n.strip()) for n in names)) if names else F.array().cast("array<string>")
+    cells = lines.select(cells_of(F.col("value"), sep).alias("c"))
     return cells.select(F.get("c", F.lit(0)).alias("sample_id"), F.posexplode(F.slice("c", 2, max(1, len(names)))).alias("pos", "raw")).select("sample_id", F.get(name, F.col("pos")).alias("feature"), "pos", number(strip(F.col("raw"))).alias("value"))
 
 
@@ -52,9 +67,10 @@ def feature_list(spark: SparkSession, path: str, sep: str = ",", encoding: str =
 
 
 def feature_column(spark: SparkSession, path: str, most: int, sep: str = "\t") -> DataFrame:
-    """(pos, feature): the first column's first `most` values below the header."""
+    """(pos, feature): the first column's first `most` values below the header, in the order of the file."""
     table = spark.read.option("header", True).csv(path, sep=sep)
-    return table.select(F.col(f"`{table.columns[0]}`").alias("feature")).limit(most).coalesce(1).select(F.monotonically_increasing_id().alias("pos"), "feature")
+    first = table.select(F.col(f"`{table.columns[0]}`").alias("feature")).withColumn("at", F.monotonically_increasing_id()).orderBy("at").limit(most)
+    return first.select((F.row_number().over(Window.orderBy("at")) - 1).alias("pos"), "feature")  # `most` rows
 
 
 def word_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame:
@@ -63,9 +79,9 @@ def word_vectors(spark: SparkSession, path: str, dim: int) -> DataFrame:
     return spark.read.text(path).select(parts.alias("p")).where(F.size("p") == dim + 1).select(F.get("p", F.lit(0)).alias("key"), F.slice("p", 2, dim).cast("array<float>").alias("vec"))
 
 
-def parameters(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON document of parameters; broken ones end up in _corrupt_record."""
-    return spark.read.option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+def parameters(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """JSON documents of parameters, one for each file or, without multi_line, each line; broken ones end up in _corrupt_record."""
+    return spark.read.option("multiLine", multi_line).option("mode", "PERMISSIVE").json(path)
 
 
 def chunk_files(spark: SparkSession, pattern: str, schema: str, least_bytes: int = 10) -> DataFrame:
@@ -74,6 +90,6 @@ def chunk_files(spark: SparkSession, pattern: str, schema: str, least_bytes: int
 
 
 def feature_index(rows: DataFrame, feature: str, order: str) -> DataFrame:
-    """(feature, idx): distinct features numbered by where they first appear. The table is a feature dictionary, small by nature."""
+    """(feature, idx): distinct features numbered by where they first appear."""
     first = rows.where(F.col(feature).isNotNull()).groupBy(F.col(feature).alias("feature")).agg(F.min(order).alias("first"))
-    return first.select("feature", (F.row_number().over(Window.orderBy("first", "feature")) - 1).alias("idx"))
+    return numbered(first, ["first", "feature"], "idx").select("feature", "idx")

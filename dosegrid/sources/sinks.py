@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,12 +11,25 @@ def safe_name(c: Column) -> Column:
     return F.regexp_replace(c, r"[^\p{L}\p{N}]", "_")
 
 
+def four_digits(c: Column) -> Column:
+    """%.4f of a number; null stays null, so that its cell is empty."""
+    return F.when(c.isNotNull(), F.format_string("%.4f", c.cast("double")))
+
+
 def write_global(df: DataFrame, path: str, score: str) -> None:
-    df.withColumn(score, F.format_string("%.4f", F.col(score))).write.option("header", True).csv(path)
+    df.withColumn(score, four_digits(F.col(score))).write.option("header", True).csv(path)
+
+
+def top_reports(scores: DataFrame, k: int, cell: str = "cell_line", drug: str = "drug_name", score: str = "ensemble_score") -> DataFrame:
+    """(cell, Rank, drug, score): the k lowest scores of each cell line, ties by drug."""
+    w = Window.partitionBy(cell).orderBy(F.col(score).asc_nulls_last(), drug)
+    return scores.withColumn("Rank", F.row_number().over(w)).where(F.col("Rank") <= k).select(cell, "Rank", drug, score)
 
 
-def write_reports(df: DataFrame, path: str, cell: str) -> None:
-    df.withColumn("cell_key", safe_name(F.col(cell))).write.partitionBy("cell_key").parquet(path)
+def write_reports(scores: DataFrame, path: str, k: int, cell: str = "cell_line", drug: str = "drug_name", score: str = "ensemble_score") -> None:
+    """A folder of CSV for each cell line with its k lowest scores, by rank and with four digits. Cell lines whose safe names are alike share a folder."""
+    found = top_reports(scores, k, cell, drug, score).withColumn("cell_key", safe_name(F.col(cell))).withColumn(score, four_digits(F.col(score)))
+    found.repartition("cell_key").sortWithinPartitions("cell_key", cell, "Rank").write.partitionBy("cell_key").option("header", True).csv(path)
 
 
 def write_chunks(df: DataFrame, path: str, *chunk_ids: str) -> None:
@@ -24,8 +37,9 @@ def write_chunks(df: DataFrame, path: str, *chunk_ids: str) -> None:
     df.repartition(*chunk_ids).write.partitionBy(*chunk_ids).option("header", True).csv(path)
 
 
-def append_rejects(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def write_batch(df: DataFrame, path: str, number: int) -> None:
+    """Rows of a numbered batch, in a folder of its own: a batch that is written again replaces itself."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
 
 
 def write_once(df: DataFrame, path: str) -> None:
