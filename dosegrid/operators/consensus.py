@@ -9,6 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dosegrid.functions.columns import number, strip
+from dosegrid.operators.pairs import numbered
+
+#: Distinct values that are counted together in the search for a median.
+BLOCK = 10_000
 
 
 @dataclass(frozen=True)
@@ -76,7 +80,17 @@ def pivoted(rows: DataFrame, methods: Sequence[str]) -> DataFrame:
 
 
 def medians(wide: DataFrame, methods: Sequence[str]) -> DataFrame:
-    return wide.agg(*(F.percentile(m, F.lit(0.5)).alias(f"med_{m}") for m in methods))
+    """One row of exact medians med_<method>: values are counted, numbered in order by ranges, and the middle one or two of each method are found by number."""
+    values = wide.select(F.explode(F.array(*(F.struct(F.lit(m).alias("method"), F.col(m).cast("double").alias("x")) for m in methods))).alias("v")).select("v.*").where("x is not null")
+    distinct = numbered(values.groupBy("method", "x").agg(F.count("*").alias("n")), ["method", "x"])
+    upto = distinct.groupBy("method", F.expr(f"row_no div {BLOCK}").alias("block")).agg(F.sum("n").alias("n"))  # counts by blocks of distinct values
+    before = upto.select("method", "block", (F.sum("n").over(Window.partitionBy("method").orderBy("block")) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("method")).alias("total"))
+    low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
+    hit = before.join(upto.select("method", "block", F.col("n").alias("size")), ["method", "block"]).where((F.col("before") <= high) & (F.col("before") + F.col("size") > low))
+    inside = distinct.withColumn("block", F.expr(f"row_no div {BLOCK}")).join(F.broadcast(hit), ["method", "block"])  # two blocks of each method at most
+    at = F.col("before") + F.sum("n").over(Window.partitionBy("method", "block").orderBy("x")) - F.col("n")
+    middle = inside.withColumn("at", at).select("method", "x", ((F.col("at") <= low) & (F.col("at") + F.col("n") > low)).cast("int").alias("a"), ((F.col("at") <= high) & (F.col("at") + F.col("n") > high)).cast("int").alias("b"))
+    return middle.where("a + b > 0").groupBy().pivot("method", list(methods)).agg(F.sum(F.col("x") * (F.col("a") + F.col("b"))) / 2).select(*(F.col(m).alias(f"med_{m}") for m in methods))
 
 
 def imputed(wide: DataFrame, methods: Sequence[str]) -> DataFrame:
@@ -106,3 +120,18 @@ def forest(wide: DataFrame, methods: Sequence[str], label: str, trees: int = 20,
 
     steps = [VectorAssembler(inputCols=list(methods), outputCol="features"), RandomForestRegressor(featuresCol="features", labelCol=label, predictionCol="ensemble_score", numTrees=trees, maxDepth=depth, seed=seed)]
     return Pipeline(stages=steps).fit(wide)
+
+
+def save_model(model, path: str) -> None:
+    """A fitted model with the order of its features."""
+    model.write().overwrite().save(path)
+
+
+def scored_by(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """(cell_line, drug_name, ensemble_score) of prediction rows under a stored model: its methods in its order, `-` in a method's name as `_`, other methods left out, gaps filled as in `imputed`."""
+    from pyspark.ml import PipelineModel
+
+    model = PipelineModel.load(path)
+    methods = list(model.stages[0].getInputCols())
+    named = rows.withColumn("method", F.translate("method", "-", "_"))
+    return model.transform(imputed(pivoted(named, methods), methods)).select("cell_line", "drug_name", "ensemble_score")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,10 +12,47 @@ from dosegrid.functions.columns import strip
 
 #: Aliases of development phases.
 PHASES = {"PR": "Preclinical", "P2": "Phase 2", "AP": "Approved", "P3": "Phase 3", "P1": "Phase 1", "E1": "Early Phase 1"}
-#: Letters of natural-product pathways.
-PATHWAYS = {"a": "Shikimates and Phenylpropanoids", "b": "Polyketides", "c": "Terpenoids", "d": "Amino acids and Peptides", "e": "Carbohydrates", "f": "Alkaloids", "g": "Fatty acids"}
-#: The one code whose phrase leaves a letter out.
-SHORT_PATHWAYS = {"adfg": "Alkaloids, Amino acids and Peptides, Fatty acids"}
+#: Codes of natural-product pathways and the class texts they stand for.
+PATHWAYS = {
+    "a": "Shikimates and Phenylpropanoids",
+    "b": "Polyketides",
+    "c": "Terpenoids",
+    "d": "Amino acids and Peptides",
+    "e": "Carbohydrates",
+    "f": "Alkaloids",
+    "g": "Fatty acids",
+    "ab": "Polyketides, Shikimates and Phenylpropanoids",
+    "ac": "Shikimates and Phenylpropanoids, Terpenoids",
+    "ad": "Amino acids and Peptides, Shikimates and Phenylpropanoids",
+    "ae": "Carbohydrates, Shikimates and Phenylpropanoids",
+    "af": "Alkaloids, Shikimates and Phenylpropanoids",
+    "ag": "Fatty acids, Shikimates and Phenylpropanoids",
+    "bc": "Polyketides, Terpenoids",
+    "bd": "Amino acids and Peptides, Polyketides",
+    "be": "Carbohydrates, Polyketides",
+    "bf": "Alkaloids, Polyketides",
+    "bg": "Fatty acids, Polyketides",
+    "cd": "Amino acids and Peptides, Terpenoids",
+    "ce": "Carbohydrates, Terpenoids",
+    "cf": "Alkaloids, Terpenoids",
+    "cg": "Fatty acids, Terpenoids",
+    "de": "Amino acids and Peptides, Carbohydrates",
+    "df": "Alkaloids, Amino acids and Peptides",
+    "dg": "Amino acids and Peptides, Fatty acids",
+    "ef": "Alkaloids, Carbohydrates",
+    "eg": "Carbohydrates, Fatty acids",
+    "fg": "Alkaloids, Fatty acids",
+    "abc": "Polyketides, Shikimates and Phenylpropanoids, Terpenoids",
+    "bcf": "Alkaloids, Polyketides, Terpenoids",
+    "bcg": "Fatty acids, Polyketides, Terpenoids",
+    "bdf": "Alkaloids, Amino acids and Peptides, Polyketides",
+    "bdg": "Amino acids and Peptides, Fatty acids, Polyketides",
+    "cdf": "Alkaloids, Amino acids and Peptides, Terpenoids",
+    "adfg": "Alkaloids, Amino acids and Peptides, Fatty acids",
+    "adf": "Alkaloids, Amino acids and Peptides, Shikimates and Phenylpropanoids",
+    "acd": "Amino acids and Peptides, Shikimates and Phenylpropanoids, Terpenoids",
+    "ade": "Amino acids and Peptides, Carbohydrates, Shikimates and Phenylpropanoids",
+}
 #: Drug names of a threshold table and the names they stand for.
 NAME_CORRECTIONS = {
     "VX-680": "Tozasertib", "Mitomycin C": "Mitomycin-C", "HG-6-64-1": "HG6-64-1", "BAY 61-3606": "BAY-61-3606", "Zibotentan, ZD4054": "Zibotentan", "PXD101, Belinostat": "Belinostat",
@@ -36,32 +76,31 @@ def reject_reason(name: Column, smiles: Column) -> Column:
     )
 
 
-def by_class(df: DataFrame, column: str, aliases: list[str], phrases: dict[str, str] = PHASES) -> DataFrame:
-    """Rows whose class contains any of the aliases' phrases; ALL: any phrase; an unknown alias stands for itself. Containment: 'Phase 1' finds 'Early Phase 1' too."""
-    wanted = list(phrases.values()) if "ALL" in aliases else [phrases.get(a, a) for a in aliases]
-    return df.where(F.col(column).rlike("|".join(wanted)))
+def _containing(column: Column, phrases: Sequence[str]) -> Column:
+    return reduce(lambda x, y: x | y, (F.coalesce(column.contains(p), F.lit(False)) for p in phrases))
 
 
-def letters_key(code: str) -> str:
-    """A set of letters in any order and case as one code."""
-    return "".join(sorted(code.lower()))
+def by_class(df: DataFrame, column: str, aliases: Sequence[str], phrases: dict[str, str] = PHASES) -> DataFrame:
+    """Rows whose class contains any of the aliases' phrases. Aliases are of either case; ALL: any phrase; unknown ones are skipped, and none left is an error. Containment: 'Phase 1' finds 'Early Phase 1' too."""
+    upper = [a.strip().upper() for a in aliases]
+    wanted = list(phrases.values()) if upper == ["ALL"] else [phrases[a] for a in upper if a in phrases]
+    if not wanted:
+        raise ValueError(f"no known class among {list(aliases)}")
+    return df.where(_containing(F.col(column), wanted))
 
 
 def pathway_phrase(code: str) -> str | None:
-    """The class text of a set of pathway letters, its parts in alphabetical order; None for 'all'; an unknown code stands for itself."""
-    key = letters_key(code)
-    if key == letters_key("all"):
-        return None
-    if key in SHORT_PATHWAYS:
-        return SHORT_PATHWAYS[key]
-    known = key and set(key) <= set(PATHWAYS) and len(set(key)) == len(key)
-    return ", ".join(sorted(PATHWAYS[c] for c in key)) if known else code
-
-
-def by_pathway(df: DataFrame, column: str, code: str) -> DataFrame:
-    """Rows whose class is that of the code; 'all': rows with a class."""
-    phrase = pathway_phrase(code)
-    return df.where(F.col(column).isNotNull() if phrase is None else F.col(column) == phrase)
+    """The class text of a code, whose letters may be in any order and case; None for 'all'; an unknown code stands for itself."""
+    key = "".join(sorted(code.lower()))
+    return None if key == "all" else PATHWAYS.get(key, code)
+
+
+def by_pathway(df: DataFrame, column: str, codes: Sequence[str]) -> DataFrame:
+    """Rows whose class contains the text of any of the codes; with 'all' among them, rows with a class. No codes are an error."""
+    wanted = [pathway_phrase(c) for c in codes if c]
+    if not wanted:
+        raise ValueError("no pathway codes")
+    return df.where(F.col(column).isNotNull() if None in wanted else _containing(F.col(column), wanted))
 
 
 def distinct_drugs(df: DataFrame, name: str, smiles: str, limit: int | None = None) -> DataFrame:

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dosegrid.operators.pairs import numbered
+
 
 def correlation(y: Column, f: Column, over: Window | None = None) -> Column:
     """Pearson's r in [-1, 1]; null for a constant or fewer than two pairs."""
@@ -42,34 +44,29 @@ def spearman(df: DataFrame, by: Sequence[str], y: str = "y", f: str = "f") -> Da
 
 
 def concordance_of(y: np.ndarray, f: np.ndarray) -> float | None:
-    """Share of pairs with y_i > y_j that have f_i > f_j, ties in f counting half; None without such pairs. By merging sorted blocks."""
-    order = np.lexsort((f, y))
-    y, f = y[order], f[order]
-    values, places = np.unique(f, return_inverse=True)
-    tree = np.zeros(len(values) + 1, np.int64)
-    pairs = good = seen = at = 0
-    while at < len(y):
-        end = at
-        while end < len(y) and y[end] == y[at]:
-            p, below = int(places[end]), 0
-            k = p
-            while k > 0:
-                below += tree[k]
-                k -= k & -k
-            upto, k = 0, p + 1
-            while k > 0:
-                upto += tree[k]
-                k -= k & -k
-            pairs += seen
-            good += below + 0.5 * (upto - below)
-            end += 1
-        for k in places[at:end].tolist():
-            k += 1
-            while k <= len(values):
-                tree[k] += 1
-                k += k & -k
-        seen, at = end, end
-    return good / pairs if pairs else None
+    """Share of pairs with y_i > y_j that have f_i > f_j, ties in f counting half; None without such pairs. Rows are merged by ever larger blocks, all blocks of a size at once."""
+
+    def pairs_within(*columns: np.ndarray) -> int:
+        n = np.unique(np.stack(columns), axis=1, return_counts=True)[1]
+        return int((n * (n - 1) // 2).sum())
+
+    every = len(y) * (len(y) - 1) // 2
+    pairs = every - pairs_within(y)
+    if pairs <= 0:
+        return None
+    order = np.lexsort((-f, y))  # of equal y the larger f first, so that they are not counted
+    rank = np.unique(f, return_inverse=True)[1][order]
+    place, good, size = np.arange(len(rank)), 0, 1
+    while size < len(rank):
+        block, left = place // (2 * size), place // size % 2 == 0
+        by = np.lexsort((left, rank, block))  # at equal f the right half comes first
+        low = left[by]
+        before = np.cumsum(low)
+        start = np.concatenate([[0], before])[np.searchsorted(block[by], block[by])]
+        good += int((before - start)[~low].sum())
+        size *= 2
+    ties = pairs_within(f) - pairs_within(y, f)
+    return (good + 0.5 * ties) / pairs
 
 
 def concordance(df: DataFrame, by: str, y: str = "y", f: str = "f") -> DataFrame:
@@ -170,5 +167,5 @@ def running_correlation(df: DataFrame, by: str, order: str, y: str, f: str, ever
 
 
 def dense_index(df: DataFrame, column: str) -> DataFrame:
-    """(column, idx) of the distinct ids in order; ids are few."""
-    return df.select(column).distinct().select(column, (F.row_number().over(Window.orderBy(column)) - 1).alias("idx"))
+    """(column, idx) of the distinct ids in order."""
+    return numbered(df.select(column).distinct(), [column], "idx").select(column, "idx")

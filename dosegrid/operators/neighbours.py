@@ -28,21 +28,30 @@ def tanimoto_pairs(sets: DataFrame, key: str, bits: str) -> DataFrame:
 def nearest(test: DataFrame, train: DataFrame, drug_dist: DataFrame, cell_dist: DataFrame, k: int) -> DataFrame:
     """Neighbours of each test pair (test_id, drug, cell) among training pairs (train_id, drug, cell, label), by drug plus cell distance.
 
-    Cell distances are divided by their largest over the training rows of the test row
-    ('local') or over all cells ('global'); a zero largest gives 0. drug_dist and
-    cell_dist: (a, b, dist) of all ordered pairs. Rows (test_id, scale, rank, train_id, label).
+    Cell distances are divided by their largest over the cells of training rows ('local')
+    or over all cells ('global'); a zero largest gives 0. Sums that agree to 9 digits are
+    ties, which go by train_id. drug_dist and cell_dist: (a, b, dist) of all ordered
+    pairs. Rows (test_id, scale, rank, train_id, label).
+
+    Distances are taken between distinct (drug, cell) keys, and of each key only its k
+    first training rows can be neighbours; so rows are never paired with rows.
     """
-    t = test.select("test_id", F.col("drug").alias("td"), F.col("cell").alias("tc"))
-    r = train.select("train_id", F.col("drug").alias("rd"), F.col("cell").alias("rc"), "label")
+    w = Window.partitionBy("rd", "rc").orderBy("train_id")
+    first = train.select(F.col("drug").alias("rd"), F.col("cell").alias("rc"), "train_id", "label").withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
+    keys = first.where("n = 1").select("rd", "rc", F.col("train_id").alias("least"))
+    wanted = test.select(F.col("drug").alias("td"), F.col("cell").alias("tc")).distinct()
     drugs, cells = drug_dist.toDF("td", "rd", "dd"), cell_dist.toDF("tc", "rc", "cd")
-    pairs = t.join(drugs, "td").join(r, "rd").join(cells, ["tc", "rc"])
+    seen = cells.join(keys.select("rc").distinct(), "rc")
+    local = seen.groupBy("tc").agg(F.max("cd").alias("local"))
     most = cell_dist.agg(F.max("dist").alias("top"))
-    local = F.max("cd").over(Window.partitionBy("test_id"))
-    both = pairs.join(F.broadcast(most)).withColumn("local", local)
-    part = lambda top: F.col("dd") + F.coalesce(F.col("cd") / F.nullif(top, F.lit(0.0)), F.lit(0.0))
-    spread = both.select("test_id", "train_id", "label", F.explode(F.array(F.struct(F.lit("local").alias("scale"), part(F.col("local")).alias("d")), F.struct(F.lit("global").alias("scale"), part(F.col("top")).alias("d")))).alias("s"))
-    w = Window.partitionBy("test_id", "s.scale").orderBy("s.d", "train_id")
-    return spread.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("test_id", "s.scale", "rank", "train_id", "label")
+    pairs = wanted.join(drugs, "td").join(keys, "rd").join(cells, ["tc", "rc"]).join(local, "tc").join(F.broadcast(most))
+    part = lambda top: F.round(F.col("dd") + F.coalesce(F.col("cd") / F.nullif(top, F.lit(0.0)), F.lit(0.0)), 9)
+    scales = F.array(*(F.struct(F.lit(n).alias("scale"), part(F.col(c)).alias("d")) for n, c in (("local", "local"), ("global", "top"))))
+    spread = pairs.select("td", "tc", "rd", "rc", "least", F.explode(scales).alias("s")).select("td", "tc", "rd", "rc", "least", "s.*")
+    near = spread.withColumn("n", F.row_number().over(Window.partitionBy("td", "tc", "scale").orderBy("d", "least"))).where(F.col("n") <= k).drop("n", "least")
+    order = Window.partitionBy("td", "tc", "scale").orderBy("d", "train_id")
+    rows = near.join(first.drop("n"), ["rd", "rc"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return test.select("test_id", F.col("drug").alias("td"), F.col("cell").alias("tc")).join(rows, ["td", "tc"]).select("test_id", "scale", "rank", "train_id", "label")
 
 
 def predicted(neighbours: DataFrame) -> DataFrame:

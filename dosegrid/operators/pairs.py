@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from dosegrid.sources.shared import kept
+
 #: Rows up to which the smaller side of a grid is broadcast; beyond that Spark picks its own plan.
 BROADCAST_ROWS = 100_000
 
@@ -49,12 +51,28 @@ def keep_last(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def numbered(df: DataFrame, order: Sequence[str], into: str = "row_no") -> DataFrame:
-    """Rows numbered from 0 in the order of columns: sorted in ranges, counted by range, offset by the counts before. No task sees all rows."""
+    """Rows numbered from 0 in the order of columns: sorted in ranges, kept as a table, counted by range, offset by the counts before. No task sees all rows."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
-    part = F.shiftright("_at", 33)
-    sizes = ranged.groupBy(part.alias("_part")).count()  # one row for each partition
+    ranged = kept(ranged.withColumn("_part", F.shiftright("_at", 33)), "numbered")  # ranges are drawn anew by each run, so they are written once
+    sizes = ranged.groupBy("_part").count()  # one row for each partition
     offsets = sizes.select("_part", (F.sum("count").over(Window.orderBy("_part")) - F.col("count")).alias("_before"))
-    return ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(into, F.col("_before") + F.expr("_at - shiftleft(_part, 33)")).drop("_at", "_part", "_before")
+    return ranged.join(F.broadcast(offsets), "_part").withColumn(into, F.col("_before") + F.expr("_at - shiftleft(_part, 33)")).drop("_at", "_part", "_before")
+
+
+def shards(df: DataFrame, order: Sequence[str], n: int, into: str = "shard") -> DataFrame:
+    """Rows dealt in order to n shards of equal size; the last one takes the rest. Fewer rows than shards: one shard each."""
+    rows = numbered(df, order, into)
+    size = max(1, df.count() // n)
+    return rows.withColumn(into, F.least(F.expr(f"{into} div {size}"), F.lit(n - 1)))
+
+
+def with_unscored(scored: DataFrame, drugs: DataFrame, cells: DataFrame, keys: Sequence[str], keep: bool = True) -> DataFrame:
+    """scored, and if keep is set a row without values for each cell and each drug that has no score at all; keys: names of the drug and cell columns."""
+    drug, cell = keys
+    if not keep:
+        return scored
+    left = drugs.select(drug).distinct().join(scored.select(drug).distinct(), drug, "left_anti")
+    return scored.unionByName(grid(left, cells.select(cell).distinct()), allowMissingColumns=True)
 
 
 def positional(df: DataFrame, order: Sequence[str], master: DataFrame, master_order: Sequence[str], ids: str) -> DataFrame:

@@ -62,23 +62,34 @@ def subword_encoded(df: DataFrame, column: str, merges: Sequence[tuple[str, str]
     return df.join(distinct.withColumn(into, encode(F.col(column))), column, "left")
 
 
-def one_letter(text: Column, elements: Sequence[str], letters: str) -> Column:
-    """Elements of several letters as one letter each, in the elements' order."""
-    for element, letter in zip(elements, letters, strict=False):
-        text = F.replace(text, F.lit(element), F.lit(letter))
-    return text
-
-
 def lingos(text: Column, width: int = 8, elements: Sequence[str] = (), letters: str = "") -> Column:
-    """Windows of a string whose elements count as one letter, with the elements restored."""
-    found = windows(one_letter(text, elements, letters), width)
-
-    def restored(w: Column) -> Column:
-        for element, letter in reversed(list(zip(elements, letters, strict=False))):
-            w = F.replace(w, F.lit(letter), F.lit(element))
-        return w
-
-    return F.transform(found, restored)
+    """Windows of a string in which an element of several letters counts as one, with the elements written out again.
+
+    A string shorter than width is padded first. The elements that it has get the letters
+    in order, as far as these go. If it is shorter than width then, it is one window.
+    Null and empty strings are padding only.
+    """
+    full = F.rpad(F.coalesce(text, F.lit("")), F.greatest(F.length(F.coalesce(text, F.lit(""))), F.lit(width)), F.lit("_"))
+    known = [e for e in elements if e]
+    none = F.array().cast("array<struct<element:string,letter:string>>")
+    start = F.struct(full.alias("text"), none.alias("used"))
+
+    def replaced(at: Column, element: Column) -> Column:
+        letter = F.substring(F.lit(letters), F.size(at["used"]) + 1, F.lit(1))
+        hit = at["text"].contains(element) & (F.size(at["used"]) < len(letters))
+        new = F.struct(F.replace(at["text"], element, letter).alias("text"), F.concat(at["used"], F.array(F.struct(element.alias("element"), letter.alias("letter")))).alias("used"))
+        return F.when(hit, new).otherwise(at)
+
+    def written_out(window: Column, used: Column) -> Column:
+        return F.aggregate(used, window, lambda w, u: F.replace(w, u["letter"], u["element"]))
+
+    def cut(at: Column) -> Column:
+        n = F.length(at["text"])
+        parts = F.when(n >= width, F.transform(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), lambda i: F.substring(at["text"], i + 1, F.lit(width)))).otherwise(F.array(at["text"]))
+        return F.transform(parts, lambda w: written_out(w, at["used"]))
+
+    done = F.aggregate(F.array(*map(F.lit, known)), start, replaced) if known else start
+    return F.get(F.transform(F.array(done), cut), F.lit(0))
 
 
 def lingo_mean(df: DataFrame, key: str, parts: str, vectors: DataFrame, dim: int) -> DataFrame:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dosegrid.functions.columns import split_order
+from dosegrid.operators.pairs import numbered
 
 #: Rows of one hash prefix that are looked at one by one.
 FEW = 1000
@@ -54,10 +55,10 @@ def three_way(df: DataFrame, column: str, seed: str) -> DataFrame:
 
 
 def leave_out(df: DataFrame, column: str, folds: int = 5) -> DataFrame:
-    """Fold of each row by its value's place among the sorted distinct values (few): fold f holds places int(n/folds*f) up to the next fold's."""
-    n = df.select(column).distinct().count()
+    """Fold of each row by its value's place among the sorted distinct values: fold f holds places int(n/folds*f) up to the next fold's."""
+    place = numbered(df.select(column).distinct(), [column], "place")
+    n = place.count()
     bounds = [int(n / folds * f) for f in range(folds)]
-    place = df.select(column).distinct().withColumn("place", F.row_number().over(Window.orderBy(column)) - 1)
     fold = sum(((F.col("place") >= b).cast("int") for b in bounds[1:]), F.lit(0))
     return df.join(place.select(column, fold.alias("fold")), column)
 
