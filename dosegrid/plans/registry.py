@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +12,8 @@ from dosegrid.functions import columns as C
 from dosegrid.operators import consensus, druglist, graphs, metrics, neighbours, omics, pairs, scoring, sequence, splits
 from dosegrid.plans import tables as S
 from dosegrid.plans.tables import table
+from dosegrid.sources import readers, sinks
+from dosegrid.sources.shared import fresh_path
 from dosegrid.streaming import ingest
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,8 +83,11 @@ def usable_prediction_count(spark, d):
 
 @query()
 def ensemble_score(spark, d):
-    wide = _filled(spark, d).withColumn("label", consensus.mean_of(S.METHODS))
-    return consensus.forest(wide, S.METHODS, "label").transform(wide).select("cell_line", "drug_name", "ensemble_score")
+    """Scores by a stored model; its label is the extended price, which no method knows."""
+    price = table(spark, d, "lineitem").groupBy(F.concat(F.lit("C"), "l_suppkey").alias("cell_line"), F.concat(F.lit("D"), "l_partkey").alias("drug_name")).agg(F.avg(F.col("l_extendedprice") / 2000).alias("label"))
+    model = consensus.forest(_filled(spark, d).join(price, ["cell_line", "drug_name"]), S.METHODS, "label")
+    consensus.save_model(model, path := fresh_path(spark, "model"))
+    return consensus.scored_by(spark, path, _normal(spark, d))
 
 
 # --- drug lists and names ----------------------------------------------------------------
@@ -137,17 +142,17 @@ def name_correction(spark, d):
 
 # --- pairs -------------------------------------------------------------------------------
 
-_GRID = "select p_partkey, s_suppkey from (select p_partkey from part where p_size <= 5), supplier"
+_GRID = "select p_partkey, s_suppkey from part, supplier"
 
 
 @query(_GRID)
 def pair_grid(spark, d):
-    return pairs.grid(table(spark, d, "part").where("p_size <= 5").select("p_partkey"), table(spark, d, "supplier").select("s_suppkey"))
+    return pairs.grid(table(spark, d, "part").select("p_partkey"), table(spark, d, "supplier").select("s_suppkey"))
 
 
-@query("with m as (select distinct l_returnflag || l_linenumber as drug, l_suppkey as cell from lineitem where l_quantity > 40) select a.drug, b.cell from (select distinct drug from m) a, (select distinct cell from m) b where not exists (select 1 from m where m.drug = a.drug and m.cell = b.cell)")
+@query("with m as (select distinct l_partkey as drug, l_suppkey as cell from lineitem) select a.drug, b.cell from (select distinct drug from m) a, (select distinct cell from m) b where not exists (select 1 from m where m.drug = a.drug and m.cell = b.cell)")
 def missing_pairs(spark, d):
-    rows = table(spark, d, "lineitem").where("l_quantity > 40").select(F.concat("l_returnflag", "l_linenumber").alias("drug"), F.col("l_suppkey").alias("cell"))
+    rows = table(spark, d, "lineitem").select(F.col("l_partkey").alias("drug"), F.col("l_suppkey").alias("cell"))
     return pairs.missing_pairs(rows, "drug", "cell")
 
 
@@ -158,10 +163,10 @@ def leak_removal(spark, d):
     return pairs.without_held_out(rows.where("l_linestatus = 'O'"), held.where("l_quantity < 25"), held.where("l_quantity >= 25"), on=["l_partkey", "l_suppkey"]).select("l_partkey", "l_suppkey", "l_quantity")
 
 
-@query("select s_suppkey from supplier intersect select l_suppkey from lineitem where l_quantity > 49 intersect select c_custkey from customer")
+@query("select s_suppkey from supplier intersect select l_suppkey from lineitem intersect select c_custkey from customer")
 def common_samples(spark, d):
     key = lambda df, c: df.select(F.col(c).alias("s_suppkey"))
-    return pairs.common_samples(key(table(spark, d, "supplier"), "s_suppkey"), key(table(spark, d, "lineitem").where("l_quantity > 49"), "l_suppkey"), key(table(spark, d, "customer"), "c_custkey"), key="s_suppkey")
+    return pairs.common_samples(key(table(spark, d, "supplier"), "s_suppkey"), key(table(spark, d, "lineitem"), "l_suppkey"), key(table(spark, d, "customer"), "c_custkey"), key="s_suppkey")
 
 
 @query("select s_suppkey, s_name, n_nationkey as pos from supplier join nation on s_suppkey = n_nationkey * 3")
@@ -175,10 +180,10 @@ def encode_distinct(spark, d):
     return pairs.encode_distinct(table(spark, d, "part").select("p_partkey", "p_name"), "p_name", lambda u: u.withColumn("tokens", sequence.tokenised(F.col("p_name"))))
 
 
-@query("select l_partkey, l_suppkey, p_brand, round(embedding[1]::double, 6) as x0 from lineitem join part on l_partkey = p_partkey join embeddings on l_suppkey = vec_id where l_quantity > 45")
+@query("select l_partkey, l_suppkey, p_brand, embedding as vec from lineitem join part on l_partkey = p_partkey join embeddings on l_suppkey = vec_id")
 def attach_features(spark, d):
-    rows = table(spark, d, "lineitem").where("l_quantity > 45").select("l_partkey", "l_suppkey")
-    drugs, cells = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), table(spark, d, "embeddings").select(F.col("vec_id").alias("l_suppkey"), F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("x0"))
+    rows = table(spark, d, "lineitem").select("l_partkey", "l_suppkey")
+    drugs, cells = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand"), table(spark, d, "embeddings").select(F.col("vec_id").alias("l_suppkey"), F.col("embedding").alias("vec"))
     return rows.join(drugs, "l_partkey").join(cells, "l_suppkey")
 
 
@@ -204,21 +209,21 @@ def chunk_plan(spark, d):
     return spark.createDataFrame([(n, m, size, chunks, n * m)], "n_drugs long, n_cells long, chunk_size long, chunks long, expected long")
 
 
-@query("select distinct l_partkey, l_suppkey, l_quantity from lineitem where l_linenumber <= 2")
+@query("select distinct l_partkey, l_suppkey, l_quantity from lineitem")
 def consolidate_chunks(spark, d):
     rows = table(spark, d, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_linenumber")
     chunk = lambda k: rows.where(F.col("l_linenumber") == k).drop("l_linenumber")
-    return ingest.consolidated(chunk(1).unionByName(chunk(2)).unionByName(chunk(1)))
+    return ingest.consolidated(reduce(DataFrame.unionByName, [chunk(k) for k in (*range(1, 8), 1)]))
 
 
 # --- response and labels -----------------------------------------------------------------
 
 
-@query("select cell, drug, ln_ic50 from (select l_suppkey as cell, unnest(['M1', 'M2', 'M3']) as drug, unnest([q1, q2, q3]) as ln_ic50 from (select l_suppkey, max(l_quantity) filter (where l_linenumber = 1 and l_tax > 0.07) as q1, max(l_quantity) filter (where l_linenumber = 2 and l_tax > 0.07) as q2, max(l_quantity) filter (where l_linenumber = 3 and l_tax > 0.07) as q3 from lineitem group by 1)) where ln_ic50 is not null")
+@query("select l_suppkey as cell, 'M' || l_linenumber as drug, max(l_quantity) as ln_ic50 from lineitem group by 1, 2")
 def unpivot_response(spark, d):
-    rows = table(spark, d, "lineitem").where("l_tax > 0.07").select(F.col("l_suppkey").alias("cell"), F.concat(F.lit("M"), "l_linenumber").alias("m"), "l_quantity")
-    wide = rows.groupBy("cell").pivot("m", ["M1", "M2", "M3"]).agg(F.max("l_quantity"))
-    return wide.unpivot(["cell"], ["M1", "M2", "M3"], "drug", "ln_ic50").where("ln_ic50 is not null")
+    rows = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("cell"), F.concat(F.lit("M"), "l_linenumber").alias("m"), "l_quantity")
+    wide = rows.groupBy("cell").pivot("m", S.METHODS).agg(F.max("l_quantity"))
+    return wide.unpivot(["cell"], S.METHODS, "drug", "ln_ic50").where("ln_ic50 is not null")
 
 
 @query("select l_orderkey, l_linenumber, l_partkey, case when l_quantity > t.threshold then 1 else 0 end as binary_ic50 from lineitem join part on l_partkey = p_partkey join (select p_brand, avg(p_size) as threshold from part where p_brand <> 'Brand#2' group by 1) t using (p_brand)")
@@ -285,10 +290,10 @@ def global_scale_clip(spark, d):
     return cells.join(F.broadcast(low)).select("sample_id", "feature", F.round(C.clipped_scale(F.col("value"), F.col("lo"), 0.2), 6).alias("value"))
 
 
-@query("select vec_id, list_transform(embedding, lambda x: round(x::double / total, 4)) as v from (select vec_id, embedding, list_sum(list_transform(embedding, lambda y: y::double)) as total from embeddings)")
+@query("select vec_id, pos, embedding[pos + 1]::double / total as v from (select vec_id, embedding, list_sum(list_transform(embedding, lambda y: y::double)) as total from embeddings), (select unnest(range(64))::int as pos)")
 def row_normalise(spark, d):
     v = C.row_normalised(F.transform("embedding", lambda x: x.cast("double")))
-    return table(spark, d, "embeddings").select("vec_id", F.transform(v, lambda x: F.round(x, 4)).alias("v"))
+    return table(spark, d, "embeddings").select("vec_id", F.posexplode(v).alias("pos", "v"))
 
 
 _MUT = "mu as (select p_brand as sample_id, case when p_size % 2 = 0 then upper(p_type) else p_type || '_cnv' end as feature, case when p_size > 40 then 0.0 when p_size < 3 then null else 1.0 end as value from part), ix as (select feature, row_number() over (order by first, feature) - 1 as idx from (select feature, min(k) as first from (select case when contains(feature, '_') then feature else feature || '_mut' end as feature, p_partkey as k from (select p_partkey, case when p_size % 2 = 0 then upper(p_type) else p_type || '_cnv' end as feature from part where p_type <> 'SMALL')) group by 1))"
@@ -296,12 +301,10 @@ _MUT = "mu as (select p_brand as sample_id, case when p_size % 2 = 0 then upper(
 
 @query(f"with {_MUT} select distinct sample_id, idx from mu join ix on ix.feature = case when contains(mu.feature, '_') then mu.feature else mu.feature || '_mut' end where value is not null and value <> 0")
 def multi_hot(spark, d):
-    from dosegrid.sources.readers import feature_index
-
     part = table(spark, d, "part")
     feature = F.when(F.col("p_size") % 2 == 0, F.upper("p_type")).otherwise(F.concat("p_type", F.lit("_cnv")))
     full = F.when(feature.contains("_"), feature).otherwise(F.concat(feature, F.lit("_mut")))
-    index = feature_index(part.where("p_type <> 'SMALL'").select(full.alias("f"), "p_partkey"), "f", "p_partkey")
+    index = readers.feature_index(part.where("p_type <> 'SMALL'").select(full.alias("f"), "p_partkey"), "f", "p_partkey")
     matrix = part.select(F.col("p_brand").alias("sample_id"), feature.alias("feature"), F.expr("case when p_size > 40 then 0.0 when p_size < 3 then null else 1.0 end").alias("value"))
     return omics.mutation_multi_hot(matrix, index)
 
@@ -324,10 +327,10 @@ def assemble_omics(spark, d):
     return omics.assembled(blocks.where("sample_id % 2 = 0"), blocks.where("sample_id % 3 = 0"), blocks)
 
 
-@query(f"with {S.OMICS_SQL}, t as (select * from (select *, row_number() over (partition by sample_id order by value desc nulls last, pos) as k from om where value is not null) where k <= 8), e as (select vec_id, embedding from embeddings where vec_id < 64 and vec_id % 5 <> 0), x as (select t.sample_id, d, avg(e.embedding[d + 1]::double) as x from t join e on e.vec_id = t.pos, (select unnest(range(4)) as d) group by 1, 2) select s.sample_id, coalesce((select list(round(x, 6) order by d) from x where x.sample_id = s.sample_id), [0.0, 0.0, 0.0, 0.0]) as vec from (select distinct sample_id from om) s")
+@query(f"with {S.OMICS_SQL}, t as (select * from (select *, row_number() over (partition by sample_id order by value desc nulls last, pos) as k from om where value is not null) where k <= 8), e as (select vec_id, embedding from embeddings), x as (select t.sample_id, d, avg(e.embedding[d + 1]::double) as x from t join e on e.vec_id = t.pos, (select unnest(range(4)) as d) group by 1, 2) select s.sample_id, coalesce((select list(round(x, 6) order by d) from x where x.sample_id = s.sample_id), [0.0, 0.0, 0.0, 0.0]) as vec from (select distinct sample_id from om) s")
 def top_features_mean_embedding(spark, d):
     cells = S.omics(spark, d).where("value is not null")
-    vectors = table(spark, d, "embeddings").where("vec_id < 64 and vec_id % 5 <> 0").select(F.concat(F.lit("Gene-"), "vec_id").alias("key"), F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")).alias("vec"))
+    vectors = table(spark, d, "embeddings").select(F.concat(F.lit("Gene-"), "vec_id").alias("key"), F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")).alias("vec"))
     means = omics.mean_embedding(omics.top_features(cells, 8), S.omics(spark, d).select("sample_id").distinct(), vectors, 4)
     return means.select("sample_id", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
 
@@ -405,17 +408,17 @@ def spearman(spark, d):
     return _rounded(metrics.spearman(S.evaluation(spark, d), ["cell"]), ["spearman"])
 
 
-_CI = f"with {S.EVALUATION_SQL}, s as (select * from ev where y > 45) select a.cell, round(avg(case when a.f > b.f then 1.0 when a.f = b.f then 0.5 else 0.0 end), 6) as ci from s a join s b on a.cell = b.cell and a.y > b.y group by 1"
+_CI = f"with {S.EVALUATION_SQL}, s as (select * from ev) select a.cell, round(avg(case when a.f > b.f then 1.0 when a.f = b.f then 0.5 else 0.0 end), 6) as ci from s a join s b on a.cell = b.cell and a.y > b.y group by 1"
 
 
 @query(_CI)
 def concordance_index(spark, d):
-    return _rounded(metrics.concordance(S.evaluation(spark, d).where("y > 45"), "cell"), ["ci"])
+    return _rounded(metrics.concordance(S.evaluation(spark, d), "cell"), ["ci"])
 
 
 @query(_CI)
 def concordance_by_pairs(spark, d):
-    return _rounded(metrics.concordance_by_pairs(S.evaluation(spark, d).where("y > 45"), "cell"), ["ci"])
+    return _rounded(metrics.concordance_by_pairs(S.evaluation(spark, d), "cell"), ["ci"])
 
 
 @query()
@@ -557,18 +560,32 @@ def lingo_windows(spark, d):
     return table(spark, d, "part").select("p_partkey", sequence.lingos(F.col("p_name")).alias("lingos"))
 
 
-@query()
+_ELEMENTS, _SPARE = ("ing", "re", "th"), "123"
+
+
+def _lingo_sql() -> str:
+    """Padding first, then the elements that a name has as letters in order, windows of 8, elements written out again."""
+    steps = ["t0 as (select p_partkey, rpad(coalesce(p_name, ''), greatest(length(coalesce(p_name, '')), 8)::int, '_') as s, 0 as n, '' as u1, '' as u2, '' as u3 from part)"]
+    for k, e in enumerate(_ELEMENTS):
+        used = ", ".join(f"case when contains(s, '{e}') and n = {j} then '{e}' else u{j + 1} end as u{j + 1}" for j in range(3))
+        steps.append(f"t{k + 1} as (select p_partkey, case when contains(s, '{e}') then replace(s, '{e}', '{_SPARE}'[n + 1]) else s end as s, n + contains(s, '{e}')::int as n, {used} from t{k})")
+    back = "replace(replace(replace(w, '1', coalesce(nullif(u1, ''), '1')), '2', coalesce(nullif(u2, ''), '2')), '3', coalesce(nullif(u3, ''), '3'))"
+    cut = "case when length(s) >= 8 then list_transform(range(length(s) - 7), lambda i: substr(s, (i + 1)::int, 8)) else [s] end"
+    return f"with {', '.join(steps)} select p_partkey, list_transform({cut}, lambda w: {back}) as lingos from t3"
+
+
+@query(_lingo_sql())
 def lingo_elements(spark, d):
-    return table(spark, d, "part").select("p_partkey", sequence.lingos(F.col("p_name"), 8, ("ing", "re", "th"), "123").alias("lingos"))
+    return table(spark, d, "part").select("p_partkey", sequence.lingos(F.col("p_name"), 8, _ELEMENTS, _SPARE).alias("lingos"))
 
 
-_LV = "v as (select distinct substr(p_name, 1, 8) as key, [length(p_name)::double, p_size::double] as vec from part where p_partkey < 40 and length(p_name) >= 8 qualify row_number() over (partition by substr(p_name, 1, 8) order by p_partkey) = 1)"
+_LV = "v as (select distinct substr(p_name, 1, 8) as key, [length(p_name)::double, p_size::double] as vec from part where length(p_name) >= 8 qualify row_number() over (partition by substr(p_name, 1, 8) order by p_partkey) = 1)"
 
 
 @query(f"with {_LV}, w as (select p_partkey, unnest(l) as part, len(l) as total from (select p_partkey, case when length(p_name) >= 8 then list_transform(range(length(p_name) - 7), lambda i: substr(p_name, i + 1, 8)) else [rpad(p_name, 8, '_')] end as l from part)) select p_partkey, [round(sum(coalesce(vec[1], 0)) / max(total), 6), round(sum(coalesce(vec[2], 0)) / max(total), 6)] as vec from w left join v on v.key = w.part group by 1")
 def lingo_mean_embedding(spark, d):
     part = table(spark, d, "part")
-    vectors = part.where("p_partkey < 40 and length(p_name) >= 8").groupBy(F.substring("p_name", 1, 8).alias("key")).agg(F.min_by(F.array(F.length("p_name").cast("double"), F.col("p_size").cast("double")), "p_partkey").alias("vec"))
+    vectors = part.where("length(p_name) >= 8").groupBy(F.substring("p_name", 1, 8).alias("key")).agg(F.min_by(F.array(F.length("p_name").cast("double"), F.col("p_size").cast("double")), "p_partkey").alias("vec"))
     means = sequence.lingo_mean(part.select("p_partkey", sequence.lingos(F.col("p_name")).alias("lingos")), "p_partkey", "lingos", vectors, 2)
     return means.select("p_partkey", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
 
@@ -599,30 +616,37 @@ def tanimoto_pairs(spark, d):
     return _rounded(neighbours.tanimoto_pairs(_bits(spark, d), "p_brand", "bits"), ["dist"])
 
 
-_KNN = f"with {_BITS}, {_CELLS}, dd as (select a.k as td, b.k as rd, 1 - coalesce((select count(*) from bi p join bi q using (bit) where p.k = a.k and q.k = b.k), 0) / (a.n + b.n - coalesce((select count(*) from bi p join bi q using (bit) where p.k = a.k and q.k = b.k), 0)) as dd from nb a, nb b), cd as (select a.cell as tc, b.cell as rc, sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.vec[i]::double - b.vec[i]::double) ** 2))) as cd from ce a, ce b where a.cell < 8 and b.cell < 8), r as (select row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_quantity) as id, p_brand as drug, l_suppkey as cell, l_quantity as label, l_linenumber from lineitem join part on l_partkey = p_partkey where l_suppkey < 8 and p_size <= 10), p as (select t.id as test_id, r.id as train_id, r.label, dd, cd, max(cd) over (partition by t.id) as lo, (select max(cd) from cd) as gl from r t join dd on dd.td = t.drug join r on r.drug = dd.rd and r.l_linenumber > 1 join cd on cd.tc = t.cell and cd.rc = r.cell where t.l_linenumber = 1), s as (select test_id, train_id, label, 'local' as scale, round(dd + coalesce(cd / nullif(lo, 0), 0), 9) as d from p union all select test_id, train_id, label, 'global', round(dd + coalesce(cd / nullif(gl, 0), 0), 9) from p), k as (select *, row_number() over (partition by test_id, scale order by d, train_id) as rank from s qualify rank <= 3)"
+_KNN = f"""with {_BITS}, {_CELLS},
+c2 as (select p.k as a, q.k as b, count(*) as n from bi p join bi q using (bit) group by 1, 2),
+dd as (select a.k as td, b.k as rd, 1 - coalesce(c2.n, 0) / (a.n + b.n - coalesce(c2.n, 0)) as dd from nb a cross join nb b left join c2 on c2.a = a.k and c2.b = b.k),
+cd as (select a.cell as tc, b.cell as rc, sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.vec[i]::double - b.vec[i]::double) ** 2))) as cd from ce a, ce b),
+r as (select l_orderkey * 10 + l_linenumber as id, p_brand as drug, l_suppkey as cell, l_quantity as label, l_linenumber = 1 as test from lineitem join part on l_partkey = p_partkey where l_suppkey in (select cell from ce)),
+f as (select * from (select *, row_number() over (partition by drug, cell order by id) as n from r where not test) where n <= 3),
+lo as (select tc, max(cd) as lo from cd where rc in (select cell from f) group by 1),
+p as (select w.drug as td, w.cell as tc, f.id, f.label, dd, cd, lo from (select distinct drug, cell from r where test) w join dd on dd.td = w.drug join f on f.drug = dd.rd join cd on cd.tc = w.cell and cd.rc = f.cell join lo on lo.tc = w.cell),
+s as (select td, tc, id, label, 'local' as scale, round(dd + coalesce(cd / nullif(lo, 0), 0), 9) as d from p union all select td, tc, id, label, 'global', round(dd + coalesce(cd / nullif((select max(cd) from cd), 0), 0), 9) from p),
+k as (select t.id as test_id, s.scale, s.rank, s.id as train_id, s.label from (select *, row_number() over (partition by td, tc, scale order by d, id) as rank from s qualify rank <= 3) s join r t on t.test and t.drug = s.td and t.cell = s.tc)"""
 
 
 def _knn(spark, d):
-    from pyspark.sql import Window
-
-    part = table(spark, d, "part").where("p_size <= 10").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("drug"))
-    rows = table(spark, d, "lineitem").where("l_suppkey < 8").join(part, "l_partkey")
-    rows = rows.withColumn("id", F.row_number().over(Window.orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"))).select("id", "drug", F.col("l_suppkey").alias("cell"), F.col("l_quantity").alias("label"), "l_linenumber")
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("drug"))
+    cells = _cells(spark, d)
+    rows = table(spark, d, "lineitem").join(part, "l_partkey").join(cells.select(F.col("cell").alias("l_suppkey")), "l_suppkey", "left_semi")
+    rows = rows.select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "drug", F.col("l_suppkey").alias("cell"), F.col("l_quantity").alias("label"), "l_linenumber")
     sets = _bits(spark, d)
     near = neighbours.tanimoto_pairs(sets, "p_brand", "bits")
     keys = sets.select("p_brand")
     both = near.union(near.select("b", "a", "dist"))
     full = keys.toDF("a").crossJoin(keys.toDF("b")).join(both, ["a", "b"], "left").select("a", "b", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.coalesce("dist", F.lit(1.0))).alias("dist"))
-    cells = neighbours.euclid_pairs(_cells(spark, d).where("cell < 8"), "cell", "vec")
-    return neighbours.nearest(rows.where("l_linenumber = 1").withColumnRenamed("id", "test_id"), rows.where("l_linenumber > 1").withColumnRenamed("id", "train_id"), full, cells, 3)
+    return neighbours.nearest(rows.where("l_linenumber = 1").withColumnRenamed("id", "test_id"), rows.where("l_linenumber > 1").withColumnRenamed("id", "train_id"), full, neighbours.euclid_pairs(cells, "cell", "vec"), 3)
 
 
-@query()
+@query(_KNN + " select * from k")
 def knn_neighbours(spark, d):
     return _knn(spark, d)
 
 
-@query()
+@query(_KNN + " select test_id, round(avg(m), 6) as prediction from (select test_id, scale, avg(label) as m from k group by 1, 2) group by 1")
 def knn_predict(spark, d):
     return _rounded(neighbours.predicted(_knn(spark, d)), ["prediction"])
 
@@ -667,17 +691,23 @@ def category_offsets(spark, d):
     return rows.select("l_orderkey", a.alias("a"), b.alias("b"), c.alias("c"))
 
 
-@query("select event_id, user_id, value from events where value >= 1")
-def incremental_ingest(spark, d):
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ingest-")
-    import uuid
-
-    work = f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+def _ingested(spark, d) -> str:
+    work = fresh_path(spark, "ingest")
     events = table(spark, d, "events").select("event_id", "user_id", "value")
     for half in (0, 1):  # the folder grows between two runs of the job
         events.where(F.col("event_id") % 2 == half).repartition(2).write.mode("append").parquet(f"{work}/in")
         ingest.ingest(spark, f"{work}/in", "event_id long, user_id long, value double", f"{work}/out", f"{work}/state", F.when(F.col("value") < 1, "too small"), f"{work}/rejects", 2)
-    return spark.read.parquet(f"{work}/out")
+    return work
+
+
+@query("select event_id, user_id, value from events where value >= 1")
+def incremental_ingest(spark, d):
+    return spark.read.parquet(f"{_ingested(spark, d)}/out").drop("batch")
+
+
+@query("select event_id, user_id, value, 'too small' as reason from events where value < 1")
+def ingest_rejects(spark, d):
+    return spark.read.parquet(f"{_ingested(spark, d)}/rejects").drop("batch")
 
 
 @query("select distinct 'D' || l_partkey as drug_name, 'C' || l_suppkey as cell_line from lineitem a where not exists (select 1 from lineitem b where b.l_linestatus = 'F' and a.l_partkey = b.l_partkey and a.l_suppkey = b.l_suppkey)")
@@ -685,3 +715,157 @@ def resume_pairs(spark, d):
     rows = table(spark, d, "lineitem").select(F.concat(F.lit("D"), "l_partkey").alias("drug_name"), F.concat(F.lit("C"), "l_suppkey").alias("cell_line"), "l_linestatus")
     keys = ["drug_name", "cell_line"]
     return ingest.not_done(rows.select(*keys).distinct(), rows.where("l_linestatus = 'F'"), keys)
+
+
+# --- readers and writers: a table in the source's format, read back ------------------------
+
+
+def _text(df: DataFrame, *parts, sep: str = "\t") -> DataFrame:
+    return df.select(F.concat_ws(sep, *parts).alias("value"))
+
+
+@query("select p_name as drug_name, p_brand as smiles from part")
+def read_drug_list(spark, d):
+    """Tab separated and without a header: the reader has to find both out."""
+    _text(table(spark, d, "part"), "p_name", "p_brand").write.text(path := fresh_path(spark, "drugs"))
+    return readers.drug_list(spark, path)
+
+
+@query("select p_partkey, p_name from part where p_size % 7 <> 0")
+def read_well_formed(spark, d):
+    key = F.when(F.col("p_size") % 7 == 0, "no number").otherwise(F.col("p_partkey").cast("string"))
+    _text(table(spark, d, "part"), key, "p_name", sep=",").write.text(path := fresh_path(spark, "rows"))
+    return readers.well_formed(spark, path, "p_partkey long, p_name string")
+
+
+def _wide(spark, d, name: str, prefix: str, n: int, **options) -> str:
+    """Embeddings as a matrix with a header; some cells empty."""
+    cell = lambda k: F.when((F.col("vec_id") + k) % 11 != 0, F.get("embedding", F.lit(k)).cast("double"))
+    table(spark, d, "embeddings").select("vec_id", *(cell(k).alias(f"{prefix}{k}") for k in range(n))).write.option("header", True).options(**options).csv(path := fresh_path(spark, name))
+    return path
+
+
+@query("select vec_id::varchar as sample_id, 'Gene, ' || pos as feature, pos, case when (vec_id + pos) % 11 <> 0 then embedding[pos + 1]::double end as value from embeddings, (select unnest(range(64))::int as pos)")
+def read_wide_matrix(spark, d):
+    return readers.matrix(spark, _wide(spark, d, "wide", "Gene, ", 64, quoteAll=True))
+
+
+@query("select pos::varchar as sample_id, vec_id::varchar as feature, pos, case when (vec_id + pos) % 11 <> 0 then embedding[pos + 1]::double end as value from embeddings, (select unnest(range(8))::int as pos)")
+def read_transposed_matrix(spark, d):
+    return readers.transposed_matrix(spark, _wide(spark, d, "transposed", "DATA.", 8, sep="\t"))
+
+
+@query("select (row_number() over (order by p_partkey) - 1) as pos, p_name as feature from part")
+def read_feature_column(spark, d):
+    part = table(spark, d, "part")
+    part.select("p_name", "p_partkey").orderBy("p_partkey").coalesce(1).write.option("header", True).csv(path := fresh_path(spark, "column"), sep="\t")
+    return readers.feature_column(spark, path, part.count())
+
+
+@query("select 'w' || vec_id as key, embedding as vec from embeddings")
+def read_word_vectors(spark, d):
+    lines = _text(table(spark, d, "embeddings"), F.concat(F.lit("w"), "vec_id"), F.concat_ws(" ", F.col("embedding").cast("array<string>")), sep=" ")
+    lines.union(spark.createDataFrame([("1000 64",)], "value string")).write.text(path := fresh_path(spark, "vectors"))
+    return readers.word_vectors(spark, path, 64)
+
+
+@query("select p_type as type, count(*) as n, max(p_size)::bigint as largest from part group by 1")
+def read_parameters(spark, d):
+    rows = table(spark, d, "part").groupBy(F.col("p_type").alias("type")).agg(F.count("*").alias("n"), F.max("p_size").alias("largest"))
+    rows.select(F.to_json(F.struct("type", "n", "largest")).alias("value")).repartition("value").write.option("lineSep", "\n").text(path := fresh_path(spark, "parameters"))
+    return readers.parameters(spark, path, multi_line=False)
+
+
+_FILED = "select 'D' || l_partkey as drug_name, 'C' || l_suppkey as cell_line, l_quantity as prediction, case l_linenumber when 1 then 'BANDRP' when 2 then 'DIPK' else 'Precily' end as method from lineitem where l_linenumber <= 3 and l_tax <> 0"
+
+
+def _prediction_files(spark, d) -> str:
+    """Files of three methods under their names and columns, Precily's under its second name."""
+    rows, folder = S.predictions(spark, d), fresh_path(spark, "predictions")
+    for method, (name, file, drug, cell, values) in zip(S.METHODS, (consensus.STANDARD[k] for k in (0, 2, 8)), strict=False):
+        rows.where(F.col("method") == method).select(F.col("drug").alias(drug), F.col("cell").alias(cell), F.col("value").alias(values[-1])).write.option("header", True).csv(f"{folder}/{file.replace('*', '.csv')}")
+    return folder
+
+
+@query(_FILED)
+def read_predictions(spark, d):
+    return consensus.read_sources(spark, consensus.standard_sources(_prediction_files(spark, d)))[0]
+
+
+@query("select s_suppkey, s_name from supplier")
+def chunk_files(spark, d):
+    """Numbered chunks written and read back; files of ten bytes or less do not count."""
+    rows = table(spark, d, "supplier").select("s_suppkey", "s_name", (F.col("s_suppkey") % 3).alias("chunk_id"))
+    sinks.write_chunks(rows, path := fresh_path(spark, "chunks"), "chunk_id")
+    _text(rows.limit(1), F.lit("s")).write.text(f"{path}/chunk_id=9")
+    return readers.chunk_files(spark, f"{path}/chunk_id=*/part-*", "s_suppkey long, s_name string")
+
+
+@query("select l_orderkey, l_linenumber, l_suppkey % 4 as cell_chunk, l_partkey % 5 as drug_chunk from lineitem")
+def chunk_files_two_axes(spark, d):
+    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 4).alias("cell_chunk"), (F.col("l_partkey") % 5).alias("drug_chunk"))
+    sinks.write_chunks(rows, path := fresh_path(spark, "chunks"), "cell_chunk", "drug_chunk")
+    return spark.read.schema("l_orderkey long, l_linenumber int, cell_chunk long, drug_chunk long").option("header", True).csv(path)
+
+
+_SCORED = "select 'D' || l_partkey as drug_name, 'C' || l_suppkey as cell_line, case when l_tax <> 0 then l_quantity / 8 end as ensemble_score, l_orderkey * 10 + l_linenumber as id from lineitem"
+
+
+def _scored(spark, d):
+    rows = table(spark, d, "lineitem")
+    return rows.select(F.concat(F.lit("D"), "l_partkey").alias("drug_name"), F.concat(F.lit("C"), "l_suppkey").alias("cell_line"), F.when(F.col("l_tax") != 0, F.col("l_quantity") / 8).alias("ensemble_score"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"))
+
+
+@query(f"select drug_name, cell_line, id, printf('%.4f', ensemble_score) as ensemble_score from ({_SCORED})")
+def global_file(spark, d):
+    sinks.write_global(_scored(spark, d), path := fresh_path(spark, "global"), "ensemble_score")
+    return spark.read.schema("drug_name string, cell_line string, ensemble_score string, id long").option("header", True).csv(path)
+
+
+@query(f"select 'C_' || substr(cell_line, 2) as cell_key, rank as \"Rank\", drug_name, printf('%.4f', s) as ensemble_score from (select *, row_number() over (partition by cell_line order by s, drug_name) as rank from (select cell_line, drug_name, min(ensemble_score) as s from ({_SCORED}) where ensemble_score is not null group by 1, 2)) where rank <= 3")
+def cell_line_reports(spark, d):
+    best = _scored(spark, d).where("ensemble_score is not null").groupBy(F.regexp_replace("cell_line", "C", "C-").alias("cell_line"), "drug_name").agg(F.min("ensemble_score").alias("ensemble_score"))
+    sinks.write_reports(best, path := fresh_path(spark, "reports"), 3)
+    return spark.read.schema("cell_line string, Rank int, drug_name string, ensemble_score string, cell_key string").option("header", True).csv(path).drop("cell_line")
+
+
+@query("select n_nationkey, n_name from nation")
+def write_once(spark, d):
+    """The second write finds the output there and does nothing."""
+    rows, path = table(spark, d, "nation").select("n_nationkey", "n_name"), fresh_path(spark, "once")
+    for name in (F.col("n_name"), F.upper(F.lit("other"))):
+        sinks.write_once(rows.withColumn("n_name", name), path)
+    return spark.read.parquet(path)
+
+
+@query("select p_partkey, case when p_size % 5 = 0 or p_size % 5 = 1 then null else p_partkey::varchar end as first from part")
+def first_ids(spark, d):
+    ids = F.expr("case p_size % 5 when 0 then 'none' when 1 then 'several' when 2 then p_partkey || ',' || p_size else '' || p_partkey end")
+    return table(spark, d, "part").select("p_partkey", druglist.first_id(ids).alias("first"))
+
+
+@query("select user_id, 'run_epoch' || max(event_id % 1000) || '.pt' as name from events group by 1")
+def newest_checkpoint(spark, d):
+    names = table(spark, d, "events").select("user_id", F.concat(F.lit("run_epoch"), F.col("event_id") % 1000, F.lit(".pt")).alias("name"))
+    return metrics.newest_checkpoint(names, "user_id", "name")
+
+
+@query("with s as (select distinct l_partkey as drug, l_suppkey as cell from lineitem where l_partkey in (select p_partkey from part where p_size >= 5)) select drug, cell, 1.5 as prediction from s union all select p_partkey, s_suppkey, null from part, supplier where p_partkey not in (select drug from s)")
+def unscored_drugs(spark, d):
+    """Drugs without a usable structure keep a row without a value for each cell line."""
+    part, cells = table(spark, d, "part"), table(spark, d, "supplier").select(F.col("s_suppkey").alias("cell"))
+    pairs_ = table(spark, d, "lineitem").select(F.col("l_partkey").alias("drug"), F.col("l_suppkey").alias("cell")).distinct()
+    scored = pairs_.join(part.where("p_size >= 5").select(F.col("p_partkey").alias("drug")), "drug", "left_semi").withColumn("prediction", F.lit(1.5))
+    return pairs.with_unscored(scored, part.select(F.col("p_partkey").alias("drug")), cells, ("drug", "cell"))
+
+
+@query("select p_partkey, least((row_number() over (order by p_name, p_partkey) - 1) // greatest((select count(*) from part) // 16, 1), 15)::bigint as shard from part")
+def corpus_shards(spark, d):
+    return pairs.shards(table(spark, d, "part").select("p_partkey", "p_name"), ["p_name", "p_partkey"], 16).select("p_partkey", "shard")
+
+
+@query("select p_partkey from part where contains(p_type, 'ECONOMY') or contains(p_brand, 'Brand#1')")
+def select_by_pathway(spark, d):
+    """Codes of the table in any order of letters; what is no code stands for itself."""
+    both = table(spark, d, "part").select("p_partkey", F.concat_ws(", ", F.when(F.col("p_type").contains("ECONOMY"), "Fatty acids, Polyketides"), "p_brand").alias("pathway"))
+    return druglist.by_pathway(both, "pathway", ["gb", "Brand#1"]).select("p_partkey")

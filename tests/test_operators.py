@@ -2,10 +2,11 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from dosegrid.functions import columns as C
-from dosegrid.operators import consensus, druglist, metrics, omics, pairs, scoring, sequence, splits
+from dosegrid.operators import consensus, druglist, metrics, neighbours, omics, pairs, scoring, sequence, splits
 from dosegrid.sources import readers, sinks
 from dosegrid.streaming import ingest
 
@@ -50,6 +51,16 @@ def test_matrix_readers(spark, tmp_path):
     (tmp_path / "m.csv").write_text(",G1,G2\ns1,1.0,\ns2,2,x\n")
     assert rows(readers.matrix(spark, str(tmp_path / "m.csv"))) == [("s1", "G1", 0, 1.0), ("s1", "G2", 1, None), ("s2", "G1", 0, 2.0), ("s2", "G2", 1, None)]
     (tmp_path / "t.tsv").write_text("gene\tDATA.7\tDATA.8\nG1\t1\t2\n")
+    (tmp_path / "q.csv").write_text(',"G,1",G2\n"s ""1""",1.0,2\n,"G,1",G2\n')
+    assert rows(readers.matrix(spark, str(tmp_path / "q.csv"))) == [(None, "G,1", 0, None), (None, "G2", 1, None), ('s "1"', "G,1", 0, 1.0), ('s "1"', "G2", 1, 2.0)] or rows(readers.matrix(spark, str(tmp_path / "q.csv"))) == [("", "G,1", 0, None), ("", "G2", 1, None), ('s "1"', "G,1", 0, 1.0), ('s "1"', "G2", 1, 2.0)]
+    (tmp_path / "p.txt").write_text("|A|B\ns|1|2\n")
+    assert rows(readers.matrix(spark, str(tmp_path / "p.txt"), "|")) == [("s", "A", 0, 1.0), ("s", "B", 1, 2.0)]
+    (tmp_path / "c.tsv").write_text("name\tx\nB\t1\nA\t2\nC\t3\n")
+    assert rows(readers.feature_column(spark, str(tmp_path / "c.tsv"), 2)) == [(0, "B"), (1, "A")]
+    (tmp_path / "j.json").write_text('{"a": 1,\n "b": [2]}')
+    assert rows(readers.parameters(spark, str(tmp_path / "j.json"))) == [(1, [2])]
+    (tmp_path / "w.csv").write_text("1,a\nx,b\n3,c\n")
+    assert rows(readers.well_formed(spark, str(tmp_path / "w.csv"), "k int, v string")) == [(1, "a"), (3, "c")]
     assert rows(readers.transposed_matrix(spark, str(tmp_path / "t.tsv"))) == [("7", "G1", 0, 1.0), ("8", "G1", 1, 2.0)]
     assert rows(readers.feature_list(spark, str(tmp_path / "m.csv"))) == [(0, "G1"), (1, "G2")]
     (tmp_path / "v.txt").write_text("2 3\na 1 2 3\nb 1 2\n")
@@ -60,17 +71,31 @@ def test_chunk_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, 0), (2, 1)], "x int, chunk_id int")
     sinks.write_chunks(df, str(tmp_path / "out"), "chunk_id")
     assert rows(readers.chunk_files(spark, str(tmp_path / "out/*/*.csv"), "x int", 0)) == [(1,), (2,)]
-    sinks.write_reports(spark.createDataFrame([("a b", 1), ("a-b", 2)], "cell string, x int"), str(tmp_path / "r"), "cell")
-    assert {r["cell"] for r in spark.read.parquet(str(tmp_path / "r")).collect()} == {"a b", "a-b"}
+    scores = spark.createDataFrame([("a b", "x", 0.25), ("a b", "y", 0.12345), ("a b", "z", 9.0), ("a-b", "x", None)], "cell string, drug string, s double")
+    sinks.write_reports(scores, str(tmp_path / "r"), 2, "cell", "drug", "s")
+    found = spark.read.option("header", True).csv(str(tmp_path / "r"))
+    assert rows(found.select("cell_key", "cell", "Rank", "drug", "s")) == [("a_b", "a b", "1", "y", "0.1235"), ("a_b", "a b", "2", "x", "0.2500"), ("a_b", "a-b", "1", "x", None)]
+    sinks.write_global(scores, str(tmp_path / "g"), "s")
+    assert sorted(line for f in (tmp_path / "g").glob("*.csv") for line in f.read_text().splitlines()[1:])[-1] == "a-b,x,"
+    sinks.write_once(df, str(tmp_path / "o"))
+    sinks.write_once(df.where("x = 1"), str(tmp_path / "o"))
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 2
 
 
 def test_drug_rules(spark):
     df = spark.createDataFrame([("a", "CC", "Early Phase 1"), ("b", " ", "Approved"), ("c", "Error 4", "Phase 1"), ("d", None, None)], "n string, s string, p string")
     assert [r["n"] for r in df.where(druglist.usable(F.col("s"))).collect()] == ["a"]
     assert sorted(r["n"] for r in druglist.by_class(df, "p", ["P1"]).collect()) == ["a", "c"]
-    assert druglist.letters_key("CaB") == "abc"
-    assert druglist.pathway_phrase("Ca") == "Shikimates and Phenylpropanoids, Terpenoids" and druglist.pathway_phrase("ALL") is None and druglist.pathway_phrase("xyz") == "xyz"
-    assert [r["n"] for r in druglist.by_pathway(df.withColumn("p", F.when(F.col("n") == "a", "Terpenoids")), "p", "c").collect()] == ["a"]
+    assert sorted(r["n"] for r in druglist.by_class(df, "p", ["p1", "nothing"]).collect()) == ["a", "c"]
+    with pytest.raises(ValueError):
+        druglist.by_class(df, "p", ["nothing"])
+    assert druglist.pathway_phrase("Ca") == "Shikimates and Phenylpropanoids, Terpenoids" and druglist.pathway_phrase("ALL") is None
+    assert druglist.pathway_phrase("abd") == "abd" and len(druglist.PATHWAYS) == 38
+    named = df.withColumn("p", F.when(F.col("n") == "a", "Polyketides, Terpenoids").when(F.col("n") == "b", "abd, x").when(F.col("n") == "c", "Alkaloids"))
+    found = lambda *codes: sorted(r["n"] for r in druglist.by_pathway(named, "p", codes).collect())
+    assert found("c") == ["a"] and found("c", "abd") == ["a", "b"] and found("f", "all") == ["a", "b", "c"]
+    with pytest.raises(ValueError):
+        druglist.by_pathway(named, "p", [])
 
 
 def test_alignment_policies(spark):
@@ -148,5 +173,62 @@ def test_ingest_resumes(spark, tmp_path):
     job()
     spark.createDataFrame([(2,)], "x int").write.mode("append").parquet(p("in"))
     job()
-    assert rows(spark.read.parquet(p("out"))) == [(1,), (2,)]
+    out = lambda: rows(spark.read.parquet(p("out")).select("x"))
+    assert out() == [(1,), (2,)]
     assert rows(spark.read.parquet(p("rejects")).select("x", "reason")) == [(-1, "negative")]
+    last = spark.read.parquet(p("out")).where("x = 2").first()["batch"]
+    sinks.write_batch(spark.createDataFrame([(2,)], "x int"), p("out"), last)  # a batch that is done again
+    assert out() == [(1,), (2,)]
+
+
+def test_medians_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(consensus, "BLOCK", 3)
+    r = np.random.default_rng(2)
+    a, b = r.integers(0, 9, 50).astype(float).tolist(), r.normal(0, 1, 51).tolist()
+    wide = spark.createDataFrame([(x, y, None) for x, y in zip([*a, None], b, strict=True)], "A double, B double, Z double")
+    found = consensus.medians(wide, ["A", "B", "Z"]).collect()
+    assert [tuple(x) for x in found] == [(float(np.median(a)), float(np.median(b)), None)]
+    assert [tuple(x) for x in consensus.medians(wide.where("false"), ["A"]).collect()] in ([], [(None,)])
+    assert consensus.imputed(spark.createDataFrame([("c", "d", None)], "cell_line string, drug_name string, A double"), ["A"]).collect()[0]["A"] == 0.0
+
+
+def test_lingos_pad_before_elements_become_letters(spark):
+    df = spark.createDataFrame([("ClCC",), ("ClClCCCC",), ("BrCCCCCCCl",), ("",), (None,), ("CCCCCCCCC",)], "s string")
+    found = [r[0] for r in df.select(sequence.lingos(F.col("s"), 8, ("Cl", "Br", "Si"), "QX")).collect()]
+    assert found[0] == ["ClCC____"] and found[1] == ["ClClCCCC"] and found[2] == ["BrCCCCCCCl"]
+    assert found[3] == found[4] == ["________"] and found[5] == ["CCCCCCCC"] * 2
+
+
+def test_nearest_equals_brute_force(spark):
+    r = np.random.default_rng(4)
+    drugs, cells = 5, 4
+    dd, cd = r.integers(0, 4, (drugs, drugs)) / 4, r.integers(0, 5, (cells, cells)) / 4
+    table = lambda m: spark.createDataFrame([(a, b, float(m[a, b])) for a in range(len(m)) for b in range(len(m))], "a int, b int, dist double")
+    train = [(k, int(r.integers(drugs)), int(r.integers(cells - 1)), float(k)) for k in range(40)]
+    test = [(k, int(r.integers(drugs)), int(r.integers(cells))) for k in range(12)]
+    got = neighbours.nearest(spark.createDataFrame(test, "test_id int, drug int, cell int"), spark.createDataFrame(train, "train_id int, drug int, cell int, label double"), table(dd), table(cd), 3)
+    wanted = []
+    for i, d, c in test:
+        for scale, top in (("local", max(cd[c, x[2]] for x in train)), ("global", cd.max())):
+            near = sorted((round(dd[d, x[1]] + (cd[c, x[2]] / top if top else 0.0), 9), x[0]) for x in train)[:3]
+            wanted += [(i, scale, n, k, float(k)) for n, (_, k) in enumerate(near, 1)]
+    assert rows(got) == sorted(wanted, key=repr)
+
+
+def test_shards_and_unscored(spark):
+    df = spark.createDataFrame([(k,) for k in range(11)], "x int")
+    assert {r["shard"]: r["count"] for r in pairs.shards(df, ["x"], 3).groupBy("shard").count().collect()} == {0: 3, 1: 3, 2: 5}
+    assert pairs.shards(df.where("x < 2"), ["x"], 3).select("shard").distinct().count() == 2
+    scored = spark.createDataFrame([("a", "c1", 1.0)], "drug string, cell string, y double")
+    drugs, cells = spark.createDataFrame([("a",), ("b",)], "drug string"), spark.createDataFrame([("c1",), ("c2",)], "cell string")
+    assert rows(pairs.with_unscored(scored, drugs, cells, ("drug", "cell"))) == [("a", "c1", 1.0), ("b", "c1", None), ("b", "c2", None)]
+    assert pairs.with_unscored(scored, drugs, cells, ("drug", "cell"), keep=False).count() == 1
+
+
+def test_stored_model_keeps_its_features(spark, tmp_path):
+    wide = spark.createDataFrame([("c", f"d{k}", float(k), float(k % 3)) for k in range(30)], "cell_line string, drug_name string, B double, A double")
+    model = consensus.forest(wide.withColumn("y", F.col("B")), ["B", "A"], "y")
+    consensus.save_model(model, str(tmp_path / "m"))
+    long = wide.select("drug_name", "cell_line", F.explode(F.array(F.struct(F.lit("A").alias("method"), F.col("A").alias("prediction")), F.struct(F.lit("B").alias("method"), F.col("B").alias("prediction")), F.struct(F.lit("other").alias("method"), F.lit(1e9).alias("prediction")))).alias("r")).select("drug_name", "cell_line", "r.*")
+    found = consensus.scored_by(spark, str(tmp_path / "m"), long)
+    assert rows(found) == rows(model.transform(wide).select("cell_line", "drug_name", "ensemble_score"))
