@@ -11,7 +11,8 @@ split  to all sections it touches, in proportion to its bytes there.
 So over sections that tile the text, counts add up to the count of the whole text.
 Sections may also overlap or leave gaps; ends are exclusive, and bounds are cut to
 the text. Null texts are empty, null lists of sections have no rows. Repeated rows
-and ids are rows of their own; a section with a null bound has null counts.
+and ids are rows of their own; a section with a null bound has null counts. Other
+columns are dropped; a key named like a column of the result is returned as <key>_key.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 from dosegrid.llm import common, tokens
 
 RULES = ("first", "last", "split")
+COLUMNS = ("section", "name", "start", "end", "n_tokens", "n_crossing", "doc_tokens")
 SECTION = "array<struct<name:string,start:bigint,end:bigint>>"
 
 
@@ -59,7 +61,8 @@ def token_counts(df: DataFrame, tokenizer: str, sections: str | None = None, tex
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
     number = "double" if rule == "split" else "bigint"
-    schema = f"{key} {df.schema[key].dataType.simpleString()}, section bigint, name string, start bigint, end bigint, n_tokens {number}, n_crossing bigint, doc_tokens bigint"
+    named = key if key not in COLUMNS else f"{key}_key"
+    schema = f"`{named}` {df.schema[key].dataType.simpleString()}, section bigint, name string, start bigint, end bigint, n_tokens {number}, n_crossing bigint, doc_tokens bigint"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokens.byte_bpe(tokenizer)
@@ -92,9 +95,10 @@ def token_counts(df: DataFrame, tokenizer: str, sections: str | None = None, tex
             for k in (4, 5):
                 columns[k] = [None if x < 0 else x for x in columns[k]]
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64() if rule == "split" else pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(place, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=[key, "section", "name", "start", "end", "n_tokens", "n_crossing", "doc_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(place, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=[named, *COLUMNS])
 
-    return df.select(key, text, *([] if sections is None else [F.col(sections).cast(SECTION)])).mapInArrow(count, schema)
+    wanted = [F.col(key).alias("key"), F.col(text).alias("text"), *([] if sections is None else [F.col(sections).cast(SECTION)])]
+    return common.in_arrow(df.select(*wanted), count, schema, tokenizers=True)
 
 
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,9 +17,11 @@ from pyspark.sql import functions as F
 #: ASCII white space, the only separators of words here.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 IS_SPACE = np.isin(np.arange(256), list(SPACES))
-#: Bytes of text that one vectorised step handles at most (a longer text is a step of its own).
-STEP_BYTES = 1 << 20
+#: Bytes of text that one vectorised step handles at most (a longer text is a step of its own), and bytes that are hashed together.
+STEP_BYTES = HASH_BYTES = 1 << 18
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows and bytes of the batches that go to Python: whole texts, so few of them.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 _own_folder: list[str] = []
 
 
@@ -26,19 +30,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """The folder that the cluster names in spark.checkpoint.dir; a temporary one only where that is unset and all runs in one process."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         if not _own_folder:
             _own_folder.append(tempfile.mkdtemp(prefix="dosegrid-"))
         found = _own_folder[0]
     return found.rstrip("/")
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write df as a table in the shared folder and read it back: lineage ends here, and lost executors lose nothing."""
+def kept(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """Write df as a table in the shared folder, or a folder of it, and read it back: lineage ends here, and lost executors lose nothing."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")  # shuffle files go as soon as the table is there
     try:
@@ -48,6 +54,58 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """A folder in the shared one for tables that a job needs while it runs. It goes when the job is over."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_) -> None:
+        remove(self.spark, self.path)
+
+    def kept(self, df: DataFrame, name: str) -> DataFrame:
+        return kept(df, name, self.path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, through Spark's file systems."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
+def released(tokenizers: bool = False) -> None:
+    """Give memory that a task has freed back to the system, for Spark uses its workers again. Tokenizers go too, unless the task has used them."""
+    if not tokenizers and (loaded := sys.modules.get("dosegrid.llm.tokens")):
+        loaded.byte_bpe.cache_clear()
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
+def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema, tokenizers: bool = False) -> DataFrame:
+    """df.mapInArrow in batches of bounded size, by workers that keep no memory. tokenizers: whether work uses them."""
+    for k, v in BATCHES.items():
+        df.sparkSession.conf.set(k, v)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            released(tokenizers)
+
+    return df.mapInArrow(task, schema)
+
+
 def crc_mod(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo n; null keys count as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
@@ -105,9 +163,8 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
-        size = max(n, STEP_BYTES + 1)
         for k, base in enumerate((_RADIX, _UNDO)):
-            grown = np.full(size, base, np.uint64)
+            grown = np.full(max(n, HASH_BYTES + 1), base, np.uint64)
             grown[0] = 1
             np.multiply.accumulate(grown, out=grown)
             _powers[k] = grown
@@ -125,11 +182,19 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span, from one running polynomial sum."""
-    power, undo = _power(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * undo[starts])
+    """64-bit hash of each byte span (spans by rising starts and ends), from a running polynomial sum over HASH_BYTES at a time, or over one span."""
+    out = np.zeros(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = int(starts[at])
+        end = max(at + 1, int(np.searchsorted(ends, low + HASH_BYTES, "right")))
+        high = int(ends[end - 1])
+        power, undo = _power(high - low + 1)
+        total = np.zeros(high - low + 1, np.uint64)
+        np.cumsum((data[low:high].astype(np.uint64) + np.uint64(1)) * power[: high - low], out=total[1:])
+        out[at:end] = mix((total[ends[at:end] - low] - total[starts[at:end] - low]) * undo[starts[at:end] - low])
+        at = end
+    return out
 
 
 def shingle_hashes(words: np.ndarray, counts: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

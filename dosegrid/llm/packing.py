@@ -145,7 +145,7 @@ def pack(df: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id",
         if held:
             yield flush()
 
-    packed = common.kept(df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(encode, schema), "packed")
+    packed = common.kept(common.in_arrow(df.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), encode, schema, tokenizers=True), "packed")
     short = packed.groupBy("sequence_id").agg(F.sum("length").alias("filled")).where(F.col("filled") < window - window // 16).select("sequence_id")
 
     def again(group: tuple, rest: pd.DataFrame) -> pd.DataFrame:

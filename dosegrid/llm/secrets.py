@@ -58,12 +58,12 @@ def find_secrets(df: DataFrame, text: str = "text", rules: Sequence[Rule] = BASE
                     found[row + r].append({"kind": rules[k].kind, "start": start, "end": end})
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, kind)], names=[*batch.schema.names, into])
 
-    return df.mapInArrow(scan, schema)
+    return common.in_arrow(df, scan, schema)
 
 
 def redact(df: DataFrame, text: str = "text", rules: Sequence[Rule] = BASE_RULES + MORE_RULES) -> DataFrame:
     """df with every span replaced by its kind in brackets; overlapping spans become one, named for the first. Null texts stay null."""
-    mark = "secret_spans_"
+    mark = common.fresh(df, "spans")
     place = df.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +81,7 @@ def redact(df: DataFrame, text: str = "text", rules: Sequence[Rule] = BASE_RULES
             columns[place] = pa.array(texts, batch.schema.field(place).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return find_secrets(df, text, rules, mark).mapInArrow(cut, df.schema)
+    return common.in_arrow(find_secrets(df, text, rules, mark), cut, df.schema)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
