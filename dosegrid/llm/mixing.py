@@ -1,22 +1,28 @@
 """Mixing to target weights with soft membership.
 
-Domains are the combinations of the labels' columns. A classifier learned from the
-labelled rows gives every document a posterior over domains: naive Bayes evidence of
-its words (by BUCKETS hash buckets, counted over all labelled rows) and a few shape
-statistics go into a softmax regression, fitted on SAMPLE labelled rows at most.
+Domains are the combinations of the labels' columns. A classifier gives every document
+a posterior over domains: naive Bayes evidence of its words (by BUCKETS hash buckets)
+and a few shape statistics go into a softmax regression. Both are fitted on the
+labelled rows that come first in an order by hash, SAMPLE at most.
 
 Each document's rate is a nonnegative number; domain k's expected tokens are the sum of
 tokens x posterior x rate. Rates minimise the squared misses of the domains' targets,
-each relative to the domain's tokens, plus RIDGE times the squared distance of rates
-from one, by projected gradient steps. A rate depends on its document's posterior
-only, rounded to GRID steps: the documents are summed over the cells of that grid, of
-which there is a fixed number, and each gradient is an aggregate over cells. The
-steps so far are part of the expression of a rate, so no state is kept between jobs.
-
-The domain with the largest target is wanted whole and sets the total; a domain that
-has too few tokens for its target is wanted whole too, not repeated. Null texts are empty and have no tokens. Null ids, labels out of range and
-unlabelled rows are fine; of repeated labels the largest counts. Without labelled rows
-all posteriors are equal. Rows are never merged.
+relative to the domain's tokens, by projected gradient steps with Nesterov's momentum
+from a rate of one: a document's rate moves against posterior x gradient and is cut to
+0 and MOST. So the rate after some steps follows from the document's own
+posterior and the gradients so far, which are DOMAINS numbers each: no state is kept
+between steps, and each gradient is one aggregate over all documents. Steps end when
+every domain is within CLOSE of its target, as a share of all tokens, when they gain no
+more, or after STEPS of them; the fit says what is still missed.
+
+Targets are shares of the mixture. The domain with the largest target keeps its
+expected tokens and sets the total. Others go up or down to their targets: a rate over
+one means that a document is to be repeated. A target of a domain that no document can
+belong to cannot be met and stays a miss.
+
+Null texts are empty and have no tokens. Null ids, labels out of range and unlabelled
+rows are fine; of repeated labels the largest counts. Without labelled rows all
+posteriors are equal, and only equal targets can be met. Rows are never merged.
 """
 
 from __future__ import annotations
@@ -33,8 +39,11 @@ from dosegrid.llm import common
 
 DOMAINS = ("poor", "poor_toxic", "good", "good_toxic")  # 2 x quality + toxic
 TARGETS = (0.05, 0.005, 0.93, 0.015)
-BUCKETS, SAMPLE, GRID = 1 << 16, 20_000, 16
-RIDGE, MOMENTUM, STEPS, CLOSE = 0.001, 0.7, 40, 1e-6
+BUCKETS, SAMPLE = 1 << 16, 20_000
+#: Repetitions of a document at most; steps at most; misses that end the steps, as shares of all tokens.
+MOST, STEPS, CLOSE = 4.0, 60, 1e-3
+#: Steps end too when so many of them have lowered the largest miss by less than this share of it.
+STILL, GAIN = 10, 0.05
 _UPPER, _SYMBOL = np.zeros(256, bool), np.isin(np.arange(256), list(b"#*$%&|<>!"))
 _UPPER[65:91] = True
 _LOWERED = np.arange(256, dtype=np.uint8)
@@ -73,8 +82,16 @@ def domain_of(quality: Column, toxic: Column) -> Column:
     return F.when(quality.isin(0, 1) & toxic.isin(0, 1), 2 * quality + toxic).cast("int")
 
 
-def _evidence(docs: DataFrame, domains: DataFrame, text: str, key: str) -> np.ndarray:
-    """Naive Bayes weights of buckets for each domain, from all labelled rows; little evidence and weak leanings count nothing."""
+def labelled_rows(docs: DataFrame, labels: DataFrame, text: str, key: str) -> DataFrame:
+    """(text, domain) of SAMPLE keys at most: those first by hash among labelled keys that docs have. Only keys are shuffled, and only the SAMPLE chosen are broadcast."""
+    domains = labels.select(F.col(key).alias("_key"), domain_of(F.col("quality"), F.col("toxic")).alias("domain")).where("domain is not null").groupBy("_key").agg(F.max("domain").alias("domain"))
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    chosen = domains.join(rows.select("_key").hint("merge"), "_key", "left_semi").orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE)
+    return rows.join(F.broadcast(chosen), "_key").select("_text", "domain")
+
+
+def _evidence(labelled: DataFrame) -> np.ndarray:
+    """Naive Bayes weights of buckets for each domain; little evidence and weak leanings count nothing."""
     k = len(DOMAINS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,8 +105,7 @@ def _evidence(docs: DataFrame, domains: DataFrame, text: str, key: str) -> np.nd
         b, d = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(b), pa.array(d), pa.array(total[b, d])], names=["bucket", "domain", "n"])
 
-    labelled = docs.select(F.col(key).alias("_key"), text).join(domains, "_key").select(text, "domain")
-    rows = labelled.mapInArrow(count, "bucket bigint, domain bigint, n bigint").groupBy("bucket", "domain").agg(F.sum("n").alias("n")).collect()
+    rows = common.in_arrow(labelled, count, "bucket bigint, domain bigint, n bigint").groupBy("bucket", "domain").agg(F.sum("n").alias("n")).collect()
     n = np.zeros((BUCKETS + 1, k))
     for r in rows:
         n[r["bucket"], r["domain"]] = r["n"]
@@ -120,81 +136,115 @@ def _softmax_fit(x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
 
 
 def posteriors(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, posterior) of every row; tokens are words here."""
-    k = len(DOMAINS)
-    domains = labels.select(F.col(key).alias("_key"), domain_of(F.col("quality"), F.col("toxic")).alias("domain")).where("domain is not null").groupBy("_key").agg(F.max("domain").alias("domain"))
-    weights = docs.sparkSession.sparkContext.broadcast(_evidence(docs, domains, text, key))
+    """(_key, n_tokens, posterior) of every row; tokens are words here."""
+    k, context = len(DOMAINS), docs.sparkSession.sparkContext
+    evidence = context.broadcast(_evidence(labelled := labelled_rows(docs, labels, text, key)))
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def values(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        s = scan(data, offsets)
+        found = np.stack([np.bincount(s.row, evidence.value[s.bucket, d], len(offsets) - 1) for d in range(k)], 1)
+        return s.n_words, np.concatenate([s.shape, np.arcsinh(found)], 1)
+
+    def lists(x: np.ndarray) -> pa.ListArray:
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.array(x.ravel()))
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, end, data, offsets in common.steps(batch.column(1)):
-                s = scan(data, offsets)
-                found = np.stack([np.bincount(s.row, weights.value[s.bucket, d], end - row) for d in range(k)], 1)
-                values = np.concatenate([s.shape, np.arcsinh(found)], 1)
-                bounds = np.arange(end - row + 1, dtype=np.int32) * values.shape[1]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(s.n_words), pa.ListArray.from_arrays(pa.array(bounds), pa.array(values.ravel()))], names=["_key", "n_tokens", "x"])
-
-    found = common.kept(docs.select(F.col(key).alias("_key"), text).mapInArrow(look, f"_key {docs.schema[key].dataType.simpleString()}, n_tokens bigint, x array<double>"), "mixing")
-    sample = found.join(domains, "_key").select("x", "domain", F.crc32(F.col("_key").cast("string").cast("binary")).alias("order")).orderBy("order").limit(SAMPLE).collect()
+            for row, end, data, offsets in common.steps(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([lists(values(data, offsets)[1]), batch.column(1).slice(row, end - row)], names=["x", "domain"])
+
+    sample = common.in_arrow(labelled, known, "x array<double>, domain int").collect()
     if sample:
         w = _softmax_fit(np.array([r["x"] for r in sample]), np.array([r["domain"] for r in sample]), k)
     else:
         w = np.zeros((5 + k, k))
-    scores = F.transform(F.array(*(F.array(*map(F.lit, w[:, d].tolist())) for d in range(k))), lambda c: F.aggregate(F.zip_with("x", c, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b))
-    with_scores = found.select(F.col("_key").alias(key), "n_tokens", scores.alias("z"))
-    powers = F.transform("z", lambda z: F.exp(z - F.array_max("z")))
-    with_powers = with_scores.withColumn("e", powers)
-    return with_powers.select(key, "n_tokens", F.transform("e", lambda e: e / F.aggregate("e", F.lit(0.0), lambda a, b: a + b)).alias("posterior"))
 
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in common.steps(batch.column(1)):
+                n, x = values(data, offsets)
+                p = np.exp((z := x @ w) - z.max(1, keepdims=True))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(n), lists(p / p.sum(1, keepdims=True))], names=["_key", "n_tokens", "posterior"])
+
+    return common.in_arrow(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), look, f"_key {docs.schema[key].dataType.simpleString()}, n_tokens bigint, posterior array<double>")
+
+
+def rates_of(posterior: np.ndarray, gradients: Sequence[np.ndarray], ahead: bool = False) -> np.ndarray:
+    """Rates of documents (rows of posterior) after all steps so far, from a rate of one: each step goes from a point ahead of the last two rates, against posterior x gradient, and is cut to 0 and MOST. ahead: that point for the next step."""
+    rate = point = np.ones(len(posterior))
+    for k, g in enumerate(gradients):
+        new = np.clip(point - posterior @ g, 0, MOST)
+        point, rate = new + (k / (k + 3)) * (new - rate), new
+    return point if ahead else rate
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy().reshape(-1, len(DOMAINS))
 
-def rate_of(posterior: Column, gradients: Sequence[np.ndarray], step: float) -> Column:
-    """The rate after all steps so far, from a rate of one: each goes on with MOMENTUM of the last, against posterior x gradient plus the ridge, and is cut at zero."""
-    each = F.array(*(F.array(*map(F.lit, map(float, g))) for g in gradients)) if len(gradients) else F.array().cast("array<array<double>>")
-    dot = lambda g: F.aggregate(F.zip_with(posterior, g, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    start = F.struct(F.lit(1.0).alias("r"), F.lit(0.0).alias("v"))
 
-    def move(at: Column, g: Column) -> Column:
-        v = MOMENTUM * at["v"] - step * (dot(g) + RIDGE * (at["r"] - 1))
-        return F.struct(F.greatest(F.lit(0.0), at["r"] + v).alias("r"), F.when(at["r"] + v > 0, v).otherwise(0.0).alias("v"))
+@dataclass
+class Fitted:
+    """gradients: what rates follow from; of each domain the tokens wanted and those expected at the fitted rates."""
+
+    gradients: list[np.ndarray]
+    wanted: np.ndarray
+    expected: np.ndarray
 
-    return F.aggregate(each, start, move, lambda at: at["r"])
+    def missed(self) -> float:
+        """The largest miss of a domain, as a share of all tokens wanted."""
+        return float(abs(self.expected - self.wanted).max() / max(self.wanted.sum(), 1e-9))
 
 
-def fitted_rates(scored: DataFrame, targets: Sequence[float]) -> DataFrame:
-    """(cell, rate): of each cell of the posterior grid, a table of fixed size."""
+def fitted(scored: DataFrame, targets: Sequence[float]) -> Fitted:
+    """Projected gradient over (n_tokens, posterior) rows."""
     k = len(targets)
-    cells = scored.groupBy(cell_of(F.col("posterior")).alias("cell")).agg(F.sum("n_tokens").cast("double").alias("tokens"), F.array(*(F.sum(F.col("n_tokens") * F.get("posterior", F.lit(d))) for d in range(k))).alias("mass"))
-    cells = common.kept(cells.withColumn("mean", F.when(F.col("tokens") > 0, F.transform("mass", lambda m: m / F.col("tokens"))).otherwise(F.transform("cell", lambda c: c / GRID))), "mixing_cells")
-    sums = lambda rate: cells.agg(*(F.coalesce(F.sum(F.get("mass", F.lit(d)) * rate), F.lit(0.0)).alias(f"d{d}") for d in range(k))).first()
-    have = np.array(list(sums(F.lit(1.0))), float)
-    gradients: list[np.ndarray] = []
-    step = 0.9 / (1 + RIDGE)
-    wanted_share = np.array(targets, float) / sum(targets)
-    if have.sum() > 0:
-        main = int(wanted_share.argmax())
-        wanted = np.minimum(wanted_share * have[main] / wanted_share[main], have)
-        now = have
-        while len(gradients) < STEPS:
-            miss = (now - wanted) / np.maximum(have, 1e-9)
-            if gradients and abs(miss - gradients[-1]).max() < CLOSE:
-                break
-            gradients.append(miss)
-            now = np.array(list(sums(rate_of(F.col("mean"), gradients, step))), float)
-    return cells.select("cell", rate_of(F.col("mean"), gradients, step).alias("rate"))
-
-
-def cell_of(posterior: Column) -> Column:
-    return F.transform(posterior, lambda p: F.round(p * GRID).cast("int"))
-
-
-def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(key, n_tokens, posterior, rate) of every row."""
+
+    def sums(gradients: list[np.ndarray]) -> np.ndarray:
+        """Expected tokens of the domains at the rates, and at the points from which the next step goes."""
+
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((2, k))
+            for batch in batches:
+                p, n = matrix(batch.column(1)), batch.column(0).to_numpy().astype(float)
+                total += [(n * rates_of(p, gradients, ahead)) @ p for ahead in (False, True)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * k)), pa.array(total.ravel())], names=["i", "x"])
+
+        rows = common.in_arrow(scored.select("n_tokens", "posterior"), add, "i bigint, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
+        out = np.zeros(2 * k)
+        for r in rows:
+            out[r["i"]] = r["x"]
+        return out.reshape(2, k)
+
+    share = np.array(targets, float) / sum(targets)
+    have = point = sums([])[0]
+    main = int(share.argmax())
+    out = Fitted([], share * have[main] / share[main], have)
+    misses = [out.missed()]
+    while misses[-1] > CLOSE and len(out.gradients) < STEPS:
+        gradients = [*out.gradients, (point - out.wanted) / np.maximum(have, 1e-9)]
+        now, point = sums(gradients)
+        out = Fitted(gradients, out.wanted, now)
+        misses.append(out.missed())
+        if len(misses) > STILL and min(misses[-STILL:]) > (1 - GAIN) * min(misses[:-STILL]):
+            break
+    return out
+
+
+def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, Fitted]:
+    """(key, n_tokens, posterior, rate) of every row, and the fit."""
     scored = common.kept(posteriors(docs, labels, text, key), "mixing_posteriors")
-    rates = fitted_rates(scored, targets)  # (GRID + 1) ** domains cells at most
-    return scored.withColumn("cell", cell_of(F.col("posterior"))).join(F.broadcast(rates), "cell", "left").drop("cell")
+    fit = fitted(scored, targets)
+
+    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates_of(matrix(batch.column(2)), fit.gradients))], names=[*batch.schema.names, "rate"])
+
+    schema = f"_key {docs.schema[key].dataType.simpleString()}, n_tokens bigint, posterior array<double>, rate double"
+    return common.in_arrow(scored, rate, schema).withColumnRenamed("_key", key), fit
 
 
 def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document; missed: the largest miss of a target, as a share of all tokens."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    out = mixed(common.documents(spark, sf_dir).select("doc_id", "text"), labels)
-    return out.select("doc_id", "n_tokens", *(F.get("posterior", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate")
+    out, fit = mixed(common.documents(spark, sf_dir).select("doc_id", "text"), labels)
+    return out.select("doc_id", "n_tokens", *(F.get("posterior", F.lit(k)).alias(f"p_{d}") for k, d in enumerate(DOMAINS)), "rate", F.lit(fit.missed()).alias("missed"))
