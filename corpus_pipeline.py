@@ -42,7 +42,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document stays if a number drawn from its id is under its rate; rates of one and more always stay."""
-    rates = mixing.mixed(docs, _labels(spark, sf_dir)).select("doc_id", "rate")
+    rates = mixing.mixed(docs, _labels(spark, sf_dir))[0].select("doc_id", "rate")
     drawn = F.crc32(F.concat_ws("|", F.lit("mixing"), F.col("doc_id").cast("string")).cast("binary")) / F.lit(float(1 << 32))
     chosen = rates.where(drawn < F.col("rate")).select("doc_id").distinct()
     return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi").select(*COLUMNS)
