@@ -13,11 +13,13 @@ under a difference cover, but only one place in sixteen is sampled.
    are repeats of the smallest id. Elsewhere the smallest id of each context stays open.
 3. Each string of an open place is named by its hash. Equal strings have places of one
    name, so they are dealt by that name once more; the smallest id is kept and the
-   others are repeats.
+   others are repeats. The strings of a name with more than SHARE open places are dealt
+   to several tasks by their hashes, so a passage that many texts hold is no hot key.
 
 Names and contexts are 64-bit hashes. Nothing is sampled away or capped. Null texts are
 empty. Rows with one id never repeat each other; a null id counts as the largest. Rows
-of any kind give one row each; texts shorter than LENGTH lose nothing.
+of any kind give one row each; texts shorter than LENGTH lose nothing. Columns of the
+input may have any names; those named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -38,7 +40,11 @@ LENGTH, GRAM = 50, 20
 REACH = LENGTH - GRAM + 1  # places of a string
 NO_ID = (1 << 63) - 1
 #: Places that a task holds before it writes them out: 36 bytes each.
-HELD = 3_000_000
+HELD = 1_000_000
+#: Buckets for each shuffle partition, and open places of a name that one task takes.
+FINER, SHARE = 2, 512
+#: Rows of a batch that goes back to Spark.
+RECORDS = 50_000
 _PLACE = np.dtype([("name", "<u8"), ("context", "<u8"), ("id", "<i8"), ("tag", "<u4"), ("first", "<i4"), ("last", "<i4")])
 
 
@@ -127,7 +133,7 @@ def unpacked(body: bytes) -> np.ndarray:
 
 def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(_id, _tag, ranges) of all texts with repeats: ranges (first, last) of starts of repeated strings; _id: key, _tag: crc32 of the text."""
-    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = FINER * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     docs = df.select(F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(text, F.lit("")).alias("_text"))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,6 +144,8 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
             held.clear()
             rows, bodies, kinds = [], [], []
             for part, kind in ((done, 1), (rest, 0)):
+                if not len(part):
+                    continue
                 where = (part["name"] % np.uint64(buckets)).astype(np.int64)
                 order = np.lexsort((part["first"], part["tag"], part["id"], where))
                 part, where = part[order], where[order]
@@ -168,10 +176,15 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
             out = np.concatenate([some(1), more, left])
             state = np.arange(len(out)) >= len(out) - len(left)
             name = pa.array(out["name"].astype(np.int64), mask=~state)
-            yield pa.RecordBatch.from_arrays([pa.array(out["id"]), pa.array(out["tag"].astype(np.int64)), pa.array(out["first"]), pa.array(out["last"]), name], names=["_id", "_tag", "first", "last", "name"])
-
-    sampled = docs.mapInArrow(sample, "bucket bigint, kind bigint, body binary")
-    found = common.kept(sampled.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(resolve, "_id bigint, _tag bigint, first int, last int, name bigint"), "places")
+            _, which, count = np.unique(left["name"], return_inverse=True, return_counts=True)
+            parts = np.ones(len(out), np.int32)
+            parts[state] = (-(-count // SHARE))[which]
+            for low in range(0, max(1, len(out)), RECORDS):
+                some = slice(low, low + RECORDS)
+                yield pa.RecordBatch.from_arrays([pa.array(out["id"][some]), pa.array(out["tag"][some].astype(np.int64)), pa.array(out["first"][some]), pa.array(out["last"][some]), name[some], pa.array(parts[some])], names=["_id", "_tag", "first", "last", "name", "parts"])
+
+    sampled = common.in_arrow(docs, sample, "bucket bigint, kind bigint, body binary")
+    found = common.kept(common.in_arrow(sampled.repartition(buckets, "bucket").sortWithinPartitions("bucket"), resolve, "_id bigint, _tag bigint, first int, last int, name bigint, parts int"), "places")
     tagged = docs.withColumn("_tag", F.crc32(F.col("_text").cast("binary")))
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,15 +198,24 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                 n = last - first + 1
                 at = np.repeat(first + offsets[owner], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 hashes = common.span_hashes(data, at, at + LENGTH)
-                bodies = pa.Array.from_buffers(pa.binary(), len(n), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(n * 8)]).astype(np.int32)), pa.py_buffer(hashes)])
-                yield pa.RecordBatch.from_arrays([flat.field(2), part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), flat.field(0), bodies], names=["name", "_id", "_tag", "first", "strings"])
+                place = np.repeat(np.arange(len(n)), n)
+                offset = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)  # of the string in its place
+                share = (hashes % np.repeat(flat.field(3).to_numpy(), n).astype(np.uint64)).astype(np.int32)
+                order = np.lexsort((offset, share, place))
+                place, share = place[order], share[order]
+                cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (share[1:] != share[:-1])])) if len(place) else place
+                sizes = np.diff(np.append(cut, len(place)))
+                which = pa.array(place[cut])
+                lists = lambda x: pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes * x.itemsize)]).astype(np.int32)), pa.py_buffer(x)])  # noqa: E731, B023
+                rows = pa.array(owner[place[cut]])
+                yield pa.RecordBatch.from_arrays([flat.field(2).take(which), pa.array(share[cut]), part.column(0).take(rows), part.column(1).take(rows), flat.field(0).take(which), lists(offset[order].astype(np.uint8)), lists(hashes[order])], names=["name", "share", "_id", "_tag", "first", "offsets", "strings"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, ids, tags, first, bodies in grouped(batches, 1):
+        for _, _, _, ids, tags, first, offsets, bodies in grouped(batches, 1):
             hashes = np.frombuffer(b"".join(bodies), np.uint64)
             n = np.array([len(b) // 8 for b in bodies])
             row = np.repeat(np.arange(len(n)), n)
-            start = np.repeat(first.astype(np.int64), n) + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+            start = first.astype(np.int64)[row] + np.frombuffer(b"".join(offsets), np.uint8)
             order = np.lexsort((ids[row], hashes))
             lead = np.ones(len(order), bool)
             lead[1:] = hashes[order][1:] != hashes[order][:-1]
@@ -206,10 +228,10 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
             end = np.append(begin[1:], len(row)) - 1
             yield pa.RecordBatch.from_arrays([pa.array(ids[row[begin]]), pa.array(tags[row[begin]]), pa.array(start[begin].astype(np.int32)), pa.array(start[end].astype(np.int32))] if len(begin) else [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.int32())], names=["_id", "_tag", "first", "last"])
 
-    pending = found.where("name is not null").groupBy("_id", "_tag").agg(F.collect_list(F.struct("first", "last", "name")).alias("ranges"))
-    strings = tagged.join(pending.hint("merge"), ["_id", "_tag"]).select("_id", "_tag", "_text", "ranges").mapInArrow(names, "name bigint, _id bigint, _tag bigint, first int, strings binary")
-    dealt = strings.select(F.pmod("name", F.lit(buckets)).alias("bucket"), "name", "_id", "_tag", "first", "strings").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    more = common.kept(dealt.mapInArrow(compare, "_id bigint, _tag bigint, first int, last int"), "strings")
+    pending = found.where("name is not null").groupBy("_id", "_tag").agg(F.sort_array(F.collect_list(F.struct("first", "last", "name", "parts"))).alias("ranges"))
+    strings = common.in_arrow(tagged.join(pending.hint("merge"), ["_id", "_tag"]).select("_id", "_tag", "_text", "ranges"), names, "name bigint, share int, _id bigint, _tag bigint, first int, offsets binary, strings binary")
+    dealt = strings.select(F.pmod(F.xxhash64("name", "share"), F.lit(buckets)).alias("bucket"), "name", "share", "_id", "_tag", "first", "offsets", "strings").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    more = common.kept(common.in_arrow(dealt, compare, "_id bigint, _tag bigint, first int, last int"), "strings")
     return found.where("name is null").select("_id", "_tag", "first", "last").union(more).groupBy("_id", "_tag").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
 
@@ -219,8 +241,10 @@ def without_repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
     df = df.drop(*new)
     others = df.columns
     place = others.index(text)
-    keyed = df.withColumns({"_id": F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), "_tag": F.crc32(F.coalesce(text, F.lit("")).cast("binary"))})
-    joined = keyed.join(repeats(df, text, key).hint("merge"), ["_id", "_tag"], "left").select(*others, "ranges")
+    by_id, tag, found = (common.fresh(df, n) for n in ("_id", "_tag", "_ranges"))
+    keyed = df.withColumns({by_id: F.coalesce(F.col(key).cast("long"), F.lit(NO_ID)), tag: F.crc32(F.coalesce(text, F.lit("")).cast("binary"))})
+    ranges = repeats(df, text, key).toDF(by_id, tag, found)
+    joined = keyed.join(ranges.hint("merge"), [by_id, tag], "left").select(*(f"`{c}`" for c in others), found)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +268,7 @@ def without_repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(bodies, pa.binary()), *map(pa.array, numbers)], names=[*others, *new])
 
     schema = ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
-    return joined.mapInArrow(cut, f"{schema}, kept_bytes binary, n_bytes bigint, n_removed bigint, n_spans bigint")
+    return common.in_arrow(joined, cut, f"{schema}, kept_bytes binary, n_bytes bigint, n_removed bigint, n_spans bigint")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
