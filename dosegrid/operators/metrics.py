@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,9 @@ from pyspark.sql import functions as F
 
 from dosegrid.operators.pairs import numbered
 
+#: Rows of a block in the count of concordant pairs.
+BLOCK = 1 << 16
+
 
 def correlation(y: Column, f: Column, over: Window | None = None) -> Column:
     """Pearson's r in [-1, 1]; null for a constant or fewer than two pairs."""
@@ -43,40 +47,52 @@ def spearman(df: DataFrame, by: Sequence[str], y: str = "y", f: str = "f") -> Da
     return ranked.groupBy(*by).agg(pearson(F.col("ry"), F.col("rf")).alias("spearman"))
 
 
-def concordance_of(y: np.ndarray, f: np.ndarray) -> float | None:
-    """Share of pairs with y_i > y_j that have f_i > f_j, ties in f counting half; None without such pairs. Rows are merged by ever larger blocks, all blocks of a size at once."""
-
-    def pairs_within(*columns: np.ndarray) -> int:
-        n = np.unique(np.stack(columns), axis=1, return_counts=True)[1]
-        return int((n * (n - 1) // 2).sum())
-
-    every = len(y) * (len(y) - 1) // 2
-    pairs = every - pairs_within(y)
-    if pairs <= 0:
-        return None
-    order = np.lexsort((-f, y))  # of equal y the larger f first, so that they are not counted
-    rank = np.unique(f, return_inverse=True)[1][order]
-    place, good, size = np.arange(len(rank)), 0, 1
+def rising_pairs(first: np.ndarray, second: np.ndarray) -> int:
+    """Pairs of rows that rise in both; rows that are equal in one do not rise. Rows are merged by ever larger blocks, all blocks of a size at once."""
+    order = np.lexsort((-second, first))  # of equal firsts the larger second comes first, so that they are not counted
+    rank = np.unique(second, return_inverse=True)[1][order]
+    place, found, size = np.arange(len(rank)), 0, 1
     while size < len(rank):
         block, left = place // (2 * size), place // size % 2 == 0
-        by = np.lexsort((left, rank, block))  # at equal f the right half comes first
+        by = np.lexsort((left, rank, block))  # of equal seconds the right half comes first
         low = left[by]
         before = np.cumsum(low)
         start = np.concatenate([[0], before])[np.searchsorted(block[by], block[by])]
-        good += int((before - start)[~low].sum())
+        found += int((before - start)[~low].sum())
         size *= 2
-    ties = pairs_within(f) - pairs_within(y, f)
-    return (good + 0.5 * ties) / pairs
+    return found
 
 
 def concordance(df: DataFrame, by: str, y: str = "y", f: str = "f") -> DataFrame:
-    """(by, ci) by sorting and counting in each group."""
-
-    def one(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({by: [key[0]], "ci": [concordance_of(rows["y"].to_numpy(), rows["f"].to_numpy())]})
-
-    kind = df.schema[by].dataType.simpleString()
-    return df.where(F.col(y).isNotNull() & F.col(f).isNotNull()).select(by, F.col(y).cast("double").alias("y"), F.col(f).cast("double").alias("f")).groupBy(by).applyInPandas(one, f"{by} {kind}, ci double")
+    """(by, ci): share of pairs with y_i > y_j that have f_i > f_j, ties in f counting half; null without such pairs.
+
+    Each row has its place by y and its place by f, ties in either falling in the other, so
+    that concordant pairs are those that rise in both places. Places are cut into blocks of
+    BLOCK. Pairs of one block by y, and of one block by f, are counted block by block; all
+    others rise if their blocks do, which a table of counts by pairs of blocks tells. So no
+    task holds a whole group, however large.
+    """
+    rows = df.where(F.col(y).isNotNull() & F.col(f).isNotNull()).select(F.col(by).alias("g"), F.col(y).cast("double").alias("y"), F.col(f).cast("double").alias("f")).withColumns({"falling_y": -F.col("y"), "falling_f": -F.col("f")})
+    by_y = numbered(rows, ["g", "y", "falling_f"], "py").withColumn("back", -F.col("py"))
+    placed = numbered(by_y, ["g", "f", "falling_y", "back"], "pf").select("g", "y", "f", "py", "pf", F.expr(f"py div {BLOCK}").alias("by"), F.expr(f"pf div {BLOCK}").alias("bf"))
+    schema = f"g {df.schema[by].dataType.simpleString()}, n long"
+
+    def inside(first: str, second: str):
+        return lambda key, rows: pd.DataFrame({"g": [key[0]], "n": [rising_pairs(rows[first].to_numpy(), rows[second].to_numpy())]})
+
+    def apart(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
+        """Pairs of rows whose blocks rise in both, from counts by pairs of blocks."""
+        table = cells.pivot(index="by", columns="bf", values="count").fillna(0).to_numpy(np.int64)
+        below = np.cumsum(np.cumsum(table, 0), 1)[:-1, :-1]
+        return pd.DataFrame({"g": [key[0]], "n": [int((table[1:, 1:] * below).sum())]})
+
+    found = placed.select("g", "by", "py", "pf").groupBy("g", "by").applyInPandas(inside("py", "pf"), schema)
+    found = found.union(placed.select("g", "by", "bf", "pf").groupBy("g", "bf").applyInPandas(inside("by", "pf"), schema))
+    found = found.union(placed.groupBy("g", "by", "bf").count().groupBy("g").applyInPandas(apart, schema)).groupBy("g").agg(F.sum("n").alias("rising"))
+    pairs = lambda *keys: placed.groupBy("g", *keys).count().groupBy("g").agg(F.sum(F.expr("count * (count - 1) div 2")).alias("_".join(("n", *keys))))
+    every = reduce(lambda a, b: a.join(b, "g"), [pairs(), pairs("y"), pairs("f"), pairs("y", "f"), found])
+    share = (F.col("rising") + 0.5 * (F.col("n_f") - F.col("n_y_f"))) / F.nullif(F.col("n") - F.col("n_y"), F.lit(0))
+    return every.select(F.col("g").alias(by), share.alias("ci"))
 
 
 def concordance_by_pairs(df: DataFrame, by: str, y: str = "y", f: str = "f") -> DataFrame:

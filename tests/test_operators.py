@@ -114,15 +114,18 @@ def test_rescaling_edges(spark):
     assert found[0]["z"] == 0.0 and found[1]["z"] is None
 
 
-def test_metrics_constants_and_concordance(spark):
+def test_metrics_constants_and_concordance(spark, monkeypatch):
     df = spark.createDataFrame([("k", 1.0, 2.0), ("k", 1.0, 3.0), ("one", 1.0, 1.0)], "g string, y double, f double")
     assert all(r["pearson"] is None and r["r2"] is None for r in metrics.errors(df, ["g"]).collect())
     r = np.random.default_rng(3)
     y, f = r.integers(0, 9, 60).astype(float), r.integers(0, 9, 60).astype(float)
     pairs_ = [(a, b) for a in range(60) for b in range(60) if y[a] > y[b]]
     wanted = sum(1.0 if f[a] > f[b] else 0.5 if f[a] == f[b] else 0.0 for a, b in pairs_) / len(pairs_)
-    assert abs(metrics.concordance_of(y, f) - wanted) < 1e-12
-    assert metrics.concordance_of(np.ones(3), np.ones(3)) is None
+    table = spark.createDataFrame([("a", float(p), float(q)) for p, q in zip(y, f, strict=True)] + [("b", 1.0, 2.0), ("b", 1.0, 3.0), ("c", None, 1.0), ("d", 1.0, 1.0), ("d", 2.0, 5.0)], "g string, y double, f double")
+    for block in (1 << 16, 7, 1):
+        monkeypatch.setattr(metrics, "BLOCK", block)
+        found = {r["g"]: r["ci"] for r in metrics.concordance(table, "g").collect()}
+        assert abs(found.pop("a") - wanted) < 1e-12 and found == {"b": None, "d": 1.0}
     assert abs(metrics._tail(2.0, 10) - 0.0733880) < 1e-5
 
 
