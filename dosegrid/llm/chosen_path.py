@@ -33,14 +33,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosegrid.llm import common
 from dosegrid.llm.components import components
 
 WORDS, THRESHOLD = 5, 0.8
-T, RUNS, SMALL = 64, 12, 128
+T, RUNS, SMALL = 64, 16, 512
+#: Rows of a small bucket that are compared with all of it at once.
+ROWS = 128
+#: Rows of a block in which a large bucket is reduced to leaders.
+BUCKET_BLOCK = 128
 #: Share of pairs to be found, runs added when fewer are, classes drawn to measure it, and places in which their pairs agree (98% of pairs at the threshold do).
 TARGET, MORE, QUERIES, PROBE = 0.99, 6, 512, 45
 #: Places that two embeddings must agree in to be candidates: far below what similar sets have.
@@ -83,8 +87,13 @@ def embeddings(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def tag_of(text: Column) -> Column:
+    """A number of the text, which tells rows with one id, or none, apart."""
+    return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def described(df: DataFrame, text: str, key: str) -> DataFrame:
-    """(doc_id, class, n, places) of each row."""
+    """(doc_id, tag, class, n, places) of each row."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,9 +101,10 @@ def described(df: DataFrame, text: str, key: str) -> DataFrame:
                 hashes, sizes = shingle_sets(data, offsets)
                 keys = [k.tobytes() for k in class_keys(hashes, sizes)]
                 places = [p.tobytes() for p in embeddings(hashes, sizes)]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), pa.array(keys, pa.binary()), pa.array(sizes), pa.array(places, pa.binary())], names=["doc_id", "class", "n", "places"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), batch.column(2).slice(row, end - row), pa.array(keys, pa.binary()), pa.array(sizes), pa.array(places, pa.binary())], names=["doc_id", "tag", "class", "n", "places"])
 
-    return df.select(F.col(key).alias("doc_id"), text).mapInArrow(describe, f"doc_id {df.schema[key].dataType.simpleString()}, class binary, n bigint, places binary")
+    rows = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), tag_of(F.col(text)).alias("tag"))
+    return common.in_arrow(rows, describe, f"doc_id {df.schema[key].dataType.simpleString()}, tag bigint, class binary, n bigint, places binary")
 
 
 def chosen(path: np.ndarray) -> np.ndarray:
@@ -149,17 +159,27 @@ def agreement(places: np.ndarray, others: np.ndarray) -> np.ndarray:
     return (places[:, None] == others[None]).sum(-1, dtype=np.int16)
 
 
+def roots_of(linked: np.ndarray) -> np.ndarray:
+    """Smallest row of each row's component; linked: a symmetric table of links."""
+    root = np.arange(len(linked))
+    while True:  # smallest root among neighbours, then the root's root, again and again
+        new = np.minimum(root, np.where(linked, root[None], len(root)).min(1, initial=len(root)))
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Small buckets (path, id, places): each class linked to the first that it resembles."""
+    """Small buckets (path, id, places): each class linked to the first of its component in the bucket, so that there are no more links than classes."""
     a, b = [], []
     for _, ids, places in grouped(batches, 1):
         p = np.frombuffer(b"".join(places), np.uint32).reshape(-1, T)
-        for low in range(0, len(p), SMALL):
-            alike = agreement(p[low : low + SMALL], p) >= AGREE
-            i, j = np.nonzero(alike)
-            keep = i + low > j
-            a.append(ids[i[keep] + low])
-            b.append(ids[j[keep]])
+        alike = np.concatenate([agreement(p[low : low + ROWS], p) >= AGREE for low in range(0, len(p), ROWS)])
+        root = roots_of(alike)
+        keep = np.flatnonzero(root < np.arange(len(p)))
+        a.append(ids[keep])
+        b.append(ids[root[keep]])
     none = np.zeros(0, np.int64)
     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([none, *a])), pa.array(np.concatenate([none, *b]))], names=["a", "b"])
 
@@ -191,25 +211,26 @@ def candidate_links(classes: DataFrame, first: int = 0, runs: int = RUNS) -> tup
     """(a, b): ids of classes (id, places) that one of the runs from `first` has brought together and whose embeddings are alike; and how often buckets were split."""
     places = classes.select("id", "places")
     roots = F.array(*(F.xxhash64(F.lit(run), F.lit(p), F.substring("places", 4 * p + 1, 4)) for run, p in root_places(first, runs)))
-    nodes = common.kept(classes.select(F.explode(roots).alias("path"), "id"), "nodes")
-    links, depth = [], 0
-    while True:
-        sizes = nodes.groupBy("path").agg(F.count("id").alias("size")).where("size > 1")
-        full = common.kept(nodes.join(sizes, "path").join(places, "id").select("path", "id", "places", "size"), "buckets")
-        small = full.where(F.col("size") <= SMALL).select("path", "id", "places")
-        links.append(common.kept(small.repartition("path").sortWithinPartitions("path", "id").mapInArrow(_compare, "a bigint, b bigint").distinct(), "links"))
-        large = full.where(F.col("size") > SMALL)
-        if not large.limit(1).count():
-            break
-        blocks = large.select("path", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / SMALL)).alias("block"), "id", "places")
-        led = common.kept(blocks.repartition("path", "block").sortWithinPartitions("path", "block", "id").mapInArrow(_lead, "path bigint, id bigint, leader bigint"), "led")
-        links.append(led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
-        depth += 1
-        nodes = common.kept(led.where("id = leader").select("path", "id").join(places, "id").select("path", "id", "places").mapInArrow(_split, "path bigint, id bigint"), "nodes")
-    out = links[0]
-    for more in links[1:]:
-        out = out.union(more)
-    return common.kept(out.distinct(), "links"), depth
+    nodes, links, depth = classes.select(F.explode(roots).alias("path"), "id"), [], 0
+    with common.Scratch(classes.sparkSession, "paths") as scratch:
+        while True:
+            nodes = scratch.kept(nodes, "nodes")
+            sizes = nodes.groupBy("path").agg(F.count("id").alias("size")).where("size > 1")
+            full = scratch.kept(nodes.join(sizes, "path").join(places, "id").select("path", "id", "places", "size"), "buckets")
+            small = full.where(F.col("size") <= SMALL).select("path", "id", "places")
+            links.append(scratch.kept(common.in_arrow(small.repartition("path").sortWithinPartitions("path", "id"), _compare, "a bigint, b bigint").distinct(), "links"))
+            large = full.where(F.col("size") > SMALL)
+            if not large.limit(1).count():
+                break
+            blocks = large.select("path", F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BUCKET_BLOCK)).alias("block"), "id", "places")
+            led = scratch.kept(common.in_arrow(blocks.repartition("path", "block").sortWithinPartitions("path", "block", "id"), _lead, "path bigint, id bigint, leader bigint"), "led")
+            links.append(led.where("id <> leader").select(F.col("id").alias("a"), F.col("leader").alias("b")).distinct())
+            depth += 1
+            nodes = common.in_arrow(led.where("id = leader").select("path", "id").join(places, "id").select("path", "id", "places"), _split, "path bigint, id bigint")
+        out = links[0]
+        for more in links[1:]:
+            out = out.union(more)
+        return common.kept(out.distinct(), "links"), depth
 
 
 def probed(classes: DataFrame) -> DataFrame:
@@ -234,7 +255,7 @@ def probed(classes: DataFrame) -> DataFrame:
                 keep = other[low + i] != ids[j]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[j[keep]]), pa.array(other[low + i[keep]])], names=["a", "b"])
 
-    return common.kept(classes.select("id", "places").mapInArrow(probe, "a bigint, b bigint"), "probed")
+    return common.kept(common.in_arrow(classes.select("id", "places"), probe, "a bigint, b bigint"), "probed")
 
 
 def clustered(classes: DataFrame) -> tuple[DataFrame, float, int]:
@@ -311,12 +332,13 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def similarity_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, class_id (smallest key among all that are linked with it, over any number of links) and n_links (rows whose similarity with it is THRESHOLD or more)."""
-    docs = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    docs = df.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), tag_of(F.col(text)).alias("tag"))
     rows = common.kept(described(docs, "text", "doc_id"), "described")
-    full = rows.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("members"), F.first("places").alias("places"), F.first("n").alias("n"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first")
+    full = rows.where("n > 0").groupBy("class").agg(first, F.count("*").alias("members"), F.first("places").alias("places"), F.first("n").alias("n")).select("class", "first.doc_id", "first.tag", "members", "places", "n")
     classes = common.kept(full.withColumn("id", F.monotonically_increasing_id()), "classes")
     clusters = clustered(classes)[0].withColumnRenamed("root", "cluster")
-    member = common.kept(clusters.join(classes.select("id", "class", "doc_id", "members", "n"), "id"), "clusters")
+    member = common.kept(clusters.join(classes.select("id", "class", "doc_id", "tag", "members", "n"), "id"), "clusters")
     sizes = member.groupBy("cluster").agg(F.greatest(F.ceil(F.count("id") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
 
     def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,14 +352,14 @@ def similarity_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -
                 bodies = [hashes[bounds[k] : bounds[k + 1]].tobytes() for k in right]
                 yield pa.RecordBatch.from_arrays([*(part.column(k).take(pa.array(right)) for k in (2, 3)), pa.array(bodies, pa.binary())], names=["id", "members", "set"])
 
-    # null keys meet too: a class of rows without ids is found by its null
-    wanted = member.select(F.col("doc_id").alias("_key"), "class", "id", "members")
-    found = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["_key"])).select("text", "class", "id", "members")
-    sets = common.kept(found.mapInArrow(with_sets, "id bigint, members bigint, set binary").dropDuplicates(["id"]), "sets")
+    # null keys meet too, those of one text: a class of rows without ids is found by null and tag
+    wanted = member.select(F.col("doc_id").alias("_key"), F.col("tag").alias("_tag"), "class", "id", "members")
+    found = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["_key"]) & (docs["tag"] == wanted["_tag"])).select("text", "class", "id", "members")
+    sets = common.kept(common.in_arrow(found, with_sets, "id bigint, members bigint, set binary").dropDuplicates(["id"]), "sets")
     place = member.select("id", "cluster").join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"), (F.col("block") > k).cast("int").alias("side")))
     spread = sets.join(place.select("id", "cluster", F.explode(meets).alias("m")), "id").select("cluster", F.col("m.i").alias("i"), F.col("m.j").alias("j"), F.col("m.side").alias("side"), "id", "members", "set")
-    checked = common.kept(spread.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id").mapInArrow(_verify, "id bigint, links bigint, root bigint"), "verified")
+    checked = common.kept(common.in_arrow(spread.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id"), _verify, "id bigint, links bigint, root bigint"), "verified")
     links = checked.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(checked.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     rooted = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
