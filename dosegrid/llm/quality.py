@@ -67,7 +67,9 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
     letters = "".join(map(chr, range(65, 91)))
     ratio = lambda a, b: F.when(b > 0, a / b).otherwise(0.0)
     base = df.drop(*STATISTICS, *FEATURES)
-    columns = base.columns
+    columns = [f"`{c}`" for c in base.columns]
+    name = {c: common.fresh(base, f"_{c}") for c in ("w", "lines", "upper", "marks", "digits", "bars")}
+    part = lambda c: F.col(name[c])
     length = F.length(body)
     lines = F.filter(F.split(body, "\n"), lambda x: F.length(F.translate(x, "\t\x0b\x0c\r ", "")) > 0)
 
@@ -76,23 +78,23 @@ def with_statistics(df: DataFrame, text: str = "text") -> DataFrame:
 
     counted = base.select(
         *columns,
-        _let(words_of(F.col(text)), of_words).alias("_w"),
+        _let(words_of(F.col(text)), of_words).alias(name["w"]),
         _let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
-        F.size(lines).alias("_lines"),
+        F.size(lines).alias(name["lines"]),
         without(" \t\n\x0b\x0c\r").cast("long").alias("word_chars"),
         (length - without("#*$%&|<>")).cast("long").alias("n_symbols"),
-        (length - without(letters)).alias("_upper"),
-        (length - without("!?")).alias("_marks"),
-        (length - without("0123456789")).alias("_digits"),
-        (length - without("|")).alias("_bars"),
+        (length - without(letters)).alias(name["upper"]),
+        (length - without("!?")).alias(name["marks"]),
+        (length - without("0123456789")).alias(name["digits"]),
+        (length - without("|")).alias(name["bars"]),
     )
-    n, chars = F.col("_w.n"), F.col("word_chars")
+    n, chars = part("w")["n"], F.col("word_chars")
     return counted.select(
         *columns,
-        n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", F.col("_w.repeats").alias("n_repeat_words"),
-        n.cast("double").alias("f_words"), ratio(chars, n).alias("f_word_length"), ratio(F.col("n_symbols"), chars).alias("f_symbols"), ratio(F.col("_upper"), chars).alias("f_upper"),
-        ratio(F.col("_marks"), n).alias("f_marks"), ratio(F.col("_digits"), chars).alias("f_digits"), ratio(F.col("_w.repeats"), n).alias("f_repeats"),
-        ratio(F.col("n_dup_lines"), F.col("_lines")).alias("f_dup_lines"), ratio(F.col("_w.short"), n).alias("f_short"), ratio(F.col("_bars"), n).alias("f_bars"),
+        n.alias("n_words"), "word_chars", "n_symbols", "n_dup_lines", part("w")["repeats"].alias("n_repeat_words"),
+        n.cast("double").alias("f_words"), ratio(chars, n).alias("f_word_length"), ratio(F.col("n_symbols"), chars).alias("f_symbols"), ratio(part("upper"), chars).alias("f_upper"),
+        ratio(part("marks"), n).alias("f_marks"), ratio(part("digits"), chars).alias("f_digits"), ratio(part("w")["repeats"], n).alias("f_repeats"),
+        ratio(F.col("n_dup_lines"), part("lines")).alias("f_dup_lines"), ratio(part("w")["short"], n).alias("f_short"), ratio(part("bars"), n).alias("f_bars"),
     )
 
 

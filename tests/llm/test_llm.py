@@ -291,7 +291,7 @@ def quality_brute(text):
 
 
 def test_quality_statistics_and_rules(spark, docs, empty):
-    for r in by_row(quality.with_statistics(docs.withColumn("n_words", F.lit("clash")))):
+    for r in by_row(quality.with_statistics(docs.withColumns({c: F.lit("clash") for c in ("n_words", "_w", "_lines", "_upper", "_bars", "a.b")}))):
         assert quality_brute(r["text"]) == tuple(r[c] for c in quality.STATISTICS)
     bad = [(k, prose(40, k).replace(" ", "*** "), 0) for k in range(60)]
     good = [(100 + k, prose(40, k + 900), 1) for k in range(150)]
