@@ -337,29 +337,30 @@ def similarity_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tag")).alias("first")
     full = rows.where("n > 0").groupBy("class").agg(first, F.count("*").alias("members"), F.first("places").alias("places"), F.first("n").alias("n")).select("class", "first.doc_id", "first.tag", "members", "places", "n")
     classes = common.kept(full.withColumn("id", F.monotonically_increasing_id()), "classes")
-    clusters = clustered(classes)[0].withColumnRenamed("root", "cluster")
-    member = common.kept(clusters.join(classes.select("id", "class", "doc_id", "tag", "members", "n"), "id"), "clusters")
-    sizes = member.groupBy("cluster").agg(F.greatest(F.ceil(F.count("id") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
-
-    def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, end, data, offsets in common.steps(batch.column(0)):
-                hashes, n = shingle_sets(data, offsets)
-                keys = [k.tobytes() for k in class_keys(hashes, n)]
-                part = batch.slice(row, end - row)
-                right = np.flatnonzero([a == b for a, b in zip(keys, part.column(1).to_pylist(), strict=True)])
-                bounds = np.concatenate([[0], np.cumsum(n)])
-                bodies = [hashes[bounds[k] : bounds[k + 1]].tobytes() for k in right]
-                yield pa.RecordBatch.from_arrays([*(part.column(k).take(pa.array(right)) for k in (2, 3)), pa.array(bodies, pa.binary())], names=["id", "members", "set"])
-
-    # null keys meet too, those of one text: a class of rows without ids is found by null and tag
-    wanted = member.select(F.col("doc_id").alias("_key"), F.col("tag").alias("_tag"), "class", "id", "members")
-    found = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["_key"]) & (docs["tag"] == wanted["_tag"])).select("text", "class", "id", "members")
-    sets = common.kept(common.in_arrow(found, with_sets, "id bigint, members bigint, set binary").dropDuplicates(["id"]), "sets")
-    place = member.select("id", "cluster").join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"), (F.col("block") > k).cast("int").alias("side")))
-    spread = sets.join(place.select("id", "cluster", F.explode(meets).alias("m")), "id").select("cluster", F.col("m.i").alias("i"), F.col("m.j").alias("j"), F.col("m.side").alias("side"), "id", "members", "set")
-    checked = common.kept(common.in_arrow(spread.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id"), _verify, "id bigint, links bigint, root bigint"), "verified")
+    with common.Scratch(df.sparkSession, "join") as scratch:  # whole sets go when they have been compared
+        clusters = clustered(classes)[0].withColumnRenamed("root", "cluster")
+        member = scratch.kept(clusters.join(classes.select("id", "class", "doc_id", "tag", "members", "n"), "id"), "clusters")
+        sizes = member.groupBy("cluster").agg(F.greatest(F.ceil(F.count("id") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+
+        def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row, end, data, offsets in common.steps(batch.column(0)):
+                    hashes, n = shingle_sets(data, offsets)
+                    keys = [k.tobytes() for k in class_keys(hashes, n)]
+                    part = batch.slice(row, end - row)
+                    right = np.flatnonzero([a == b for a, b in zip(keys, part.column(1).to_pylist(), strict=True)])
+                    bounds = np.concatenate([[0], np.cumsum(n)])
+                    bodies = [hashes[bounds[k] : bounds[k + 1]].tobytes() for k in right]
+                    yield pa.RecordBatch.from_arrays([*(part.column(k).take(pa.array(right)) for k in (2, 3)), pa.array(bodies, pa.binary())], names=["id", "members", "set"])
+
+        # null keys meet too, those of one text: a class of rows without ids is found by null and tag
+        wanted = member.select(F.col("doc_id").alias("_key"), F.col("tag").alias("_tag"), "class", "id", "members")
+        found = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["_key"]) & (docs["tag"] == wanted["_tag"])).select("text", "class", "id", "members")
+        sets = scratch.kept(common.in_arrow(found, with_sets, "id bigint, members bigint, set binary").dropDuplicates(["id"]), "sets")
+        place = member.select("id", "cluster").join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+        meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"), (F.col("block") > k).cast("int").alias("side")))
+        spread = sets.join(place.select("id", "cluster", F.explode(meets).alias("m")), "id").select("cluster", F.col("m.i").alias("i"), F.col("m.j").alias("j"), F.col("m.side").alias("side"), "id", "members", "set")
+        checked = common.kept(common.in_arrow(spread.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j", "id"), _verify, "id bigint, links bigint, root bigint"), "verified")
     links = checked.groupBy("id").agg(F.sum("links").alias("links"))
     roots = components(checked.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
     rooted = classes.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
