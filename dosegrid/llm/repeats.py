@@ -14,7 +14,8 @@ under a difference cover, but only one place in sixteen is sampled.
 3. Each string of an open place is named by its hash. Equal strings have places of one
    name, so they are dealt by that name once more; the smallest id is kept and the
    others are repeats. The strings of a name with more than SHARE open places are dealt
-   to several tasks by their hashes, so a passage that many texts hold is no hot key.
+   to several tasks by their hashes, and of equal strings that one step of a task finds
+   only those of the smallest id are dealt so, so a passage in many texts is no hot key.
 
 Names and contexts are 64-bit hashes. Nothing is sampled away or capped. Null texts are
 empty. Rows with one id never repeat each other; a null id counts as the largest. Rows
@@ -43,6 +44,8 @@ NO_ID = (1 << 63) - 1
 HELD = 1_000_000
 #: Buckets for each shuffle partition, and open places of a name that one task takes.
 FINER, SHARE = 2, 512
+#: Share of strings that are known to be repeats.
+DONE = -1
 #: Rows of a batch that goes back to Spark.
 RECORDS = 50_000
 _PLACE = np.dtype([("name", "<u8"), ("context", "<u8"), ("id", "<i8"), ("tag", "<u4"), ("first", "<i4"), ("last", "<i4")])
@@ -201,6 +204,12 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                 place = np.repeat(np.arange(len(n)), n)
                 offset = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)  # of the string in its place
                 share = (hashes % np.repeat(flat.field(3).to_numpy(), n).astype(np.uint64)).astype(np.int32)
+                key = part.column(0).to_numpy()[owner[place]]
+                by = np.lexsort((key, hashes))
+                lead = np.ones(len(by), bool)
+                lead[1:] = hashes[by][1:] != hashes[by][:-1]
+                least = key[by][np.flatnonzero(lead)][np.cumsum(lead) - 1] if len(by) else key
+                share[by[key[by] > least]] = DONE  # repeats of a text of this very step
                 order = np.lexsort((offset, share, place))
                 place, share = place[order], share[order]
                 cut = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (share[1:] != share[:-1])])) if len(place) else place
@@ -211,7 +220,7 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
                 yield pa.RecordBatch.from_arrays([flat.field(2).take(which), pa.array(share[cut]), part.column(0).take(rows), part.column(1).take(rows), flat.field(0).take(which), lists(offset[order].astype(np.uint8)), lists(hashes[order])], names=["name", "share", "_id", "_tag", "first", "offsets", "strings"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, _, ids, tags, first, offsets, bodies in grouped(batches, 1):
+        for _, _, share, ids, tags, first, offsets, bodies in grouped(batches, 1):
             hashes = np.frombuffer(b"".join(bodies), np.uint64)
             n = np.array([len(b) // 8 for b in bodies])
             row = np.repeat(np.arange(len(n)), n)
@@ -220,7 +229,7 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
             lead = np.ones(len(order), bool)
             lead[1:] = hashes[order][1:] != hashes[order][:-1]
             low = ids[row[order]][np.flatnonzero(lead)][np.cumsum(lead) - 1]
-            again = np.sort(order[ids[row[order]] > low])
+            again = np.sort(order[(ids[row[order]] > low) | (share[row[order]] == DONE)])
             row, start = row[again], start[again]
             new = np.ones(len(row), bool)
             new[1:] = (row[1:] != row[:-1]) | (start[1:] != start[:-1] + 1)
@@ -230,7 +239,8 @@ def repeats(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame
 
     pending = found.where("name is not null").groupBy("_id", "_tag").agg(F.sort_array(F.collect_list(F.struct("first", "last", "name", "parts"))).alias("ranges"))
     strings = common.in_arrow(tagged.join(pending.hint("merge"), ["_id", "_tag"]).select("_id", "_tag", "_text", "ranges"), names, "name bigint, share int, _id bigint, _tag bigint, first int, offsets binary, strings binary")
-    dealt = strings.select(F.pmod(F.xxhash64("name", "share"), F.lit(buckets)).alias("bucket"), "name", "share", "_id", "_tag", "first", "offsets", "strings").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    by = F.when(F.col("share") == DONE, F.xxhash64("_id", "first")).otherwise(F.xxhash64("name", "share"))
+    dealt = strings.select(F.pmod(by, F.lit(buckets)).alias("bucket"), "name", "share", "_id", "_tag", "first", "offsets", "strings").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     more = common.kept(common.in_arrow(dealt, compare, "_id bigint, _tag bigint, first int, last int"), "strings")
     return found.where("name is null").select("_id", "_tag", "first", "last").union(more).groupBy("_id", "_tag").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
 
