@@ -1,32 +1,34 @@
 """Toxicity: every maximal-scoring segment of token log-odds, weighed as an extreme value.
 
-Learning. From labelled documents (one of each group that shares a minimum of
-shingle hashes, so that copies count once) come the numbers of toxic and clean
-documents by word and by word front of 3 to 6 letters. A unit's toxic share has a
-Dirichlet prior of weight PRIOR centred on the share of the next shorter front, the
-shortest one's on the overall share; a word's score is its share's log-odds over the
-overall log-odds. Units enter the model if their evidence (G squared) is over
-EVIDENCE and their log-odds over LEAST_ODDS; words with clean uses under such a front enter as exceptions. The model
-is broadcast: UNITS rows of it at most, those of most evidence.
+Learning. From labelled documents (exact copies with one label count once) come the
+numbers of toxic and clean documents by word and by word front of 3 to 6 letters. A
+unit's toxic share has a Dirichlet prior of weight PRIOR centred on the share of the
+next shorter front, the shortest one's on the overall share; a word's score is its
+share's log-odds over the overall log-odds. Units enter the model if their evidence (G
+squared) is over EVIDENCE and their log-odds over LEAST_ODDS; words with clean uses
+under such a front enter as exceptions. All such units are the model, a table. Up to
+UNITS of them it is broadcast; a larger one is joined: the scores of all words that it
+knows are joined to the distinct words of each text. Both ways give equal results.
 
 Scoring. Each token scores its log-odds, or -DRIFT if it is in no unit. A linear scan
 finds all maximal-scoring segments. A segment of score S in a text of n tokens has
 E = n exp(-l S) chance equals, l solving sum p(s) exp(l s) = 1 over the clean tokens.
-Segments with E under SIGNIFICANT are toxic passages. -ln of the smallest E, and the
-number of passages, are mapped to a probability by a logistic fit on the training
-documents, binned.
+Segments with E under SIGNIFICANT are toxic passages. -ln of the smallest E, rounded,
+and the number of passages, up to MANY, are mapped to a probability by a logistic fit
+on the training documents, which come as a table of these two numbers.
 
 Null and empty texts have no tokens and no passages; their score is that of such
 texts. Texts of any length are scanned whole. Null labels and ids are left out of
 training; of repeated labels of an id the largest counts. Rows are never merged.
-Without both classes every score is the share of toxic labels, or 0.
+Without both classes every score is the share of toxic labels, or 0. Columns named
+like a result are replaced.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -34,12 +36,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from dosegrid.llm import common
 
 FRONTS = (3, 4, 5, 6)
-PRIOR, EVIDENCE, LEAST_ODDS, UNITS = 2.0, 20.0, 1.0, 50_000
-DRIFT, SIGNIFICANT = 0.1, 0.05
+PRIOR, EVIDENCE, LEAST_ODDS = 2.0, 10.0, 1.0
+#: Units that are broadcast; a larger model is joined.
+UNITS = 100_000
+DRIFT, SIGNIFICANT, MANY = 0.1, 0.05, 100
 #: Entries of a worker's tables of words before they are written out or forgotten.
 HELD = 300_000
 _WORD = re.compile(r"[^\W_]+")
@@ -78,29 +83,44 @@ def maximal_segments(places: list[int], scores: list[float], drift: float) -> li
     return [(a, b, high - low) for a, b, low, high in found]
 
 
+def log_odds(counts: list[tuple[int, int] | None], share: float) -> float | None:
+    """Of a word, by the toxic and clean documents of its units in the model, shortest first (None: not in it)."""
+    theta, known = share, False
+    for found in counts:
+        if found is not None:
+            theta, known = (found[0] + PRIOR * theta) / (found[0] + found[1] + PRIOR), True
+    return math.log(theta / (1 - theta) * (1 - share) / share) if known else None
+
+
 @dataclass
 class Model:
-    """counts: toxic and clean training documents of each unit; shape: weights of (1, -ln E, passages) in the logistic fit."""
+    """units: table of (unit, toxic, clean); counts: the same if they are few enough, else None; shape: weights of (1, -ln E, passages) in the logistic fit."""
 
-    counts: dict[str, tuple[int, int]]
+    units: DataFrame | None
+    counts: dict[str, tuple[int, int]] | None
     share: float
     rate: float = 1.0
     shape: tuple[float, float, float] = (0.0, 0.0, 0.0)
-    memo: dict[str, float | None] = field(default_factory=dict)
 
-    def log_odds(self, units: list[str]) -> float | None:
-        theta, known = self.share, False
-        for unit in units:
-            if unit in self.counts:
-                toxic, clean = self.counts[unit]
-                theta, known = (toxic + PRIOR * theta) / (toxic + clean + PRIOR), True
-        return math.log(theta / (1 - theta) * (1 - self.share) / self.share) if known else None
+    def scorer(self) -> Scorer:
+        return Scorer(self.counts or {}, self.share, self.rate, self.shape)
+
+
+@dataclass
+class Scorer:
+    """What a task needs of a model. memo: scores of words; those of a joined model are put there."""
+
+    counts: dict[str, tuple[int, int]]
+    share: float
+    rate: float
+    shape: tuple[float, float, float]
+    memo: dict[str, float | None] = field(default_factory=dict)
 
     def score(self, word: str) -> float | None:
         if word not in self.memo:
             if len(self.memo) >= HELD:
                 self.memo.clear()
-            self.memo[word] = self.log_odds(units_of(word))
+            self.memo[word] = log_odds([self.counts.get(u) for u in units_of(word)], self.share)
         return self.memo[word]
 
     def segments(self, text: str) -> tuple[list[tuple[int, int, float, float]], float]:
@@ -125,15 +145,24 @@ class Model:
         return passages, min(best, 100.0)
 
     def probability(self, evidence: float, passages: int) -> float:
-        z = self.shape[0] + self.shape[1] * evidence + self.shape[2] * math.log1p(passages)
+        """Of a text with these; like the fit, it sees rounded and cut values."""
+        z = self.shape[0] + self.shape[1] * round(evidence) + self.shape[2] * math.log1p(min(passages, MANY))
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
-def _rate(rows: list, tokens: int, share: float, model: Model) -> float:
+def _chances(units: DataFrame, tokens: int, share: float) -> list[tuple[float, float]]:
+    """(score, share of the clean tokens) of the model's units that stand under no other, summed by scores rounded to thousandths: a bounded table."""
+    fronts = F.array_compact(F.array(*(F.when(F.length(F.rtrim("unit", F.lit("*"))) > k, F.concat(F.substring("unit", 1, k), F.lit("*"))) for k in FRONTS)))
+    above = units.select("unit", F.explode(fronts).alias("front")).join(units.select(F.col("unit").alias("front")), "front").select("unit").distinct()
+    first = units.join(above, "unit", "left_anti")
+    theta = (F.col("toxic") + PRIOR * share) / (F.col("toxic") + F.col("clean") + PRIOR)
+    score = F.round(F.log(theta / (1 - theta) * ((1 - share) / share)), 3)
+    return [tuple(r) for r in first.groupBy(score.alias("s")).agg((F.sum(F.col("clean") + 0.5) / max(tokens, 1)).alias("p")).collect()]
+
+
+def _rate(chances: list[tuple[float, float]]) -> float:
     """l of the clean tokens. A unit that clean documents lack counts as half a token."""
-    chains = [[*units_of(r["unit"].rstrip("*"))[:-1], r["unit"]] for r in rows]
-    scored = [(model.log_odds(c) or 0.0, (r["clean"] + 0.5) / max(tokens, 1)) for r, c in zip(rows, chains, strict=True) if not any(u in model.counts for u in c[:-1])]
-    positive = [(s, p) for s, p in scored if s > 0]
+    positive = [(s, p) for s, p in chances if s > 0]
     if not positive:
         return 1.0
     rest = 1 - sum(p for _, p in positive)
@@ -147,29 +176,12 @@ def _rate(rows: list, tokens: int, share: float, model: Model) -> float:
     return max(low, 0.2)
 
 
-def _sketched(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """(key, smallest shingle hash) of each text."""
-
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for _, _, data, offsets in common.steps(batch.column(1)):
-                starts, ends, counts = common.word_spans(data, offsets)
-                hashes, sizes = common.shingle_hashes(common.span_hashes(data, starts, ends), counts, 5)
-                low = np.zeros(len(counts), np.uint64)
-                if (full := np.flatnonzero(sizes)).size:
-                    low[full] = np.minimum.reduceat(hashes, (np.cumsum(sizes) - sizes)[full])
-                out.append(low.view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))], names=["_key", "_sketch"])
-
-    return docs.select(F.col(key).alias("_key"), text).mapInArrow(sketch, T.StructType([T.StructField("_key", docs.schema[key].dataType), T.StructField("_sketch", T.LongType())]))
-
-
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> Model:
     """The model of labelled documents; docs and labels hold the training rows only."""
     answers = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
-    chosen = _sketched(docs, text, key).join(answers, "_key").groupBy("_sketch", "_label").agg(F.min("_key").alias("_key")).select("_key", "_label")
-    training = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
+    training = docs.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text"))
+    copies = training.select("_key", F.sha2("_text", 256).alias("_copy")).join(answers, "_key")
+    chosen = copies.groupBy("_copy", "_label").agg(F.min("_key").alias("_key")).select("_key", "_label")
     training = common.kept(training.join(chosen, "_key").select("_text", "_label"), "toxic_training")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,39 +205,94 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
         yield out()
         yield pa.RecordBatch.from_pydict({"unit": pa.array([""]), "toxic": pa.array([totals[0]]), "clean": pa.array([totals[1]]), "tokens": pa.array([totals[2]])})
 
-    units = common.kept(training.mapInArrow(count, "unit string, toxic bigint, clean bigint, tokens bigint").groupBy("unit").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "tokens"))), "toxic_units")
+    units = common.kept(common.in_arrow(training, count, "unit string, toxic bigint, clean bigint, tokens bigint").groupBy("unit").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "tokens"))), "toxic_units")
     total = units.where("unit = ''").first()
     n1, n0 = (total["toxic"] or 0, total["clean"] or 0) if total else (0, 0)
     if not n1 or not n0:
-        return Model({}, min(max(n1 / max(1, n1 + n0), 1e-9), 1 - 1e-9), shape=(-50.0 if not n1 else 50.0, 0.0, 0.0))
+        return Model(None, {}, min(max(n1 / max(1, n1 + n0), 1e-9), 1 - 1e-9), shape=(-50.0 if not n1 else 50.0, 0.0, 0.0))
     share = n1 / (n1 + n0)
     n = F.col("toxic") + F.col("clean")
     part = lambda k, of: F.when(F.col(k) > 0, F.col(k) * F.log(F.col(k) / (n * of))).otherwise(0.0)
     odds = F.log((F.col("toxic") + PRIOR * share) / (F.col("clean") + PRIOR * (1 - share)) * (1 - share) / share)
     evidence = 2 * (part("toxic", share) + part("clean", 1 - share))
-    strong = units.where("unit <> ''").withColumn("evidence", evidence).where((F.col("evidence") > EVIDENCE) & (odds > LEAST_ODDS)).orderBy(F.desc("evidence"), "unit").limit(UNITS)
-    strong = common.kept(strong, "toxic_model")  # UNITS rows at most
+    strong = units.where("unit <> ''").withColumn("evidence", evidence).where((F.col("evidence") > EVIDENCE) & (odds > LEAST_ODDS))
+    strong = common.kept(strong, "toxic_strong")
     fronts = F.filter(F.array(*(F.when(F.length("unit") > k, F.concat(F.substring("unit", 1, k), F.lit("*"))) for k in FRONTS)), lambda u: u.isNotNull())
     words = units.where("clean > 0 and unit <> '' and unit not like '%*'")
-    under = words.select(F.col("unit").alias("word"), "toxic", "clean", F.explode(fronts).alias("unit")).join(F.broadcast(strong.where("unit like '%*'").select("unit")), "unit", "left_semi")
-    exceptions = under.select(F.col("word").alias("unit"), "toxic", "clean").distinct().orderBy(F.desc("clean"), "unit").limit(UNITS)
-    rows = strong.select("unit", "toxic", "clean").union(exceptions).distinct().collect()
-    model = Model({r["unit"]: (r["toxic"], r["clean"]) for r in rows}, share)
-    model.rate = _rate(rows, total["tokens"], share, model)
+    under = words.select(F.col("unit").alias("word"), "toxic", "clean", F.explode(fronts).alias("unit")).join(strong.where("unit like '%*'").select("unit"), "unit", "left_semi")
+    exceptions = under.select(F.col("word").alias("unit"), "toxic", "clean").distinct()
+    known = common.kept(strong.select("unit", "toxic", "clean").union(exceptions).distinct(), "toxic_model")
+    counts = {r["unit"]: (r["toxic"], r["clean"]) for r in known.collect()} if known.count() <= UNITS else None
+    model = Model(known, counts, share)
+    model.rate = _rate(_chances(known, total["tokens"], share))
     model.shape = _fit(training, model)
     return model
 
 
-def _fit(training: DataFrame, model: Model) -> tuple[float, float, float]:
-    """Logistic fit of labels on evidence and passages; both are binned, so the driver gets a bounded table."""
-    shared = training.sparkSession.sparkContext.broadcast(model)
+def word_scores(df: DataFrame, model: Model, text: str) -> DataFrame:
+    """(word, score) of all words in df's texts that the model knows, by joins."""
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
+        for batch in batches:
+            for body in batch.column(0).to_pylist():
+                seen.update(_WORD.findall((body or "").lower()))
+            if len(seen) >= HELD:
+                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
+                seen.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string())], names=["word"])
+
+    fronts = F.array(*(F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in FRONTS), F.col("word"))
+    chain = common.in_arrow(df.select(text), words, "word string").distinct().select("word", F.posexplode(fronts).alias("place", "unit")).where("unit is not null")
+    found = chain.join(model.units, "unit").groupBy("word").agg(F.sort_array(F.collect_list(F.struct("place", "toxic", "clean"))).alias("chain"))
+    theta = F.aggregate("chain", F.lit(model.share), lambda t, u: (u["toxic"] + PRIOR * t) / (u["toxic"] + u["clean"] + PRIOR))
+    return found.select("word", theta.alias("theta")).select("word", F.log(F.col("theta") / (1 - F.col("theta")) * (1 - model.share) / model.share).alias("score"))
+
+
+def looked_at(df: DataFrame, model: Model, text: str, into: T.StructType, look: Callable[[Scorer, list[str | None]], list[list]]) -> DataFrame:
+    """df with the columns `into`, which look(scorer, texts) gives for texts."""
+    scorer, names = df.sparkSession.sparkContext.broadcast(model.scorer()), [f.name for f in into]
+    fields, kinds, place = df.schema.fields, [to_arrow_type(f.dataType) for f in into], df.columns.index(text)
+    width, joined = len(fields), model.counts is None
+    if joined:
+        row, scores = common.fresh(df, "_row"), common.fresh(df, "_scores")
+        df = common.kept(df.withColumn(row, F.monotonically_increasing_id()), "toxic_rows")
+
+        def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [list(set(_WORD.findall((b or "").lower()))) for b in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["row", "words"])
+
+        each = common.in_arrow(df.select(row, text), distinct, "row bigint, words array<string>").select("row", F.explode("words").alias("word"))
+        found = each.join(word_scores(df, model, text), "word").groupBy(F.col("row").alias(row)).agg(F.collect_list(F.struct("word", "score")).alias(scores))
+        df = df.join(found, row, "left").select(*(f"`{f.name}`" for f in fields), scores)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = scorer.value
         for batch in batches:
-            found = [shared.value.segments(b or "") for b in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([round(e, 0) for _, e in found], pa.float64()), pa.array([min(len(p), 100) for p, _ in found], pa.int64()), batch.column(1).cast(pa.int64())], names=["e", "p", "y"])
+            texts = batch.column(place).to_pylist()
+            if joined:
+                out: list[list] = [[] for _ in names]
+                for body, known in zip(texts, batch.column(width).to_pylist(), strict=True):
+                    s.memo = dict.fromkeys(_WORD.findall((body or "").lower())) | {k["word"]: k["score"] for k in known or []}
+                    for column, values in zip(out, look(s, [body]), strict=True):
+                        column += values
+            else:
+                out = look(s, texts)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:width], *(pa.array(v, t) for v, t in zip(out, kinds, strict=True))], names=[*batch.schema.names[:width], *names])
 
-    bins = training.mapInArrow(look, "e double, p bigint, y bigint").groupBy("e", "p", "y").count().collect()
+    return common.in_arrow(df, task, T.StructType([*fields, *into.fields]))
+
+
+def _fit(training: DataFrame, model: Model) -> tuple[float, float, float]:
+    """Logistic fit of labels on evidence and passages; both are rounded and cut, so the driver gets a bounded table."""
+
+    def look(scorer: Scorer, texts: list[str | None]) -> list[list]:
+        found = [scorer.segments(b or "") for b in texts]
+        return [[float(round(e)) for _, e in found], [min(len(p), MANY) for p, _ in found]]
+
+    into = T.StructType([T.StructField("e", T.DoubleType()), T.StructField("p", T.LongType())])
+    bins = looked_at(training, model, "_text", into, look).groupBy("e", "p", F.col("_label").alias("y")).count().collect()
     x = np.array([[1.0, r["e"] / 10, math.log1p(r["p"])] for r in bins])
     y, n = np.array([r["y"] for r in bins], float), np.array([r["count"] for r in bins], float)
     w, ridge = np.zeros(3), np.diag([1e-6, 1.0, 1.0])
@@ -240,18 +307,13 @@ def _fit(training: DataFrame, model: Model) -> tuple[float, float, float]:
 
 def scored(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """df with toxicity (0 to 1) and passages (start, end, score, e_value; code points of the text, end exclusive)."""
-    df = df.drop("toxicity", "passages")
-    place = df.columns.index(text)
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("e_value", pa.float64())]))
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shared.value.segments(b or "") for b in batch.column(place).to_pylist()]
-            passages = [[dict(zip(("start", "end", "score", "e_value"), x, strict=True)) for x in p] for p, _ in found]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([shared.value.probability(e, len(p)) for p, e in found], pa.float64()), pa.array(passages, kind)], names=[*batch.schema.names, "toxicity", "passages"])
+    def look(scorer: Scorer, texts: list[str | None]) -> list[list]:
+        found = [scorer.segments(b or "") for b in texts]
+        return [[scorer.probability(e, len(p)) for p, e in found], [[dict(zip(("start", "end", "score", "e_value"), x, strict=True)) for x in p] for p, _ in found]]
 
-    return df.mapInArrow(look, T.StructType([*df.schema.fields, T.StructField("toxicity", T.DoubleType()), T.StructField("passages", T.ArrayType(SEGMENT))]))
+    into = T.StructType([T.StructField("toxicity", T.DoubleType()), T.StructField("passages", T.ArrayType(SEGMENT))])
+    return looked_at(df.drop("toxicity", "passages"), model, text, into, look)
 
 
 def op4_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
