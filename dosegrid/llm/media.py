@@ -1,8 +1,9 @@
 """Media columns: texts and other payloads as lossless WebP, read back as pixel arrays.
 
-A payload is a text's UTF-8 with bytes 0 up to a positive multiple of 64. It is
-stored as grey images 64 samples wide, of at most ROWS rows; images of a longer
-payload stand end to end in the column. Equal texts give equal bytes.
+A payload is a text's UTF-8 with bytes 0 up to a positive multiple of 64. Four bytes
+are a pixel's alpha, red, green and blue samples, WIDTH of which are a row. A payload
+is one file, up to the format's limit of 16,384 rows, which is 1 MiB; the files of a
+longer one stand end to end in the column. Equal texts give equal bytes.
 
 Null texts count as empty. Rows pass through one by one: repeated rows repeat, and
 other columns stay; a column named like a new one is replaced. Null media give
@@ -22,9 +23,10 @@ from pyspark.sql import types as T
 
 from dosegrid.llm import common, webp
 
-WIDTH, ROWS = 64, 256
-#: Payload bytes that are coded together: some 100 MB of memory at most.
-CODED = 2 << 20
+WIDTH, ROWS = 16, 16_384
+ROW_BYTES = 4 * WIDTH
+#: Payload bytes that are coded together, and stored bytes that are read together: some 200 MB of memory at most.
+CODED, READ = 1 << 20, 4 << 20
 PIXELS = T.ArrayType(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("argb", T.BinaryType())]))
 FEATURES = [("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
 
@@ -44,24 +46,25 @@ def store_text(df: DataFrame, text: str = "text", into: str = "media") -> DataFr
                 for k in range(len(offsets) - 1):
                     body = data[offsets[k] : offsets[k + 1]]
                     sizes.append(len(body))
-                    padded = np.zeros(max(WIDTH, -(-len(body) // WIDTH) * WIDTH), np.uint8)
+                    padded = np.zeros(max(ROW_BYTES, -(-len(body) // ROW_BYTES) * ROW_BYTES), np.uint8)
                     padded[: len(body)] = body
-                    parts = [padded[at : at + WIDTH * ROWS] for at in range(0, len(padded), WIDTH * ROWS)]
+                    pixels = padded.view(">u4").astype(np.uint32)
+                    parts = [pixels[at : at + WIDTH * ROWS] for at in range(0, len(pixels), WIDTH * ROWS)]
                     images += parts
                     owner.append(len(parts))
-                files = iter(webp.write_grey(images, WIDTH))
+                files = iter(webp.write(images, WIDTH))
                 media += [b"".join(next(files) for _ in range(n)) for n in owner]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(media, pa.binary()), pa.array(sizes, pa.int64())], names=[*batch.schema.names, into, size])
 
-    return df.mapInArrow(store, schema)
+    return common.in_arrow(df, store, schema)
 
 
 def _runs(media: list[bytes | None]) -> Iterator[tuple[int, int, list[list[np.ndarray] | None]]]:
-    """Pixels of the images of each row, for rows with some CODED bytes of files at a time."""
+    """Pixels of the images of each row, for rows with some READ bytes of files at a time."""
     row = 0
     while row < len(media):
         end, held, files, owner = row, 0, [], []
-        while end < len(media) and (end == row or held + len(media[end] or b"") <= CODED):
+        while end < len(media) and (end == row or held + len(media[end] or b"") <= READ):
             parts = webp.split_files(media[end]) if media[end] is not None else []
             held += len(media[end] or b"")
             files += parts
@@ -85,18 +88,18 @@ def pixel_arrays(df: DataFrame, media: str = "media", into: str = "pixels") -> D
                 out += [None if row is None else [{"width": p.shape[1], "height": p.shape[0], "argb": p.astype(">u4").tobytes()} for p in row] for row in rows]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, kind)], names=[*batch.schema.names, into])
 
-    return df.mapInArrow(decode, T.StructType([*df.schema.fields, T.StructField(into, PIXELS)]))
+    return common.in_arrow(df, decode, T.StructType([*df.schema.fields, T.StructField(into, PIXELS)]))
 
 
 def feature(samples: np.ndarray) -> str:
-    """Rows, mean, deviation, mean step between neighbours in a row, and entropy in bits, of grey samples."""
+    """Rows, mean, deviation, mean step between neighbours in a row, and entropy in bits, of 8-bit samples."""
     counts = np.bincount(samples, minlength=256)
     share = counts[counts > 0] / len(samples)
     values = np.arange(256)
     mean = (counts * values).sum() / len(samples)
     deviation = np.sqrt(max(0.0, (counts * (values - mean) ** 2).sum() / len(samples)))
-    step = np.abs(np.diff(samples.reshape(-1, WIDTH).astype(np.int16), axis=1)).mean()
-    return f"{len(samples) // WIDTH}:{mean:.6f}:{deviation:.6f}:{step:.6f}:{-(share * np.log2(share)).sum() + 0.0:.6f}"
+    step = np.abs(np.diff(samples.reshape(-1, ROW_BYTES).astype(np.int16), axis=1)).mean()
+    return f"{len(samples) // ROW_BYTES}:{mean:.6f}:{deviation:.6f}:{step:.6f}:{-(share * np.log2(share)).sum() + 0.0:.6f}"
 
 
 def read_features(df: DataFrame, media: str = "media") -> DataFrame:
@@ -115,7 +118,7 @@ def read_features(df: DataFrame, media: str = "media") -> DataFrame:
                     if images is None:
                         values = [None] * len(FEATURES)
                     else:
-                        samples = np.concatenate([(p.ravel() >> np.uint32(8)).astype(np.uint8) for p in images])
+                        samples = np.concatenate([p.astype(">u4").ravel().view(np.uint8) for p in images])
                         body, file = samples.tobytes(), stored[first + k]
                         values = [len(body), hashlib.sha256(body).hexdigest(), zlib.crc32(body[-64:]), len(file), hashlib.sha256(file).hexdigest(), feature(samples)]
                     for column, v in zip(out, values, strict=True):
@@ -123,7 +126,7 @@ def read_features(df: DataFrame, media: str = "media") -> DataFrame:
             arrays = [pa.array(x, pa.int64() if isinstance(t, T.LongType) else pa.string()) for x, (_, t) in zip(out, FEATURES, strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in others), *arrays], names=[*kept_names, *(n for n, _ in FEATURES)])
 
-    return df.mapInArrow(look, schema)
+    return common.in_arrow(df, look, schema)
 
 
 def op9_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
