@@ -22,6 +22,8 @@ STEP_BYTES = HASH_BYTES = 1 << 18
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Rows and bytes of the batches that go to Python: whole texts, so few of them.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1024", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
+#: A group with a larger share of the rows than one in so many is hot.
+HOT_SHARE = 512
 _own_folder: list[str] = []
 
 
@@ -106,6 +108,23 @@ def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[
     return df.mapInArrow(task, schema)
 
 
+def joined_to_groups(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
+    """Rows with the columns of their group; groups has one row for each key, null too, and in count the number of rows with it.
+
+    Groups of more than 1 / HOT_SHARE of all rows are broadcast, for there cannot be more
+    than HOT_SHARE of them; the others have so few rows each that a shuffle deals them well.
+    Both tables are read twice, so they should be kept ones.
+    """
+    total = groups.agg(F.sum(count)).first()[0] or 0
+    named = groups.withColumnRenamed(key, "_group").drop(count)
+    hot = groups.where(F.col(count) * HOT_SHARE > total).select(F.col(key).alias("_group"))
+    same = F.col(key).eqNullSafe(F.col("_group"))
+    is_hot = F.broadcast(hot)
+    light = rows.join(is_hot, same, "left_anti").join(named, same)
+    heavy = rows.join(F.broadcast(groups.where(F.col(count) * HOT_SHARE > total).withColumnRenamed(key, "_group").drop(count)), same)
+    return heavy.unionByName(light).drop("_group")
+
+
 def crc_mod(key: Column, n: int) -> Column:
     """crc32 of the key as text, modulo n; null keys count as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n

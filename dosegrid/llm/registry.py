@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dosegrid.llm import common, quality, secrets
+from dosegrid.llm import common, counterparts, quality, secrets
 from dosegrid.llm.attribution import op10_token_counts
 from dosegrid.llm.chosen_path import op6_chosen_path_join
+from dosegrid.llm.codes import op13_vector_codes
 from dosegrid.llm.lm import op3_attention_scores, word_counts
+from dosegrid.llm.manifest import op12_merkle_manifest
 from dosegrid.llm.media import op9_media_columns
 from dosegrid.llm.mixing import op1_soft_mixing
 from dosegrid.llm.packing import op5_min_slack_packing
 from dosegrid.llm.quality import op7_quality_rules
 from dosegrid.llm.repeats import op8_suffix_dedup
+from dosegrid.llm.reputation import op11_url_reputation
 from dosegrid.llm.secrets import op2_secret_scan
 from dosegrid.llm.toxicity import op4_toxic_segments
 
@@ -47,6 +50,9 @@ QUERIES = {
     "op6_chosen_path_join": op6_chosen_path_join,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op1_soft_mixing": op1_soft_mixing,
+    "op11_url_reputation": op11_url_reputation,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_vector_codes": op13_vector_codes,
     "secret_counts": secret_counts,
     "quality_statistics": quality_statistics,
     "corpus_word_counts": corpus_word_counts,
@@ -68,4 +74,7 @@ cover as (select r, count(distinct k) as n from twice group by 1)
 select doc_id, len(w) as n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::bigint as word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols,
 len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n, 0) as n_repeat_words from d join w using (r) left join cover using (r)""",
     "corpus_word_counts": f"with d as (select coalesce(text, '') as t from documents), l as (select {_LOWER} as t from d) select word, count(*) as c from (select unnest({_WORDS.format(t='t')}) as word from l union all select '' from l) group by 1",
+    "op11_url_reputation": counterparts.reputation_sql(),
+    "op12_merkle_manifest": counterparts.manifest_sql(),
+    "op13_vector_codes": counterparts.codes_sql(),
 }
