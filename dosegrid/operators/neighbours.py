@@ -5,24 +5,77 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from dosegrid.operators.pairs import grid
+from dosegrid.sources.shared import kept
+
+#: Length of each list in the first turn of a neighbour search, and how much longer it is in each turn after it.
+FIRST, GROWTH = 4, 4
+
 
 def euclid(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda s, x: s + x))
 
 
 def euclid_pairs(cells: DataFrame, key: str, vec: str) -> DataFrame:
-    """(a, b, dist) of all pairs of cell lines; cell lines are some thousand."""
+    """(a, b, dist) of all pairs of cell lines, which are some thousand; a side is broadcast only if its number has been checked."""
     a = cells.select(F.col(key).alias("a"), F.col(vec).cast("array<double>").alias("u"))
     b = cells.select(F.col(key).alias("b"), F.col(vec).cast("array<double>").alias("v"))
-    return a.crossJoin(b).select("a", "b", euclid(F.col("u"), F.col("v")).alias("dist"))
+    return grid(a, b).select("a", "b", euclid(F.col("u"), F.col("v")).alias("dist"))
+
+
+def _tanimoto(shared: Column, na: Column, nb: Column) -> Column:
+    return 1 - shared / (na + nb - shared)
 
 
 def tanimoto_pairs(sets: DataFrame, key: str, bits: str) -> DataFrame:
-    """(a, b, dist) of pairs a < b that share a bit: 1 - shared / all. Other pairs have distance 1. Only bits travel; counts are combined before they are shuffled."""
+    """(a, b, dist) of pairs a < b that share a bit: 1 - shared / all. Other pairs have distance 1. Only bits travel; counts are combined before they are shuffled.
+
+    A bit that all sets have pairs them all: for the some thousand drugs whose whole table
+    of distances is wanted. `tanimoto_within` finds near pairs among any number.
+    """
     rows = sets.select(F.col(key).alias("k"), F.size(F.array_distinct(bits)).alias("n"), F.explode(F.array_distinct(bits)).alias("bit"))
     a, b = rows.toDF("a", "na", "bit"), rows.toDF("b", "nb", "bit")
     shared = a.join(b, "bit").where("a < b").groupBy("a", "b", "na", "nb").agg(F.count("*").alias("c"))
-    return shared.select("a", "b", (1 - F.col("c") / (F.col("na") + F.col("nb") - F.col("c"))).alias("dist"))
+    return shared.select("a", "b", _tanimoto(F.col("c"), F.col("na"), F.col("nb")).alias("dist"))
+
+
+def tanimoto_within(sets: DataFrame, key: str, bits: str, most: float) -> DataFrame:
+    """(a, b, dist) of pairs a < b at a distance of most (under 1) or less; two empty sets are no pair.
+
+    Bits are ordered by rarity. Two sets whose likeness is t or more share one of the first
+    n - ceil(t n) + 1 bits of each, and neither has less than t times the other's bits. So only
+    rare bits pair sets, which are then compared as a whole. Equal sets are one while pairs
+    are searched.
+    """
+    if not 0 <= most < 1:
+        raise ValueError("most must be in [0, 1)")
+    least = 1 - most
+    every = kept(sets.select(F.col(key).alias("k"), F.array_sort(F.array_distinct(F.filter(bits, lambda b: b.isNotNull()))).alias("bits")).where(F.size("bits") > 0), "sets")
+    distinct = every.groupBy("bits").agg(F.min("k").alias("s"))
+    spread = distinct.select("s", F.explode("bits").alias("bit"))
+    counts = spread.groupBy("bit").agg(F.count("*").alias("c"))
+    ranked = spread.join(counts, "bit").groupBy("s").agg(F.array_sort(F.collect_list(F.struct("c", "bit"))).alias("r"))
+    n = F.size("r")
+    prefix = ranked.select("s", n.alias("n"), F.explode(F.slice("r", F.lit(1), n - F.ceil(n * least - 1e-9).cast("int") + 1)).alias("b")).select("s", "n", "b.bit")
+    a, b = prefix.toDF("a", "na", "bit"), prefix.toDF("b", "nb", "bit")
+    sizes = (F.col("na") >= F.col("nb") * least - 1e-9) & (F.col("nb") >= F.col("na") * least - 1e-9)
+    near = a.join(b, "bit").where((F.col("a") < F.col("b")) & sizes).select("a", "b").distinct()
+    whole = lambda name: distinct.select(F.col("s").alias(name), F.col("bits").alias(f"bits_{name}"))
+    checked = near.join(whole("a"), "a").join(whole("b"), "b")
+    dist = _tanimoto(F.size(F.array_intersect("bits_a", "bits_b")), F.size("bits_a"), F.size("bits_b"))
+    found = checked.select("a", "b", dist.alias("dist")).where(F.col("dist") <= most + 1e-12)
+    # the sets' keys again: between two of the near ones, and among equal ones
+    member = every.join(distinct, "bits").select("k", "s")
+    one, two = member.toDF("k1", "a"), member.toDF("k2", "b")
+    between = found.join(one, "a").join(two, "b").select(F.least("k1", "k2").alias("a"), F.greatest("k1", "k2").alias("b"), "dist")
+    among = one.join(two, F.col("a") == F.col("b")).where("k1 < k2").select(F.col("k1").alias("a"), F.col("k2").alias("b"), F.lit(0.0).alias("dist"))
+    return between.union(among)
+
+
+def _ranked(dist: DataFrame, of: str, to: str, value: str, among: DataFrame) -> DataFrame:
+    """(of, to, value, place) of a table of distances (a, b, dist) to the keys of among, by distance."""
+    near = dist.toDF(of, to, value).join(among, to, "left_semi")
+    return near.withColumn(f"place_{value}", F.row_number().over(Window.partitionBy(of).orderBy(value, to)) - 1)
 
 
 def nearest(test: DataFrame, train: DataFrame, drug_dist: DataFrame, cell_dist: DataFrame, k: int) -> DataFrame:
@@ -30,27 +83,49 @@ def nearest(test: DataFrame, train: DataFrame, drug_dist: DataFrame, cell_dist:
 
     Cell distances are divided by their largest over the cells of training rows ('local')
     or over all cells ('global'); a zero largest gives 0. Sums that agree to 9 digits are
-    ties, which go by train_id. drug_dist and cell_dist: (a, b, dist) of all ordered
-    pairs. Rows (test_id, scale, rank, train_id, label).
+    ties, which go by train_id, then label. drug_dist and cell_dist: (a, b, dist) of all
+    ordered pairs. Rows (test_id, scale, rank, train_id, label).
 
-    Distances are taken between distinct (drug, cell) keys, and of each key only its k
-    first training rows can be neighbours; so rows are never paired with rows.
+    A threshold search between distinct (drug, cell) keys. Each drug has a list of the
+    training drugs by distance, each cell line one of the training cell lines. A turn looks
+    up the keys made of the first so many of both lists; any other key is at least as far as
+    the next of one list and the first of the other, so a test key whose k-th neighbour is
+    nearer than that is done. The others go on with longer lists. Keys never meet keys but by
+    equality, and of each training key only its k first rows can be neighbours.
     """
-    w = Window.partitionBy("rd", "rc").orderBy("train_id")
-    first = train.select(F.col("drug").alias("rd"), F.col("cell").alias("rc"), "train_id", "label").withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)
-    keys = first.where("n = 1").select("rd", "rc", F.col("train_id").alias("least"))
+    w = Window.partitionBy("rd", "rc").orderBy("train_id", "label")
+    first = kept(train.select(F.col("drug").alias("rd"), F.col("cell").alias("rc"), "train_id", "label").withColumn("n", F.row_number().over(w)).where(F.col("n") <= k), "first_rows")
+    keys = first.where("n = 1").select("rd", "rc", F.struct("train_id", "label").alias("least"))
     wanted = test.select(F.col("drug").alias("td"), F.col("cell").alias("tc")).distinct()
-    drugs, cells = drug_dist.toDF("td", "rd", "dd"), cell_dist.toDF("tc", "rc", "cd")
-    seen = cells.join(keys.select("rc").distinct(), "rc")
-    local = seen.groupBy("tc").agg(F.max("cd").alias("local"))
-    most = cell_dist.agg(F.max("dist").alias("top"))
-    pairs = wanted.join(drugs, "td").join(keys, "rd").join(cells, ["tc", "rc"]).join(local, "tc").join(F.broadcast(most))
-    part = lambda top: F.round(F.col("dd") + F.coalesce(F.col("cd") / F.nullif(top, F.lit(0.0)), F.lit(0.0)), 9)
-    scales = F.array(*(F.struct(F.lit(n).alias("scale"), part(F.col(c)).alias("d")) for n, c in (("local", "local"), ("global", "top"))))
-    spread = pairs.select("td", "tc", "rd", "rc", "least", F.explode(scales).alias("s")).select("td", "tc", "rd", "rc", "least", "s.*")
-    near = spread.withColumn("n", F.row_number().over(Window.partitionBy("td", "tc", "scale").orderBy("d", "least"))).where(F.col("n") <= k).drop("n", "least")
-    order = Window.partitionBy("td", "tc", "scale").orderBy("d", "train_id")
-    rows = near.join(first.drop("n"), ["rd", "rc"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    drugs = kept(_ranked(drug_dist, "td", "rd", "dd", keys.select("rd").distinct()), "near_drugs")
+    cells = kept(_ranked(cell_dist, "tc", "rc", "cd", keys.select("rc").distinct()), "near_cells")
+    most = cell_dist.agg(F.max("dist").alias("global"))  # one row
+    tops = cells.groupBy("tc").agg(F.max("cd").alias("local"))
+    scaled = lambda cd, top: F.coalesce(F.col(cd) / F.nullif(F.col(top), F.lit(0.0)), F.lit(0.0))
+    longest = max(*(df.agg(F.max(p)).first()[0] or 0 for df, p in ((drugs, "place_dd"), (cells, "place_cd"))), 0) + 1
+    left = kept(wanted.join(tops, "tc").join(F.broadcast(most)).withColumn("scale", F.explode(F.array(F.lit("local"), F.lit("global")))).select("td", "tc", "scale", F.expr("case scale when 'local' then local else global end").alias("top")), "wanted")
+    found, size = None, FIRST
+    while True:
+        box = left.join(drugs.where(F.col("place_dd") < size), "td").join(cells.where(F.col("place_cd") < size), "tc")
+        near = box.join(keys, ["rd", "rc"]).select("td", "tc", "scale", "rd", "rc", F.round(F.col("dd") + scaled("cd", "top"), 9).alias("d"), "least")
+        near = near.withColumn("n", F.row_number().over(Window.partitionBy("td", "tc", "scale").orderBy("d", "least"))).where(F.col("n") <= k)
+        if size >= longest:
+            found = near.drop("n", "least") if found is None else found.union(near.drop("n", "least"))
+            break
+        near = kept(near, "near")
+        next_dd = drugs.where(F.col("place_dd").isin(0, size)).groupBy("td").agg(F.min("dd").alias("first_dd"), F.max(F.when(F.col("place_dd") == size, F.col("dd"))).alias("next_dd"))
+        next_cd = cells.where(F.col("place_cd").isin(0, size)).groupBy("tc").agg(F.min("cd").alias("first_cd"), F.max(F.when(F.col("place_cd") == size, F.col("cd"))).alias("next_cd"))
+        kth = near.where(F.col("n") == k).select("td", "tc", "scale", F.col("d").alias("kth"))
+        beyond = left.join(next_dd, "td").join(next_cd, "tc").withColumns({"by_drug": F.col("next_dd") + scaled("first_cd", "top"), "by_cell": F.when(F.col("next_cd").isNotNull(), F.col("first_dd") + scaled("next_cd", "top"))})
+        bound = F.coalesce(F.least("by_drug", "by_cell"), F.lit(float("inf")))
+        judged = kept(beyond.join(kth, ["td", "tc", "scale"], "left").select("td", "tc", "scale", "top", F.coalesce(F.col("kth") < bound - 2e-9, F.col("next_dd").isNull() & F.col("next_cd").isNull()).alias("done")), "judged")
+        done = near.join(judged.where("done"), ["td", "tc", "scale"], "left_semi").drop("n", "least")
+        found = done if found is None else found.union(done)
+        left, size = judged.where("not done").drop("done"), size * GROWTH
+        if not left.limit(1).count():
+            break
+    order = Window.partitionBy("td", "tc", "scale").orderBy("d", "train_id", "label")
+    rows = found.join(first.drop("n"), ["rd", "rc"]).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return test.select("test_id", F.col("drug").alias("td"), F.col("cell").alias("tc")).join(rows, ["td", "tc"]).select("test_id", "scale", "rank", "train_id", "label")
 
 
