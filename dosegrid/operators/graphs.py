@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dosegrid.operators.pairs import scanned
+
 #: Categories of a self-loop's edge.
 LOOP = (0, 5, 8, 10, 12)
 
@@ -22,9 +24,9 @@ def with_self_loops(edges: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def batch_offsets(graphs: DataFrame, batch: str = "batch_id") -> DataFrame:
-    """First node of each graph (graph_id, num_nodes) in its batch."""
-    w = Window.partitionBy(batch).orderBy("graph_id").rowsBetween(Window.unboundedPreceding, -1)
-    return graphs.withColumn("offset", F.coalesce(F.sum("num_nodes").over(w), F.lit(0)))
+    """First node of each graph (graph_id, num_nodes) in its batch, by a scan that no batch's size holds up."""
+    placed = scanned(graphs, [batch], ["graph_id"], sums={"upto_": F.col("num_nodes")})
+    return placed.select(*graphs.columns, (F.col("upto_") - F.coalesce("num_nodes", F.lit(0))).alias("offset"))
 
 
 def category_ids(values: Sequence[str], sizes: Sequence[int]) -> list[Column]:

@@ -7,24 +7,23 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dosegrid.operators.pairs import numbered
+from dosegrid.functions.special import correlation_p
+from dosegrid.operators.pairs import numbered, scanned
+from dosegrid.sources.shared import kept
 
 #: Rows of a block in the count of concordant pairs.
 BLOCK = 1 << 16
-
-
-def correlation(y: Column, f: Column, over: Window | None = None) -> Column:
-    """Pearson's r in [-1, 1]; null for a constant or fewer than two pairs."""
-    at = (lambda c: c.over(over)) if over is not None else (lambda c: c)
-    r = at(F.covar_pop(y, f)) / F.nullif(at(F.stddev_pop(y)) * at(F.stddev_pop(f)), F.lit(0.0))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)) if over is None else F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+#: Rows of a group whose pairs are all formed.
+PAIRED = 20_000
 
 
 def pearson(y: Column, f: Column) -> Column:
-    return F.when(F.nullif(F.stddev_pop(y) * F.stddev_pop(f), F.lit(0.0)).isNotNull(), correlation(y, f))
+    """r in [-1, 1]; null for a constant or fewer than two pairs."""
+    r = F.covar_pop(y, f) / F.nullif(F.stddev_pop(y) * F.stddev_pop(f), F.lit(0.0))
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 def r_squared(y: Column, f: Column) -> Column:
@@ -38,12 +37,10 @@ def errors(df: DataFrame, by: Sequence[str], y: str = "y", f: str = "f") -> Data
 
 
 def spearman(df: DataFrame, by: Sequence[str], y: str = "y", f: str = "f") -> DataFrame:
-    """Correlation of average ranks."""
-
-    def rank(c: str) -> Column:
-        return F.rank().over(Window.partitionBy(*by).orderBy(c)) + (F.count("*").over(Window.partitionBy(*by, c)) - 1) / 2
-
-    ranked = df.where(F.col(y).isNotNull() & F.col(f).isNotNull()).select(*by, rank(y).cast("double").alias("ry"), rank(f).cast("double").alias("rf"))
+    """Correlation of average ranks, of places in sorted ranges, so that no task ranks a whole group."""
+    rows = df.where(F.col(y).isNotNull() & F.col(f).isNotNull()).select(*by, F.col(y).alias("y"), F.col(f).alias("f"))
+    by_y = scanned(rows, by, ["y"], ties=["y"]).select(*by, "f", F.col("tie_mean").alias("ry"))
+    ranked = scanned(by_y, by, ["f"], ties=["f"]).select(*by, "ry", F.col("tie_mean").alias("rf"))
     return ranked.groupBy(*by).agg(pearson(F.col("ry"), F.col("rf")).alias("spearman"))
 
 
@@ -63,77 +60,70 @@ def rising_pairs(first: np.ndarray, second: np.ndarray) -> int:
     return found
 
 
+def _apart(cells: DataFrame, levels: int) -> DataFrame:
+    """(g, n): pairs of rows whose blocks rise in both, from counts by pairs of blocks (g, by, bf, count).
+
+    Two rising block numbers first differ at one bit of either. So for each pair of bits the
+    cells are counted by what stands before them: those with both bits 0 pair with those with
+    both bits 1. Each level halves the table before the next bit is taken.
+    """
+    bits = lambda name: F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias(name)
+    up = cells.select("g", "by", "bf", "count", bits("k")).groupBy("g", "k", F.expr("shiftright(by, k)").alias("a"), "bf").agg(F.sum("count").alias("count"))
+    low, high = F.expr("a & 1 = 0 and shiftright(bf, m) & 1 = 0"), F.expr("a & 1 = 1 and shiftright(bf, m) & 1 = 1")
+    quarters = up.select("*", bits("m")).where(low | high).groupBy("g", "k", "m", F.expr("shiftright(a, 1)").alias("a"), F.expr("shiftright(bf, m + 1)").alias("b"))
+    halves = quarters.agg(F.sum(F.when(low, F.col("count"))).alias("low"), F.sum(F.when(high, F.col("count"))).alias("high"))
+    return halves.groupBy("g").agg(F.coalesce(F.sum(F.col("low") * F.col("high")), F.lit(0)).alias("n"))
+
+
 def concordance(df: DataFrame, by: str, y: str = "y", f: str = "f") -> DataFrame:
     """(by, ci): share of pairs with y_i > y_j that have f_i > f_j, ties in f counting half; null without such pairs.
 
     Each row has its place by y and its place by f, ties in either falling in the other, so
     that concordant pairs are those that rise in both places. Places are cut into blocks of
     BLOCK. Pairs of one block by y, and of one block by f, are counted block by block; all
-    others rise if their blocks do, which a table of counts by pairs of blocks tells. So no
-    task holds a whole group, however large.
+    others rise if their blocks do, which counts by pairs of blocks tell, bit by bit. So no
+    task holds a whole group, nor all blocks of one.
     """
     rows = df.where(F.col(y).isNotNull() & F.col(f).isNotNull()).select(F.col(by).alias("g"), F.col(y).cast("double").alias("y"), F.col(f).cast("double").alias("f")).withColumns({"falling_y": -F.col("y"), "falling_f": -F.col("f")})
     by_y = numbered(rows, ["g", "y", "falling_f"], "py").withColumn("back", -F.col("py"))
-    placed = numbered(by_y, ["g", "f", "falling_y", "back"], "pf").select("g", "y", "f", "py", "pf", F.expr(f"py div {BLOCK}").alias("by"), F.expr(f"pf div {BLOCK}").alias("bf"))
+    placed = kept(numbered(by_y, ["g", "f", "falling_y", "back"], "pf").select("g", "y", "f", "py", "pf", F.expr(f"py div {BLOCK}").alias("by"), F.expr(f"pf div {BLOCK}").alias("bf")), "placed")
     schema = f"g {df.schema[by].dataType.simpleString()}, n long"
 
     def inside(first: str, second: str):
         return lambda key, rows: pd.DataFrame({"g": [key[0]], "n": [rising_pairs(rows[first].to_numpy(), rows[second].to_numpy())]})
 
-    def apart(key: tuple, cells: pd.DataFrame) -> pd.DataFrame:
-        """Pairs of rows whose blocks rise in both, from counts by pairs of blocks."""
-        table = cells.pivot(index="by", columns="bf", values="count").fillna(0).to_numpy(np.int64)
-        below = np.cumsum(np.cumsum(table, 0), 1)[:-1, :-1]
-        return pd.DataFrame({"g": [key[0]], "n": [int((table[1:, 1:] * below).sum())]})
-
     found = placed.select("g", "by", "py", "pf").groupBy("g", "by").applyInPandas(inside("py", "pf"), schema)
-    found = found.union(placed.select("g", "by", "bf", "pf").groupBy("g", "bf").applyInPandas(inside("by", "pf"), schema))
-    found = found.union(placed.groupBy("g", "by", "bf").count().groupBy("g").applyInPandas(apart, schema)).groupBy("g").agg(F.sum("n").alias("rising"))
-    pairs = lambda *keys: placed.groupBy("g", *keys).count().groupBy("g").agg(F.sum(F.expr("count * (count - 1) div 2")).alias("_".join(("n", *keys))))
+    most = placed.agg(F.max(F.greatest("by", "bf"))).first()[0]
+    if most:  # more than one block
+        found = found.union(placed.select("g", "by", "bf", "pf").groupBy("g", "bf").applyInPandas(inside("by", "pf"), schema))
+        found = found.union(_apart(placed.groupBy("g", "by", "bf").count(), int(most).bit_length()))
+    found = found.groupBy("g").agg(F.sum("n").alias("rising"))
+    # pairs of equal rows: counts of (y, f) are summed up to y, to f and to the group
+    both = kept(placed.groupBy("g", "y", "f").count(), "equal_rows")
+    pairs = lambda *keys: both.groupBy("g", *keys).agg(F.sum("count").alias("c")).groupBy("g").agg(F.sum(F.expr("c * (c - 1) div 2")).alias("_".join(("n", *keys))))
     every = reduce(lambda a, b: a.join(b, "g"), [pairs(), pairs("y"), pairs("f"), pairs("y", "f"), found])
     share = (F.col("rising") + 0.5 * (F.col("n_f") - F.col("n_y_f"))) / F.nullif(F.col("n") - F.col("n_y"), F.lit(0))
     return every.select(F.col("g").alias(by), share.alias("ci"))
 
 
 def concordance_by_pairs(df: DataFrame, by: str, y: str = "y", f: str = "f") -> DataFrame:
-    """The same from all pairs of each group; for small groups."""
-    a, b = df.select(by, F.col(y).alias("y1"), F.col(f).alias("f1")), df.select(by, F.col(y).alias("y2"), F.col(f).alias("f2"))
-    pairs = a.join(b, by).where("y1 > y2")
-    return pairs.groupBy(by).agg(F.avg(F.when(F.col("f1") > F.col("f2"), 1.0).when(F.col("f1") == F.col("f2"), 0.5).otherwise(0.0)).alias("ci"))
-
-
-def _tail(t: float, n: int) -> float:
-    """Two-sided tail of Student's t with n degrees of freedom, by the incomplete beta function's continued fraction."""
-    from math import exp, lgamma, log
-
-    x, a, b = n / (n + t * t), n / 2, 0.5
-    if x >= 1:
-        return 1.0
-    front = exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * log(x) + b * log(1 - x)) if x > 0 else 0.0
-    flip = x > (a + 1) / (a + b + 2)
-    if flip:
-        x, a, b = 1 - x, b, a
-    c, d = 1.0, 1 - (a + b) * x / (a + 1)
-    d = 1 / (d if abs(d) > 1e-300 else 1e-300)
-    h = d
-    for m in range(1, 300):
-        for k in (m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))):
-            d, c = 1 + k * d, 1 + k / c
-            d = 1 / (d if abs(d) > 1e-300 else 1e-300)
-            c = c if abs(c) > 1e-300 else 1e-300
-            h *= d * c
-    value = front * h / a
-    return 1 - value if flip else value
+    """The same from all pairs of each group of PAIRED rows at most, and from counts for larger ones."""
+    rows = df.select(by, F.col(y).alias("y"), F.col(f).alias("f")).where("y is not null and f is not null")
+    sizes = rows.groupBy(by).agg(F.count("*").alias("n"))
+    large = sizes.where(F.col("n") > PAIRED).select(by)
+    small = rows.join(large, rows[by].eqNullSafe(large[by]), "left_anti")
+    a, b = small.toDF("g", "y1", "f1"), small.toDF("h", "y2", "f2")
+    pairs = a.join(b, F.col("g").eqNullSafe(F.col("h")) & (F.col("y1") > F.col("y2")))
+    found = pairs.groupBy(F.col("g").alias(by)).agg(F.avg(F.when(F.col("f1") > F.col("f2"), 1.0).when(F.col("f1") == F.col("f2"), 0.5).otherwise(0.0)).alias("ci"))
+    if large.limit(1).count():
+        many = rows.join(large, rows[by].eqNullSafe(large[by]), "left_semi")
+        found = found.union(concordance(many, by).where("ci is not null"))
+    return found
 
 
 def p_values(df: DataFrame, r: str, n: str, into: str = "p_value") -> DataFrame:
     """df of one row for each group, with the two-sided p-value of its correlation."""
-
-    @F.pandas_udf("double")
-    def tail(r: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([None if pd.isna(a) or k < 3 else 0.0 if abs(a) >= 1 else _tail(abs(a) * ((k - 2) / (1 - a * a)) ** 0.5, int(k) - 2) for a, k in zip(r, n, strict=True)], dtype="float64")
-
-    return df.withColumn(into, tail(F.col(r), F.col(n)))
+    return df.withColumn(into, correlation_p(F.col(r), F.col(n)))
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -171,15 +161,23 @@ def newest_checkpoint(df: DataFrame, run: str, name: str) -> DataFrame:
 
 
 def running_best(df: DataFrame, run: str, epoch: str, loss: str) -> DataFrame:
-    before = Window.partitionBy(run).orderBy(epoch).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("is_best", F.coalesce(F.col(loss) < F.min(loss).over(before), F.lit(True)))
+    """Whether a row's loss is under those of all rows of its run before it; the first row's is."""
+    placed = scanned(df, [run], [epoch], lows={"before_": F.col(loss)})
+    return placed.select(*df.columns, F.coalesce(F.col(loss) < F.col("before_"), F.lit(True)).alias("is_best"))
 
 
 def running_correlation(df: DataFrame, by: str, order: str, y: str, f: str, every: int) -> DataFrame:
-    """Correlation of all rows so far, at every so many rows of each group."""
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    idx = F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1
-    return df.select(by, idx.alias("idx"), correlation(F.col(y), F.col(f), w).alias("r")).where((F.col("idx") % every == 0) & (F.col("idx") > 0))
+    """Correlation of all rows so far, at every so many rows of each group, from running sums of what is left of the overall means."""
+    means = df.agg(F.avg(y).alias("mean_y"), F.avg(f).alias("mean_f"))  # one row
+    rows = df.join(F.broadcast(means)).select(by, F.col(order).alias("at_"), (F.col(y) - F.col("mean_y")).alias("a"), (F.col(f) - F.col("mean_f")).alias("b"))
+    both = F.col("a").isNotNull() & F.col("b").isNotNull()
+    of = lambda c: F.when(both, c)
+    a, b = F.col("a"), F.col("b")
+    sums = scanned(rows, [by], ["at_"], "idx", {"n": of(F.lit(1)), "sa": of(a), "sb": of(b), "saa": of(a * a), "sbb": of(b * b), "sab": of(a * b)})
+    sums = sums.where((F.col("idx") % every == 0) & (F.col("idx") > 0))
+    spread = lambda s, ss: F.when(F.col("n") * F.col(ss) - F.col(s) * F.col(s) > 1e-12 * F.col("n") * F.col(ss), F.col("n") * F.col(ss) - F.col(s) * F.col(s))
+    r = (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / F.sqrt(spread("sa", "saa") * spread("sb", "sbb"))
+    return sums.select(by, "idx", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
 
 
 def dense_index(df: DataFrame, column: str) -> DataFrame:
