@@ -93,23 +93,21 @@ def one_hot(x: Column, allowed: Sequence, unknown: str = "last") -> Column:
     return F.transform(values, lambda v: (v == y).cast("float"))
 
 
-def padded(ids: Column, width: int) -> Column:
-    """Ids with zeros after them, cut to width; a sequence with an unknown (null) id becomes one zero."""
+def padded(ids: Column, width: int, start: int | None = None, stop: int | None = None, before: bool = False) -> Column:
+    """Ids with zeros after (or before) them, cut to width; a sequence with an unknown (null) id becomes one zero. start and stop: ids that are put around the sequence first, and that a cut may take."""
     known = F.when(F.exists(ids, lambda x: x.isNull()), F.array(F.lit(0))).otherwise(ids)
-    return F.slice(F.concat(known, F.array_repeat(F.lit(0), width)), 1, width)
+    ends = [F.array(F.lit(x).cast("int")) if x is not None else F.array().cast("array<int>") for x in (start, stop)]
+    whole = F.slice(F.concat(ends[0], known, ends[1]), 1, width)
+    zeros = F.array_repeat(F.lit(0), F.lit(width) - F.size(whole))
+    return F.concat(zeros, whole) if before else F.concat(whole, zeros)
 
 
-def pad_mask(ids: Column, width: int) -> Column:
-    known = F.when(F.exists(ids, lambda x: x.isNull()), F.lit(1)).otherwise(F.size(ids))
+def pad_mask(ids: Column, width: int, ends: int = 0) -> Column:
+    """Ones for the ids of `padded`, with so many start and stop ids."""
+    known = F.when(F.exists(ids, lambda x: x.isNull()), F.lit(1)).otherwise(F.size(ids)) + ends
     return F.transform(F.sequence(F.lit(1), F.lit(width)), lambda k: (k <= known).cast("int"))
 
 
-def windows(text: Column, width: int, pad: str = "_") -> Column:
-    """Every substring of that width; a shorter text is padded to one."""
-    full = F.rpad(text, width, pad)
-    return F.when(F.length(text) >= width, F.transform(F.sequence(F.lit(0), F.length(text) - width), lambda i: F.substring(text, i + 1, width))).otherwise(F.array(full))
-
-
 def split_order(key: Column, seed: str) -> Column:
     """A text that orders keys at random, alike on every engine and partitioning."""
     return F.md5(F.concat_ws("|", F.lit(seed), key.cast("string")).cast("binary"))

@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dosegrid.functions.columns import number, strip
-from dosegrid.operators.pairs import numbered
+from dosegrid.sources.shared import kept
 
-#: Distinct values that are counted together in the search for a median.
-BLOCK = 10_000
+#: Steps between two bounds in the search for a median.
+BINS = 1024
 
 
 @dataclass(frozen=True)
@@ -80,21 +80,43 @@ def pivoted(rows: DataFrame, methods: Sequence[str]) -> DataFrame:
 
 
 def medians(wide: DataFrame, methods: Sequence[str]) -> DataFrame:
-    """One row of exact medians med_<method>: values are counted, numbered in order by ranges, and the middle one or two of each method are found by number."""
-    values = wide.select(F.explode(F.array(*(F.struct(F.lit(m).alias("method"), F.col(m).cast("double").alias("x")) for m in methods))).alias("v")).select("v.*").where("x is not null")
-    distinct = numbered(values.groupBy("method", "x").agg(F.count("*").alias("n")), ["method", "x"])
-    upto = distinct.groupBy("method", F.expr(f"row_no div {BLOCK}").alias("block")).agg(F.sum("n").alias("n"))  # counts by blocks of distinct values
-    before = upto.select("method", "block", (F.sum("n").over(Window.partitionBy("method").orderBy("block")) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("method")).alias("total"))
-    low, high = F.expr("(total - 1) div 2"), F.expr("total div 2")
-    hit = before.join(upto.select("method", "block", F.col("n").alias("size")), ["method", "block"]).where((F.col("before") <= high) & (F.col("before") + F.col("size") > low))
-    inside = distinct.withColumn("block", F.expr(f"row_no div {BLOCK}")).join(F.broadcast(hit), ["method", "block"])  # two blocks of each method at most
-    at = F.col("before") + F.sum("n").over(Window.partitionBy("method", "block").orderBy("x")) - F.col("n")
-    middle = inside.withColumn("at", at).select("method", "x", ((F.col("at") <= low) & (F.col("at") + F.col("n") > low)).cast("int").alias("a"), ((F.col("at") <= high) & (F.col("at") + F.col("n") > high)).cast("int").alias("b"))
-    return middle.where("a + b > 0").groupBy().pivot("method", list(methods)).agg(F.sum(F.col("x") * (F.col("a") + F.col("b"))) / 2).select(*(F.col(m).alias(f"med_{m}") for m in methods))
+    """One row of exact medians med_<method>.
+
+    Each turn counts the values between two bounds in BINS steps, with each step's least and
+    largest value, and goes on in the step that holds the middle one, until that has one value
+    only. So a turn is one pass with counts of fixed size, whatever the number of rows.
+    """
+    spark = wide.sparkSession
+    ends = wide.agg(*(f(F.col(m).cast("double")).alias(f"{n}_{m}") for m in methods for n, f in (("n", F.count), ("low", F.min), ("high", F.max)))).first()
+    # (method, rank) -> bounds and the number of values under them
+    open_ = {(m, r): (ends[f"low_{m}"], ends[f"high_{m}"], 0) for m in methods if (n := ends[f"n_{m}"]) for r in {(n - 1) // 2, n // 2}}
+    found: dict[tuple[str, int], float] = {}
+    while True:
+        found |= {key: low for key, (low, high, _) in open_.items() if low == high}
+        open_ = {key: v for key, v in open_.items() if v[0] != v[1]}
+        if not open_:
+            break
+        bounds = spark.createDataFrame([(m, low, high) for m, low, high in {(m, *v[:2]) for (m, _), v in open_.items()}], "method string, low double, high double")
+        values = wide.select(F.explode(F.array(*(F.struct(F.lit(m).alias("method"), F.col(m).cast("double").alias("x")) for m in {m for m, _ in open_}))).alias("v")).select("v.*").where("x is not null")
+        inside = values.join(F.broadcast(bounds), "method").where("low <= x and x <= high")  # a row or two for each method
+        step = F.least(F.floor((F.col("x") / 2 - F.col("low") / 2) / (F.col("high") / 2 - F.col("low") / 2) * BINS), F.lit(BINS - 1))
+        counts: dict[tuple, list] = {}
+        for r in inside.groupBy("method", "low", "high", step.alias("step")).agg(F.count("*").alias("n"), F.min("x").alias("least"), F.max("x").alias("most")).collect():
+            counts.setdefault((r["method"], r["low"], r["high"]), []).append((r["step"], r["n"], r["least"], r["most"]))
+        for (m, rank), (low, high, under) in open_.items():
+            for _, n, least, most in sorted(counts[(m, low, high)]):
+                if rank < under + n:
+                    open_[(m, rank)] = (least, most, under)
+                    break
+                under += n
+    middle = {m: [v for (name, _), v in found.items() if name == m] for m in methods}
+    row = [sum(v) / len(v) if v else None for v in middle.values()]
+    return spark.createDataFrame([row], ", ".join(f"`med_{m}` double" for m in methods))
 
 
 def imputed(wide: DataFrame, methods: Sequence[str]) -> DataFrame:
-    """Nulls as the method's exact median, or 0 where it has none."""
+    """Nulls as the method's exact median, or 0 where it has none. The wide table is computed once."""
+    wide = kept(wide.select("cell_line", "drug_name", *methods), "wide")
     filled = wide.join(F.broadcast(medians(wide, methods)))  # one row
     return filled.select("cell_line", "drug_name", *(F.coalesce(m, f"med_{m}", F.lit(0.0)).alias(m) for m in methods))
 
@@ -122,6 +144,56 @@ def forest(wide: DataFrame, methods: Sequence[str], label: str, trees: int = 20,
     return Pipeline(stages=steps).fit(wide)
 
 
+NODES = "tree int, node int, feature int, threshold double, low int, high int, prediction double"
+
+
+def tree_nodes(model) -> list[tuple]:
+    """Nodes of a fitted forest as rows of NODES: each tree's are numbered from its root, 0; feature is a place in the model's order; values up to the threshold go to low, others to high; a leaf has neither."""
+    rows: list[tuple] = []
+
+    def walk(tree: int, node, number: int, free: int) -> int:
+        """Adds a node and all under it; free: the next number, which it returns."""
+        if node.getClass().getSimpleName() == "LeafNode":
+            rows.append((tree, number, None, None, None, None, node.prediction()))
+            return free
+        low, high = free, free + 1
+        rows.append((tree, number, node.split().featureIndex(), node.split().threshold(), low, high, None))
+        return walk(tree, node.rightChild(), high, walk(tree, node.leftChild(), low, free + 2))
+
+    for k, tree in enumerate(model.stages[-1].trees):
+        walk(k, tree._java_obj.rootNode(), 0, 1)
+    return rows
+
+
+def save_trees(spark: SparkSession, nodes: Sequence[tuple], methods: Sequence[str], path: str) -> None:
+    """A forest as two tables: its nodes, and the methods in the order of its features."""
+    spark.createDataFrame(list(nodes), NODES).write.mode("overwrite").parquet(f"{path}/nodes")
+    spark.createDataFrame(list(enumerate(methods)), "feature int, method string").write.mode("overwrite").parquet(f"{path}/features")
+
+
+def scored_by_trees(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
+    """As `scored_by`, for a forest that is a table of nodes: its rows are of fixed number, become one array for each tree and are gone down by a fold over the depth, all in the JVM."""
+    features = spark.read.parquet(f"{path}/features").orderBy("feature").collect()
+    methods = [r["method"] for r in features]
+    nodes = spark.read.parquet(f"{path}/nodes")
+    trees = nodes.groupBy("tree").agg(F.array_sort(F.collect_list(F.struct("node", "feature", "threshold", "low", "high", "prediction"))).alias("nodes"))
+    forest_ = trees.agg(F.collect_list("nodes").alias("trees"))  # one row
+    deepest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0]
+    wide = imputed(pivoted(rows.withColumn("method", F.translate("method", "-", "_")), methods), methods)
+    values = F.array(*(F.col(m).cast("double") for m in methods))
+
+    def leaf(tree: Column, x: Column) -> Column:
+        def down(at: Column, _: Column) -> Column:
+            node = F.get(tree, at)
+            return F.when(node["feature"].isNull(), at).when(F.get(x, node["feature"]) <= node["threshold"], node["low"]).otherwise(node["high"])
+
+        return F.get(tree, F.aggregate(F.sequence(F.lit(1), F.lit(max(1, (deepest or 1) // 2))), F.lit(0), down))["prediction"]
+
+    mean = F.aggregate("trees", F.lit(0.0), lambda total, tree: total + leaf(tree, F.col("values")), lambda total: total / F.size("trees"))
+    scored = wide.withColumn("values", values).join(F.broadcast(forest_))
+    return scored.select("cell_line", "drug_name", mean.alias("ensemble_score"))
+
+
 def save_model(model, path: str) -> None:
     """A fitted model with the order of its features."""
     model.write().overwrite().save(path)

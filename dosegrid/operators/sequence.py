@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dosegrid.functions.columns import windows
-
 #: Bracket atoms, two-letter atoms, two-digit rings, single characters.
 TOKEN = r"\[[^\]]+\]|Br|Cl|%\d\d|."
 
@@ -33,33 +30,38 @@ def fingerprint(ids: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(ids, lambda x: x.isNotNull())))
 
 
-def merged(word: str, ranks: dict[tuple[str, str], int], end: str = "</w>") -> list[str]:
-    """A word's parts after all merges, lowest rank first, every place of a pair at once."""
-    parts = [*word[:-1], word[-1] + end] if word else []
-    while len(parts) > 1:
-        best = min(zip(parts, parts[1:], strict=False), key=lambda p: ranks.get(p, len(ranks)))
-        if best not in ranks:
-            break
-        out, k = [], 0
-        while k < len(parts):
-            pair = tuple(parts[k : k + 2]) == best
-            out.append("".join(best) if pair else parts[k])
-            k += 1 + pair
-        parts = out
-    return parts
+def merged(word: Column, merges: Sequence[tuple[str, str]], end: str = "</w>") -> Column:
+    """A word's parts after all merges, lowest rank first, every place of a pair at once: a fold that takes the best pair left in each step."""
+    found: dict[str, int] = {}
+    for rank, pair in enumerate(merges):
+        found.setdefault("\x00".join(pair), rank)
+    ranks = F.create_map(*(F.lit(x) for pair in found.items() for x in pair)) if found else None
+    n = F.length(word)
+    letters = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.concat(F.substring(word, i, F.lit(1)), F.when(i == n, end).otherwise("")))
+    letters = F.when(n > 0, letters).otherwise(F.array().cast("array<string>"))
+    if ranks is None:
+        return letters
+    pairs = F.array(*(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in merges))
 
+    def joined(parts: Column, pair: Column) -> Column:
+        def put(done: Column, x: Column) -> Column:
+            hit = F.coalesce((F.try_element_at(done, F.lit(-1)) == pair["a"]) & (x == pair["b"]), F.lit(False))
+            return F.when(hit, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.concat(pair["a"], pair["b"])))).otherwise(F.concat(done, F.array(x)))
 
-def subword_encoded(df: DataFrame, column: str, merges: Sequence[tuple[str, str]], into: str = "parts") -> DataFrame:
-    """Each distinct string's sub-words, joined back; the merge list is of fixed size."""
-    ranks = {m: k for k, m in reversed(list(enumerate(merges)))}
+        return F.aggregate(parts, F.array().cast("array<string>"), put)
+
+    def step(parts: Column, _: Column) -> Column:
+        known = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda x, i: F.try_element_at(ranks, F.concat(F.get(parts, i), F.lit("\x00"), x)))
+        return F.transform(F.array(F.array_min(known)), lambda best: F.when(best.isNull(), parts).otherwise(joined(parts, F.get(pairs, best))))[0]
 
-    @F.pandas_udf("array<string>")
-    def encode(words: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for w in words:
-            yield w.map(lambda x: merged(x, ranks))
+    # a word of n letters has at most n - 1 merges
+    return F.aggregate(F.slice(letters, 2, F.greatest(n - 1, F.lit(0))), letters, step)
 
+
+def subword_encoded(df: DataFrame, column: str, merges: Sequence[tuple[str, str]], into: str = "parts") -> DataFrame:
+    """Each distinct string's sub-words, joined back; the merge list is of fixed size."""
     distinct = df.select(column).where(F.col(column).isNotNull()).distinct()
-    return df.join(distinct.withColumn(into, encode(F.col(column))), column, "left")
+    return df.join(distinct.withColumn(into, merged(F.col(column), merges)), column, "left")
 
 
 def lingos(text: Column, width: int = 8, elements: Sequence[str] = (), letters: str = "") -> Column:
