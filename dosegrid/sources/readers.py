@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -42,7 +43,9 @@ def _lines(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
 def cells_of(line: Column, sep: str) -> Column:
     """A line's cells; where it has quotes, separators inside them do not count, and doubled quotes are one."""
     literal = "\\Q" + sep + "\\E"
-    quoted = F.transform(F.regexp_extract_all(line, F.lit(f'("(?:[^"]|"")*"|(?:(?!{literal}).)*)(?:{literal}|$)'), F.lit(1)), lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
+    every = F.regexp_extract_all(line, F.lit(f'("(?:[^"]|"")*"|(?:(?!{literal}).)*)(?:{literal}|$)'), F.lit(1))
+    every = F.when(line.endswith(sep), every).otherwise(F.slice(every, F.lit(1), F.size(every) - 1))  # after the last cell there is an empty match
+    quoted = F.transform(every, lambda c: F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c))
     return F.when(line.contains('"'), quoted).otherwise(F.split(line, literal))
 
 
@@ -61,15 +64,32 @@ def transposed_matrix(spark: SparkSession, path: str, prefix: str = "DATA.", sep
     return found.select(F.regexp_replace("feature", f"^{prefix.replace('.', chr(92) + '.')}", "").alias("sample_id"), F.col("sample_id").alias("feature"), "pos", "value")
 
 
-def feature_list(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
-    """(pos, feature) of a matrix's header."""
-    return spark.read.option("encoding", encoding).text(path).limit(1).select(F.posexplode(F.split("value", sep)).alias("pos", "feature")).where("pos > 0").select((F.col("pos") - 1).alias("pos"), strip(F.col("feature")).alias("feature"))
+def decoded(value: Column, fallback: str = "gbk") -> Column:
+    """Text of a line's bytes: as UTF-8 if they are that, else in the other encoding, without what that cannot say."""
 
+    @F.pandas_udf("string")
+    def other(lines: pd.Series) -> pd.Series:
+        return lines.map(lambda b: None if b is None else bytes(b).decode(fallback, errors="ignore"))
 
-def feature_column(spark: SparkSession, path: str, most: int, sep: str = "\t") -> DataFrame:
-    """(pos, feature): the first column's first `most` values below the header, in the order of the file."""
-    table = spark.read.option("header", True).csv(path, sep=sep)
-    first = table.select(F.col(f"`{table.columns[0]}`").alias("feature")).withColumn("at", F.monotonically_increasing_id()).orderBy("at").limit(most)
+    return F.when(F.is_valid_utf8(value), value).otherwise(other(value.cast("binary")))
+
+
+def feature_list(spark: SparkSession, path: str, sep: str = ",", fallback: str = "gbk") -> DataFrame:
+    """(pos, feature) of a matrix's header, which alone is decoded. Names may be quoted."""
+    header = spark.read.text(path).limit(1).select(decoded(F.col("value"), fallback).alias("value"))
+    return header.select(F.posexplode(cells_of(F.col("value"), sep)).alias("pos", "feature")).where("pos > 0").select((F.col("pos") - 1).alias("pos"), strip(F.col("feature")).alias("feature"))
+
+
+#: Most features that a list can have; numbered by one task.
+MOST_FEATURES = 100_000
+
+
+def feature_column(spark: SparkSession, path: str, most: int = MOST_FEATURES, sep: str = "\t", fallback: str = "gbk") -> DataFrame:
+    """(pos, feature): the first column's first `most` values below the header, in the order of the file; most is MOST_FEATURES or less."""
+    if most > MOST_FEATURES:
+        raise ValueError(f"a list has {MOST_FEATURES} features at most")
+    lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id()).orderBy("at").limit(most + 1)
+    first = lines.where("at > 0 and trim(value) <> ''").select("at", F.get(cells_of(decoded(F.col("value"), fallback), sep), F.lit(0)).alias("feature"))
     return first.select((F.row_number().over(Window.orderBy("at")) - 1).alias("pos"), "feature")  # `most` rows
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from dosegrid.sources.shared import kept
+
 
 def safe_name(c: Column) -> Column:
     """Everything but letters and digits as an underscore. Two names can end alike, so the raw name stays a column."""
@@ -16,8 +18,19 @@ def four_digits(c: Column) -> Column:
     return F.when(c.isNotNull(), F.format_string("%.4f", c.cast("double")))
 
 
-def write_global(df: DataFrame, path: str, score: str) -> None:
-    df.withColumn(score, four_digits(F.col(score))).write.option("header", True).csv(path)
+#: Rows that are written as one file on request.
+SINGLE_ROWS = 1_000_000
+
+
+def write_global(df: DataFrame, path: str, score: str, single: bool = False) -> None:
+    """A folder of CSV parts. single: one part, with one header, for a result whose number of rows has been checked."""
+    found = df.withColumn(score, four_digits(F.col(score)))
+    if single:
+        found = kept(found, "global")
+        if (n := found.count()) > SINGLE_ROWS:
+            raise ValueError(f"{n} rows are too many for one file; the most is {SINGLE_ROWS}")
+        found = found.coalesce(1)
+    found.write.option("header", True).csv(path)
 
 
 def top_reports(scores: DataFrame, k: int, cell: str = "cell_line", drug: str = "drug_name", score: str = "ensemble_score") -> DataFrame:
@@ -37,6 +50,36 @@ def write_chunks(df: DataFrame, path: str, *chunk_ids: str) -> None:
     df.repartition(*chunk_ids).write.partitionBy(*chunk_ids).option("header", True).csv(path)
 
 
+def last_chunk(spark: SparkSession, path: str, chunk: str = "chunk_id") -> int:
+    """The highest number of a chunk that has been written and has rows, by the files' names; 0 if there is none."""
+    try:
+        files = spark.read.text(f"{path.rstrip('/')}/{chunk}=*").select("_metadata.file_path")
+    except Exception as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return 0
+    return files.agg(F.max(F.regexp_extract("file_path", f"/{chunk}=([0-9]+)/", 1).try_cast("int"))).first()[0] or 0
+
+
+def resume_chunks(df: DataFrame, path: str, start: int = 0, chunk: str = "chunk_id") -> int:
+    """Chunks that are not there yet: those after the highest that is, or from start if that is given. The first number that was written.
+
+    Rows have their chunk's number, from 1. A forced start replaces the chunks from there on;
+    those that df no longer has go. Chunks are written in one job, which makes them visible
+    when all are done, so a stopped job is done again.
+    """
+    spark = df.sparkSession
+    begin = start if start > 0 else last_chunk(spark, path, chunk) + 1
+    if start > 0:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{chunk}=*")) or []:
+            if int(found.getPath().getName().split("=")[1]) >= begin:
+                fs.delete(found.getPath(), True)
+    df.where(F.col(chunk) >= begin).repartition(chunk).write.mode("append").partitionBy(chunk).option("header", True).csv(path)
+    return begin
+
+
 def write_batch(df: DataFrame, path: str, number: int) -> None:
     """Rows of a numbered batch, in a folder of its own: a batch that is written again replaces itself."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={number}")
