@@ -90,6 +90,26 @@ def ensemble_score(spark, d):
     return consensus.scored_by(spark, path, _normal(spark, d))
 
 
+#: A stored forest: its features are the methods in their order.
+_TREES = [
+    (0, 0, 0, 25.5, 1, 2, None), (0, 1, 3, 20.25, 3, 4, None), (0, 2, None, None, None, None, 7.5), (0, 3, None, None, None, None, 1.25), (0, 4, 6, 30.0, 5, 6, None), (0, 5, None, None, None, None, 2.0), (0, 6, None, None, None, None, 3.75),
+    (1, 0, 1, 24.0, 1, 2, None), (1, 1, None, None, None, None, -1.5), (1, 2, 2, 26.75, 3, 4, None), (1, 3, None, None, None, None, 4.0), (1, 4, None, None, None, None, 6.25),
+    (2, 0, None, None, None, None, 0.5),
+]
+
+
+def _tree_sql(tree: int, node: int = 0) -> str:
+    _, _, feature, threshold, low, high, value = next(n for n in _TREES if n[:2] == (tree, node))
+    return f"({value})::double" if feature is None else f"case when {S.METHODS[feature]} <= {threshold} then {_tree_sql(tree, low)} else {_tree_sql(tree, high)} end"
+
+
+@query(f"with {S.IMPUTE_SQL} select cell_line, drug_name, round(({' + '.join(_tree_sql(t) for t in range(3))}) / 3, 6) as ensemble_score from filled")
+def ensemble_tree_scores(spark, d):
+    """Scores by a stored forest that is a table of nodes."""
+    consensus.save_trees(spark, _TREES, S.METHODS, path := fresh_path(spark, "trees"))
+    return _rounded(consensus.scored_by_trees(spark, path, _normal(spark, d)), ["ensemble_score"])
+
+
 # --- drug lists and names ----------------------------------------------------------------
 
 
@@ -135,9 +155,16 @@ def synonym_resolution(spark, d):
     return pairs.synonyms(drugs, "p_partkey", "main", "syn")
 
 
-@query("select n_nationkey, case n_name when 'NATION_0' then 'Nation zero' when 'NATION_7' then 'Nation seven' else n_name end as name, replace(n_name, '_', '-') as translated, 'DATA.' || n_nationkey as keyed from nation")
+_NAMES = ["'" + n.replace("'", "''") + "'" for n in druglist.NAME_CORRECTIONS]
+_GIVEN = ["'" + n.replace("'", "''") + "'" for n in druglist.NAME_CORRECTIONS.values()]
+
+
+@query(f"select p_partkey, coalesce([{', '.join(_GIVEN)}][list_position([{', '.join(_NAMES)}], raw)], raw) as name, replace(raw, '-', '_') as translated, 'DATA.' || p_partkey as keyed from (select p_partkey, coalesce([{', '.join(_NAMES)}][p_partkey % 40], p_name) as raw from part)")
 def name_correction(spark, d):
-    return table(spark, d, "nation").select("n_nationkey", C.corrected(F.col("n_name"), {"NATION_0": "Nation zero", "NATION_7": "Nation seven"}).alias("name"), F.translate("n_name", "_", "-").alias("translated"), F.concat(F.lit("DATA."), "n_nationkey").alias("keyed"))
+    """Most rows have a name of the table of corrections."""
+    raw = F.coalesce(F.get(F.array(*map(F.lit, druglist.NAME_CORRECTIONS)), (F.col("p_partkey") % 40 - 1).cast("int")), F.col("p_name"))
+    rows = table(spark, d, "part").select("p_partkey", raw.alias("raw"))
+    return rows.select("p_partkey", C.corrected(F.col("raw"), druglist.NAME_CORRECTIONS).alias("name"), F.translate("raw", "-", "_").alias("translated"), F.concat(F.lit("DATA."), "p_partkey").alias("keyed"))
 
 
 # --- pairs -------------------------------------------------------------------------------
@@ -327,11 +354,11 @@ def assemble_omics(spark, d):
     return omics.assembled(blocks.where("sample_id % 2 = 0"), blocks.where("sample_id % 3 = 0"), blocks)
 
 
-@query(f"with {S.OMICS_SQL}, t as (select * from (select *, row_number() over (partition by sample_id order by value desc nulls last, pos) as k from om where value is not null) where k <= 8), e as (select vec_id, embedding from embeddings), x as (select t.sample_id, d, avg(e.embedding[d + 1]::double) as x from t join e on e.vec_id = t.pos, (select unnest(range(4)) as d) group by 1, 2) select s.sample_id, coalesce((select list(round(x, 6) order by d) from x where x.sample_id = s.sample_id), [0.0, 0.0, 0.0, 0.0]) as vec from (select distinct sample_id from om) s")
+@query(f"with {S.OMICS_SQL}, t as (select * from (select *, row_number() over (partition by sample_id order by value desc nulls last, pos) as k from om where value is not null) where k <= 8), e as (select vec_id, embedding from embeddings), x as (select t.sample_id, d, avg(e.embedding[d + 1]::double) as x from t join e on e.vec_id = t.pos, (select unnest(range(64)) as d) group by 1, 2) select s.sample_id, coalesce((select list(round(x, 6) order by d) from x where x.sample_id = s.sample_id), list_transform(range(64), lambda d: 0.0)) as vec from (select distinct sample_id from om) s")
 def top_features_mean_embedding(spark, d):
     cells = S.omics(spark, d).where("value is not null")
-    vectors = table(spark, d, "embeddings").select(F.concat(F.lit("Gene-"), "vec_id").alias("key"), F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")).alias("vec"))
-    means = omics.mean_embedding(omics.top_features(cells, 8), S.omics(spark, d).select("sample_id").distinct(), vectors, 4)
+    vectors = table(spark, d, "embeddings").select(F.concat(F.lit("Gene-"), "vec_id").alias("key"), F.col("embedding").cast("array<double>").alias("vec"))
+    means = omics.mean_embedding(omics.top_features(cells, 8), S.omics(spark, d).select("sample_id").distinct(), vectors, 64)
     return means.select("sample_id", F.transform("vec", lambda x: F.round(x, 6)).alias("vec"))
 
 
@@ -421,19 +448,26 @@ def concordance_by_pairs(spark, d):
     return _rounded(metrics.concordance_by_pairs(S.evaluation(spark, d), "cell"), ["ci"])
 
 
-@query()
+_P_VALUE = """e as (select cell, count(*) as n, covar_pop(y, f) / nullif(stddev_pop(y) * stddev_pop(f), 0) as r from ev group by 1),
+u as (select *, 1 - r * r as whole, least(greatest(1 - r * r, 1e-300), 1 - 1e-16) as x1, (n - 2) / 2 as a1, least(greatest(floor(10 * sqrt(n))::int, 100), 20000) as steps from e),
+v as (select *, x1 > (a1 + 1) / (a1 + 2.5) as flip from u),
+w as (select *, case when flip then 1 - x1 else x1 end as x, case when flip then 0.5 else a1 end as a, case when flip then a1 else 0.5 end as b from v),
+k as (select *, 1 / (1 - (a + b) * x / (a + 1)) as first, list_transform(range(2, 2 * steps + 1), lambda j: case when j % 2 = 0 then (j // 2) * (b - j // 2) * x / ((a + j - 1) * (a + j)) else -(a + j // 2) * (a + b + j // 2) * x / ((a + j - 1) * (a + j)) end) as terms from w),
+h as (select *, list_reduce(list_concat([{'c': 1.0::double, 'd': first::double, 'h': first::double, 'k': 0.0::double}], list_transform(terms, lambda t: {'c': 0.0::double, 'd': 0.0::double, 'h': 0.0::double, 'k': t::double})), lambda s, q: {'c': 1 + q.k / s.c, 'd': 1 / (1 + q.k * s.d), 'h': s.h / (1 + q.k * s.d) * (1 + q.k / s.c), 'k': 0.0::double}).h * exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(x) + b * ln(1 - x)) / a as share from k)"""
+
+
+@query(f"with {S.EVALUATION_SQL}, {_P_VALUE} select cell, n, round(r, 6) as pearson, round(case when r is null or n < 3 then null when abs(r) >= 1 then 0 when whole >= 1 then 1 when flip then 1 - share else share end, 9) as p_value from h")
 def correlation_p_values(spark, d):
-    return metrics.p_values(metrics.errors(S.evaluation(spark, d), ["cell"]).select("cell", "n", "pearson"), "pearson", "n")
+    found = metrics.p_values(metrics.errors(S.evaluation(spark, d), ["cell"]).select("cell", "n", "pearson"), "pearson", "n")
+    return found.select("cell", "n", F.round("pearson", 6).alias("pearson"), F.round("p_value", 9).alias("p_value"))
 
 
 _LOG = "lg as (select user_id as run, row_number() over (partition by user_id order by ts, event_id) as epoch, value as mse from events)"
 
 
 def _log(spark, d):
-    from pyspark.sql import Window
-
-    epoch = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return table(spark, d, "events").select(F.col("user_id").alias("run"), epoch.alias("epoch"), F.col("value").alias("mse"))
+    events = table(spark, d, "events").select("user_id", "ts", "event_id", "value")
+    return pairs.scanned(events, ["user_id"], ["ts", "event_id"]).select(F.col("user_id").alias("run"), (F.col("row_no") + 1).alias("epoch"), F.col("value").alias("mse"))
 
 
 @query(f"with {_LOG} select run, idx, round(c / nullif(sy * sf, 0), 6) as r from (select run, epoch - 1 as idx, covar_pop(mse, epoch) over w as c, stddev_pop(mse) over w as sy, stddev_pop(epoch) over w as sf from lg window w as (partition by run order by epoch rows unbounded preceding)) where idx % 10 = 0 and idx > 0")
@@ -541,6 +575,13 @@ def pad_mask(spark, d):
     return rows.select("p_partkey", C.padded(F.col("raw"), 12).alias("ids"), C.pad_mask(F.col("raw"), 12).alias("mask"))
 
 
+@query(f"with t as (select p_partkey, list_slice(list_concat([28], ids, [29]), 1, 20) as w from (select p_partkey, {_IDS} as ids from part)) select p_partkey, list_concat(w, list_transform(range(20 - len(w)), lambda i: 0)) as ids, list_concat(list_transform(range(20 - len(w)), lambda i: 0), w) as shifted from t")
+def pad_between_marks(spark, d):
+    """With ids of start and stop, zeros after them or before."""
+    rows = table(spark, d, "part").select("p_partkey", _ids().alias("raw"))
+    return rows.select("p_partkey", C.padded(F.col("raw"), 20, 28, 29).alias("ids"), C.padded(F.col("raw"), 20, 28, 29, before=True).alias("shifted"))
+
+
 @query(f"select p_partkey, list_sort(list_distinct({_IDS})) as fingerprint from part")
 def subword_fingerprint(spark, d):
     return table(spark, d, "part").select("p_partkey", sequence.fingerprint(_ids()).alias("fingerprint"))
@@ -549,9 +590,13 @@ def subword_fingerprint(spark, d):
 _MERGES = [("i", "n"), ("in", "g"), ("t", "h"), ("th", "e</w>"), ("e", "r"), ("o", "n"), ("a", "n"), ("r", "e"), ("s", "t"), ("l", "e")]
 
 
-@query()
+_SPACES = r"[ \t\n\x0B\f\r]+"
+_MERGED = "list_reduce(list_concat([parts], [{pairs}]), lambda acc, m: list_reduce(list_transform(acc, lambda x: [x]), lambda p, q: case when p[-1] = m[1] and q[1] = m[2] then list_concat(p[:-2], [m[1] || m[2]]) else list_concat(p, q) end))".format(pairs=", ".join(f"['{a}', '{b}']" for a, b in _MERGES))
+
+
+@query(f"with w as (select word, count(*) as n from (select unnest(string_split_regex(lower(text), '{_SPACES}')) as word from documents) where word <> '' group by 1), l as (select word, n, list_transform(range(1, length(word) + 1), lambda i: word[i] || case when i = length(word) then '</w>' else '' end) as parts from w) select word, n, {_MERGED} as parts from l")
 def subword_encode(spark, d):
-    words = table(spark, d, "documents").select("doc_id", F.explode(F.split(F.lower("text"), r"\s+")).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
+    words = table(spark, d, "documents").select("doc_id", F.explode(F.split(F.lower("text"), _SPACES)).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
     return sequence.subword_encoded(words, "word", _MERGES)
 
 
@@ -616,16 +661,26 @@ def tanimoto_pairs(spark, d):
     return _rounded(neighbours.tanimoto_pairs(_bits(spark, d), "p_brand", "bits"), ["dist"])
 
 
+_PRINTS = "pr as (select vec_id as k, list_filter(range(64), lambda i: embedding[i + 1] > 0.15) as bits from embeddings)"
+
+
+@query(f"with {_PRINTS} select a.k as a, b.k as b, round(1 - len(list_intersect(a.bits, b.bits)) / (len(a.bits) + len(b.bits) - len(list_intersect(a.bits, b.bits))), 6) as dist from pr a join pr b on a.k < b.k and len(list_intersect(a.bits, b.bits)) >= 0.5 * (len(a.bits) + len(b.bits) - len(list_intersect(a.bits, b.bits))) and len(a.bits) > 0")
+def tanimoto_near(spark, d):
+    """Pairs at a distance of a half or less, of fingerprints that say which values are large."""
+    prints = table(spark, d, "embeddings").select("vec_id", F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.get("embedding", i) > F.lit(0.15)).alias("bits"))
+    return _rounded(neighbours.tanimoto_within(prints, "vec_id", "bits", 0.5), ["dist"])
+
+
 _KNN = f"""with {_BITS}, {_CELLS},
 c2 as (select p.k as a, q.k as b, count(*) as n from bi p join bi q using (bit) group by 1, 2),
 dd as (select a.k as td, b.k as rd, 1 - coalesce(c2.n, 0) / (a.n + b.n - coalesce(c2.n, 0)) as dd from nb a cross join nb b left join c2 on c2.a = a.k and c2.b = b.k),
 cd as (select a.cell as tc, b.cell as rc, sqrt(list_sum(list_transform(range(1, 65), lambda i: (a.vec[i]::double - b.vec[i]::double) ** 2))) as cd from ce a, ce b),
 r as (select l_orderkey * 10 + l_linenumber as id, p_brand as drug, l_suppkey as cell, l_quantity as label, l_linenumber = 1 as test from lineitem join part on l_partkey = p_partkey where l_suppkey in (select cell from ce)),
-f as (select * from (select *, row_number() over (partition by drug, cell order by id) as n from r where not test) where n <= 3),
+f as (select * from (select *, row_number() over (partition by drug, cell order by id, label) as n from r where not test) where n <= 3),
 lo as (select tc, max(cd) as lo from cd where rc in (select cell from f) group by 1),
 p as (select w.drug as td, w.cell as tc, f.id, f.label, dd, cd, lo from (select distinct drug, cell from r where test) w join dd on dd.td = w.drug join f on f.drug = dd.rd join cd on cd.tc = w.cell and cd.rc = f.cell join lo on lo.tc = w.cell),
 s as (select td, tc, id, label, 'local' as scale, round(dd + coalesce(cd / nullif(lo, 0), 0), 9) as d from p union all select td, tc, id, label, 'global', round(dd + coalesce(cd / nullif((select max(cd) from cd), 0), 0), 9) from p),
-k as (select t.id as test_id, s.scale, s.rank, s.id as train_id, s.label from (select *, row_number() over (partition by td, tc, scale order by d, id) as rank from s qualify rank <= 3) s join r t on t.test and t.drug = s.td and t.cell = s.tc)"""
+k as (select t.id as test_id, s.scale, s.rank, s.id as train_id, s.label from (select *, row_number() over (partition by td, tc, scale order by d, id, label) as rank from s qualify rank <= 3) s join r t on t.test and t.drug = s.td and t.cell = s.tc)"""
 
 
 def _knn(spark, d):
@@ -637,7 +692,7 @@ def _knn(spark, d):
     near = neighbours.tanimoto_pairs(sets, "p_brand", "bits")
     keys = sets.select("p_brand")
     both = near.union(near.select("b", "a", "dist"))
-    full = keys.toDF("a").crossJoin(keys.toDF("b")).join(both, ["a", "b"], "left").select("a", "b", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.coalesce("dist", F.lit(1.0))).alias("dist"))
+    full = pairs.grid(keys.toDF("a"), keys.toDF("b")).join(both, ["a", "b"], "left").select("a", "b", F.when(F.col("a") == F.col("b"), 0.0).otherwise(F.coalesce("dist", F.lit(1.0))).alias("dist"))
     return neighbours.nearest(rows.where("l_linenumber = 1").withColumnRenamed("id", "test_id"), rows.where("l_linenumber > 1").withColumnRenamed("id", "train_id"), full, neighbours.euclid_pairs(cells, "cell", "vec"), 3)
 
 
@@ -750,16 +805,23 @@ def read_wide_matrix(spark, d):
     return readers.matrix(spark, _wide(spark, d, "wide", "Gene, ", 64, quoteAll=True))
 
 
-@query("select pos::varchar as sample_id, vec_id::varchar as feature, pos, case when (vec_id + pos) % 11 <> 0 then embedding[pos + 1]::double end as value from embeddings, (select unnest(range(8))::int as pos)")
+@query("select pos::varchar as sample_id, vec_id::varchar as feature, pos, case when (vec_id + pos) % 11 <> 0 then embedding[pos + 1]::double end as value from embeddings, (select unnest(range(64))::int as pos)")
 def read_transposed_matrix(spark, d):
-    return readers.transposed_matrix(spark, _wide(spark, d, "transposed", "DATA.", 8, sep="\t"))
+    return readers.transposed_matrix(spark, _wide(spark, d, "transposed", "DATA.", 64, sep="\t"))
 
 
-@query("select (row_number() over (order by p_partkey) - 1) as pos, p_name as feature from part")
+@query(f"select (row_number() over (order by p_partkey) - 1) as pos, p_name as feature from part order by p_partkey limit {readers.MOST_FEATURES}")
 def read_feature_column(spark, d):
-    part = table(spark, d, "part")
-    part.select("p_name", "p_partkey").orderBy("p_partkey").coalesce(1).write.option("header", True).csv(path := fresh_path(spark, "column"), sep="\t")
-    return readers.feature_column(spark, path, part.count())
+    """One file, as its order counts, of no more features than a list can have."""
+    part = table(spark, d, "part").orderBy("p_partkey").limit(readers.MOST_FEATURES)
+    part.select("p_name", "p_partkey").coalesce(1).write.option("header", True).csv(path := fresh_path(spark, "column"), sep="\t")
+    return readers.feature_column(spark, path)
+
+
+@query("select pos, 'Gene, ' || pos as feature from (select unnest(range(max(len(embedding))))::int as pos from embeddings)")
+def read_feature_header(spark, d):
+    """The header of a matrix, whose names have commas."""
+    return readers.feature_list(spark, _wide(spark, d, "wide", "Gene, ", 64, quoteAll=True))
 
 
 @query("select 'w' || vec_id as key, embedding as vec from embeddings")
@@ -776,13 +838,14 @@ def read_parameters(spark, d):
     return readers.parameters(spark, path, multi_line=False)
 
 
-_FILED = "select 'D' || l_partkey as drug_name, 'C' || l_suppkey as cell_line, l_quantity as prediction, case l_linenumber when 1 then 'BANDRP' when 2 then 'DIPK' else 'Precily' end as method from lineitem where l_linenumber <= 3 and l_tax <> 0"
+_STANDARD = [consensus.STANDARD[k] for k in (0, 1, 2, 3, 5, 7, 8)]
+_FILED = "select 'D' || l_partkey as drug_name, 'C' || l_suppkey as cell_line, l_quantity as prediction, case l_linenumber " + " ".join(f"when {k} then '{m[0]}'" for k, m in enumerate(_STANDARD, 1)) + " end as method from lineitem where l_tax <> 0"
 
 
 def _prediction_files(spark, d) -> str:
-    """Files of three methods under their names and columns, Precily's under its second name."""
+    """A file for each method under its name and columns, Precily's under its second name."""
     rows, folder = S.predictions(spark, d), fresh_path(spark, "predictions")
-    for method, (name, file, drug, cell, values) in zip(S.METHODS, (consensus.STANDARD[k] for k in (0, 2, 8)), strict=False):
+    for method, (_, file, drug, cell, values) in zip(S.METHODS, _STANDARD, strict=True):
         rows.where(F.col("method") == method).select(F.col("drug").alias(drug), F.col("cell").alias(cell), F.col("value").alias(values[-1])).write.option("header", True).csv(f"{folder}/{file.replace('*', '.csv')}")
     return folder
 
@@ -801,6 +864,16 @@ def chunk_files(spark, d):
     return readers.chunk_files(spark, f"{path}/chunk_id=*/part-*", "s_suppkey long, s_name string")
 
 
+@query("select p_partkey, p_partkey % 6 + 1 as chunk_id, case when p_partkey % 6 < 3 then 'first' when p_partkey % 6 = 3 then 'second' else 'third' end as run from part where p_partkey % 6 < 5")
+def resume_chunks(spark, d):
+    """Three chunks; a run that goes on after them; one that is told to start at chunk 5, where nothing of chunk 6 is left."""
+    rows = table(spark, d, "part").select("p_partkey", (F.col("p_partkey") % 6 + 1).cast("int").alias("chunk_id"))
+    path = fresh_path(spark, "resumed")
+    for run, most, start in (("first", 3, 0), ("second", 6, 0), ("third", 5, 5)):
+        sinks.resume_chunks(rows.where(F.col("chunk_id") <= most).withColumn("run", F.lit(run)), path, start)
+    return spark.read.schema("p_partkey long, run string, chunk_id long").option("header", True).csv(path)
+
+
 @query("select l_orderkey, l_linenumber, l_suppkey % 4 as cell_chunk, l_partkey % 5 as drug_chunk from lineitem")
 def chunk_files_two_axes(spark, d):
     rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 4).alias("cell_chunk"), (F.col("l_partkey") % 5).alias("drug_chunk"))

@@ -126,7 +126,9 @@ def test_metrics_constants_and_concordance(spark, monkeypatch):
         monkeypatch.setattr(metrics, "BLOCK", block)
         found = {r["g"]: r["ci"] for r in metrics.concordance(table, "g").collect()}
         assert abs(found.pop("a") - wanted) < 1e-12 and found == {"b": None, "d": 1.0}
-    assert abs(metrics._tail(2.0, 10) - 0.0733880) < 1e-5
+    monkeypatch.setattr(metrics, "PAIRED", 10)  # group a by counts, the others by pairs
+    found = {r["g"]: r["ci"] for r in metrics.concordance_by_pairs(table, "g").collect()}
+    assert abs(found.pop("a") - wanted) < 1e-12 and found == {"d": 1.0}
 
 
 def test_splits_are_complete_and_disjoint(spark):
@@ -147,11 +149,34 @@ def test_numbering_and_synonyms(spark):
     assert pairs.chunk_plan(10, 0, 5) == (5, 2)
 
 
+def merged(word, merges, end="</w>"):
+    """The best pair of all is merged wherever it is, until no pair is known."""
+    ranks = {m: k for k, m in reversed(list(enumerate(merges)))}
+    parts = [*word[:-1], word[-1] + end] if word else []
+    while known := [p for p in zip(parts, parts[1:], strict=False) if p in ranks]:
+        best, out, k = min(known, key=ranks.get), [], 0
+        while k < len(parts):
+            pair = tuple(parts[k : k + 2]) == best
+            out.append("".join(best) if pair else parts[k])
+            k += 1 + pair
+        parts = out
+    return parts
+
+
 def test_subwords_and_padding(spark):
-    assert sequence.merged("lower", {("l", "o"): 0, ("lo", "w"): 1, ("e", "r</w>"): 2}) == ["low", "er</w>"]
-    assert sequence.merged("", {}) == []
-    df = spark.createDataFrame([([1, None],), ([4, 5, 6],)], "raw array<int>")
-    assert rows(df.select(C.padded(F.col("raw"), 2), C.pad_mask(F.col("raw"), 2))) == [([0, 0], [1, 0]), ([4, 5], [1, 1])]
+    # the last two pairs make a part that an earlier pair needs, and one pair is listed twice
+    merges = [("l", "o"), ("lo", "w"), ("a", "a"), ("x", "abc"), ("e", "r</w>"), ("a", "bc"), ("b", "c"), ("l", "o")]
+    r = np.random.default_rng(1)
+    words = ["lower", "", "a", "aaa", "aaaaa", "xabc", "xabcd", "lowlow", "loo</w>", "é\u20aclo", *("".join(r.choice(list("lowabcx"), 9)) for _ in range(60))]
+    found = {x["w"]: x["p"] for x in spark.createDataFrame([(w,) for w in words], "w string").select("w", sequence.merged(F.col("w"), merges).alias("p")).collect()}
+    assert found == {w: merged(w, merges) for w in words} and found["lower"] == ["low", "er</w>"] and found["xabc"] == ["x", "a", "b", "c</w>"]
+    encoded = sequence.subword_encoded(spark.createDataFrame([("low",), (None,), ("low",)], "w string"), "w", merges)
+    assert rows(encoded) == sorted([("low", ["lo", "w</w>"])] * 2 + [(None, None)], key=repr)
+    assert rows(encoded.limit(1).select(sequence.merged(F.lit("ab"), []))) == [(["a", "b</w>"],)]
+    df = spark.createDataFrame([([1, None],), ([4, 5, 6],), ([],)], "raw array<int>")
+    assert rows(df.select(C.padded(F.col("raw"), 2), C.pad_mask(F.col("raw"), 2))) == sorted([([0, 0], [1, 0]), ([4, 5], [1, 1]), ([0, 0], [0, 0])], key=repr)
+    marked = df.select(C.padded(F.col("raw"), 4, 8, 9), C.padded(F.col("raw"), 6, 8, 9, before=True), C.pad_mask(F.col("raw"), 4, 2))
+    assert rows(marked) == sorted([([8, 0, 9, 0], [0, 0, 0, 8, 0, 9], [1, 1, 1, 0]), ([8, 4, 5, 6], [0, 8, 4, 5, 6, 9], [1, 1, 1, 1]), ([8, 9, 0, 0], [0, 0, 0, 0, 8, 9], [1, 1, 0, 0])], key=repr)
     text = spark.createDataFrame([("C[NH]Cl",), ("",)], "s string")
     assert [r[0] for r in text.select(sequence.tokenised(F.col("s"))).collect()] == [["C", "[NH]", "Cl"], []]
 
@@ -184,14 +209,15 @@ def test_ingest_resumes(spark, tmp_path):
     assert out() == [(1,), (2,)]
 
 
-def test_medians_are_exact(spark, monkeypatch):
-    monkeypatch.setattr(consensus, "BLOCK", 3)
+@pytest.mark.parametrize("bins", [2, 1024])
+def test_medians_are_exact(spark, monkeypatch, bins):
+    monkeypatch.setattr(consensus, "BINS", bins)
     r = np.random.default_rng(2)
-    a, b = r.integers(0, 9, 50).astype(float).tolist(), r.normal(0, 1, 51).tolist()
-    wide = spark.createDataFrame([(x, y, None) for x, y in zip([*a, None], b, strict=True)], "A double, B double, Z double")
-    found = consensus.medians(wide, ["A", "B", "Z"]).collect()
-    assert [tuple(x) for x in found] == [(float(np.median(a)), float(np.median(b)), None)]
-    assert [tuple(x) for x in consensus.medians(wide.where("false"), ["A"]).collect()] in ([], [(None,)])
+    a, b = r.integers(0, 9, 50).astype(float).tolist(), (r.normal(0, 1, 51) * 10.0 ** r.integers(-300, 300, 51)).tolist()
+    wide = spark.createDataFrame([(x, y, None, 4.0) for x, y in zip([*a, None], b, strict=True)], "A double, B double, Z double, `C-1` double")
+    found = consensus.medians(wide.withColumnRenamed("C-1", "C"), ["A", "B", "Z", "C"]).collect()
+    assert [tuple(x) for x in found] == [(float(np.median(a)), float(np.median(b)), None, 4.0)]
+    assert [tuple(x) for x in consensus.medians(wide.where("false"), ["A"]).collect()] == [(None,)]
     assert consensus.imputed(spark.createDataFrame([("c", "d", None)], "cell_line string, drug_name string, A double"), ["A"]).collect()[0]["A"] == 0.0
 
 
@@ -202,22 +228,116 @@ def test_lingos_pad_before_elements_become_letters(spark):
     assert found[3] == found[4] == ["________"] and found[5] == ["CCCCCCCC"] * 2
 
 
-def test_nearest_equals_brute_force(spark):
+@pytest.mark.parametrize("drugs, cells, n, first, ties", [(5, 4, 40, 4, True), (30, 25, 300, 1, False), (12, 9, 60, 2, True), (3, 2, 1, 1, True)])
+def test_nearest_equals_brute_force(spark, monkeypatch, drugs, cells, n, first, ties):
+    monkeypatch.setattr(neighbours, "FIRST", first)
+    monkeypatch.setattr(neighbours, "GROWTH", 2)
     r = np.random.default_rng(4)
-    drugs, cells = 5, 4
-    dd, cd = r.integers(0, 4, (drugs, drugs)) / 4, r.integers(0, 5, (cells, cells)) / 4
+    dd, cd = (r.integers(0, 4, (drugs, drugs)) / 4, r.integers(0, 5, (cells, cells)) / 4) if ties else (r.random((drugs, drugs)), r.random((cells, cells)))
     table = lambda m: spark.createDataFrame([(a, b, float(m[a, b])) for a in range(len(m)) for b in range(len(m))], "a int, b int, dist double")
-    train = [(k, int(r.integers(drugs)), int(r.integers(cells - 1)), float(k)) for k in range(40)]
-    test = [(k, int(r.integers(drugs)), int(r.integers(cells))) for k in range(12)]
+    train = [(k // 2, int(r.integers(drugs)), int(r.integers(max(1, cells - 1))), float(k)) for k in range(n)]  # ids occur twice
+    train += [(900 + k, train[0][1], train[0][2], 0.5) for k in range(n)]  # a key with half of the rows
+    test = [(k // 2, int(r.integers(drugs)), int(r.integers(cells))) for k in range(12)]
     got = neighbours.nearest(spark.createDataFrame(test, "test_id int, drug int, cell int"), spark.createDataFrame(train, "train_id int, drug int, cell int, label double"), table(dd), table(cd), 3)
     wanted = []
     for i, d, c in test:
         for scale, top in (("local", max(cd[c, x[2]] for x in train)), ("global", cd.max())):
-            near = sorted((round(dd[d, x[1]] + (cd[c, x[2]] / top if top else 0.0), 9), x[0]) for x in train)[:3]
-            wanted += [(i, scale, n, k, float(k)) for n, (_, k) in enumerate(near, 1)]
+            near = sorted((round(dd[d, x[1]] + (cd[c, x[2]] / top if top else 0.0), 9), x[0], x[3]) for x in train)[:3]
+            wanted += [(i, scale, place, k, label) for place, (_, k, label) in enumerate(near, 1)]
     assert rows(got) == sorted(wanted, key=repr)
 
 
+def test_near_keys_are_found_by_short_lists(spark):
+    """All of a grid is trained on: the first turn is enough for every test key."""
+    near = lambda n: spark.range(n).selectExpr("cast(id as int) as a").crossJoin(spark.range(n).selectExpr("cast(id as int) as b")).selectExpr("a", "b", "abs(a - b) / 10.0D as dist")
+    train = spark.range(400).selectExpr("cast(id as int) as train_id", "cast(id / 20 as int) as drug", "cast(id % 20 as int) as cell", "1.0D as label")
+    test = train.selectExpr("train_id as test_id", "drug", "cell")
+    found = neighbours.nearest(test, train, near(20), near(20), 1)
+    assert found.where("test_id = train_id and rank = 1").count() == 800 == found.count()
+
+
+def test_tanimoto_within_equals_all_pairs(spark):
+    r = np.random.default_rng(6)
+    sets = [(k, [int(x) for x in np.flatnonzero(r.random(30) < r.choice([0.1, 0.5]))] + [99]) for k in range(60)]  # one bit that all have
+    sets += [(100 + k, sets[k][1][::-1] + sets[k][1]) for k in range(10)] + [(200, []), (201, None), (202, []), (203, [1, None])] + [(300 + k, [5, 6]) for k in range(6)]
+    df = spark.createDataFrame(sets, "k int, bits array<int>")
+    clean = [(k, {x for x in v if x is not None}) for k, v in sets if v is not None and {x for x in v if x is not None}]
+    for most in (0.0, 0.3, 0.6, 0.9):
+        wanted = [(a, b, round(1 - len(x & y) / len(x | y), 9)) for a, x in clean for b, y in clean if a < b and 1 - len(x & y) / len(x | y) <= most + 1e-12]
+        found = [(x["a"], x["b"], round(x["dist"], 9)) for x in neighbours.tanimoto_within(df, "k", "bits", most).collect()]
+        assert sorted(found) == sorted(wanted)
+    with pytest.raises(ValueError):
+        neighbours.tanimoto_within(df, "k", "bits", 1.0)
+
+
+def test_scan_of_groups_over_many_ranges(spark):
+    """A group and a value with most rows, null groups and values, and sums, least values and mean places of ties."""
+    r = np.random.default_rng(8)
+    data = [(r.choice(["hot", "hot", "hot", "a", None]), r.choice([7, 7, 7, 7, 1, 2, None]), k, int(r.integers(9)), r.choice([None, 3, 5])) for k in range(500)]
+    data = [(None if g is None else str(g), None if v is None else int(v), k, x, None if y is None else int(y)) for g, v, k, x, y in data]
+    df = spark.createDataFrame(data, "g string, v int, k int, x int, y int").repartition(7)
+    kept_n = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = pairs.scanned(df, ["g"], ["v", "k"], sums={"sx": F.col("x"), "sy": F.col("y")}, lows={"low": F.col("y")}).collect()
+        tied = pairs.scanned(df.drop("k"), ["g"], ["v"], ties=["v"]).groupBy("g", "v").agg(F.min("tie_mean").alias("low"), F.max("tie_mean").alias("high"), F.max("group_rows").alias("n")).collect()
+        whole = pairs.scanned(df, [], ["k"]).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept_n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    wanted, means = {}, {}
+    for g in ("hot", "a", None):
+        mine = sorted((x for x in data if x[0] == g), key=lambda x: (x[1] is not None, x[1] or 0, x[2]))
+        for p, row in enumerate(mine):
+            before = [x[4] for x in mine[:p] if x[4] is not None]
+            wanted[row[2]] = (p, sum(x[3] for x in mine[: p + 1]), sum(x[4] or 0 for x in mine[: p + 1]), min(before, default=None), len(mine))
+            means.setdefault((g, row[1]), []).append(p)
+    assert {x["k"]: (x["row_no"], x["sx"], x["sy"], x["low"], x["group_rows"]) for x in found} == wanted
+    assert {(x["g"], x["v"]): (x["low"], x["high"]) for x in tied} == {key: (np.mean(p), np.mean(p)) for key, p in means.items()}
+    assert [x["row_no"] for x in sorted(whole, key=lambda x: x["k"])] == list(range(500)) and {x["group_rows"] for x in whole} == {500}
+
+
+def test_ranks_and_running_statistics(spark):
+    r = np.random.default_rng(9)
+    data = [("hot" if k % 3 else "b", k, float(r.integers(4)), float(r.integers(4))) for k in range(120)] + [("c", 1, 1.0, 2.0), ("c", 2, 1.0, 3.0)]
+    df = spark.createDataFrame(data, "g string, k int, y double, f double").repartition(5)
+    frame = pd.DataFrame(data, columns=["g", "k", "y", "f"])
+    found = {x["g"]: x["spearman"] for x in metrics.spearman(df, ["g"]).collect()}
+    for g in ("hot", "b"):
+        mine = frame[frame.g == g]
+        assert abs(found[g] - np.corrcoef(mine.y.rank(), mine.f.rank())[0, 1]) < 1e-12
+    assert found["c"] is None
+    running = {(x["g"], x["idx"]): x["r"] for x in metrics.running_correlation(df, "g", "k", "y", "f", 10).collect()}
+    for (g, idx), value in running.items():
+        mine = frame[frame.g == g].sort_values("k").iloc[: idx + 1]
+        assert abs(value - np.corrcoef(mine.y, mine.f)[0, 1]) < 1e-9
+    assert len(running) == 7 + 3
+    best = {(x["g"], x["k"]) for x in metrics.running_best(df, "g", "k", "y").collect() if x["is_best"]}
+    assert best == {(g, k) for g, mine in frame.sort_values("k").groupby("g") for k, y, low in zip(mine.k, mine.y, mine.y.cummin().shift(), strict=True) if not y >= low}
+
+
+def test_p_values(spark):
+    """Against the closed form of 2 and 4 degrees of freedom, known values, and the normal tail for many pairs."""
+    from math import erfc, sqrt
+
+    cases = [(r, n) for r in (-0.9, 0.0, 1e-9, 0.3, 0.999, 1.0, None) for n in (2, 3, 4, 6, 12)] + [(0.6, 10), (0.002, 1_000_000), (0.01, 100_000)]
+    found = {(x["r"], x["n"]): x["p_value"] for x in metrics.p_values(spark.createDataFrame(cases, "r double, n long"), "r", "n").collect()}
+    for (r, n), p in found.items():
+        if r is None or n < 3:
+            assert p is None
+        elif abs(r) == 1:
+            assert p == 0
+        elif n == 4:
+            assert abs(p - (1 - abs(r))) < 1e-12
+        elif n == 6:
+            assert abs(p - (1 - 1.5 * abs(r) + abs(r) ** 3 / 2)) < 1e-12
+    assert abs(found[(0.6, 10)] - 0.06668799) < 1e-8
+    for r, n in ((0.002, 1_000_000), (0.01, 100_000)):
+        t = r * sqrt((n - 2) / (1 - r * r))
+        assert abs(found[(r, n)] - erfc(t / sqrt(2))) < 2e-5
+
+
 def test_shards_and_unscored(spark):
     df = spark.createDataFrame([(k,) for k in range(11)], "x int")
     assert {r["shard"]: r["count"] for r in pairs.shards(df, ["x"], 3).groupBy("shard").count().collect()} == {0: 3, 1: 3, 2: 5}
@@ -235,3 +355,40 @@ def test_stored_model_keeps_its_features(spark, tmp_path):
     long = wide.select("drug_name", "cell_line", F.explode(F.array(F.struct(F.lit("A").alias("method"), F.col("A").alias("prediction")), F.struct(F.lit("B").alias("method"), F.col("B").alias("prediction")), F.struct(F.lit("other").alias("method"), F.lit(1e9).alias("prediction")))).alias("r")).select("drug_name", "cell_line", "r.*")
     found = consensus.scored_by(spark, str(tmp_path / "m"), long)
     assert rows(found) == rows(model.transform(wide).select("cell_line", "drug_name", "ensemble_score"))
+    # the same forest as a table of nodes, gone down by a fold
+    consensus.save_trees(spark, consensus.tree_nodes(model), ["B", "A"], str(tmp_path / "t"))
+    by_nodes = consensus.scored_by_trees(spark, str(tmp_path / "t"), long)
+    same = {(x[0], x[1]): x[2] for x in rows(found)}
+    assert all(abs(same[(c, d)] - v) < 1e-9 for c, d, v in rows(by_nodes)) and by_nodes.count() == len(same)
+
+
+def test_feature_lists_in_another_encoding(spark, tmp_path):
+    (tmp_path / "h.csv").write_bytes("样本,基因一,G2\ns,1,2\n".encode("gbk"))
+    (tmp_path / "u.csv").write_bytes('样本,"G,1",G2\ns,1,2\n'.encode())
+    (tmp_path / "c.tsv").write_bytes("gene_symbols\tx\n基因\t1\n\nB\t2\n".encode("gbk"))
+    assert rows(readers.feature_list(spark, str(tmp_path / "h.csv"))) == [(0, "基因一"), (1, "G2")]
+    assert rows(readers.feature_list(spark, str(tmp_path / "u.csv"))) == [(0, "G,1"), (1, "G2")]
+    assert rows(readers.feature_column(spark, str(tmp_path / "c.tsv"))) == [(0, "基因"), (1, "B")]
+    with pytest.raises(ValueError):
+        readers.feature_column(spark, str(tmp_path / "c.tsv"), readers.MOST_FEATURES + 1)
+
+
+def test_resume_by_chunk_number(spark, tmp_path):
+    path = str(tmp_path / "out")
+    chunks = lambda n, run: spark.range(n * 2).selectExpr("id", "cast(id div 2 + 1 as int) as chunk_id", f"'{run}' as run")
+    read = lambda: sorted((int(x["chunk_id"]), x["run"]) for x in spark.read.option("header", True).csv(path).select("chunk_id", "run").distinct().collect())
+    assert sinks.last_chunk(spark, path) == 0
+    assert sinks.resume_chunks(chunks(2, "a"), path) == 1 and read() == [(1, "a"), (2, "a")]
+    assert sinks.resume_chunks(chunks(12, "b"), path) == 3 and sinks.last_chunk(spark, path) == 12
+    assert sinks.resume_chunks(chunks(12, "c"), path) == 13 and {r for _, r in read()} == {"a", "b"}
+    assert sinks.resume_chunks(chunks(11, "d"), path, 11) == 11 and read()[-2:] == [(10, "b"), (11, "d")]
+
+
+def test_global_file_in_one_part(spark, tmp_path, monkeypatch):
+    df = spark.range(50).selectExpr("id", "id / 3 as s").repartition(6)
+    sinks.write_global(df, str(tmp_path / "one"), "s", single=True)
+    parts = list((tmp_path / "one").glob("*.csv"))
+    assert len(parts) == 1 and len(parts[0].read_text().splitlines()) == 51
+    monkeypatch.setattr(sinks, "SINGLE_ROWS", 49)
+    with pytest.raises(ValueError):
+        sinks.write_global(df, str(tmp_path / "two"), "s", single=True)
