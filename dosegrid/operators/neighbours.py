@@ -90,38 +90,41 @@ def nearest(test: DataFrame, train: DataFrame, drug_dist: DataFrame, cell_dist:
     training drugs by distance, each cell line one of the training cell lines. A turn looks
     up the keys made of the first so many of both lists; any other key is at least as far as
     the next of one list and the first of the other, so a test key whose k-th neighbour is
-    nearer than that is done. The others go on with longer lists. Keys never meet keys but by
-    equality, and of each training key only its k first rows can be neighbours.
+    nearer than that is done. The others go on with the list, or both, whose next might still
+    be near enough made longer. Keys never meet keys but by equality, and of each training
+    key only its k first rows can be neighbours.
     """
     w = Window.partitionBy("rd", "rc").orderBy("train_id", "label")
     first = kept(train.select(F.col("drug").alias("rd"), F.col("cell").alias("rc"), "train_id", "label").withColumn("n", F.row_number().over(w)).where(F.col("n") <= k), "first_rows")
     keys = first.where("n = 1").select("rd", "rc", F.struct("train_id", "label").alias("least"))
     wanted = test.select(F.col("drug").alias("td"), F.col("cell").alias("tc")).distinct()
+    cell_dist = kept(cell_dist.toDF("a", "b", "dist"), "cell_dist")  # read twice
     drugs = kept(_ranked(drug_dist, "td", "rd", "dd", keys.select("rd").distinct()), "near_drugs")
     cells = kept(_ranked(cell_dist, "tc", "rc", "cd", keys.select("rc").distinct()), "near_cells")
     most = cell_dist.agg(F.max("dist").alias("global"))  # one row
-    tops = cells.groupBy("tc").agg(F.max("cd").alias("local"))
-    scaled = lambda cd, top: F.coalesce(F.col(cd) / F.nullif(F.col(top), F.lit(0.0)), F.lit(0.0))
-    longest = max(*(df.agg(F.max(p)).first()[0] or 0 for df, p in ((drugs, "place_dd"), (cells, "place_cd"))), 0) + 1
-    left = kept(wanted.join(tops, "tc").join(F.broadcast(most)).withColumn("scale", F.explode(F.array(F.lit("local"), F.lit("global")))).select("td", "tc", "scale", F.expr("case scale when 'local' then local else global end").alias("top")), "wanted")
-    found, size = None, FIRST
+    heads = drugs.where("place_dd = 0").select("td", F.col("dd").alias("first_dd"))
+    tops = cells.groupBy("tc").agg(F.max("cd").alias("local"), F.min("cd").alias("first_cd"))
+    scaled = lambda cd: F.coalesce(F.col(cd) / F.nullif("top", F.lit(0.0)), F.lit(0.0))
+    top = F.expr("case scale when 'local' then local else global end").alias("top")
+    left = wanted.join(heads, "td").join(tops, "tc").join(F.broadcast(most)).withColumn("scale", F.explode(F.array(F.lit("local"), F.lit("global"))))
+    left = kept(left.select("td", "tc", "scale", top, "first_dd", "first_cd", F.lit(FIRST).alias("n_dd"), F.lit(FIRST).alias("n_cd")), "wanted")
+    found, place = None, lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     while True:
-        box = left.join(drugs.where(F.col("place_dd") < size), "td").join(cells.where(F.col("place_cd") < size), "tc")
-        near = box.join(keys, ["rd", "rc"]).select("td", "tc", "scale", "rd", "rc", F.round(F.col("dd") + scaled("cd", "top"), 9).alias("d"), "least")
-        near = near.withColumn("n", F.row_number().over(Window.partitionBy("td", "tc", "scale").orderBy("d", "least"))).where(F.col("n") <= k)
-        if size >= longest:
-            found = near.drop("n", "least") if found is None else found.union(near.drop("n", "least"))
-            break
-        near = kept(near, "near")
-        next_dd = drugs.where(F.col("place_dd").isin(0, size)).groupBy("td").agg(F.min("dd").alias("first_dd"), F.max(F.when(F.col("place_dd") == size, F.col("dd"))).alias("next_dd"))
-        next_cd = cells.where(F.col("place_cd").isin(0, size)).groupBy("tc").agg(F.min("cd").alias("first_cd"), F.max(F.when(F.col("place_cd") == size, F.col("cd"))).alias("next_cd"))
+        box = left.withColumn("place_dd", place("n_dd")).join(drugs, ["td", "place_dd"]).withColumn("place_cd", place("n_cd")).join(cells, ["tc", "place_cd"])
+        near = box.join(keys, ["rd", "rc"]).select("td", "tc", "scale", "rd", "rc", F.round(F.col("dd") + scaled("cd"), 9).alias("d"), "least")
+        near = kept(near.withColumn("n", F.row_number().over(Window.partitionBy("td", "tc", "scale").orderBy("d", "least"))).where(F.col("n") <= k), "near")
+        next_dd = drugs.select("td", F.col("place_dd").alias("n_dd"), F.col("dd").alias("next_dd"))
+        next_cd = cells.select("tc", F.col("place_cd").alias("n_cd"), F.col("cd").alias("next_cd"))
         kth = near.where(F.col("n") == k).select("td", "tc", "scale", F.col("d").alias("kth"))
-        beyond = left.join(next_dd, "td").join(next_cd, "tc").withColumns({"by_drug": F.col("next_dd") + scaled("first_cd", "top"), "by_cell": F.when(F.col("next_cd").isNotNull(), F.col("first_dd") + scaled("next_cd", "top"))})
-        bound = F.coalesce(F.least("by_drug", "by_cell"), F.lit(float("inf")))
-        judged = kept(beyond.join(kth, ["td", "tc", "scale"], "left").select("td", "tc", "scale", "top", F.coalesce(F.col("kth") < bound - 2e-9, F.col("next_dd").isNull() & F.col("next_cd").isNull()).alias("done")), "judged")
-        done = near.join(judged.where("done"), ["td", "tc", "scale"], "left_semi").drop("n", "least")
+        judged = left.join(next_dd, ["td", "n_dd"], "left").join(next_cd, ["tc", "n_cd"], "left").join(kth, ["td", "tc", "scale"], "left")
+        near_enough = lambda bound: bound.isNotNull() & F.coalesce(bound - 2e-9 <= F.col("kth"), F.lit(True))
+        by_cell = F.when(F.col("next_cd").isNotNull(), F.col("first_dd") + scaled("next_cd"))
+        judged = judged.withColumns({"more_dd": near_enough(F.col("next_dd") + scaled("first_cd")), "more_cd": near_enough(by_cell)})
+        longer = lambda n: F.when(F.col(f"more_{n[2:]}"), F.col(n) * GROWTH).otherwise(F.col(n)).alias(n)
+        judged = kept(judged.select("td", "tc", "scale", "top", "first_dd", "first_cd", longer("n_dd"), longer("n_cd"), (F.col("more_dd") | F.col("more_cd")).alias("more")), "judged")
+        done = near.join(judged.where("not more"), ["td", "tc", "scale"], "left_semi").drop("n", "least")
         found = done if found is None else found.union(done)
-        left, size = judged.where("not done").drop("done"), size * GROWTH
+        left = judged.where("more").drop("more")
         if not left.limit(1).count():
             break
     order = Window.partitionBy("td", "tc", "scale").orderBy("d", "train_id", "label")
