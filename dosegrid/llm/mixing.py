@@ -6,23 +6,25 @@ and a few shape statistics go into a softmax regression. Both are fitted on the
 labelled rows that come first in an order by hash, SAMPLE at most.
 
 Each document's rate is a nonnegative number; domain k's expected tokens are the sum of
-tokens x posterior x rate. Rates minimise the squared misses of the domains' targets,
-relative to the domain's tokens, by projected gradient steps with Nesterov's momentum
-from a rate of one: a document's rate moves against posterior x gradient and is cut to
-0 and MOST. So the rate after some steps follows from the document's own
-posterior and the gradients so far, which are DOMAINS numbers each: no state is kept
-between steps, and each gradient is one aggregate over all documents. Steps end when
-every domain is within CLOSE of its target, as a share of all tokens, when they gain no
-more, or after STEPS of them; the fit says what is still missed.
+tokens x posterior x rate. Rates minimise the squared misses of the domains' targets and,
+with a weight of RIDGE only, what they are away from one, by projected gradient steps with
+lazy projection: a document's rate is one minus its posterior x the sum of all steps so far,
+cut to zero. So a rate follows from the document's own posterior and DOMAINS numbers: no
+state is kept between steps. The gradient, and the matrix of rates above zero by which it
+is scaled, are aggregates over all documents; each pass tries several lengths of the step
+and the best one is taken, so the squared misses only fall. Steps end when every domain is
+within CLOSE of its target, as a share of all tokens, or when no length gains any more; the
+fit says what is still missed. Rates have no upper limit unless `most` gives one.
 
 Targets are shares of the mixture. The domain with the largest target keeps its
 expected tokens and sets the total. Others go up or down to their targets: a rate over
 one means that a document is to be repeated. A target of a domain that no document can
-belong to cannot be met and stays a miss.
+belong to cannot be met and stays a miss; the others are met as well as can be.
 
 Null texts are empty and have no tokens. Null ids, labels out of range and unlabelled
-rows are fine; of repeated labels the largest counts. Without labelled rows all
-posteriors are equal, and only equal targets can be met. Rows are never merged.
+rows are fine; of repeated labels the largest counts, and of rows with one id the
+classifier reads each different text once. Without labelled rows all posteriors are
+equal, and only equal targets can be met. Rows are never merged.
 """
 
 from __future__ import annotations
@@ -40,10 +42,10 @@ from dosegrid.llm import common
 DOMAINS = ("poor", "poor_toxic", "good", "good_toxic")  # 2 x quality + toxic
 TARGETS = (0.05, 0.005, 0.93, 0.015)
 BUCKETS, SAMPLE = 1 << 16, 20_000
-#: Repetitions of a document at most; steps at most; misses that end the steps, as shares of all tokens.
-MOST, STEPS, CLOSE = 4.0, 60, 1e-3
-#: Steps end too when so many of them have lowered the largest miss by less than this share of it.
-STILL, GAIN = 10, 0.05
+#: Weight of the rates' distance from one against that of the misses; misses that end the steps, as shares of all tokens; steps after which a fit that still gains is given up.
+RIDGE, CLOSE, STEPS = 1e-9, 1e-4, 200
+#: Lengths of a step that are tried in one pass, and what a step has to gain, as a share.
+LENGTHS, GAIN = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01), 1e-9
 _UPPER, _SYMBOL = np.zeros(256, bool), np.isin(np.arange(256), list(b"#*$%&|<>!"))
 _UPPER[65:91] = True
 _LOWERED = np.arange(256, dtype=np.uint8)
@@ -83,11 +85,11 @@ def domain_of(quality: Column, toxic: Column) -> Column:
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, text: str, key: str) -> DataFrame:
-    """(text, domain) of SAMPLE keys at most: those first by hash among labelled keys that docs have. Only keys are shuffled, and only the SAMPLE chosen are broadcast."""
+    """(text, domain) of SAMPLE rows at most: those first by hash of id and text among the different texts of labelled ids. Only keys and hashes are shuffled, and only the SAMPLE chosen are broadcast."""
     domains = labels.select(F.col(key).alias("_key"), domain_of(F.col("quality"), F.col("toxic")).alias("domain")).where("domain is not null").groupBy("_key").agg(F.max("domain").alias("domain"))
-    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
-    chosen = domains.join(rows.select("_key").hint("merge"), "_key", "left_semi").orderBy(F.xxhash64("_key"), "_key").limit(SAMPLE)
-    return rows.join(F.broadcast(chosen), "_key").select("_text", "domain")
+    rows = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_hash"))
+    chosen = rows.select("_key", "_hash").distinct().join(domains, "_key").orderBy(F.xxhash64("_key"), "_key", "_hash").limit(SAMPLE)
+    return rows.join(F.broadcast(chosen), ["_key", "_hash"]).dropDuplicates(["_key", "_hash"]).select("_text", "domain")
 
 
 def _evidence(labelled: DataFrame) -> np.ndarray:
@@ -169,13 +171,9 @@ def posteriors(docs: DataFrame, labels: DataFrame, text: str = "text", key: str
     return common.in_arrow(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), look, f"_key {docs.schema[key].dataType.simpleString()}, n_tokens bigint, posterior array<double>")
 
 
-def rates_of(posterior: np.ndarray, gradients: Sequence[np.ndarray], ahead: bool = False) -> np.ndarray:
-    """Rates of documents (rows of posterior) after all steps so far, from a rate of one: each step goes from a point ahead of the last two rates, against posterior x gradient, and is cut to 0 and MOST. ahead: that point for the next step."""
-    rate = point = np.ones(len(posterior))
-    for k, g in enumerate(gradients):
-        new = np.clip(point - posterior @ g, 0, MOST)
-        point, rate = new + (k / (k + 3)) * (new - rate), new
-    return point if ahead else rate
+def rates_of(posterior: np.ndarray, steps: np.ndarray, most: float | None = None) -> np.ndarray:
+    """Rates of documents (rows of posterior) after steps of that sum."""
+    return np.clip(1 - posterior @ steps, 0, most)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -184,9 +182,9 @@ def matrix(column: pa.Array) -> np.ndarray:
 
 @dataclass
 class Fitted:
-    """gradients: what rates follow from; of each domain the tokens wanted and those expected at the fitted rates."""
+    """steps: the sum of all steps, from which rates follow; of each domain the tokens wanted and those expected at the fitted rates."""
 
-    gradients: list[np.ndarray]
+    steps: np.ndarray
     wanted: np.ndarray
     expected: np.ndarray
 
@@ -195,49 +193,62 @@ class Fitted:
         return float(abs(self.expected - self.wanted).max() / max(self.wanted.sum(), 1e-9))
 
 
-def fitted(scored: DataFrame, targets: Sequence[float]) -> Fitted:
+def fitted(scored: DataFrame, targets: Sequence[float], most: float | None = None) -> Fitted:
     """Projected gradient over (n_tokens, posterior) rows."""
     k = len(targets)
 
-    def sums(gradients: list[np.ndarray]) -> np.ndarray:
-        """Expected tokens of the domains at the rates, and at the points from which the next step goes."""
+    def sums(tried: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """For each sum of steps: the rates' part of the objective, expected tokens of the domains, and tokens x posterior x posterior of rates that are not cut."""
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros((2, k))
+            total = np.zeros((len(tried), 1 + k + k * k))
             for batch in batches:
                 p, n = matrix(batch.column(1)), batch.column(0).to_numpy().astype(float)
-                total += [(n * rates_of(p, gradients, ahead)) @ p for ahead in (False, True)]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(2 * k)), pa.array(total.ravel())], names=["i", "x"])
+                for row, steps in zip(total, tried, strict=True):
+                    free = 1 - p @ steps
+                    rate = rates_of(p, steps, most)
+                    row[0] += (n * rate * (free - rate / 2)).sum()
+                    row[1 : 1 + k] += (n * rate) @ p
+                    row[1 + k :] += ((p * (n * (rate == free))[:, None]).T @ p).ravel()
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["i", "x"])
 
         rows = common.in_arrow(scored.select("n_tokens", "posterior"), add, "i bigint, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-        out = np.zeros(2 * k)
+        out = np.zeros(len(tried) * (1 + k + k * k))
         for r in rows:
             out[r["i"]] = r["x"]
-        return out.reshape(2, k)
+        return [(float(row[0]), row[1 : 1 + k], row[1 + k :].reshape(k, k)) for row in out.reshape(len(tried), -1)]
 
     share = np.array(targets, float) / sum(targets)
-    have = point = sums([])[0]
+    at, (base, have, curve) = np.zeros(k), sums([np.zeros(k)])[0]
     main = int(share.argmax())
-    out = Fitted([], share * have[main] / share[main], have)
-    misses = [out.missed()]
-    while misses[-1] > CLOSE and len(out.gradients) < STEPS:
-        gradients = [*out.gradients, (point - out.wanted) / np.maximum(have, 1e-9)]
-        now, point = sums(gradients)
-        out = Fitted(gradients, out.wanted, now)
-        misses.append(out.missed())
-        if len(misses) > STILL and min(misses[-STILL:]) > (1 - GAIN) * min(misses[:-STILL]):
+    out = Fitted(at, share * have[main] / share[main], have)
+    ridge = RIDGE * max(out.wanted.sum(), 1e-9)
+    objective = lambda part, steps: part + out.wanted @ steps + ridge / 2 * steps @ steps
+    best = objective(base, at)
+    for _ in range(STEPS):
+        if out.missed() <= CLOSE:
             break
+        gradient = have - out.wanted - ridge * at
+        step = np.linalg.solve(curve + ridge * np.eye(k), gradient)
+        tried = [at + length * step for length in LENGTHS]
+        found = sums(tried)
+        values = [objective(f[0], steps) for f, steps in zip(found, tried, strict=True)]
+        i = int(np.argmin(values))
+        if best - values[i] <= GAIN * abs(best):
+            break
+        best, at, (_, have, curve) = values[i], tried[i], found[i]
+        out = Fitted(at, out.wanted, have)
     return out
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, Fitted]:
-    """(key, n_tokens, posterior, rate) of every row, and the fit."""
+def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, text: str = "text", key: str = "doc_id", most: float | None = None) -> tuple[DataFrame, Fitted]:
+    """(key, n_tokens, posterior, rate) of every row, and the fit. most: the largest rate allowed."""
     scored = common.kept(posteriors(docs, labels, text, key), "mixing_posteriors")
-    fit = fitted(scored, targets)
+    fit = fitted(scored, targets, most)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates_of(matrix(batch.column(2)), fit.gradients))], names=[*batch.schema.names, "rate"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates_of(matrix(batch.column(2)), fit.steps, most))], names=[*batch.schema.names, "rate"])
 
     schema = f"_key {docs.schema[key].dataType.simpleString()}, n_tokens bigint, posterior array<double>, rate double"
     return common.in_arrow(scored, rate, schema).withColumnRenamed("_key", key), fit

@@ -540,6 +540,29 @@ def test_lm_beats_word_counts_on_held_out_texts(spark):
     assert held[0] > held[1]
 
 
+def test_mixing_of_repeated_ids_reads_each_text_once(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SAMPLE", 7)
+    rows = [(1, f"text {k % 5}") for k in range(1000)] + [(2, "other"), (2, None), (2, ""), (None, "x"), (3, "unlabelled")]
+    labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (1, None, 0), (2, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+    found = mixing.labelled_rows(spark.createDataFrame(rows, "doc_id long, text string").repartition(9), labels, "text", "doc_id").collect()
+    assert sorted((x["_text"] or "", x["domain"]) for x in found) == sorted([*((f"text {k}", 2) for k in range(5)), ("other", 1), ("", 1)])
+    assert mixing.labelled_rows(spark.createDataFrame(rows, "doc_id long, text string"), labels.union(labels), "text", "doc_id").count() == 7
+
+
+def test_mixing_rates_are_nearest_to_one(spark):
+    """Against projected gradient steps on all rates at once, with small steps and many of them."""
+    r = np.random.default_rng(5)
+    p = r.dirichlet([0.3] * 4, 60)
+    n = r.integers(0, 50, 60).astype(float)
+    df = spark.createDataFrame([(int(k), [float(x) for x in row]) for k, row in zip(n, p, strict=True)], "n_tokens long, posterior array<double>").repartition(4)
+    fit = mixing.fitted(df, (0.3, 0.3, 0.3, 0.1))
+    dual = np.zeros(4)
+    for _ in range(40_000):
+        dual += 0.02 * ((n * np.maximum(0, 1 - p @ dual)) @ p - fit.wanted) / n.sum()
+    assert fit.missed() <= mixing.CLOSE
+    assert abs(mixing.rates_of(p, fit.steps) - np.maximum(0, 1 - p @ dual)).max() < 0.02
+
+
 def test_mixing_meets_targets(spark, docs, empty):
     r = random.Random(2)
     rows, labels = [], []
@@ -555,7 +578,11 @@ def test_mixing_meets_targets(spark, docs, empty):
     made, fit = mixing.mixed(df, lab, (0.05, 0.0, 0.93, 0.02))
     out = made.collect()
     have = [sum(x["n_tokens"] * x["posterior"][d] * x["rate"] for x in out) for d in range(4)]
-    assert all(0 <= x["rate"] <= mixing.MOST and abs(sum(x["posterior"]) - 1) < 1e-9 for x in out)
+    assert all(0 <= x["rate"] and abs(sum(x["posterior"]) - 1) < 1e-9 for x in out)
+    assert fit.missed() <= mixing.CLOSE
+    limited, bounded = mixing.mixed(df, lab, (0.05, 0.0, 0.6, 0.35), most=1.5)
+    assert bounded.missed() > mixing.CLOSE and 1.49 < max(x["rate"] for x in limited.collect()) <= 1.5  # out of reach under the limit
+    assert mixing.mixed(df, lab, (0.05, 0.0, 0.6, 0.35))[1].missed() <= mixing.CLOSE
     assert have == pytest.approx(fit.expected.tolist()) and fit.missed() == pytest.approx(max(abs(np.array(have) - fit.wanted)) / fit.wanted.sum())
     assert abs(have[0] / sum(have) - 0.05) < 0.01 and abs(have[3] / sum(have) - 0.02) < 0.01
     assert mixing.mixed(docs, lab)[0].count() == docs.count() and mixing.mixed(empty, lab)[0].count() == 0

@@ -202,6 +202,7 @@ def test_soft_mixing(run):
     have = np.array([sum(r["n_tokens"] * r["rate"] * r[f"p_{d}"] for r in rows) for d in ("poor", "poor_toxic", "good", "good_toxic")])
     full = sum(r["n_tokens"] * r["p_good"] for r in rows) / 0.93
     assert max(abs(have / full - [0.05, 0.005, 0.93, 0.015])) == pytest.approx(rows[0]["missed"], abs=1e-9)
+    assert rows[0]["missed"] <= 1e-3
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
