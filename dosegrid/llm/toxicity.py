@@ -13,13 +13,15 @@ knows are joined to the distinct words of each text. Both ways give equal result
 Scoring. Each token scores its log-odds, or -DRIFT if it is in no unit. A linear scan
 finds all maximal-scoring segments. A segment of score S in a text of n tokens has
 E = n exp(-l S) chance equals, l solving sum p(s) exp(l s) = 1 over the clean tokens.
-Segments with E under SIGNIFICANT are toxic passages. -ln of the smallest E, rounded,
-and the number of passages, up to MANY, are mapped to a probability by a logistic fit
-on the training documents, which come as a table of these two numbers.
+Segments with E under SIGNIFICANT are toxic passages. -ln of the smallest E and the
+number of passages, both rounded (see `rounded`), are mapped to a probability by a logistic
+fit on the training documents, which come as a table of these two numbers.
 
 Null and empty texts have no tokens and no passages; their score is that of such
 texts. Texts of any length are scanned whole. Null labels and ids are left out of
-training; of repeated labels of an id the largest counts. Rows are never merged.
+training; of repeated labels of an id the largest counts. Training rows with one text and
+one label, under one id or several, count once, so that a large group of copies is one
+witness; texts that share an id count each. Rows are never merged in scoring.
 Without both classes every score is the share of toxic labels, or 0. Columns named
 like a result are replaced.
 """
@@ -44,7 +46,7 @@ FRONTS = (3, 4, 5, 6)
 PRIOR, EVIDENCE, LEAST_ODDS = 2.0, 10.0, 1.0
 #: Units that are broadcast; a larger model is joined.
 UNITS = 100_000
-DRIFT, SIGNIFICANT, MANY = 0.1, 0.05, 100
+DRIFT, SIGNIFICANT, WHOLE = 0.1, 0.05, 100
 #: Entries of a worker's tables of words before they are written out or forgotten.
 HELD = 300_000
 _WORD = re.compile(r"[^\W_]+")
@@ -83,6 +85,11 @@ def maximal_segments(places: list[int], scores: list[float], drift: float) -> li
     return [(a, b, high - low) for a, b, low, high in found]
 
 
+def rounded(x: float) -> float:
+    """A whole number, and over WHOLE one of steps of some 2 %: so many values that a table of them is small, but no cut."""
+    return float(round(x)) if x <= WHOLE else math.exp(round(math.log(x) * 50) / 50)
+
+
 def log_odds(counts: list[tuple[int, int] | None], share: float) -> float | None:
     """Of a word, by the toxic and clean documents of its units in the model, shortest first (None: not in it)."""
     theta, known = share, False
@@ -133,8 +140,8 @@ class Scorer:
             return [], 0.0
         best, passages = 0.0, []
         for a, b, s in maximal_segments(places, [scores[i] for i in places], DRIFT):
+            best = max(best, self.rate * s - math.log(len(words)))
             e = len(words) * math.exp(-self.rate * s)
-            best = max(best, -math.log(max(e, 1e-300)))
             if e < SIGNIFICANT:
                 passages.append((a, b, s, e))
         if passages:
@@ -142,11 +149,11 @@ class Scorer:
             spans = [m.span() for m in _WORD.finditer(text if len(lowered) == len(text) else lowered)]
             if len(spans) == len(words):
                 passages = [(spans[a][0], spans[b][1], s, e) for a, b, s, e in passages]
-        return passages, min(best, 100.0)
+        return passages, best
 
     def probability(self, evidence: float, passages: int) -> float:
-        """Of a text with these; like the fit, it sees rounded and cut values."""
-        z = self.shape[0] + self.shape[1] * round(evidence) + self.shape[2] * math.log1p(min(passages, MANY))
+        """Of a text with these; like the fit, it sees rounded values."""
+        z = self.shape[0] + self.shape[1] * rounded(evidence) + self.shape[2] * math.log1p(rounded(passages))
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
@@ -179,10 +186,10 @@ def _rate(chances: list[tuple[float, float]]) -> float:
 def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "toxic") -> Model:
     """The model of labelled documents; docs and labels hold the training rows only."""
     answers = labels.where(F.col(label).isin(0, 1)).groupBy(F.col(key).alias("_key")).agg(F.max(label).alias("_label"))
-    training = docs.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text"))
-    copies = training.select("_key", F.sha2("_text", 256).alias("_copy")).join(answers, "_key")
-    chosen = copies.groupBy("_copy", "_label").agg(F.min("_key").alias("_key")).select("_key", "_label")
-    training = common.kept(training.join(chosen, "_key").select("_text", "_label"), "toxic_training")
+    training = docs.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text")).withColumn("_copy", F.sha2("_text", 256))
+    # keys and digests are matched first; of the texts only the chosen ones move
+    chosen = training.select("_key", "_copy").distinct().join(answers, "_key").groupBy("_copy", "_label").agg(F.min("_key").alias("_key"))
+    training = common.kept(training.join(chosen, ["_key", "_copy"]).dropDuplicates(["_copy", "_label"]).select("_text", "_label"), "toxic_training")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
@@ -285,13 +292,13 @@ def looked_at(df: DataFrame, model: Model, text: str, into: T.StructType, look:
 
 
 def _fit(training: DataFrame, model: Model) -> tuple[float, float, float]:
-    """Logistic fit of labels on evidence and passages; both are rounded and cut, so the driver gets a bounded table."""
+    """Logistic fit of labels on evidence and passages; both are rounded, so the driver gets a small table."""
 
     def look(scorer: Scorer, texts: list[str | None]) -> list[list]:
         found = [scorer.segments(b or "") for b in texts]
-        return [[float(round(e)) for _, e in found], [min(len(p), MANY) for p, _ in found]]
+        return [[rounded(e) for _, e in found], [rounded(len(p)) for p, _ in found]]
 
-    into = T.StructType([T.StructField("e", T.DoubleType()), T.StructField("p", T.LongType())])
+    into = T.StructType([T.StructField("e", T.DoubleType()), T.StructField("p", T.DoubleType())])
     bins = looked_at(training, model, "_text", into, look).groupBy("e", "p", F.col("_label").alias("y")).count().collect()
     x = np.array([[1.0, r["e"] / 10, math.log1p(r["p"])] for r in bins])
     y, n = np.array([r["y"] for r in bins], float), np.array([r["count"] for r in bins], float)

@@ -418,6 +418,93 @@ def few_steps(monkeypatch):
     monkeypatch.setattr(lm, "LEAST_STEPS", 40)
 
 
+def plain_toxicity(rows, labels, tested):
+    """Toxicity of tested texts by the definition, in plain Python: a table of units, its model, the chance rate, segments and the logistic fit."""
+    words = lambda t: re.findall(r"[^\W_]+", (t or "").lower())
+    label = {}
+    for k, y in labels:
+        if k is not None and y in (0, 1):
+            label[k] = max(y, label.get(k, 0))
+    training = sorted({(t or "", label[k]) for k, t in rows if k in label})
+    units = {}
+    for t, y in training:
+        for u in {u for w in words(t) for u in toxicity.units_of(w)}:
+            units.setdefault(u, [0, 0])[1 - y] += 1
+    n1, n0 = sum(y for _, y in training), sum(1 - y for _, y in training)
+    share, clean_tokens = n1 / (n1 + n0), sum(len(words(t)) for t, y in training if not y)
+
+    def strong(u):
+        a, b = units[u]
+        part = lambda k, of: k * math.log(k / ((a + b) * of)) if k else 0.0
+        odds = math.log((a + toxicity.PRIOR * share) / (b + toxicity.PRIOR * (1 - share)) * (1 - share) / share)
+        return 2 * (part(a, share) + part(b, 1 - share)) > toxicity.EVIDENCE and odds > toxicity.LEAST_ODDS
+
+    model = {u: units[u] for u in units if strong(u)}
+    fronts = lambda u: [u[:n] + "*" for n in toxicity.FRONTS if n < len(u.rstrip("*"))]
+    model |= {u: units[u] for u in units if not u.endswith("*") and units[u][1] and any(f in model for f in fronts(u))}
+
+    def odds(theta):
+        return math.log(theta / (1 - theta) * (1 - share) / share)
+
+    def score(w):
+        theta, known = share, False
+        for u in toxicity.units_of(w):
+            if u in model:
+                theta, known = (model[u][0] + toxicity.PRIOR * theta) / (sum(model[u]) + toxicity.PRIOR), True
+        return odds(theta) if known else None
+
+    chances = [(round(odds((a + toxicity.PRIOR * share) / (a + b + toxicity.PRIOR)), 3), (b + 0.5) / clean_tokens) for u, (a, b) in model.items() if not any(f in model for f in fronts(u))]
+    above = [(s, q) for s, q in chances if s > 0]
+    excess = lambda x: (1 - sum(q for _, q in above)) * math.exp(-toxicity.DRIFT * x) + sum(q * math.exp(x * s) for s, q in above) - 1
+    low, high = 0.0, 64.0
+    for _ in range(200):
+        low, high = ((low + high) / 2, high) if excess((low + high) / 2) < 0 else (low, (low + high) / 2)
+    rate = max(low, 0.2)
+
+    def evidence(t):
+        """-ln of the smallest E, and passages, from all segments that are the best of their surroundings."""
+        each = [score(w) for w in words(t)]
+        each = [-toxicity.DRIFT if s is None else s for s in each]
+
+        def split(a, b):  # the best run, and the same to the left and right of it
+            best = max(((sum(each[i:j]), -i, -(j - i)) for i in range(a, b) for j in range(i + 1, b + 1)), default=(0, 0, 0))
+            if best[0] <= 0:
+                return []
+            i, j = -best[1], -best[1] - best[2]
+            return [best[0], *split(a, i), *split(j, b)]
+
+        found = split(0, len(each))
+        e = [len(each) * math.exp(-rate * s) for s in found]
+        return max([rate * s - math.log(len(each)) for s in found] + [0.0]), sum(x < toxicity.SIGNIFICANT for x in e)
+
+    whole = lambda x: round(x) if x <= toxicity.WHOLE else math.exp(round(math.log(x) * 50) / 50)
+    x_of = lambda t: np.array([1.0, whole(evidence(t)[0]) / 10, math.log1p(whole(evidence(t)[1]))])
+    x, y = np.array([x_of(t) for t, _ in training]), np.array([y for _, y in training], float)
+    w = np.zeros(3)
+    for _ in range(4000):  # small steps to the same optimum
+        q = 1 / (1 + np.exp(-x @ w))
+        hess = (x.T * (q * (1 - q))) @ x + np.diag([1e-6, 1, 1])
+        w += 0.3 * np.linalg.solve(hess, x.T @ (y - q) - np.array([1e-6, 1, 1]) * w)
+    return [1 / (1 + math.exp(-float(x_of(t) @ w))) for t in tested]
+
+
+def test_toxicity_equals_the_definition(spark):
+    r = random.Random(8)
+    plain = ["gentle", "river", "stone", "house", "vexation", "walking", "morning"]
+    bad = ["vexgrim", "vexgrum", "zorkbad"]
+    text = lambda toxic: " ".join(r.choice(bad) if toxic and r.random() < 0.4 else r.choice(plain) for _ in range(r.randint(3, 18)))
+    rows = [(k, text(k % 3 == 0)) for k in range(40)] + [(3, "vexgrim again"), (3, "vexgrim again"), (3, "third text of one id"), (7, None), (41, ""), (None, "vexgrim"), (60, rows_text := "gentle vexgrim zorkbad river"), (63, rows_text)]
+    labels = [(k, int(k % 3 == 0)) for k in range(64)] + [(3, 0), (4, None), (None, 1), (5, 7)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    model = toxicity.learn(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    tested = [t for _, t in rows] + ["vexgrim " * 400, "unseen words", "VEXGRIM zorkbad!", "vex " + "gentle " * 30 + "zorkbad vexgrum vexgrim"]
+    found = {x["k"]: x["toxicity"] for x in toxicity.scored(spark.createDataFrame(list(enumerate(tested)), "k int, text string"), model).collect()}
+    short = [k for k, t in enumerate(tested) if len((t or "").split()) < 60]
+    wanted = plain_toxicity(rows, labels, [tested[k] for k in short])
+    assert [found[k] for k in short] == pytest.approx(wanted, abs=1e-4)
+    assert found[len(rows)] > 0.9  # evidence of a long text has no ceiling
+
+
 def test_lm_base_scores(spark, docs, empty, few_steps):
     path = tokens.default_path()
     train = spark.createDataFrame([(k, prose(50, 7000 + k)) for k in range(60)], "doc_id long, text string")
@@ -600,13 +687,17 @@ def test_rates_equal_dense_projected_gradient(spark):
     fit = mixing.fitted(scored, (0.05, 0.005, 0.9, 0.045))
     have = n @ p
     wanted = np.array([0.05, 0.005, 0.9, 0.045]) * have[2] / 0.9
-    rate = point = np.ones(200)
-    for k in range(len(fit.gradients)):
-        g = ((n * point) @ p - wanted) / have
-        assert fit.gradients[k] == pytest.approx(g)
-        new = np.clip(point - p @ g, 0, mixing.MOST)
-        point, rate = new + k / (k + 3) * (new - rate), new
-    assert mixing.rates_of(p, fit.gradients) == pytest.approx(rate) and fit.expected == pytest.approx((n * rate) @ p)
+    at, ridge = np.zeros(4), mixing.RIDGE * wanted.sum()
+    value = lambda t: (n * np.maximum(0, 1 - p @ t) ** 2).sum() / 2 + wanted @ t + ridge / 2 * t @ t
+    while True:
+        rate = np.maximum(0, 1 - p @ at)
+        missed = (n * rate) @ p - wanted
+        if abs(missed).max() <= mixing.CLOSE * wanted.sum():
+            break
+        active = n * (rate > 0)
+        step = np.linalg.solve((p.T * active) @ p + ridge * np.eye(4), missed - ridge * at)
+        at = min((at + length * step for length in mixing.LENGTHS), key=value)
+    assert mixing.rates_of(p, fit.steps) == pytest.approx(rate) and fit.expected == pytest.approx((n * rate) @ p)
     assert fit.missed() < 2 * mixing.CLOSE
     absent = scored.select("_key", "n_tokens", F.transform("posterior", lambda x, i: F.when(i == 2, 1.0).otherwise(0.0)).alias("posterior"))
     assert mixing.fitted(absent, (0.1, 0.0, 0.9, 0.0)).missed() > 0.05  # nothing can be of the first domain, and that is told
