@@ -9,18 +9,24 @@ from pyspark.sql import functions as F
 
 from dosegrid.functions.columns import split_order
 from dosegrid.operators.pairs import numbered
+from dosegrid.sources.shared import kept
 
 #: Rows of one hash prefix that are looked at one by one.
 FEW = 1000
 
 
-def _cut(df: DataFrame, order: Column, key: Column, k: int) -> Column:
-    """Whether a row is among the first k by (order, key). The cut is found from counts by hash prefix, of which there are 65,536 at a time, and then within one prefix."""
+def _keys(df: DataFrame, order: Column, key: Column, *others: str) -> DataFrame:
+    """(o, k, others): the order and the key's text of all rows, kept, since a cut reads them several times."""
+    return kept(df.select(order.alias("o"), key.cast("string").alias("k"), *others), "split_keys")
+
+
+def _cut(keys: DataFrame, order: Column, key: Column, k: int) -> Column:
+    """Whether a row is among the first k by (order, key) of the keys (o, k). The cut is found from counts by hash prefix, of which there are 65,536 at a time, and then within one prefix."""
     if k <= 0:
         return F.lit(False)
     prefix, before, n = "", 0, None
     while n is None or n > FEW and len(prefix) < 32:
-        counts = df.where(order.startswith(prefix)).groupBy(F.substring(order, 1, len(prefix) + 4).alias("p")).count().orderBy("p").collect()
+        counts = keys.where(F.col("o").startswith(prefix)).groupBy(F.substring("o", 1, len(prefix) + 4).alias("p")).count().orderBy("p").collect()
         for r in counts:
             if before + r["count"] >= k:
                 prefix, n = r["p"], r["count"]
@@ -28,15 +34,15 @@ def _cut(df: DataFrame, order: Column, key: Column, k: int) -> Column:
             before += r["count"]
         else:
             return F.lit(True)
-    text = key.cast("string")
-    last = df.where(order.startswith(prefix)).select(order.alias("o"), text.alias("k")).orderBy("o", "k").limit(k - before).collect()[-1]
-    return (order < last["o"]) | ((order == last["o"]) & (text <= last["k"]))
+    last = keys.where(F.col("o").startswith(prefix)).orderBy("o", "k").limit(k - before).collect()[-1]
+    return (order < last["o"]) | ((order == last["o"]) & (key.cast("string") <= last["k"]))
 
 
 def random_split(df: DataFrame, key: str, ratio: float, seed: str) -> DataFrame:
     """Column split: 'test' for ceil(ratio x n) rows, else 'train'; key is unique."""
-    n = df.count()
-    return df.withColumn("split", F.when(_cut(df, split_order(F.col(key), seed), F.col(key), math.ceil(round(ratio * n, 9))), "test").otherwise("train"))
+    order = split_order(F.col(key), seed)
+    keys = _keys(df, order, F.col(key))
+    return df.withColumn("split", F.when(_cut(keys, order, F.col(key), math.ceil(round(ratio * keys.count(), 9))), "test").otherwise("train"))
 
 
 def split_by_key(df: DataFrame, column: str, ratio: float, seed: str) -> DataFrame:
@@ -65,21 +71,22 @@ def leave_out(df: DataFrame, column: str, folds: int = 5) -> DataFrame:
 
 def stratified(df: DataFrame, key: str, label: str, ratio: float, seed: str) -> DataFrame:
     """A random split in each class; classes are few, each is cut by its own hash bound."""
-    counts = {r[label]: r["count"] for r in df.groupBy(label).count().collect()}
     order, split = split_order(F.col(key), seed), F.lit("train")
-    for value, n in counts.items():
+    keys = _keys(df, order, F.col(key), label)
+    for value, n in {r[label]: r["count"] for r in keys.groupBy(label).count().collect()}.items():
         mine = F.col(label).eqNullSafe(F.lit(value))
-        split = F.when(mine & _cut(df.where(mine), order, F.col(key), math.ceil(round(ratio * n, 9))), "test").otherwise(split)
+        split = F.when(mine & _cut(keys.where(mine), order, F.col(key), math.ceil(round(ratio * n, 9))), "test").otherwise(split)
     return df.withColumn("split", split)
 
 
 def balanced(df: DataFrame, key: str, label: str, ratio: float, seed: str) -> DataFrame:
     """Classes 0 and 1 cut down to the smaller one's size, then split in each class; empty if a class is."""
-    counts = {r[label]: r["count"] for r in df.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
-    least = min(counts.get(0, 0), counts.get(1, 0))
     order = split_order(F.col(key), f"{seed}-balance")
-    kept = F.lit(False)
+    keys = _keys(df.where(F.col(label).isin(0, 1)), order, F.col(key), label)
+    counts = {r[label]: r["count"] for r in keys.groupBy(label).count().collect()}
+    least = min(counts.get(0, 0), counts.get(1, 0))
+    chosen = F.lit(False)
     for value in (0, 1):
         mine = F.col(label) == value
-        kept = kept | (mine & _cut(df.where(mine), order, F.col(key), least))
-    return stratified(df.where(kept), key, label, ratio, seed)
+        chosen = chosen | (mine & _cut(keys.where(mine), order, F.col(key), least))
+    return stratified(df.where(chosen), key, label, ratio, seed)

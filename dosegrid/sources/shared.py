@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own_folder: list[str] = []
+#: Paths of the tables that this process has kept and not yet removed.
+_kept: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,7 +29,23 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def noted(path: str) -> str:
+    """The path, which `clear` removes."""
+    _kept.append(path)
+    return path
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
-    """df written as a table in the shared folder and read back: what follows sees the same rows whatever executors are lost."""
-    df.write.parquet(path := fresh_path(df.sparkSession, name))
+    """df written as a table in the shared folder and read back: what follows sees the same rows whatever executors are lost. The table stays until `clear`, as results that are not yet computed may read it."""
+    df.write.parquet(path := noted(fresh_path(df.sparkSession, name)))
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear(spark: SparkSession) -> int:
+    """Remove all tables that were kept on the way to results, when these have been written or collected; how many there were."""
+    n = len(_kept)
+    for path in _kept:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    _kept.clear()
+    return n

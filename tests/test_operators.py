@@ -392,3 +392,13 @@ def test_global_file_in_one_part(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks, "SINGLE_ROWS", 49)
     with pytest.raises(ValueError):
         sinks.write_global(df, str(tmp_path / "two"), "s", single=True)
+
+
+def test_kept_tables_are_cleared(spark):
+    from dosegrid.sources import shared
+
+    shared.clear(spark)
+    df = pairs.numbered(spark.range(9), ["id"])
+    assert df.count() == 9 and shared.clear(spark) == 1 and shared.clear(spark) == 0
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|FAILED_READ_FILE|does not exist"):
+        df.count()
