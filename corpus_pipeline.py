@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dosegrid.llm import chosen_path, common, mixing, packing, quality, secrets, tokens
+from dosegrid.sources.shared import noted
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -66,7 +67,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.documents(spark, sf_dir)
-    folder = f"{common.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    folder = noted(f"{common.shared_folder(spark)}/pipeline-{uuid.uuid4().hex}")  # stays until it is cleared, for the result is read from it
     for k, (name, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(path := f"{folder}/{k}-{name}")
         docs = spark.read.parquet(path)

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dosegrid.sources.shared import noted
+
 #: ASCII white space, the only separators of words here.
 SPACES = b"\x20\x09\x0a\x0b\x0c\x0d"
 IS_SPACE = np.isin(np.arange(256), list(SPACES))
@@ -44,9 +46,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def kept(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
-    """Write df as a table in the shared folder, or a folder of it, and read it back: lineage ends here, and lost executors lose nothing."""
+    """Write df as a table in the shared folder, or a folder of it, and read it back: lineage ends here, and lost executors lose nothing. Without a folder it stays until `shared.clear`."""
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if folder is None:
+        noted(path)
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")  # shuffle files go as soon as the table is there
     try:
