@@ -18,9 +18,13 @@ split asks for. Then recall is measured: of about QUERIES classes drawn by hash,
 classes with embeddings alike in PROBE places are counted, and runs go on until TARGET
 of these pairs are in one cluster; pairs of the drawn classes are added as they are.
 
-Candidate links join classes to clusters, and within each cluster the exact similarity
-of every pair is counted from the whole sets, cluster by cluster or, for large ones,
-by pairs of blocks. Nothing is capped: every member of a cluster meets every other.
+Candidate links join classes to clusters. A cluster of more than a block may hold texts
+that are alike but not similar, as pages of one template: it is taken apart first, by the
+shingles that its classes have. Two similar sets share one of the first n - ceil(0.8 n) + 1
+shingles of each in order of rarity within the cluster, so classes that share no such
+shingle with any other leave, and the others form the parts that such shingles connect.
+Then the exact similarity of every pair in a part is counted from the whole sets, part by
+part or, for large ones, by pairs of blocks. Nothing is capped, and no similar pair is lost.
 
 Null texts have no words. Repeated rows are members of one class and linked to each
 other. Null ids are kept; a class's id is the smallest id among its documents.
@@ -51,6 +55,8 @@ TARGET, MORE, QUERIES, PROBE = 0.99, 6, 512, 45
 AGREE = 32
 #: Classes, and shingles, that a verifying task holds of one block.
 BLOCK, BLOCK_SHINGLES = 1024, 1_000_000
+#: Shingles of a batch that goes back to Spark.
+ROWS_OUT = 100_000
 _SEEDS = common.mix(np.arange(1, T + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
@@ -281,6 +287,29 @@ def clustered(classes: DataFrame) -> tuple[DataFrame, float, int]:
     return clusters, met / total if total else 1.0, runs
 
 
+def taken_apart(scratch: common.Scratch, sets: DataFrame) -> DataFrame:
+    """(id, cluster) of the classes (cluster, id, set) that share a rare enough shingle with another of their cluster; cluster: the smallest id of the part."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            clusters = common.mix(batch.column(0).to_numpy().astype(np.uint64))
+            for cluster, id_, body in zip(clusters, batch.column(1).to_numpy(), batch.column(2).to_pylist(), strict=True):
+                keys = common.mix(np.frombuffer(body, np.uint64) ^ cluster).view(np.int64)
+                for low in range(0, len(keys), ROWS_OUT):
+                    some = keys[low : low + ROWS_OUT]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), id_)), pa.array(np.full(len(some), len(keys), np.int32)), pa.array(some)], names=["id", "n", "key"])
+
+    rows = scratch.kept(common.in_arrow(sets.select("cluster", "id", "set"), shingles, "id bigint, n int, key bigint"), "shingles")
+    shared = scratch.kept(rows.groupBy("key").agg(F.count("*").alias("c"), F.count("*").alias("rows")).where("c > 1"), "shared")
+    ranked = common.joined_to_groups(rows, shared, "key", "rows").groupBy("id").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("c", "key"))).alias("r"))
+    # shingles that no other class has come first, and they connect nothing
+    wanted = (F.col("n") - F.ceil(F.col("n") * THRESHOLD - 1e-9) + 1 - (F.col("n") - F.size("r"))).cast("int")
+    prefix = scratch.kept(ranked.where(wanted > 0).select("id", F.explode(F.slice("r", F.lit(1), wanted)).alias("s")).select("id", "s.key"), "prefixes")
+    heads = scratch.kept(prefix.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("rows")).where("rows > 1"), "heads")
+    links = common.joined_to_groups(prefix, heads, "key", "rows").where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
+    return components(scratch.kept(links, "parts")).withColumnRenamed("root", "cluster")
+
+
 def pair_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of the sets `left` with the sets `right`."""
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -340,7 +369,7 @@ def similarity_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -
     with common.Scratch(df.sparkSession, "join") as scratch:  # whole sets go when they have been compared
         clusters = clustered(classes)[0].withColumnRenamed("root", "cluster")
         member = scratch.kept(clusters.join(classes.select("id", "class", "doc_id", "tag", "members", "n"), "id"), "clusters")
-        sizes = member.groupBy("cluster").agg(F.greatest(F.ceil(F.count("id") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+        blocks = F.greatest(F.ceil(F.count("id") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks")
 
         def with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -357,6 +386,12 @@ def similarity_classes(df: DataFrame, text: str = "text", key: str = "doc_id") -
         wanted = member.select(F.col("doc_id").alias("_key"), F.col("tag").alias("_tag"), "class", "id", "members")
         found = docs.join(wanted.hint("merge"), docs["doc_id"].eqNullSafe(wanted["_key"]) & (docs["tag"] == wanted["_tag"])).select("text", "class", "id", "members")
         sets = scratch.kept(common.in_arrow(found, with_sets, "id bigint, members bigint, set binary").dropDuplicates(["id"]), "sets")
+        sizes = scratch.kept(member.groupBy("cluster").agg(blocks), "sizes")
+        large = sizes.where("blocks > 1").select("cluster")
+        if large.limit(1).count():
+            apart = taken_apart(scratch, sets.join(member.join(large, "cluster", "left_semi").select("id", "cluster"), "id"))
+            member = member.select("id", "n", "cluster").join(large, "cluster", "left_anti").unionByName(member.select("id", "n").join(apart, "id"))
+            sizes = member.groupBy("cluster").agg(blocks)
         place = member.select("id", "cluster").join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
         meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least("block", k).alias("i"), F.greatest("block", k).alias("j"), (F.col("block") > k).cast("int").alias("side")))
         spread = sets.join(place.select("id", "cluster", F.explode(meets).alias("m")), "id").select("cluster", F.col("m.i").alias("i"), F.col("m.j").alias("j"), F.col("m.side").alias("side"), "id", "members", "set")

@@ -838,3 +838,35 @@ def test_pipeline_stages_take_nulls_and_empty_tables(spark, tmp_path):
             assert out.count() >= 0 and (name == "packing" or out.columns == df.columns), name
     kept = corpus_pipeline.similarity_stage(spark, rows, str(tmp_path))
     assert kept.where("doc_id is null").count() == 2  # rows without an id all stay
+
+
+def test_similarity_within_large_clusters_is_unchanged(spark, monkeypatch):
+    """Near copies, pages of one template and unlike texts: every cluster taken apart gives the links that all pairs have."""
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    template = [word() for _ in range(70)]
+    page = lambda: " ".join(template[:35] + [word() for _ in range(22)] + template[35:])
+    base = [word() for _ in range(80)]
+    near = lambda: " ".join(w if r.random() > 0.02 else word() for w in base)
+    texts = [page() for _ in range(40)] + [near() for _ in range(40)] + [" ".join(word() for _ in range(50)) for _ in range(10)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (t.split() for t in texts)]
+    links = [sum(a is not b and len(a & b) >= 0.8 * len(a | b) - 1e-9 for b in sets) for a in sets]
+    assert sum(links) > 200 and not any(links[:40])
+    for block in (1024, 1, 7):
+        monkeypatch.setattr(chosen_path, "BLOCK", block)
+        found = {x["doc_id"]: x["n_links"] for x in chosen_path.similarity_classes(df).collect()}
+        assert [found[k] for k in range(len(texts))] == links
+
+
+def test_pages_of_a_template_are_taken_apart(spark):
+    """8,000 sets that share 70 of their 100 shingles, so that any two have a similarity of 0.54: nothing is left to compare."""
+    rng = np.random.default_rng(3)
+    shared = rng.integers(0, 1 << 62, 70).astype(np.uint64)
+    rows = [(1, k, np.sort(np.concatenate([shared, rng.integers(0, 1 << 62, 30).astype(np.uint64)])).tobytes()) for k in range(8000)]
+    near = rng.integers(0, 1 << 62, 100).astype(np.uint64)
+    rows += [(2, 10_000 + k, np.sort(np.concatenate([near[:95], rng.integers(0, 1 << 62, 5).astype(np.uint64)])).tobytes()) for k in range(50)]
+    df = spark.createDataFrame(rows, "cluster long, id long, set binary").repartition(4)
+    with common.Scratch(spark, "apart") as scratch:
+        parts = chosen_path.taken_apart(scratch, df).collect()
+    assert {tuple(x) for x in parts} == {(10_000 + k, 10_000) for k in range(50)}
