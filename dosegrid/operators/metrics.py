@@ -60,17 +60,20 @@ def rising_pairs(first: np.ndarray, second: np.ndarray) -> int:
     return found
 
 
-def _apart(cells: DataFrame, levels: int) -> DataFrame:
+def _apart(cells: DataFrame) -> DataFrame:
     """(g, n): pairs of rows whose blocks rise in both, from counts by pairs of blocks (g, by, bf, count).
 
     Two rising block numbers first differ at one bit of either. So for each pair of bits the
     cells are counted by what stands before them: those with both bits 0 pair with those with
-    both bits 1. Each level halves the table before the next bit is taken.
+    both bits 1. Blocks are numbered from a group's first, and groups within one block of
+    either, nearly all if they are small, have nothing to count.
     """
-    bits = lambda name: F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias(name)
-    up = cells.select("g", "by", "bf", "count", bits("k")).groupBy("g", "k", F.expr("shiftright(by, k)").alias("a"), "bf").agg(F.sum("count").alias("count"))
-    low, high = F.expr("a & 1 = 0 and shiftright(bf, m) & 1 = 0"), F.expr("a & 1 = 1 and shiftright(bf, m) & 1 = 1")
-    quarters = up.select("*", bits("m")).where(low | high).groupBy("g", "k", "m", F.expr("shiftright(a, 1)").alias("a"), F.expr("shiftright(bf, m + 1)").alias("b"))
+    spans = cells.groupBy("g").agg(F.min("by").alias("y0"), F.min("bf").alias("f0"), (F.max("by") - F.min("by")).alias("dy"), (F.max("bf") - F.min("bf")).alias("df")).where("dy > 0 and df > 0")
+    wide = cells.join(spans, "g").select("g", (F.col("by") - F.col("y0")).alias("a"), (F.col("bf") - F.col("f0")).alias("b"), "count", F.length(F.bin("dy")).alias("bits_y"), F.length(F.bin("df")).alias("bits_f"))
+    bits = lambda n, name: F.explode(F.sequence(F.lit(0), F.col(n) - 1)).alias(name)
+    up = wide.select("*", bits("bits_y", "k")).groupBy("g", "k", F.expr("shiftright(a, k)").alias("a"), "b", "bits_f").agg(F.sum("count").alias("count"))
+    low, high = F.expr("a & 1 = 0 and shiftright(b, m) & 1 = 0"), F.expr("a & 1 = 1 and shiftright(b, m) & 1 = 1")
+    quarters = up.select("*", bits("bits_f", "m")).where(low | high).groupBy("g", "k", "m", F.expr("shiftright(a, 1)").alias("up_a"), F.expr("shiftright(b, m + 1)").alias("up_b"))
     halves = quarters.agg(F.sum(F.when(low, F.col("count"))).alias("low"), F.sum(F.when(high, F.col("count"))).alias("high"))
     return halves.groupBy("g").agg(F.coalesce(F.sum(F.col("low") * F.col("high")), F.lit(0)).alias("n"))
 
@@ -96,7 +99,7 @@ def concordance(df: DataFrame, by: str, y: str = "y", f: str = "f") -> DataFrame
     most = placed.agg(F.max(F.greatest("by", "bf"))).first()[0]
     if most:  # more than one block
         found = found.union(placed.select("g", "by", "bf", "pf").groupBy("g", "bf").applyInPandas(inside("by", "pf"), schema))
-        found = found.union(_apart(placed.groupBy("g", "by", "bf").count(), int(most).bit_length()))
+        found = found.union(_apart(kept(placed.groupBy("g", "by", "bf").count(), "cells")))
     found = found.groupBy("g").agg(F.sum("n").alias("rising"))
     # pairs of equal rows: counts of (y, f) are summed up to y, to f and to the group
     both = kept(placed.groupBy("g", "y", "f").count(), "equal_rows")
