@@ -26,6 +26,14 @@ def pearson(y: Column, f: Column) -> Column:
     return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
+def _correlation() -> Column:
+    """r in [-1, 1] from sums n, sa, sb, saa, sbb and sab; null if what is left of a spread is rounding only."""
+    left = lambda s, ss: F.col("n") * F.col(ss) - F.col(s) * F.col(s)
+    spread = lambda s, ss: F.when(left(s, ss) > 1e-12 * F.col("n") * F.col(ss), left(s, ss))
+    r = (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / F.sqrt(spread("sa", "saa") * spread("sb", "sbb"))
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+
+
 def r_squared(y: Column, f: Column) -> Column:
     return 1 - F.sum((y - f) * (y - f)) / F.nullif(F.var_pop(y) * F.count(y), F.lit(0.0))
 
@@ -36,12 +44,25 @@ def errors(df: DataFrame, by: Sequence[str], y: str = "y", f: str = "f") -> Data
     return df.where(a.isNotNull() & b.isNotNull()).groupBy(*by).agg(F.count(a).alias("n"), mse.alias("mse"), F.sqrt(mse).alias("rmse"), F.avg(F.abs(a - b)).alias("mae"), r_squared(a, b).alias("r2"), pearson(a, b).alias("pearson"))
 
 
+def average_places(counts: DataFrame, by: Sequence[str], value: str, into: str) -> DataFrame:
+    """(by, value, into): the mean place, from 0, of the rows with a value in their group, from the values' counts (by, value, n). Ties are one row however many there are, and no task sees a whole group."""
+    placed = scanned(counts, by, [value], sums={"upto_": F.col("n")})
+    return placed.select(*by, value, (F.col("upto_") - F.col("n") + (F.col("n") - 1) / 2).alias(into))
+
+
 def spearman(df: DataFrame, by: Sequence[str], y: str = "y", f: str = "f") -> DataFrame:
-    """Correlation of average ranks, of places in sorted ranges, so that no task ranks a whole group."""
-    rows = df.where(F.col(y).isNotNull() & F.col(f).isNotNull()).select(*by, F.col(y).alias("y"), F.col(f).alias("f"))
-    by_y = scanned(rows, by, ["y"], ties=["y"]).select(*by, "f", F.col("tie_mean").alias("ry"))
-    ranked = scanned(by_y, by, ["f"], ties=["f"]).select(*by, "ry", F.col("tie_mean").alias("rf"))
-    return ranked.groupBy(*by).agg(pearson(F.col("ry"), F.col("rf")).alias("spearman"))
+    """Correlation of average ranks; null for a constant or fewer than two pairs."""
+    rows = df.where(F.col(y).isNotNull() & F.col(f).isNotNull()).groupBy(*by, F.col(y).alias("y"), F.col(f).alias("f")).agg(F.count("*").alias("n"))
+    cells = kept(rows, "value_pairs")
+    ranked = cells
+    for value in ("y", "f"):
+        places = average_places(cells.groupBy(*by, value).agg(F.sum("n").alias("n")), by, value, f"r{value}")
+        names = {k: f"_k{i}" for i, k in enumerate((*by, value))}
+        places = places.withColumnsRenamed(names)
+        ranked = ranked.join(places, reduce(Column.__and__, (ranked[k].eqNullSafe(places[v]) for k, v in names.items()))).drop(*names.values())
+    n, a, b = F.col("n"), F.col("ry"), F.col("rf")
+    sums = ranked.groupBy(*by).agg(F.sum(n).cast("double").alias("n"), *(F.sum(n * x).alias(name) for name, x in (("sa", a), ("sb", b), ("saa", a * a), ("sbb", b * b), ("sab", a * b))))
+    return sums.select(*by, _correlation().alias("spearman"))
 
 
 def rising_pairs(first: np.ndarray, second: np.ndarray) -> int:
@@ -178,9 +199,7 @@ def running_correlation(df: DataFrame, by: str, order: str, y: str, f: str, ever
     a, b = F.col("a"), F.col("b")
     sums = scanned(rows, [by], ["at_"], "idx", {"n": of(F.lit(1)), "sa": of(a), "sb": of(b), "saa": of(a * a), "sbb": of(b * b), "sab": of(a * b)})
     sums = sums.where((F.col("idx") % every == 0) & (F.col("idx") > 0))
-    spread = lambda s, ss: F.when(F.col("n") * F.col(ss) - F.col(s) * F.col(s) > 1e-12 * F.col("n") * F.col(ss), F.col("n") * F.col(ss) - F.col(s) * F.col(s))
-    r = (F.col("n") * F.col("sab") - F.col("sa") * F.col("sb")) / F.sqrt(spread("sa", "saa") * spread("sb", "sbb"))
-    return sums.select(by, "idx", F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"))
+    return sums.select(by, "idx", _correlation().alias("r"))
 
 
 def dense_index(df: DataFrame, column: str) -> DataFrame:

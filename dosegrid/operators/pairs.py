@@ -59,15 +59,13 @@ def numbered(df: DataFrame, order: Sequence[str], into: str = "row_no") -> DataF
     return ranged.join(F.broadcast(offsets), "_part").withColumn(into, F.col("_before") + F.expr("_at - shiftleft(_part, 33)")).drop("_at", "_part", "_before")
 
 
-def scanned(df: DataFrame, by: Sequence[str], order: Sequence[str], into: str = "row_no", sums: dict[str, Column] | None = None, lows: dict[str, Column] | None = None, total: str = "group_rows", ties: Sequence[str] = ()) -> DataFrame:
+def scanned(df: DataFrame, by: Sequence[str], order: Sequence[str], into: str = "row_no", sums: dict[str, Column] | None = None, lows: dict[str, Column] | None = None, total: str = "group_rows") -> DataFrame:
     """Rows with their place in their group, from 0 in the given order, the group's rows, running sums of columns up to and with the row, and least values of columns before it.
 
     A segmented scan: the rows are sorted in ranges that may cut a group anywhere, even
     between equal rows, and kept as a table; places and sums are taken within a range, and a
     table of one row for each group of each range brings what the ranges before hold. So a
-    group with most rows is many tasks' work. ties: leading order columns whose equal rows,
-    in a group, get `tie_mean`, the mean of their places; only those at the ends of a
-    range's part of a group can go on in another range, and those alone are looked up.
+    group with most rows is many tasks' work.
     """
     sums, lows, keys = sums or {}, lows or {}, ["_part", *by]
     sort = [*by, *order, "_tie"]
@@ -76,28 +74,14 @@ def scanned(df: DataFrame, by: Sequence[str], order: Sequence[str], into: str =
     inside, group = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy(*by)
     before, above = (w.rowsBetween(Window.unboundedPreceding, -1) for w in (group.orderBy("_part"), Window.partitionBy(*keys).orderBy("_at")))
 
-    def looked_up(rows: DataFrame, table: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
-        names = {k: f"_k{i}" for i, k in enumerate(on)}
-        other = table.withColumnsRenamed(names)
-        return rows.join(other, reduce(Column.__and__, (rows[k].eqNullSafe(other[v]) for k, v in names.items())), how).drop(*names.values())
-
     parts = ranged.groupBy(*keys).agg(F.count("*").alias("_n"), *(F.sum(c).alias(f"_sum_{k}") for k, c in sums.items()), *(F.min(c).alias(f"_low_{k}") for k, c in lows.items()))
     earlier = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
     parts = parts.select(*keys, earlier("_n").alias("_before"), F.sum("_n").over(group).alias(total), *(earlier(f"_sum_{k}").alias(f"_sum_{k}") for k in sums), *(F.min(f"_low_{k}").over(before).alias(f"_low_{k}") for k in lows))
     rows = ranged.withColumn("_row", F.row_number().over(inside)).withColumns({k: F.sum(c).over(inside) for k, c in sums.items()} | {k: F.min(c).over(above) for k, c in lows.items()})
-    if ties:
-        tie = [*keys, *ties]
-        same, whole = Window.partitionBy(*tie), Window.partitionBy(*keys)
-        rows = rows.withColumns({"_low": F.min("_row").over(same), "_same": F.count("*").over(same), "_rows": F.count("*").over(whole)})
-        # a part's first and last runs of equal rows, with the rows of the same run in other parts
-        ends = rows.where("(_row = _low) and (_low = 1 or _low + _same > _rows)").select(*tie, "_same")
-        run = Window.partitionBy(*by, *ties)
-        ends = ends.select(*tie, F.sum("_same").over(run).alias("_all"), F.coalesce(F.sum("_same").over(run.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
-        rows = looked_up(rows, ends, tie, "left")
-    rows = looked_up(rows, parts, keys)
+    names = {k: f"_k{i}" for i, k in enumerate(keys)}
+    other = parts.withColumnsRenamed(names)
+    rows = rows.join(other, reduce(Column.__and__, (rows[k].eqNullSafe(other[v]) for k, v in names.items())))
     out = {into: F.col("_before") + F.col("_row") - 1} | {k: F.coalesce(k, F.lit(0)) + F.col(f"_sum_{k}") for k in sums} | {k: F.least(F.col(k), F.col(f"_low_{k}")) for k in lows}
-    if ties:
-        out["tie_mean"] = F.col("_before") + F.col("_low") - 1 - F.coalesce("_first", F.lit(0)) + (F.coalesce("_all", "_same") - 1) / 2
     return rows.withColumns(out).select(*df.columns, *out, total)
 
 
