@@ -189,7 +189,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "do
     training = docs.select(F.col(key).alias("_key"), F.coalesce(text, F.lit("")).alias("_text")).withColumn("_copy", F.sha2("_text", 256))
     # keys and digests are matched first; of the texts only the chosen ones move
     chosen = training.select("_key", "_copy").distinct().join(answers, "_key").groupBy("_copy", "_label").agg(F.min("_key").alias("_key"))
-    training = common.kept(training.join(chosen, ["_key", "_copy"]).dropDuplicates(["_copy", "_label"]).select("_text", "_label"), "toxic_training")
+    training = common.kept(training.join(chosen, ["_key", "_copy"]).groupBy("_key", "_copy").agg(F.first("_text").alias("_text"), F.first("_label").alias("_label")).select("_text", "_label"), "toxic_training")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, list[int]] = {}
