@@ -130,7 +130,7 @@ def folded(leaf: Column, path: Column) -> Column:
 def manifest(rows: DataFrame, leaf: Column, group: Column, key: Column, carried: Column, scratch: common.Scratch) -> DataFrame:
     """(lo, leaf, carried, subroot, root, path) of every row; group and key: columns that group and rank the leaves."""
     named = F.when(group.isNull(), "").otherwise(F.concat(F.lit("+"), group.cast("string")))
-    made = rows.select(named.alias("grp"), key.alias("key"), leaf.alias("digest"), carried.alias("carried"))
+    made = scratch.kept(rows.select(named.alias("grp"), key.alias("key"), leaf.alias("digest"), carried.alias("carried")), "rows")  # texts are read once
     trees = tree_of(scratch, leaves_of(made, ["key", "digest"]), "tree")
     tops = trees.subroots.select(F.lit("").alias("grp"), "digest", F.col("grp").alias("carried"))
     root_tree = tree_of(scratch, scratch.kept(leaves_of(tops, ["carried"]), "tops"), "root")
