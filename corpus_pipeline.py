@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from dosegrid.llm import chosen_path, common, mixing, packing, quality, secrets, tokens
 from dosegrid.sources.shared import noted
 
+#: Of the mixing stage: the largest rate, and what rates away from one weigh.
+MOST, RIDGE = 4.0, 1e-3
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -42,8 +44,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A document stays if a number drawn from its id is under its rate; rates of one and more always stay."""
-    rates = mixing.mixed(docs, _labels(spark, sf_dir))[0].select("doc_id", "rate")
+    """A document stays if a number drawn from its id is under its rate; rates of one and more always stay. Rates keep near one where a target is hard to reach, so that a domain without documents does not cost the others theirs."""
+    rates = mixing.mixed(docs, _labels(spark, sf_dir), most=MOST, ridge=RIDGE)[0].select("doc_id", "rate")
     drawn = F.crc32(F.concat_ws("|", F.lit("mixing"), F.col("doc_id").cast("string")).cast("binary")) / F.lit(float(1 << 32))
     chosen = rates.where(drawn < F.col("rate")).select("doc_id").distinct()
     return docs.join(chosen, docs["doc_id"].eqNullSafe(chosen["doc_id"]), "left_semi").select(*COLUMNS)

@@ -12,9 +12,9 @@ lazy projection: a document's rate is one minus its posterior x the sum of all s
 cut to zero. So a rate follows from the document's own posterior and DOMAINS numbers: no
 state is kept between steps. The gradient, and the matrix of rates above zero by which it
 is scaled, are aggregates over all documents; each pass tries several lengths of the step
-and the best one is taken, so the squared misses only fall. Steps end when every domain is
-within CLOSE of its target, as a share of all tokens, or when no length gains any more; the
-fit says what is still missed. Rates have no upper limit unless `most` gives one.
+and the best one is taken, so the objective only falls; where none gains, the step is damped.
+Steps end when every domain is within CLOSE of its target, as a share of all tokens, or when
+damped steps gain no more; the fit says what is still missed. Rates have no upper limit unless `most` gives one.
 
 Targets are shares of the mixture. The domain with the largest target keeps its
 expected tokens and sets the total. Others go up or down to their targets: a rate over
@@ -46,6 +46,8 @@ BUCKETS, SAMPLE = 1 << 16, 20_000
 RIDGE, CLOSE, STEPS = 1e-9, 1e-4, 200
 #: Lengths of a step that are tried in one pass, and what a step has to gain, as a share.
 LENGTHS, GAIN = (1.0, 0.5, 0.25, 0.1, 0.03, 0.01), 1e-9
+#: How much more a step is damped when no length of it gains, until that is more than all rates' curvature.
+DAMPED = 100.0
 _UPPER, _SYMBOL = np.zeros(256, bool), np.isin(np.arange(256), list(b"#*$%&|<>!"))
 _UPPER[65:91] = True
 _LOWERED = np.arange(256, dtype=np.uint8)
@@ -193,8 +195,8 @@ class Fitted:
         return float(abs(self.expected - self.wanted).max() / max(self.wanted.sum(), 1e-9))
 
 
-def fitted(scored: DataFrame, targets: Sequence[float], most: float | None = None) -> Fitted:
-    """Projected gradient over (n_tokens, posterior) rows."""
+def fitted(scored: DataFrame, targets: Sequence[float], most: float | None = None, ridge: float = RIDGE) -> Fitted:
+    """Projected gradient over (n_tokens, posterior) rows. ridge: what rates away from one weigh."""
     k = len(targets)
 
     def sums(tried: list[np.ndarray]) -> list[tuple[float, np.ndarray, np.ndarray]]:
@@ -222,29 +224,32 @@ def fitted(scored: DataFrame, targets: Sequence[float], most: float | None = Non
     at, (base, have, curve) = np.zeros(k), sums([np.zeros(k)])[0]
     main = int(share.argmax())
     out = Fitted(at, share * have[main] / share[main], have)
-    ridge = RIDGE * max(out.wanted.sum(), 1e-9)
+    ridge *= max(out.wanted.sum(), 1e-9)
     objective = lambda part, steps: part + out.wanted @ steps + ridge / 2 * steps @ steps
     best = objective(base, at)
+    damping, scale = 0.0, max(np.trace(curve), 1e-9)
     for _ in range(STEPS):
-        if out.missed() <= CLOSE:
+        if out.missed() <= CLOSE or damping > scale:
             break
         gradient = have - out.wanted - ridge * at
-        step = np.linalg.solve(curve + ridge * np.eye(k), gradient)
+        step = np.linalg.solve(curve + (ridge + damping) * np.eye(k), gradient)
         tried = [at + length * step for length in LENGTHS]
         found = sums(tried)
         values = [objective(f[0], steps) for f, steps in zip(found, tried, strict=True)]
         i = int(np.argmin(values))
-        if best - values[i] <= GAIN * abs(best):
-            break
+        if best - values[i] <= GAIN * abs(best):  # too far for where the cuts lie: shorter and more along the gradient
+            damping = max(damping * DAMPED, scale * 1e-6)
+            continue
+        damping /= DAMPED
         best, at, (_, have, curve) = values[i], tried[i], found[i]
         out = Fitted(at, out.wanted, have)
     return out
 
 
-def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, text: str = "text", key: str = "doc_id", most: float | None = None) -> tuple[DataFrame, Fitted]:
-    """(key, n_tokens, posterior, rate) of every row, and the fit. most: the largest rate allowed."""
+def mixed(docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, text: str = "text", key: str = "doc_id", most: float | None = None, ridge: float = RIDGE) -> tuple[DataFrame, Fitted]:
+    """(key, n_tokens, posterior, rate) of every row, and the fit. most: the largest rate allowed; ridge: what rates away from one weigh, more for a mixture that should stay near the corpus where targets are hard to reach."""
     scored = common.kept(posteriors(docs, labels, text, key), "mixing_posteriors")
-    fit = fitted(scored, targets, most)
+    fit = fitted(scored, targets, most, ridge)
 
     def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
