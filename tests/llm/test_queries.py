@@ -35,6 +35,13 @@ def sf(spark, tmp_path_factory):
     spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{folder}/documents.parquet")
     labels = [(k, k % 5 > 0, k % 7 == 0) for k in range(len(TEXTS))]
     spark.createDataFrame([(k, int(q), int(t)) for k, q, t in labels] + [(1, None, None), (2, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    hosts = ["www.Example.com", "shop.example.com", "a.b.net", "b.net", "x.co.uk", "10.0.0.1", "u@h.org:80"]
+    urls = [(k, f"https://{R.choice(hosts)}/{R.choice(['en', 'es', 'fr'])}/{R.randint(1, 9)}{R.choice(['', '?q=/x', '#a'])}") for k in range(80)]
+    urls += [(None, "http://b.net/es/1"), (3, urls[3][1]), (3, "http://b.net"), (81, None), (82, "no scheme"), (83, "http://")]
+    spark.createDataFrame(urls, "page_id long, url string").repartition(3).write.parquet(f"{folder}/pages.parquet")
+    vectors = [(k, [R.gauss(0, 0.2) for _ in range(64)], R.choice([None, 1, 2])) for k in range(60)]
+    vectors += [(100, vectors[1][1], 3), (None, vectors[2][1], None), (101, None, 1), (102, [float("nan")] * 64, 1), (103, [None, *vectors[0][1][1:]], 2), (104, [float("-inf"), *vectors[0][1][1:]], 2)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").repartition(3).write.parquet(f"{folder}/embeddings.parquet")
     return folder
 
 
@@ -209,7 +216,8 @@ def test_soft_mixing(run):
 def test_query_equals_sql(spark, sf, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    con.execute(f"create view documents as select * from read_parquet('{sf}/documents.parquet/*.parquet')")
+    for table in ("documents", "labels", "pages", "embeddings"):
+        con.execute(f"create view {table} as select * from read_parquet('{sf}/{table}.parquet/*.parquet')")
     found = con.execute(registry.ORACLE_SQL[name])
     names = [c[0] for c in found.description]
     rows = registry.QUERIES[name](spark, sf)
