@@ -33,7 +33,7 @@ from dosegrid.llm import common
 
 PARTS, ENTRIES, ROUNDS, SCALE = 8, 16, 6, 4096
 #: Parts of a tree's leaf.
-LEAF = 8
+LEAF = 32
 _SUMS = "part int, entry int, n long, sums array<long>"
 _BIG = np.iinfo(np.int64).max
 
