@@ -19,6 +19,12 @@ def number(c: Column) -> Column:
     return F.when(~F.isnan(d), d)
 
 
+def rounded(c: Column, digits: int = 6) -> Column:
+    """A double to so many digits, halves away from zero; what rounds to zero keeps its sign, as in SQL engines that round in binary."""
+    found = F.round(c, digits)
+    return F.when(found == 0, c * 0.0).otherwise(found)
+
+
 def clean_compact(c: Column) -> Column:
     """Lower case, letters a-z and digits only."""
     return F.regexp_replace(F.lower(c), "[^a-z0-9]", "")

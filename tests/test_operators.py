@@ -402,3 +402,24 @@ def test_kept_tables_are_cleared(spark):
     assert df.count() == 9 and shared.clear(spark) == 1 and shared.clear(spark) == 0
     with pytest.raises(Exception, match="FILE_NOT_EXIST|FAILED_READ_FILE|does not exist"):
         df.count()
+
+
+def test_rounded_keeps_the_sign_of_zero(spark):
+    df = spark.createDataFrame([(-4e-7,), (4e-7,), (-0.0,), (-1.5e-6,), (float("nan"),), (None,)], "x double")
+    found = [r[0] for r in df.select(F.transform(F.array("x"), lambda x: C.rounded(x, 6))[0]).collect()]
+    assert [str(x) for x in found] == ["-0.0", "0.0", "-0.0", "-2e-06", "nan", "None"]
+
+
+def test_mean_embeddings_equal_sql_to_the_sign_of_zero(spark, tmp_path):
+    """The mean of the first feature's vectors is a little under zero."""
+    import duckdb
+
+    from dosegrid.plans import registry
+
+    vectors = [(k, [-3e-7 if j == 0 else float(j + k) for j in range(64)], 0) for k in range(64)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from '{tmp_path}/embeddings.parquet/*.parquet'")
+    want = {k: repr(v) for k, v in con.execute(registry.ORACLE_SQL["top_features_mean_embedding"]).fetchall()}
+    got = {r["sample_id"]: repr(list(r["vec"])) for r in registry.QUERIES["top_features_mean_embedding"](spark, str(tmp_path)).collect()}
+    assert got == want and all("-0.0" in v for v in want.values())
