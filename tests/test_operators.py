@@ -423,3 +423,14 @@ def test_mean_embeddings_equal_sql_to_the_sign_of_zero(spark, tmp_path):
     want = {k: repr(v) for k, v in con.execute(registry.ORACLE_SQL["top_features_mean_embedding"]).fetchall()}
     got = {r["sample_id"]: repr(list(r["vec"])) for r in registry.QUERIES["top_features_mean_embedding"](spark, str(tmp_path)).collect()}
     assert got == want and all("-0.0" in v for v in want.values())
+
+
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+def test_grids_are_many_tasks_and_lose_no_pair(spark, monkeypatch, broadcast):
+    for name, n in (("DRUG_BLOCK", 3), ("CELL_BLOCK", 4), ("TASK_PAIRS", 20), ("BROADCAST_ROWS", broadcast)):
+        monkeypatch.setattr(pairs, name, n)
+    a, b = [1, 2, 2, None, *range(5, 12)], [("x", 1), ("x", 1), (None, 2), *((f"y{k}", k) for k in range(8))]
+    found = pairs.grid(spark.createDataFrame([(x,) for x in a], "d int").coalesce(1), spark.createDataFrame(b, "c string, n int"))
+    assert found.columns == ["d", "c", "n"] and rows(found) == sorted(((x, *y) for x in a for y in b), key=repr)
+    assert len({r[0] for r in found.select(F.spark_partition_id()).collect()}) > 1
+    assert pairs.grid(spark.createDataFrame([], "d int"), spark.createDataFrame(b, "c string, n int")).count() == 0
