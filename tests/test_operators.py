@@ -434,3 +434,15 @@ def test_grids_are_many_tasks_and_lose_no_pair(spark, monkeypatch, broadcast):
     assert found.columns == ["d", "c", "n"] and rows(found) == sorted(((x, *y) for x in a for y in b), key=repr)
     assert len({r[0] for r in found.select(F.spark_partition_id()).collect()}) > 1
     assert pairs.grid(spark.createDataFrame([], "d int"), spark.createDataFrame(b, "c string, n int")).count() == 0
+
+
+@pytest.mark.parametrize("broadcast", [0, 100_000])
+def test_missing_pairs_never_shuffle_the_grid(spark, monkeypatch, broadcast):
+    for name, n in (("CELL_BLOCK", 4), ("TASK_PAIRS", 50), ("BROADCAST_ROWS", broadcast)):
+        monkeypatch.setattr(pairs, name, n)
+    given = [(d, c) for d in (*range(9), None) for c in (*range(11), None) if d is None or c is None or (d * c + c) % 3 == 0 or d == 4]
+    found = pairs.missing_pairs(spark.createDataFrame([*given, *given], "d int, c long"), "d", "c")
+    assert "CartesianProduct" not in found._jdf.queryExecution().toString() and "LeftAnti" not in found._jdf.queryExecution().toString()
+    drugs, cells = {d for d, _ in given}, {c for _, c in given}
+    known = {(d, c) for d, c in given if d is not None and c is not None}
+    assert rows(found) == sorted(((d, c) for d in drugs for c in cells if (d, c) not in known), key=repr)
