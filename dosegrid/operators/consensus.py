@@ -13,6 +13,8 @@ from dosegrid.sources.shared import kept
 
 #: Steps between two bounds in the search for a median.
 BINS = 1024
+#: Prediction rows that a task gathers by pair, whatever the number of partitions that the session sets.
+TASK_ROWS = 1 << 19
 
 
 @dataclass(frozen=True)
@@ -75,8 +77,16 @@ def read_sources(spark: SparkSession, sources: Sequence[Source]) -> tuple[DataFr
 
 
 def pivoted(rows: DataFrame, methods: Sequence[str]) -> DataFrame:
-    """A row for each (cell_line, drug_name), a column for each method; repeats are averaged, absent methods are null."""
-    return rows.where(F.col("method").isin(*methods)).groupBy("cell_line", "drug_name").pivot("method", list(methods)).avg("prediction")
+    """A row for each (cell_line, drug_name), a column for each method; repeats are averaged, absent methods are null.
+
+    Rows are dealt by pair to tasks whose number grows with the rows, so that no task's table
+    of pairs does; hardly any pair repeats, so rows are not combined before that.
+    """
+    found = rows.where(F.col("method").isin(*methods))
+    spark = rows.sparkSession
+    tasks = max(-(-found.count() // TASK_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = found.select("cell_line", "drug_name", "method", "prediction").repartition(tasks, "cell_line", "drug_name")
+    return dealt.groupBy("cell_line", "drug_name").agg(*(F.avg(F.when(F.col("method") == m, F.col("prediction"))).alias(m) for m in methods))
 
 
 def medians(wide: DataFrame, methods: Sequence[str]) -> DataFrame:

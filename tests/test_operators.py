@@ -446,3 +446,11 @@ def test_missing_pairs_never_shuffle_the_grid(spark, monkeypatch, broadcast):
     drugs, cells = {d for d, _ in given}, {c for _, c in given}
     known = {(d, c) for d, c in given if d is not None and c is not None}
     assert rows(found) == sorted(((d, c) for d in drugs for c in cells if (d, c) not in known), key=repr)
+
+
+def test_pivot_tasks_grow_with_the_rows(spark, monkeypatch):
+    """Each task gathers so many rows on average, whatever the session's number of partitions."""
+    monkeypatch.setattr(consensus, "TASK_ROWS", 50)
+    given = [(f"d{k % 100}", f"c{k // 200}", float(k), "AB"[k // 100 % 2]) for k in range(1000)]
+    wide = consensus.pivoted(spark.createDataFrame(given, "drug_name string, cell_line string, prediction double, method string"), ["A", "B", "Z"])
+    assert wide.rdd.getNumPartitions() == 20 and rows(wide) == sorted(((f"c{c}", f"d{d}", 200.0 * c + d, 200.0 * c + 100 + d, None) for c in range(5) for d in range(100)), key=repr)
