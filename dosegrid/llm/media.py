@@ -26,7 +26,7 @@ from dosegrid.llm import common, webp
 WIDTH, ROWS = 16, 16_384
 ROW_BYTES = 4 * WIDTH
 #: Payload bytes that are coded together, and stored bytes that are read together: some 200 MB of memory at most.
-CODED, READ = 1 << 20, 4 << 20
+CODED, READ = 1 << 20, 8 << 20
 PIXELS = T.ArrayType(T.StructType([T.StructField("width", T.IntegerType()), T.StructField("height", T.IntegerType()), T.StructField("argb", T.BinaryType())]))
 FEATURES = [("payload_bytes", T.LongType()), ("payload_sha256", T.StringType()), ("tail_crc32", T.LongType()), ("media_bytes", T.LongType()), ("media_sha256", T.StringType()), ("feature", T.StringType())]
 
@@ -102,6 +102,20 @@ def feature(samples: np.ndarray) -> str:
     return f"{len(samples) // ROW_BYTES}:{mean:.6f}:{deviation:.6f}:{step:.6f}:{-(share * np.log2(share)).sum() + 0.0:.6f}"
 
 
+def _together(batches: Iterator[pa.RecordBatch], place: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together as long as their files are read side by side."""
+    held: list[pa.RecordBatch] = []
+    n = size = 0
+    for batch in batches:
+        if held and (n + batch.num_rows > webp.ABREAST or size + batch.column(place).nbytes > READ):
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, n, size = [], 0, 0
+        held.append(batch)
+        n, size = n + batch.num_rows, size + batch.column(place).nbytes
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def read_features(df: DataFrame, media: str = "media") -> DataFrame:
     """The media column replaced by digests of the payload read back from it, and features of its pixels."""
     rest = df.drop(media, *(n for n, _ in FEATURES))
@@ -110,7 +124,7 @@ def read_features(df: DataFrame, media: str = "media") -> DataFrame:
     schema = T.StructType([*rest.schema.fields, *(T.StructField(n, t) for n, t in FEATURES)])
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _together(batches, place):
             stored = batch.column(place).to_pylist()
             out: list[list] = [[] for _ in FEATURES]
             for first, _, rows in _runs(stored):

@@ -24,9 +24,9 @@ BLACK = 0xFF000000
 #: Close pixels by rising distance: (x to the left, y up).
 NEAR = sorted(((x, y) for y in range(8) for x in range(-7, 9) if y or x > 0), key=lambda p: (p[0] ** 2 + p[1] ** 2, abs(p[0]), -p[0]))
 #: Longest code that the writer uses and the side-by-side reader takes; files that are read side by side, and so few that one by one is faster.
-SHORT, ABREAST, FEW = 11, 1024, 96
-#: The writer's shortest back-reference, its cache, hits that pay for one, and pixels looked at for a palette before all are.
-LEAST_COPY, CACHE_BITS, LEAST_HITS, SEEN = 3, 8, 64, 1024
+SHORT, ABREAST, FEW = 11, 4096, 96
+#: The writer's shortest back-reference, its cache, and hits that pay for one.
+LEAST_COPY, CACHE_BITS, LEAST_HITS = 3, 8, 64
 
 
 class Bits:
@@ -54,15 +54,19 @@ class Code:
         self.only = self.last if len(used) < 2 else None
         self.longest = 0
         if self.only is None:
-            order = used[np.argsort(lengths[used], kind="stable")]
-            size = lengths[order].astype(np.int64)
-            self.longest = n = int(size[-1])
-            if (np.int64(1) << n - size).sum() != 1 << n:
+            self.used, self.size = used, lengths[used].astype(np.int64)
+            self.longest = n = int(self.size.max())
+            if (np.int64(1) << n - self.size).sum() != 1 << n:
                 raise ValueError("a prefix code is not complete")
-            entry = (size << 16 | order).astype(np.int32)
-            self.table = np.repeat(entry, np.int64(1) << n - size)[_mirrored(n)]
             self.fast = None
 
+    @property
+    def table(self) -> np.ndarray:
+        """By the next bits, as many as the longest code has: length << 16 | symbol."""
+        order = np.argsort(self.size, kind="stable")
+        size = self.size[order]
+        return np.repeat(size << 16 | self.used[order], np.int64(1) << self.longest - size)[_mirrored(self.longest)]
+
     def entries(self) -> list[int]:
         if self.fast is None:
             self.fast = self.table.tolist()
@@ -137,11 +141,13 @@ def read_code(bits: Bits, symbols: int) -> tuple[Code, bool]:
     counted = bool(bits.take(1))
     left = 2 + bits.take(2 + 2 * bits.take(3)) if counted else symbols
     at, before, used = 0, 8, 0
-    rest = int.from_bytes(bits.data[bits.at >> 3 : (bits.at >> 3) + 2 * symbols + 8], "little") >> (bits.at & 7)  # no symbol takes more than 14 bits
+    rest, until = 0, 0  # bits from here on, which are enough for a symbol until so many are used; none takes more than 14
     fast, mask, only = (None, 0, code.only) if code.only is not None else (code.entries(), (1 << code.longest) - 1, 0)
     values = [0] * symbols
     while at < symbols and left:
         left -= 1
+        if used >= until:
+            rest, until = int.from_bytes(bits.data[bits.at + used >> 3 : (bits.at + used >> 3) + 30], "little") >> (bits.at + used & 7), used + 218
         entry = fast[rest & mask] if fast else only
         n, s = entry >> 16, entry & 0xFFFF
         rest >>= n
@@ -411,7 +417,7 @@ def _side_by_side(streams: list[Bits], heads: list[Coded]) -> list[np.ndarray]:
         n = sizes[order]
         start = np.cumsum(n) - n
         first[order] = start
-        tables = np.concatenate([np.resize(c.table, 1 << SHORT) if c.only is None else np.full(1 << SHORT, c.only, np.int32) for i in order for c in heads[i].codes[0]])
+        tables = _tables([c for i in order.tolist() for c in heads[i].codes[0]]).ravel()
         data = b"".join(streams[i].data for i in order) + bytes(8)
         words = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))  # eight bytes from every byte on
         begin = np.cumsum([0, *(len(streams[i].data) for i in order)])[:-1]
@@ -424,16 +430,16 @@ def _side_by_side(streams: list[Bits], heads: list[Coded]) -> list[np.ndarray]:
         # What goes on stands in `row`, so that arrays of the others need not be cut.
         while len(row) >= FEW:
             v = words[bit[row] >> 3] >> (bit[row] & 7).astype(np.uint64)
-            entry = tables[base[row] + (v & mask).astype(np.int64)]
-            symbol, used = entry & 0xFFFF, entry >> 16
+            entry = tables[base[row] + (v & mask).astype(np.int64)].astype(np.int64)
+            symbol, used = entry & 0xFFF, entry >> 12
             literal = symbol < LITERALS
             some, v = row[literal], v >> used.astype(np.uint64)
             if len(some):
                 pixel, w, taken = symbol[literal] << 8, v[literal], used[literal]
                 for k, up in ((1, 16), (2, 0), (3, 24)):
-                    e = tables[base[some] + (k << SHORT) + (w & mask).astype(np.int64)]
-                    w, taken = w >> (e >> 16).astype(np.uint64), taken + (e >> 16)
-                    pixel |= (e & 0xFFFF) << up
+                    e = tables[base[some] + (k << SHORT) + (w & mask).astype(np.int64)].astype(np.int64)
+                    w, taken = w >> (e >> 12).astype(np.uint64), taken + (e >> 12)
+                    pixel |= (e & 0xFFF) << up
                 _put(out, cache, some, start[some] + at[some], pixel.astype(np.uint32), fold, bits)
                 at[some] += 1
                 bit[some] += taken
@@ -450,8 +456,8 @@ def _side_by_side(streams: list[Bits], heads: list[Coded]) -> list[np.ndarray]:
                     some = row[copied]
                     bit[some] += used[copied]
                     length, bit[some] = _values(words, bit[some], symbol[copied] - LITERALS)
-                    e = tables[base[some] + (4 << SHORT) + (words[bit[some] >> 3] >> (bit[some] & 7).astype(np.uint64) & mask).astype(np.int64)]
-                    far, bit[some] = _values(words, bit[some] + (e >> 16), e & 0xFFFF)
+                    e = tables[base[some] + (4 << SHORT) + (words[bit[some] >> 3] >> (bit[some] & 7).astype(np.uint64) & mask).astype(np.int64)].astype(np.int64)
+                    far, bit[some] = _values(words, bit[some] + (e >> 12), e & 0xFFF)
                     close = near[np.minimum(far, len(near)) - 1]
                     far = np.where(far > len(near), far - len(near), np.maximum(1, close[:, 0] + close[:, 1] * width[some]))
                     if (far > at[some]).any() or (at[some] + length > n[some]).any():
@@ -472,6 +478,22 @@ def _side_by_side(streams: list[Bits], heads: list[Coded]) -> list[np.ndarray]:
     return images
 
 
+def _tables(codes: list[Code]) -> np.ndarray:
+    """A row for each code, by the next SHORT bits: length << 12 | symbol."""
+    several = [c for c in codes if c.only is None]
+    out = np.empty((len(codes), 1 << SHORT), np.uint16)
+    if several:
+        size, symbol = np.concatenate([c.size for c in several]), np.concatenate([c.used for c in several])
+        order = np.argsort(np.repeat(np.arange(len(several)) << 4, [len(c.used) for c in several]) | size, kind="stable")  # symbols rise already
+        size = size[order]
+        entry = (size << 12 | symbol[order]).astype(np.uint16)
+        out[[k for k, c in enumerate(codes) if c.only is None]] = np.repeat(entry, np.int64(1) << SHORT - size).reshape(len(several), -1)[:, _mirrored(SHORT)]
+    for k, c in enumerate(codes):
+        if c.only is not None:
+            out[k] = c.only
+    return out
+
+
 def _put(out: np.ndarray, cache: np.ndarray, file: np.ndarray, to: np.ndarray, pixel: np.ndarray, fold: np.ndarray, bits: np.ndarray) -> None:
     """Write pixels, and put them in their files' caches, the last of equal places staying."""
     out[to] = pixel
@@ -505,7 +527,8 @@ def code_lengths(counts: np.ndarray, most: int = SHORT) -> np.ndarray:
     room = (1 << most) - np.where(used, np.int64(1) << most - lengths, 0).sum(1)
     for i in np.flatnonzero(several & (room != 0)).tolist():
         row, left = lengths[i], int(room[i])
-        mine = sorted(np.flatnonzero(used[i]).tolist(), key=lambda k: (-row[k], -counts[i, k]))
+        mine = np.flatnonzero(used[i])
+        mine = mine[np.lexsort((-counts[i, mine], -row[mine]))].tolist()
         n = row[mine].tolist()
         while left < 0:  # too many long codes were cut to `most`: lengthen the rarest of those that are shorter
             k = max((k for k in range(len(n)) if n[k] < most), key=lambda k: (n[k], -counts[i, mine[k]]))
@@ -717,7 +740,9 @@ def _coded(images: list[np.ndarray], main: bool) -> list[tuple[int, int]]:
         size = size + bits
 
     for c in range(4):
-        add(np.where(masks[c], np.where(lengths[c][of, values[c]] > 0, codes[c][of, values[c]], 0), 0), np.where(masks[c], lengths[c][of, values[c]], 0))
+        entry = of * sizes[c] + np.where(masks[c], values[c], 0)
+        taken = np.where(masks[c], lengths[c].ravel()[entry], 0)
+        add(np.where(taken > 0, codes[c].ravel()[entry], 0), taken)
         if not c and len(a):
             add(np.where(is_copy, extra[np.maximum(rank, 0)], 0), np.where(is_copy, extra_n[np.maximum(rank, 0)], 0))
     if len(a):
@@ -760,6 +785,22 @@ def _palette_of(pixels: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray,
     return colours, (np.uint32(BLACK) | packed << np.uint32(8)).ravel(), inner
 
 
+def _palettes(images: list[np.ndarray], pixels: np.ndarray, owner: np.ndarray, width: int, cost: np.ndarray) -> dict[int, tuple[np.ndarray, int, int, int]]:
+    """(indices, colours, number and bits of the coded palette) of the images that a palette makes cheaper than cost. All images' colours are counted, and all palettes coded, together."""
+    each = np.sort(owner.astype(np.uint64) << np.uint64(32) | pixels)
+    colours = np.bincount((each[np.concatenate([[True], each[1:] != each[:-1]])] >> np.uint64(32)).astype(np.int64), minlength=len(images))
+    at = np.flatnonzero(colours <= 256).tolist()
+    if not at:
+        return {}
+    found = [_palette_of(images[i], width) for i in at]
+    deltas = [np.concatenate([c[:1], _minus(c[1:], c[:-1])]) for c, _, _ in found]
+    parts = [x for (_, index, _), d in zip(found, deltas, strict=True) for x in (index, d)]
+    both = _bits_for(np.concatenate(parts), np.repeat(np.arange(len(parts)), [len(x) for x in parts]), len(parts)).reshape(-1, 2).sum(1) + 60
+    good = np.flatnonzero(both < cost[at]).tolist()
+    coded = _coded([deltas[k] for k in good], False) if good else []
+    return {at[k]: (found[k][1], len(found[k][0]), *c) for k, c in zip(good, coded, strict=True)}
+
+
 def write(images: list[np.ndarray], width: int) -> list[bytes]:
     """A lossless WebP file for each array of pixels, whose size is a multiple of width."""
     if not images:
@@ -781,17 +822,13 @@ def write(images: list[np.ndarray], width: int) -> list[bytes]:
     chosen = np.choose(best[owner], choices)
     transforms: list[tuple[int, int]] = []
     streams = np.split(chosen, first[1:])
+    palettes = _palettes(images, pixels, owner, width, cost[best, np.arange(len(n))])
     for i in range(len(n)):
         k = int(best[i])
-        if (few := _palette_of(images[i], width) if n[i] <= SEEN or len(np.unique(images[i][:SEEN])) <= 256 else None) is not None:
-            colours, index, _ = few
-            deltas = np.concatenate([colours[:1], _minus(colours[1:], colours[:-1])])
-            both = _bits_for(np.concatenate([index, deltas]), np.repeat([0, 1], [len(index), len(deltas)]), 2).sum() + 60
-            if both < cost[k, i]:
-                v, bits = _coded([deltas], False)[0]
-                transforms.append((1 | PALETTE << 1 | len(colours) - 1 << 3 | v << 11, 11 + bits))
-                streams[i] = index
-                continue
+        if i in palettes:
+            streams[i], n_colours, v, bits = palettes[i]
+            transforms.append((1 | PALETTE << 1 | n_colours - 1 << 3 | v << 11, 11 + bits))
+            continue
         if k in (2, 3, 4):
             v, bits = _constant(BLACK | (k - 1) << 8 if k < 4 else BLACK | (int(to_blue[i]) & 255) << 8 | int(to_red[i]) & 255)
             transforms.append((1 | (PREDICTOR if k < 4 else CROSS_COLOUR) << 1 | 7 << 3 | v << 6, 6 + bits))

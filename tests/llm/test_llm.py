@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -883,3 +884,16 @@ def test_pages_of_a_template_are_taken_apart(spark):
     with common.Scratch(spark, "apart") as scratch:
         parts = chosen_path.taken_apart(scratch, df).collect()
     assert {tuple(x) for x in parts} == {(10_000 + k, 10_000) for k in range(50)}
+
+
+def test_palettes_of_many_images_are_coded_together(monkeypatch):
+    """op9: one coding pass for all palettes and one for all images, whatever their number; files are read in batches of many."""
+    calls, plain = [], webp._coded
+    monkeypatch.setattr(webp, "_coded", lambda images, main: calls.append(len(images)) or plain(images, main))
+    r = np.random.default_rng(3)
+    images = [r.choice(r.integers(0, 1 << 32, 5, dtype=np.uint32), 640) for _ in range(200)] + [r.integers(0, 1 << 32, 320, dtype=np.uint32)]
+    files = webp.write(images, 16)
+    assert calls == [200, 201]
+    assert all((a == b.ravel()).all() for a, b in zip(images, webp.read_many(files), strict=True))
+    batches = [pa.RecordBatch.from_arrays([pa.array(files[k : k + 50], pa.binary())], names=["media"]) for k in range(0, 201, 50)]
+    assert [b.num_rows for b in media._together(iter(batches), 0)] == [201]
