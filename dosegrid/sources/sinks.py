@@ -18,6 +18,8 @@ def four_digits(c: Column) -> Column:
     return F.when(c.isNotNull(), F.format_string("%.4f", c.cast("double")))
 
 
+#: Folders of reports that a task writes at most if there are many, and the setting by which tasks put what they wrote in place.
+TASK_FOLDERS, COMMIT = 256, "mapreduce.fileoutputcommitter.algorithm.version"
 #: Rows that are written as one file on request.
 SINGLE_ROWS = 1_000_000
 
@@ -40,9 +42,16 @@ def top_reports(scores: DataFrame, k: int, cell: str = "cell_line", drug: str =
 
 
 def write_reports(scores: DataFrame, path: str, k: int, cell: str = "cell_line", drug: str = "drug_name", score: str = "ensemble_score") -> None:
-    """A folder of CSV for each cell line with its k lowest scores, by rank and with four digits. Cell lines whose safe names are alike share a folder."""
-    found = top_reports(scores, k, cell, drug, score).withColumn("cell_key", safe_name(F.col(cell))).withColumn(score, four_digits(F.col(score)))
-    found.repartition("cell_key").sortWithinPartitions("cell_key", cell, "Rank").write.partitionBy("cell_key").option("header", True).csv(path)
+    """A folder of CSV for each cell line with its k lowest scores, by rank and with four digits. Cell lines whose safe names are alike share a folder.
+
+    Folders are dealt to tasks whose number grows with them, and each task moves its own to
+    their place when it ends, so the driver moves none; a stopped job leaves some of them
+    and no _SUCCESS.
+    """
+    found = kept(top_reports(scores, k, cell, drug, score).withColumn("cell_key", safe_name(F.col(cell))).withColumn(score, four_digits(F.col(score))), "reports")
+    tasks = max(-(-found.select("cell_key").distinct().count() // TASK_FOLDERS), int(scores.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    dealt = found.repartition(tasks, "cell_key").sortWithinPartitions("cell_key", cell, "Rank")
+    dealt.write.partitionBy("cell_key").option("header", True).option(COMMIT, "2").csv(path)
 
 
 def write_chunks(df: DataFrame, path: str, *chunk_ids: str) -> None:
