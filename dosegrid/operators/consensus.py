@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import exp, factorial
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -15,6 +17,10 @@ from dosegrid.sources.shared import kept
 BINS = 1024
 #: Prediction rows that a task gathers by pair, whatever the number of partitions that the session sets.
 TASK_ROWS = 1 << 19
+#: Trees whose bootstrap counts are drawn in one pass, trees that are grown side by side, rows for each distinct one from which equal rows are counted once, and distinct rows of a task.
+AT_ONCE, BESIDE, EQUAL_ROWS, GROUP_ROWS = 10, 8, 8, 1 << 17
+#: Bootstrap counts of a row are Poisson's for a mean of one; larger ones have a chance under 1e-9.
+MOST_DRAWN = 11
 
 
 @dataclass(frozen=True)
@@ -47,11 +53,13 @@ def standard_sources(folder: str) -> list[Source]:
     return [Source(m, f"{folder.rstrip('/')}/{f}", d, c, p) for m, f, d, c, p in STANDARD]
 
 
-def normalised(df: DataFrame, drug: str, cell: str, prediction: str, method: str | Column) -> DataFrame:
-    """(drug_name, cell_line, prediction, method) without rows that lack a key or a number."""
+def normalised(df: DataFrame, drug: str, cell: str, prediction: str, method: str | Column, label: str | None = None) -> DataFrame:
+    """(drug_name, cell_line, prediction, method) without rows that lack a key or a number. With a label, that too, and rows that lack a number stay for it."""
     method = F.lit(method) if isinstance(method, str) else method
-    rows = df.select(F.col(drug).alias("d"), F.col(cell).alias("c"), number(F.col(prediction)).alias("prediction"), method.alias("method")).dropna()
-    return rows.select(strip(F.col("d")).alias("drug_name"), strip(F.col("c")).alias("cell_line"), "prediction", "method")
+    beside = [F.col(label).alias("label")] if label else []
+    rows = df.select(F.col(drug).alias("d"), F.col(cell).alias("c"), number(F.col(prediction)).alias("prediction"), method.alias("method"), *beside)
+    rows = rows.dropna(subset=["d", "c"] if label else None)
+    return rows.select(strip(F.col("d")).alias("drug_name"), strip(F.col("c")).alias("cell_line"), "prediction", "method", *(["label"] if label else []))
 
 
 def read_sources(spark: SparkSession, sources: Sequence[Source]) -> tuple[DataFrame, DataFrame]:
@@ -76,17 +84,22 @@ def read_sources(spark: SparkSession, sources: Sequence[Source]) -> tuple[DataFr
     return found if found is not None else empty, spark.createDataFrame(report, "method string, status string")
 
 
-def pivoted(rows: DataFrame, methods: Sequence[str]) -> DataFrame:
-    """A row for each (cell_line, drug_name), a column for each method; repeats are averaged, absent methods are null.
+def pivoted(rows: DataFrame, methods: Sequence[str], label: str | None = None) -> DataFrame:
+    """A row for each (cell_line, drug_name), a column for each method; repeats are averaged, absent methods are null. With a label, its mean over all rows of the pair too; pairs that only have rows without a number are left out.
 
     Rows are dealt by pair to tasks whose number grows with the rows, so that no task's table
     of pairs does; hardly any pair repeats, so rows are not combined before that.
     """
-    found = rows.where(F.col("method").isin(*methods))
+    mine, beside = F.col("method").isin(*methods), [label] if label else []
+    found = rows if label else rows.where(mine)
     spark = rows.sparkSession
     tasks = max(-(-found.count() // TASK_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = found.select("cell_line", "drug_name", "method", "prediction").repartition(tasks, "cell_line", "drug_name")
-    return dealt.groupBy("cell_line", "drug_name").agg(*(F.avg(F.when(F.col("method") == m, F.col("prediction"))).alias(m) for m in methods))
+    dealt = found.select("cell_line", "drug_name", "method", "prediction", *beside).repartition(tasks, "cell_line", "drug_name")
+    of = [F.avg(F.when(F.col("method") == m, F.col("prediction"))).alias(m) for m in methods]
+    if not label:
+        return dealt.groupBy("cell_line", "drug_name").agg(*of)
+    some = F.count(F.when(mine, F.col("prediction"))).alias("_some")
+    return dealt.groupBy("cell_line", "drug_name").agg(*of, F.avg(label).alias(label), some).where("_some > 0").drop("_some")
 
 
 def medians(wide: DataFrame, methods: Sequence[str]) -> DataFrame:
@@ -124,11 +137,12 @@ def medians(wide: DataFrame, methods: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([row], ", ".join(f"`med_{m}` double" for m in methods))
 
 
-def imputed(wide: DataFrame, methods: Sequence[str]) -> DataFrame:
-    """Nulls as the method's exact median, or 0 where it has none. The wide table is computed once."""
-    wide = kept(wide.select("cell_line", "drug_name", *methods), "wide")
+def imputed(wide: DataFrame, methods: Sequence[str], label: str | None = None) -> DataFrame:
+    """Nulls as the method's exact median, or 0 where it has none; a label stays as it is. The wide table is computed once."""
+    beside = [label] if label else []
+    wide = kept(wide.select("cell_line", "drug_name", *methods, *beside), "wide")
     filled = wide.join(F.broadcast(medians(wide, methods)))  # one row
-    return filled.select("cell_line", "drug_name", *(F.coalesce(m, f"med_{m}", F.lit(0.0)).alias(m) for m in methods))
+    return filled.select("cell_line", "drug_name", *(F.coalesce(m, f"med_{m}", F.lit(0.0)).alias(m) for m in methods), *beside)
 
 
 def mean_of(methods: Sequence[str]) -> Column:
@@ -154,6 +168,61 @@ def forest(wide: DataFrame, methods: Sequence[str], label: str, trees: int = 20,
     return Pipeline(stages=steps).fit(wide)
 
 
+def drawn(tree: int, seed: int) -> Column:
+    """How often a tree's bootstrap takes a pair: Poisson's count by the pair's hash, so that it does not depend on how the table is cut."""
+    x = F.xxhash64("cell_line", "drug_name", F.lit(seed), F.lit(tree))
+    upto = [sum(exp(-1) / factorial(j) for j in range(k + 1)) for k in range(MOST_DRAWN)]
+    count = F.when(x < int((upto[0] - 0.5) * 2**64), 0)
+    for k in range(1, MOST_DRAWN):
+        count = count.when(x < min(int((upto[k] - 0.5) * 2**64), 2**63 - 1), k)
+    return count.otherwise(MOST_DRAWN)
+
+
+def forest_of_groups(wide: DataFrame, methods: Sequence[str], label: str, trees: int = 20, depth: int = 5, seed: int = 7):
+    """A random forest as `forest` grows it, of (cell_line, drug_name, methods, label), from sums over rows with equal features.
+
+    Such rows are on the same side of every split, so a tree needs of them how often its
+    bootstrap takes them and the mean of their labels as often. A pass draws counts row by row
+    for AT_ONCE trees; the trees are then grown from tables that have each feature row once.
+    Where features hardly repeat, rows are learned from one by one. Rows without a label are
+    not learned from.
+    """
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+
+    rows = wide.where(F.col(label).isNotNull())
+    n, distinct = rows.agg(F.count("*"), F.approx_count_distinct(F.xxhash64(*methods))).first()
+    if n < EQUAL_ROWS * distinct:
+        return forest(kept(rows.select(*methods, label), "learned"), methods, label, trees, depth, seed)
+    assembled = VectorAssembler(inputCols=list(methods), outputCol="features")
+
+    def counted(low: int) -> DataFrame:
+        some = range(low, min(low + AT_ONCE, trees))
+        counts = rows.select(*methods, label, *(drawn(t, seed).alias(f"w{t}") for t in some))
+        sums = (F.sum(c).alias(name) for t in some for name, c in ((f"n{t}", F.col(f"w{t}")), (f"s{t}", F.col(f"w{t}") * F.col(label))))
+        return kept(counts.groupBy(*methods).agg(*sums), "groups")
+
+    def grown(tree: int):
+        n, total = F.col(f"n{tree}"), F.col(f"s{tree}")
+        table = tables[tree // AT_ONCE].where(n > 0).select(*methods, (total / n).alias(label), n.cast("double").alias("weight")).coalesce(-(-distinct // GROUP_ROWS))
+        one = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=1, bootstrap=False, featureSubsetStrategy="onethird", maxDepth=depth, seed=seed + tree, weightCol="weight")
+        return one.fit(assembled.transform(table)).trees[0]
+
+    tables = [counted(low) for low in range(0, trees, AT_ONCE)]
+    with ThreadPool(BESIDE) as pool:
+        grown_ = pool.map(grown, range(trees))
+    sc = wide.sparkSession.sparkContext
+    regression = sc._jvm.org.apache.spark.ml.regression
+    array = sc._gateway.new_array(regression.DecisionTreeRegressionModel, trees)
+    for t, tree in enumerate(grown_):
+        array[t] = tree._java_obj
+    whole = regression.RandomForestRegressionModel(f"forest_{seed}", array, len(methods))
+    whole.set(whole.getParam("numTrees"), trees)
+    model = RandomForestRegressionModel(whole)
+    return PipelineModel([assembled, model.setFeaturesCol("features").setPredictionCol("ensemble_score")])
+
+
 NODES = "tree int, node int, feature int, threshold double, low int, high int, prediction double"
 
 
@@ -213,7 +282,13 @@ def scored_by(spark: SparkSession, path: str, rows: DataFrame) -> DataFrame:
     """(cell_line, drug_name, ensemble_score) of prediction rows under a stored model: its methods in its order, `-` in a method's name as `_`, other methods left out, gaps filled as in `imputed`."""
     from pyspark.ml import PipelineModel
 
-    model = PipelineModel.load(path)
-    methods = list(model.stages[0].getInputCols())
+    methods = list(PipelineModel.load(path).stages[0].getInputCols())
     named = rows.withColumn("method", F.translate("method", "-", "_"))
-    return model.transform(imputed(pivoted(named, methods), methods)).select("cell_line", "drug_name", "ensemble_score")
+    return scored_wide(path, imputed(pivoted(named, methods), methods))
+
+
+def scored_wide(path: str, filled: DataFrame) -> DataFrame:
+    """(cell_line, drug_name, ensemble_score) of a wide table without gaps under a stored model."""
+    from pyspark.ml import PipelineModel
+
+    return PipelineModel.load(path).transform(filled).select("cell_line", "drug_name", "ensemble_score")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 METHODS = [f"M{k}" for k in range(1, 8)]
@@ -12,10 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction rows as a method's file has them: padded keys, missing values."""
+def predictions(spark: SparkSession, sf_dir: str, label: Column | None = None) -> DataFrame:
+    """Prediction rows as a method's file has them: padded keys, missing values; and a label beside them."""
     value = F.when(F.col("l_tax") != 0, F.col("l_quantity"))
-    return table(spark, sf_dir, "lineitem").select(F.concat(F.lit(" D"), "l_partkey").alias("drug"), F.concat(F.lit("C"), "l_suppkey", F.lit(" ")).alias("cell"), value.alias("value"), F.concat(F.lit("M"), "l_linenumber").alias("method"))
+    return table(spark, sf_dir, "lineitem").select(F.concat(F.lit(" D"), "l_partkey").alias("drug"), F.concat(F.lit("C"), "l_suppkey", F.lit(" ")).alias("cell"), value.alias("value"), F.concat(F.lit("M"), "l_linenumber").alias("method"), *([] if label is None else [label.alias("label")]))
 
 
 PREDICTIONS_SQL = "norm as (select 'D' || l_partkey as drug_name, 'C' || l_suppkey as cell_line, l_quantity as prediction, 'M' || l_linenumber as method from lineitem where l_tax <> 0)"

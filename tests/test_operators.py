@@ -362,6 +362,32 @@ def test_stored_model_keeps_its_features(spark, tmp_path):
     assert all(abs(same[(c, d)] - v) < 1e-9 for c, d, v in rows(by_nodes)) and by_nodes.count() == len(same)
 
 
+def test_forest_of_equal_rows_is_a_forest_of_all_rows(spark, tmp_path):
+    """Rows with equal features are counted once for all; each tree's leaves hold the means of the labels that its bootstrap takes."""
+    long = spark.range(6000).selectExpr("concat(' d', id % 3000) as drug", "concat('c', id div 3000) as cell", "if(id % 5 = 0, null, id % 4) as value", "concat('M', 1 + id div 3 % 2) as method", "id % 4 * 10D + id % 7 as y")
+    both = ["M1", "M2"]
+    rows_ = consensus.normalised(long, "drug", "cell", "value", F.col("method"), "y")
+    wide = consensus.imputed(consensus.pivoted(rows_, both, "label"), both, "label").cache()
+    plain = consensus.imputed(consensus.pivoted(consensus.normalised(long, "drug", "cell", "value", F.col("method")), both), both)
+    assert wide.count() == 4800 and rows(wide.drop("label")) == rows(plain)
+    model = consensus.forest_of_groups(wide, ["M1"], "label", trees=3)
+    assert {m.getNumTrees for m in model.stages[1:]} == {3}
+    consensus.save_model(model, str(tmp_path / "m"))
+    found = consensus.scored_wide(str(tmp_path / "m"), wide.drop("label"))
+    assert rows(found) == rows(model.transform(wide).select("cell_line", "drug_name", "ensemble_score"))
+    counts = wide.select("*", *(consensus.drawn(t, 7).alias(f"w{t}") for t in range(3))).toPandas()
+    assert abs(counts["w0"].mean() - 1) < 0.1 and abs(counts["w0"].var() - 1) < 0.15 and counts[["w0", "w1"]].corr().iloc[0, 1] < 0.1
+    # depth suffices to part all values, so each has its own mean in each tree
+    wanted = {}
+    for key, part in counts.groupby("M1"):
+        wanted[key] = sum((part["label"] * part[f"w{t}"]).sum() / part[f"w{t}"].sum() for t in range(3)) / 3
+    scores = found.join(wide.select("cell_line", "drug_name", "M1"), ["cell_line", "drug_name"]).toPandas()
+    assert len(scores) == 4800 and max(abs(wanted[a] - s) for a, s in zip(scores["M1"], scores["ensemble_score"], strict=True)) < 1e-6
+    # features that hardly repeat are learned from row by row, by a forest of the same form
+    apart = consensus.forest_of_groups(wide.withColumn("M1", F.col("M1") + F.rand(3)), both, "label", trees=2)
+    assert apart.stages[-1].getNumTrees == 2
+
+
 def test_feature_lists_in_another_encoding(spark, tmp_path):
     (tmp_path / "h.csv").write_bytes("样本,基因一,G2\ns,1,2\n".encode("gbk"))
     (tmp_path / "u.csv").write_bytes('样本,"G,1",G2\ns,1,2\n'.encode())
