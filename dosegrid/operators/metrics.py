@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,8 +15,10 @@ from dosegrid.functions.special import correlation_p
 from dosegrid.operators.pairs import numbered, scanned
 from dosegrid.sources.shared import kept
 
-#: Rows of a block in the count of concordant pairs.
+#: Rows of a block in the count of concordant pairs, and of a group that is counted whole.
 BLOCK = 1 << 16
+#: Rows of whole groups that are counted together, and rows of a task.
+HELD, TASK_ROWS = 1 << 17, 1 << 20
 #: Rows of a group whose pairs are all formed.
 PAIRED = 20_000
 
@@ -99,9 +102,97 @@ def _apart(cells: DataFrame) -> DataFrame:
     return halves.groupBy("g").agg(F.coalesce(F.sum(F.col("low") * F.col("high")), F.lit(0)).alias("n"))
 
 
+def concordances(group: np.ndarray, y: np.ndarray, f: np.ndarray) -> np.ndarray:
+    """`concordance` of each of the groups, which are numbered from 0 and stand together; NaN for none. Blocks of all groups are merged at once, as in `rising_pairs`."""
+    ranks = [np.unique(x, return_inverse=True) for x in (y, f)]
+    (_, a), (values, b) = ranks
+    width = len(values)
+    firsts = group * np.int64(len(ranks[0][0])) + a
+    key = firsts * width + (width - 1 - b)  # of equal firsts the larger second comes first
+    order = np.argsort(key)
+    key, firsts, g, b = key[order], firsts[order], group[order], b[order]
+    sizes = np.bincount(g)
+    n, many = len(g), len(sizes)
+
+    def pairs(ordered: np.ndarray) -> np.ndarray:
+        """Pairs of rows with equal keys, by group, from keys that ascend with the groups."""
+        start = np.flatnonzero(np.diff(ordered, prepend=ordered[0] - 1))
+        count = np.diff(start, append=n)
+        return np.bincount(g[start], count * (count - 1) / 2, many)
+
+    place = np.arange(n) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    rising, size, by = np.zeros(many), 1, np.arange(n)
+    while size < sizes.max():
+        block = g * (int(sizes.max()) // (2 * size) + 1) + place // (2 * size)
+        left = place // size % 2 == 0
+        level = (block * width + b) * 2 + left  # of equal seconds the right half comes first
+        by = by[np.argsort(level[by], kind="stable")]
+        low, own = left[by], block[by]
+        before = np.cumsum(low)
+        start = np.flatnonzero(np.diff(own, prepend=-1))
+        base = np.repeat((before - low)[start], np.diff(start, append=n))
+        rising += np.bincount(g[by], np.where(low, 0, before - base), many)
+        size *= 2
+    share = rising + 0.5 * (pairs(np.sort(g * np.int64(width) + b)) - pairs(key))
+    of = sizes * (sizes - 1) / 2 - pairs(firsts)
+    return np.divide(share, of, out=np.full(many, np.nan), where=of > 0)
+
+
 def concordance(df: DataFrame, by: str, y: str = "y", f: str = "f") -> DataFrame:
     """(by, ci): share of pairs with y_i > y_j that have f_i > f_j, ties in f counting half; null without such pairs.
 
+    Rows are dealt by group once, and groups of BLOCK rows at most are counted whole, many
+    together; larger ones are counted in blocks by many tasks.
+    """
+    rows = df.where(F.col(y).isNotNull() & F.col(f).isNotNull()).select(F.col(by).alias("g"), F.col(y).cast("double").alias("y"), F.col(f).cast("double").alias("f"))
+    if df.schema[by].dataType.typeName() in ("float", "double"):
+        rows = rows.withColumn("g", F.col("g") + F.lit(0).cast(df.schema[by].dataType))  # -0 is 0
+    sizes = rows.groupBy("g").agg(F.count("*").alias("n"))
+    total, largest = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.max("n"), F.lit(0))).first()
+    schema = f"g {df.schema[by].dataType.simpleString()}, ci double"
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, n = [], 0
+
+        def counted(last: bool) -> Iterator[pa.RecordBatch]:
+            """Shares of the groups that wait, but for the last one if more of it may come."""
+            table = pa.Table.from_batches(waiting).combine_chunks()
+            waiting.clear()
+            keys = table.column(0).combine_chunks()
+            codes = (keys if isinstance(keys, pa.Array) else keys.chunk(0)).dictionary_encode(null_encoding="encode")
+            group = codes.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            end = len(group) if last else int(np.searchsorted(group, group[-1]))
+            if end < len(group):
+                waiting.extend(table.slice(end).to_batches())
+            if end:
+                found = concordances(group[:end], *(table.column(k).to_numpy()[:end] for k in (1, 2)))
+                yield pa.RecordBatch.from_arrays([codes.dictionary.slice(0, len(found)), pa.array(found, from_pandas=True)], names=["g", "ci"])
+
+        for batch in batches:
+            if batch.num_rows:
+                waiting.append(batch)
+                n += batch.num_rows
+            if n > HELD:
+                yield from counted(False)
+                n = sum(b.num_rows for b in waiting)
+        if waiting:
+            yield from counted(True)
+
+    small, others = rows, None
+    if largest > BLOCK:
+        large = sizes.where(F.col("n") > BLOCK).select(F.col("g").alias("_large"))
+        same = F.col("g").eqNullSafe(F.col("_large"))
+        small, others = rows.join(F.broadcast(large), same, "left_anti"), rows.join(F.broadcast(large), same, "left_semi")  # fewer than one in BLOCK rows
+    tasks = max(-(-total // TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    found = small.repartition(tasks, "g").sortWithinPartitions("g").mapInArrow(count, schema)
+    if others is not None:
+        found = found.union(concordance_in_blocks(others, "g"))
+    return found.select(F.col("g").alias(by), "ci")
+
+
+def concordance_in_blocks(df: DataFrame, by: str, y: str = "y", f: str = "f") -> DataFrame:
+    """As `concordance`, for groups of any size.
+
     Each row has its place by y and its place by f, ties in either falling in the other, so
     that concordant pairs are those that rise in both places. Places are cut into blocks of
     BLOCK. Pairs of one block by y, and of one block by f, are counted block by block; all

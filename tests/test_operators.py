@@ -131,6 +131,29 @@ def test_metrics_constants_and_concordance(spark, monkeypatch):
     assert abs(found.pop("a") - wanted) < 1e-12 and found == {"d": 1.0}
 
 
+def test_concordance_of_many_groups_is_counted_in_one_deal(spark, monkeypatch):
+    """Groups that are counted whole, together and across batches, equal all pairs; null, odd and single keys stay apart."""
+    r = np.random.default_rng(11)
+    data = [(None if g == 0 else g, float(r.integers(0, 6)), float(r.choice([0.0, -0.0, 1.5, 2.0, float("nan"), -3.0]))) for g in range(90) for _ in range(1 + g % 40)]
+    table = spark.createDataFrame(data, "g long, y double, f double").repartition(5)
+    rank = lambda v: float("inf") if v != v else v  # noqa: E731  # Spark and SQL: NaN is itself and above all
+    wanted = {}
+    for g in {g for g, _, _ in data}:
+        mine = [(y, rank(f)) for k, y, f in data if k == g]
+        found = [1.0 if a[1] > b[1] else 0.5 if a[1] == b[1] else 0.0 for a in mine for b in mine if a[0] > b[0]]
+        wanted[g] = sum(found) / len(found) if found else None
+    stages = []
+    monkeypatch.setattr(metrics, "concordance_in_blocks", lambda *a, **k: stages.append(a))
+    for held in (1 << 17, 100, 1):
+        monkeypatch.setattr(metrics, "HELD", held)
+        got = {x["g"]: x["ci"] for x in metrics.concordance(table, "g").collect()}
+        assert got.keys() == wanted.keys() and not stages
+        assert all(got[g] is None if w is None else abs(got[g] - w) < 1e-12 for g, w in wanted.items())
+    floats = spark.createDataFrame([(0.0, 1.0, 1.0), (-0.0, 2.0, 5.0), (float("nan"), 1.0, 2.0), (float("nan"), 3.0, 1.0)], "g double, y double, f double")
+    assert sorted((str(x["g"]), x["ci"]) for x in metrics.concordance(floats, "g").collect()) == [("0.0", 1.0), ("nan", 0.0)]
+    assert metrics.concordance(floats.where("y > 9"), "g").count() == 0
+
+
 def test_splits_are_complete_and_disjoint(spark):
     df = spark.createDataFrame([(k, k % 7, k % 2) for k in range(101)], "id long, drug long, y int")
     random = splits.random_split(df, "id", 0.2, "s")
