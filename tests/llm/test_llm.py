@@ -618,6 +618,46 @@ def test_attention_is_a_distribution_and_its_gradient_is_right(small_model):
         assert 0.2 < fall / (g[name] * step).sum() < 1.2, name
 
 
+def test_training_steps_use_their_memory_again(small_model):
+    """Steps that give pages back and take them anew spend half their time on clearing them."""
+    import resource
+
+    words, p, r = small_model
+    common.memory_kept()
+    seen, used = r.integers(0, 1500, (attention.BATCH, attention.WINDOW + 1)), np.ones((attention.BATCH, attention.WINDOW), bool)
+    adam = attention.Adam(p, 0.01)
+
+    def faults(steps):
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+        for _ in range(steps):
+            adam.step(attention.gradient(adam.p, words, seen, used))
+        return resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before
+
+    faults(5)
+    assert faults(20) < 20 * 100
+    common.released()
+
+
+def test_adam_moves_what_has_a_gradient_only(small_model):
+    _, p, r = small_model
+    adam = attention.Adam(p, 0.01)
+    g = {k: (r.choice([-1, 1], v.shape) * r.uniform(0.1, 1, v.shape)).astype(np.float32) for k, v in p.items()}
+    adam.step(g)
+    assert all(np.allclose(adam.p[k], v - 0.01 * np.sign(g[k]), atol=1e-4) for k, v in p.items())
+    once = {k: v.copy() for k, v in adam.p.items()}
+    adam.step({k: v for k, v in g.items() if k != "out2"})
+    assert (adam.p["out2"] == once["out2"]).all() and not any((adam.p[k] == once[k]).any() for k in g if k != "out2")
+
+
+def test_word_ids_are_flat_and_equal_those_of_each_word():
+    bpe = tokens.byte_bpe(tokens.default_path())
+    plain = ["don't", "a1b", "ciónga", "--x", "thonre", "'s", "9,99"]
+    for words in ([], plain, ["\U0001f600", *plain, "\u4e2d\u6587", "e\u0301"], ["\u4e2d"]):
+        ids, sizes = bpe.word_ids(words)
+        assert len(sizes) == len(words) and ids.tolist() == [k for w in words for k in bpe.ids(" " + w).tolist()]
+        assert sizes.tolist() == [len(bpe.ids(" " + w)) for w in words]
+
+
 @pytest.mark.xfail(reason="the claim is given up, see README: subword ids of made-up words are too many to learn from 90 texts", strict=False)
 def test_lm_beats_word_counts_on_held_out_texts(spark):
     """Texts of syllables: the model learns how words are made, counts know only whole words."""
