@@ -91,12 +91,11 @@ def rounded(x: float) -> float:
 
 
 def log_odds(counts: list[tuple[int, int] | None], share: float) -> float | None:
-    """Of a word, by the toxic and clean documents of its units in the model, shortest first (None: not in it)."""
-    theta, known = share, False
-    for found in counts:
-        if found is not None:
-            theta, known = (found[0] + PRIOR * theta) / (found[0] + found[1] + PRIOR), True
-    return math.log(theta / (1 - theta) * (1 - share) / share) if known else None
+    """Of a word, by the toxic and clean documents of its units in the model, shortest first (None: not in it). The clean share has a sum of its own: as one minus the toxic share it is lost in rounding where all units have thousands of toxic documents and no clean one."""
+    theta, rest, known = share, 1 - share, False
+    for toxic, clean in filter(None, counts):
+        theta, rest, known = (toxic + PRIOR * theta) / (toxic + clean + PRIOR), (clean + PRIOR * rest) / (toxic + clean + PRIOR), True
+    return math.log(theta / rest * (1 - share) / share) if known else None
 
 
 @dataclass
@@ -252,8 +251,10 @@ def word_scores(df: DataFrame, model: Model, text: str) -> DataFrame:
     fronts = F.array(*(F.when(F.length("word") > k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in FRONTS), F.col("word"))
     chain = common.in_arrow(df.select(text), words, "word string").distinct().select("word", F.posexplode(fronts).alias("place", "unit")).where("unit is not null")
     found = chain.join(model.units, "unit").groupBy("word").agg(F.sort_array(F.collect_list(F.struct("place", "toxic", "clean"))).alias("chain"))
-    theta = F.aggregate("chain", F.lit(model.share), lambda t, u: (u["toxic"] + PRIOR * t) / (u["toxic"] + u["clean"] + PRIOR))
-    return found.select("word", theta.alias("theta")).select("word", F.log(F.col("theta") / (1 - F.col("theta")) * (1 - model.share) / model.share).alias("score"))
+    shares = lambda theta, rest: F.struct(theta.alias("theta"), rest.alias("rest"))
+    step = lambda s, u: shares((u["toxic"] + PRIOR * s["theta"]) / (u["toxic"] + u["clean"] + PRIOR), (u["clean"] + PRIOR * s["rest"]) / (u["toxic"] + u["clean"] + PRIOR))
+    last = F.aggregate("chain", shares(F.lit(model.share), F.lit(1 - model.share)), step)
+    return found.select("word", last.alias("s")).select("word", F.log(F.col("s.theta") / F.col("s.rest") * (1 - model.share) / model.share).alias("score"))
 
 
 def looked_at(df: DataFrame, model: Model, text: str, into: T.StructType, look: Callable[[Scorer, list[str | None]], list[list]]) -> DataFrame:
